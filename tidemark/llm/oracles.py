@@ -65,8 +65,24 @@ g AS (SELECT doc_id, {', '.join(f'count(*) FILTER (WHERE k = {k}) AS n_{r.kind}'
 SELECT documents.doc_id, {', '.join(f'coalesce(n_{r.kind}, 0) AS n_{r.kind}' for r in BASE)}, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM documents LEFT JOIN g USING (doc_id)"""
 
 
+WORDS = "regexp_extract_all(translate(coalesce(text, ''), '{}', '{}'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')".format(UPPER, LOWER)
+
+
+def decontaminate_sql(docs: str = "documents", items: str = "benchmark") -> str:
+    return f"""
+WITH dw AS (SELECT *, row_number() OVER () AS rid, {WORDS} AS w FROM {docs}),
+iw AS (SELECT item_id::VARCHAR AS item_id, w, least(len(w), 10) AS m FROM (SELECT item_id, {WORDS} AS w FROM {items}) WHERE len(w) > 0 AND item_id IS NOT NULL),
+win AS (SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS t FROM (SELECT *, unnest(range(1, len(w) - m + 2)) AS i FROM iw)),
+dp AS (SELECT rid, m, i, array_to_string(w[i:i + m - 1], ' ') AS t FROM (SELECT rid, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM dw, (SELECT DISTINCT m FROM win) WHERE len(w) >= m)),
+h AS (SELECT rid, item_id, i, m FROM dp JOIN win USING (m, t)),
+n AS (SELECT rid, count(DISTINCT p) AS n_hit FROM (SELECT DISTINCT rid, unnest(range(i, i + m)) AS p FROM h) GROUP BY rid),
+x AS (SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS items FROM (SELECT DISTINCT rid, item_id FROM h) GROUP BY rid)
+SELECT dw.* EXCLUDE (w, rid), len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated FROM dw LEFT JOIN n USING (rid) LEFT JOIN x USING (rid)"""
+
+
 ORACLE_SQL = {
     "op2_line_dedup": f"SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM ({line_dedup_sql()})",
+    "op3_decontaminate": f"SELECT doc_id, n_words, n_hit, n_items, items_sha256, contaminated FROM ({decontaminate_sql()})",
     "op9_secrets": secrets_sql(),
     "op10_mixing": mixing_sql(),
 }
