@@ -80,9 +80,25 @@ x AS (SELECT rid, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id)
 SELECT dw.* EXCLUDE (w, rid), len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated FROM dw LEFT JOIN n USING (rid) LEFT JOIN x USING (rid)"""
 
 
+def jaccard_sql(docs: str = "documents", threshold: float = 0.8) -> str:
+    """Exact: sets of 5-grams are compared wherever they share a gram; the smallest id is carried along links until it stands still."""
+    return f"""
+WITH RECURSIVE dw AS (SELECT *, row_number() OVER () AS rid, {WORDS} AS w FROM {docs}),
+g AS (SELECT DISTINCT rid, array_to_string(w[i:i + 4], ' ') AS t FROM (SELECT rid, w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS i FROM dw WHERE len(w) > 0)),
+s AS (SELECT rid, count(*) AS n FROM g GROUP BY rid),
+c AS (SELECT x.rid AS a, y.rid AS b, count(*) AS both_n FROM g x JOIN g y ON x.t = y.t AND x.rid < y.rid GROUP BY ALL),
+e AS (SELECT a, b FROM c JOIN s p ON p.rid = a JOIN s q ON q.rid = b WHERE both_n >= {threshold} * (p.n + q.n - both_n) - 1e-9),
+u AS (SELECT a, b FROM e UNION ALL SELECT b, a FROM e),
+r(a, b) AS (SELECT rid, rid FROM dw UNION SELECT r.a, u.b FROM r JOIN u ON r.b = u.a),
+k AS (SELECT r.a AS rid, min(dw.doc_id) AS class_id, min(r.b) AS class_first FROM r JOIN dw ON dw.rid = r.b GROUP BY r.a),
+l AS (SELECT a AS rid, count(*) AS n_links FROM u GROUP BY a)
+SELECT dw.* EXCLUDE (w), class_id, class_first, coalesce(n_links, 0) AS n_links FROM dw JOIN k USING (rid) LEFT JOIN l USING (rid)"""
+
+
 ORACLE_SQL = {
     "op2_line_dedup": f"SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM ({line_dedup_sql()})",
     "op3_decontaminate": f"SELECT doc_id, n_words, n_hit, n_items, items_sha256, contaminated FROM ({decontaminate_sql()})",
+    "op5_jaccard_join": f"SELECT doc_id, class_id, n_links FROM ({jaccard_sql()})",
     "op9_secrets": secrets_sql(),
     "op10_mixing": mixing_sql(),
 }

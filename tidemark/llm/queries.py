@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, line_dedup, mixing, secrets
+from tidemark.llm import decontaminate, jaccard_join, line_dedup, mixing, secrets
 from tidemark.llm.oracles import ORACLE_SQL  # noqa: F401
 
 
@@ -23,6 +23,11 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = jaccard_join.jaccard_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select(F.col("id").alias("doc_id"), "class_id", "n_links")
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, _ = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), path_col="doc_id")
     counts = [F.size(F.col("found")[r.id]).cast("long").alias(f"n_{r.kind}") for r in secrets.BASE]
@@ -37,6 +42,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_decontaminate": op3_decontaminate,
+    "op5_jaccard_join": op5_jaccard_join,
     "op9_secrets": op9_secrets,
     "op10_mixing": op10_mixing,
 }
