@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import checked_broadcast, materialize
+from tidemark.llm.shared import checked_broadcast, fields, materialize
 from tidemark.llm.words import Words, grams, slices
 
 GRAM, SPAN = 5, 10
@@ -71,7 +71,6 @@ def _prints(w: Words, short: list[int], sieve: np.ndarray | None) -> list[list[d
 
 def _fingerprints(rows: DataFrame, short: list[int], sieve: np.ndarray | None) -> DataFrame:
     """rows: id, mark, text. Adds a number for each row, n_words and found; drops the text."""
-    id_type = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 40
@@ -83,7 +82,7 @@ def _fingerprints(rows: DataFrame, short: list[int], sieve: np.ndarray | None) -
                 yield pa.RecordBatch.from_arrays([part.column("id"), part.column("mark"), pa.array(np.arange(number, number + n)), pa.array(w.counts.astype(np.int64)), pa.array(_prints(w, short, sieve), type=kind)], names=["id", "mark", "number", "n_words", "found"])
                 number += n
 
-    return rows.mapInArrow(run, f"id {id_type}, mark bigint, number bigint, n_words bigint, found {FOUND}")
+    return rows.mapInArrow(run, fields(rows, ["id", "mark"], f"number bigint, n_words bigint, found {FOUND}"))
 
 
 def benchmark_prints(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected
-from tidemark.llm.shared import checked_broadcast, materialize
+from tidemark.llm.shared import checked_broadcast, fields, materialize
 from tidemark.llm.words import Words, grams, mixed, slices
 
 GRAM = 5
@@ -119,7 +119,6 @@ def _binary(rows: list[bytes]) -> pa.Array:
 
 def _signatures(rows: DataFrame) -> DataFrame:
     """rows: id, mark, text. Gives number, id, mark, h1, h2, size, sig, bands; no text."""
-    id_type = rows.schema["id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = TaskContext.get().partitionId() << 40
@@ -137,10 +136,10 @@ def _signatures(rows: DataFrame) -> DataFrame:
                 keys = band_keys(values)
                 keys = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.where(size > 0, BANDS, 0))]).astype(np.int32)), pa.array(keys[size > 0].ravel()))
                 part = b.slice(w.lo, n)
-                yield pa.RecordBatch.from_arrays([pa.array(np.arange(number, number + n)), part.column("id"), part.column("mark"), *map(pa.array, h), pa.array(size.astype(np.int32)), _binary([v.tobytes() for v in values.astype(np.uint8)]), keys], names=["number", "id", "mark", "h1", "h2", "size", "sig", "bands"])
+                yield pa.RecordBatch.from_arrays([part.column("id"), part.column("mark"), pa.array(np.arange(number, number + n)), *map(pa.array, h), pa.array(size.astype(np.int32)), _binary([v.tobytes() for v in values.astype(np.uint8)]), keys], names=["id", "mark", "number", "h1", "h2", "size", "sig", "bands"])
                 number += n
 
-    return rows.mapInArrow(run, f"number bigint, id {id_type}, mark bigint, h1 bigint, h2 bigint, size int, sig binary, bands array<bigint>")
+    return rows.mapInArrow(run, fields(rows, ["id", "mark"], "number bigint, h1 bigint, h2 bigint, size int, sig binary, bands array<bigint>"))
 
 
 def _sigs(column: pa.Array) -> np.ndarray:
@@ -235,7 +234,6 @@ def _verified(table: pa.Table, threshold: float, tolerance: float) -> pa.Table:
 def _with_grams(rows: DataFrame) -> DataFrame:
     """Adds the grams of text, as bytes, in place of it."""
     names = [c for c in rows.columns if c != "text"]
-    schema = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -244,7 +242,7 @@ def _with_grams(rows: DataFrame) -> DataFrame:
                 part = b.slice(w.lo, w.hi - w.lo)
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], _binary([g[bounds[k] : bounds[k + 1]].tobytes() for k in range(w.hi - w.lo)])], names=[*names, "grams"])
 
-    return rows.mapInArrow(run, f"{schema}, grams binary")
+    return rows.mapInArrow(run, fields(rows, names, "grams binary"))
 
 
 def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: float = TOLERANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, jaccard_join, line_dedup, mixing, secrets
+from tidemark.llm import decontaminate, jaccard_join, language_id, line_dedup, mixing, quality, secrets, toxicity
 from tidemark.llm.oracles import ORACLE_SQL  # noqa: F401
 
 
@@ -28,6 +28,28 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "class_id", "n_links")
 
 
+def _learned(id_: Column) -> Column:
+    """Rows whose labels may be learned."""
+    return ~language_id.held_out(id_, 5, 0)
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels"), _learned))
+    return out.select("row.doc_id", language_id.held_out(F.col("row.doc_id"), 5, 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = language_id.identify(docs.select("doc_id", "text"), language_id.learned(docs.select("doc_id", "text", "lang")))
+    return out.select("row.doc_id", language_id.held_out(F.col("row.doc_id"), 4, 2).alias("held_out"), "lang_pred", "score")
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = quality.quality_scores(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels"), _learned)
+    return out.select("row.doc_id", language_id.held_out(F.col("row.doc_id"), 5, 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found, _ = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"), path_col="doc_id")
     counts = [F.size(F.col("found")[r.id]).cast("long").alias(f"n_{r.kind}") for r in secrets.BASE]
@@ -43,6 +65,9 @@ QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_decontaminate": op3_decontaminate,
     "op5_jaccard_join": op5_jaccard_join,
+    "op6_toxicity": op6_toxicity,
+    "op7_language_id": op7_language_id,
+    "op8_quality": op8_quality,
     "op9_secrets": op9_secrets,
     "op10_mixing": op10_mixing,
 }

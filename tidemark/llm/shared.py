@@ -7,6 +7,7 @@ import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Rows up to which a narrow side (a few numbers or a short key a row) is broadcast; beyond, joins shuffle.
 BROADCAST_ROWS = 200_000
@@ -43,3 +44,8 @@ def lower_ascii(text: Column) -> Column:
 def packed(df: DataFrame, **named: str) -> DataFrame:
     """df as one struct column `row`, so that no extra column can clash, beside the columns named: new name -> column of df."""
     return df.select(F.struct(*[df[c] for c in df.columns]).alias("row"), *[df[c].alias(n) for n, c in named.items()])
+
+
+def fields(df: DataFrame, names: list[str], more: str) -> T.StructType:
+    """The columns `names` of df as they are, then the fields of a DDL string: whatever the names and types are."""
+    return T.StructType([df.schema[n] for n in names] + T.StructType.fromDDL(more).fields)

@@ -69,14 +69,15 @@ class Words:
         """The row, from 0, of each word."""
         return np.repeat(np.arange(self.hi - self.lo), self.counts)
 
-    def hashes(self) -> np.ndarray:
-        """64 bits for each word, the same for the same word anywhere."""
+    def hashes(self, prefix: int | None = None) -> np.ndarray:
+        """64 bits for each word, or for its first bytes, the same for the same bytes anywhere."""
         if not len(self.start):
             return np.zeros(0, dtype=np.uint64)
         up, down = _Powers.to(len(self.low) + 1)
         run = np.zeros(len(self.low) + 1, dtype=np.uint64)
         np.cumsum(BYTE_VALUE[self.low] * up[: len(self.low)], out=run[1:])
-        return mixed((run[self.end] - run[self.start]) * down[self.start])
+        end = self.end if prefix is None else np.minimum(self.end, self.start + prefix)
+        return mixed((run[end] - run[self.start]) * down[self.start])
 
     def word(self, i: int) -> str:
         return self.low[self.start[i] : self.end[i]].tobytes().decode()
