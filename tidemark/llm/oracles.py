@@ -95,9 +95,21 @@ l AS (SELECT a AS rid, count(*) AS n_links FROM u GROUP BY a)
 SELECT dw.* EXCLUDE (w), class_id, class_first, coalesce(n_links, 0) AS n_links FROM dw JOIN k USING (rid) LEFT JOIN l USING (rid)"""
 
 
+def warc_sql(pages: str = "pages") -> str:
+    """Base32 takes 5 hexadecimal digits to 4 letters."""
+    letters = "'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'"
+    part = [f"('0x' || substr(h, {5 * i + 1}, 5))::INTEGER" for i in range(8)]
+    digest = " || ".join(f"substr({letters}, (({p} >> {s}) & 31) + 1, 1)" for p in part for s in (15, 10, 5, 0))
+    return f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h FROM {pages}),
+m AS (SELECT t, max(page_id) AS keep FROM p GROUP BY t)
+SELECT page_id, strlen(t) AS payload_bytes, {digest} AS payload_digest, CASE WHEN page_id <> keep THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id <> keep THEN keep END AS refers_to FROM p JOIN m USING (t)"""
+
+
 ORACLE_SQL = {
     "op2_line_dedup": f"SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM ({line_dedup_sql()})",
     "op3_decontaminate": f"SELECT doc_id, n_words, n_hit, n_items, items_sha256, contaminated FROM ({decontaminate_sql()})",
+    "op4_warc": warc_sql(),
     "op5_jaccard_join": f"SELECT doc_id, class_id, n_links FROM ({jaccard_sql()})",
     "op9_secrets": secrets_sql(),
     "op10_mixing": mixing_sql(),

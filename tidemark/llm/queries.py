@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, jaccard_join, language_id, line_dedup, mixing, quality, secrets, toxicity
+from tidemark.llm import decontaminate, jaccard_join, language_id, line_dedup, mixing, quality, secrets, toxicity, warc
 from tidemark.llm.oracles import ORACLE_SQL  # noqa: F401
 
 
@@ -23,6 +23,13 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"), F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    id_type = pages.schema["page_id"].dataType
+    ends = warc.round_trip(spark, pages).where("last")
+    return ends.select(F.col("record").cast(id_type).alias("page_id"), F.col("length").alias("payload_bytes"), F.col("sha1").alias("payload_digest"), F.col("type").alias("record_type"), F.col("refers_to").cast(id_type).alias("refers_to"))
+
+
 def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = jaccard_join.jaccard_classes(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select(F.col("id").alias("doc_id"), "class_id", "n_links")
@@ -64,6 +71,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_line_dedup": op2_line_dedup,
     "op3_decontaminate": op3_decontaminate,
+    "op4_warc": op4_warc,
     "op5_jaccard_join": op5_jaccard_join,
     "op6_toxicity": op6_toxicity,
     "op7_language_id": op7_language_id,
