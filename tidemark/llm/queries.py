@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, jaccard_join, language_id, line_dedup, mixing, quality, secrets, toxicity, warc
+from tidemark.llm import ann, decontaminate, jaccard_join, language_id, line_dedup, mixing, quality, secrets, toxicity, warc
 from tidemark.llm.oracles import ORACLE_SQL  # noqa: F401
 
 
@@ -13,6 +13,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ann(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), lambda id_: id_ % 20 == 0)
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = line_dedup.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return out.select(F.col("row.doc_id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -69,6 +73,7 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ann": op1_ann,
     "op2_line_dedup": op2_line_dedup,
     "op3_decontaminate": op3_decontaminate,
     "op4_warc": op4_warc,
