@@ -1,10 +1,63 @@
-"""The corpus pipeline: language identification, line deduplication, near-duplicate removal, decontamination, mixing."""
+"""The corpus pipeline: from raw documents to a training mix.
+
+Each stage takes (spark, docs, sf_dir), works on all that the stage before kept, and returns the columns of documents, the
+last one with the columns of the mix besides. The stage that runs the pipeline writes what a stage returns as Parquet and
+reads it again for the next.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidemark.llm import decontaminate, jaccard_join, language_id, line_dedup, mixing
+from tidemark.llm.shared import materialize
+
+
+def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in unknown languages go, and those of which no language has half of the words."""
+    return language_id.keep_identified(docs, language_id.learned(docs))
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines that many documents share stay in one of them; every document stays, with n_chars as it is now."""
+    out = line_dedup.dedup_lines(docs)
+    new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
+    return out.select(*[new.get(c, F.col("row").getField(c)).alias(c) for c in docs.columns])
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of near-duplicates stays, the one with the smallest doc_id."""
+    return jaccard_join.drop_near_duplicates(docs)
+
+
+def benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of a benchmark item go."""
+    return decontaminate.drop_contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The sample: documents that are drawn at least once, with topic, n_tokens, expected and copies."""
+    out = mixing.mix_sources(docs).where("copies > 0")
+    return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns], "topic", "n_tokens", F.round("expected", 6).alias("expected"), "copies")
+
+
+STAGES = [
+    ("language ID", languages),
+    ("line dedup", lines),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", benchmarks),
+    ("mixing", mix),
+]
+
+#: The first stage infers mixtures by expectation-maximisation, which SQL can't express; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for k, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if k < len(STAGES) - 1:
+            docs = materialize(docs, f"stage-{k}")
+    return docs
