@@ -1,6 +1,4 @@
 """Every query outside the subpackage llm: QUERIES by name, and ORACLE_SQL with the DuckDB SQL of the same rows."""
 
-from __future__ import annotations
-
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}
+from tidemark.queries import relational  # noqa: F401
+from tidemark.queries.registry import ORACLE_SQL, QUERIES  # noqa: F401
