@@ -1,57 +1,84 @@
 """Greedy selections whose next step depends on what was kept, not on what was seen.
 
-Rows of a group are folded in order. Where a group's rows are few by nature (a day's peaks, a document's paragraphs), the
-fold is an `aggregate` over a sorted array; where a group is a whole stream, it is a grouped map over time-sorted rows.
+Rows of a group are folded in order. Where a group is a row's own array (a document's paragraphs), the fold is an
+`aggregate`; where it is a stream of rows, sorted partitions pass by and only the state of the fold is held.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+
+def _folded(df: DataFrame, by: list[str], order: list[Column], out: str, start: Callable, step: Callable, end: Callable | None = None) -> DataFrame:
+    """Rows of each group go in order through step(state, row), which gives (state, rows to return); end(state) gives the last ones.
+
+    Partitions are sorted by group and order and streamed: a state is kept, never a group.
+    """
+    schema = T.StructType([df.schema[c] for c in by] + T.StructType.fromDDL(out).fields)
+    names = [f.name for f in schema.fields]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        key, state = None, None
+        for pdf in batches:
+            rows = []
+            for r in pdf.itertuples(index=False):
+                here = tuple(getattr(r, c) for c in by)
+                if here != key:
+                    if key is not None and end:
+                        rows += [key + x for x in end(state)]
+                    key, state = here, start()
+                state, found = step(state, r)
+                rows += [key + x for x in found]
+            yield pd.DataFrame(rows, columns=names)
+        if key is not None and end:
+            yield pd.DataFrame([key + x for x in end(state)], columns=names)
+
+    return df.repartition(*by).sortWithinPartitions(*by, *order).mapInPandas(run, schema)
 
 
 def greedy_spacing(df: DataFrame, by: list[str], at: str, gap: float) -> DataFrame:
-    """Rows at least gap after the last row kept. The fold keeps only the positions kept and the last one."""
-    items = df.groupBy(*by).agg(F.sort_array(F.collect_list(F.col(at).cast("double"))).alias("ats"))
-    start = F.struct(F.array().cast("array<double>").alias("kept"), F.lit(None).cast("double").alias("last"))
-    far = lambda s, x: s["last"].isNull() | (x - s["last"] >= gap)
-    kept = F.aggregate("ats", start, lambda s, x: F.struct(F.when(far(s, x), F.concat(s["kept"], F.array(x))).otherwise(s["kept"]).alias("kept"), F.when(far(s, x), x).otherwise(s["last"]).alias("last")), lambda s: s["kept"])
-    return items.select(*by, F.explode(kept).alias(at))
+    """Rows at least gap after the last row kept."""
+
+    def step(last: float | None, r: tuple) -> tuple:
+        now = getattr(r, at)
+        return (now, [(now,)]) if last is None or now - last >= gap else (last, [])
+
+    return _folded(df.select(*by, F.col(at).cast("double").alias(at)), by, [F.col(at)], f"{at} double", lambda: None, step)
 
 
 def separated_peaks(df: DataFrame, by: list[str], at: str, value: str, n: int, apart: float) -> DataFrame:
     """The n highest rows of each group, none within `apart` of a higher one that was taken; ties go to the earlier."""
-    items = df.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct((-F.col(value)).alias("v"), F.col(at).cast("double").alias("at")))).alias("xs"))
-    start = F.array().cast("array<struct<v:double,at:double>>")
-    take = lambda s, x: (F.size(s) < n) & ~F.exists(s, lambda k: F.abs(k["at"] - x["at"]) < apart)
-    kept = F.aggregate(F.transform("xs", lambda x: F.struct(x["v"].cast("double").alias("v"), x["at"].alias("at"))), start, lambda s, x: F.when(take(s, x), F.concat(s, F.array(x))).otherwise(s))
-    return items.select(*by, F.explode(kept).alias("_k")).select(*by, F.col("_k.at").alias(at), (-F.col("_k.v")).alias(value))
+
+    def step(taken: list, r: tuple) -> tuple:
+        now = getattr(r, at)
+        if len(taken) < n and all(abs(k - now) >= apart for k in taken):
+            return [*taken, now], [(now, getattr(r, value))]
+        return taken, []
+
+    rows = df.select(*by, F.col(at).cast("double").alias(at), F.col(value).cast("double").alias(value))
+    return _folded(rows, by, [F.desc(value), F.col(at)], f"{at} double, {value} double", list, step)
 
 
 def anchored_windows(df: DataFrame, by: list[str], day: str, length: int, least: int) -> DataFrame:
-    """Windows of at most `length` days, each opened by the first row after the one before and trimmed to its last row; windows of fewer than `least` days go. One group's days come to one function at a time."""
-    key = list(by)
-    types = ", ".join(f"{c} {df.schema[c].dataType.simpleString()}" for c in key)
-
-    def cut(pdf: pd.DataFrame) -> pd.DataFrame:
-        days, out, first, last = sorted(pdf["_n"].unique()), [], None, None
-        for d in days:
-            if first is None or d > first + length - 1:
-                if first is not None and last - first + 1 >= least:
-                    out.append((first, last))
-                first = d
-            last = d
-        if first is not None and last - first + 1 >= least:
-            out.append((first, last))
-        rows = pd.DataFrame(out, columns=["first", "last"])
-        for c in key:
-            rows[c] = pdf[c].iloc[0]
-        return rows[[*key, "first", "last"]]
+    """Windows of at most `length` days, each opened by the first row after the one before and trimmed to its last row; windows of fewer than `least` days go."""
+
+    def done(w: tuple | None) -> list:
+        return [w] if w and w[1] - w[0] + 1 >= least else []
+
+    def step(w: tuple | None, r: tuple) -> tuple:
+        if w is None or r.n_ > w[0] + length - 1:
+            return (r.n_, r.n_), done(w)
+        return (w[0], r.n_), []
 
     epoch = F.lit("1970-01-01").cast("date")
-    found = df.select(*key, F.datediff(day, epoch).alias("_n")).distinct().groupBy(*key).applyInPandas(cut, f"{types}, first int, last int")
-    return found.select(*key, F.date_add(epoch, F.col("first")).alias("first"), F.date_add(epoch, F.col("last")).alias("last"))
+    days = df.select(*by, F.datediff(day, epoch).alias("n_")).distinct()
+    found = _folded(days, by, [F.col("n_")], "first int, last int", lambda: None, step, done)
+    return found.select(*by, F.date_add(epoch, F.col("first")).alias("first"), F.date_add(epoch, F.col("last")).alias("last"))
 
 
 def budget_fill(items: Column, cost: str, budget: int) -> Column:
