@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _folded(df: DataFrame, by: list[str], order: list[Column], out: str, start: Callable, step: Callable, end: Callable | None = None) -> DataFrame:
+def folded(df: DataFrame, by: list[str], order: list[Column], out: str, start: Callable, step: Callable, end: Callable | None = None) -> DataFrame:
     """Rows of each group go in order through step(state, row), which gives (state, rows to return); end(state) gives the last ones.
 
     Partitions are sorted by group and order and streamed: a state is kept, never a group.
@@ -34,9 +34,9 @@ def _folded(df: DataFrame, by: list[str], order: list[Column], out: str, start:
                     key, state = here, start()
                 state, found = step(state, r)
                 rows += [key + x for x in found]
-            yield pd.DataFrame(rows, columns=names)
+            yield pd.DataFrame(rows, columns=names, dtype=object)
         if key is not None and end:
-            yield pd.DataFrame([key + x for x in end(state)], columns=names)
+            yield pd.DataFrame([key + x for x in end(state)], columns=names, dtype=object)
 
     return df.repartition(*by).sortWithinPartitions(*by, *order).mapInPandas(run, schema)
 
@@ -48,7 +48,7 @@ def greedy_spacing(df: DataFrame, by: list[str], at: str, gap: float) -> DataFra
         now = getattr(r, at)
         return (now, [(now,)]) if last is None or now - last >= gap else (last, [])
 
-    return _folded(df.select(*by, F.col(at).cast("double").alias(at)), by, [F.col(at)], f"{at} double", lambda: None, step)
+    return folded(df.select(*by, F.col(at).cast("double").alias(at)), by, [F.col(at)], f"{at} double", lambda: None, step)
 
 
 def separated_peaks(df: DataFrame, by: list[str], at: str, value: str, n: int, apart: float) -> DataFrame:
@@ -61,7 +61,7 @@ def separated_peaks(df: DataFrame, by: list[str], at: str, value: str, n: int, a
         return taken, []
 
     rows = df.select(*by, F.col(at).cast("double").alias(at), F.col(value).cast("double").alias(value))
-    return _folded(rows, by, [F.desc(value), F.col(at)], f"{at} double, {value} double", list, step)
+    return folded(rows, by, [F.desc(value), F.col(at)], f"{at} double, {value} double", list, step)
 
 
 def anchored_windows(df: DataFrame, by: list[str], day: str, length: int, least: int) -> DataFrame:
@@ -77,7 +77,7 @@ def anchored_windows(df: DataFrame, by: list[str], day: str, length: int, least:
 
     epoch = F.lit("1970-01-01").cast("date")
     days = df.select(*by, F.datediff(day, epoch).alias("n_")).distinct()
-    found = _folded(days, by, [F.col("n_")], "first int, last int", lambda: None, step, done)
+    found = folded(days, by, [F.col("n_")], "first int, last int", lambda: None, step, done)
     return found.select(*by, F.date_add(epoch, F.col("first")).alias("first"), F.date_add(epoch, F.col("last")).alias("last"))
 
 
