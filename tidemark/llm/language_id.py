@@ -35,7 +35,7 @@ class LanguageModel:
     rounds: int = 5
     set_rounds: int = 3
     largest_set: int = 8
-    penalty: float = 2.0
+    penalty: float = 6.0
 
 
 def _trigrams(w: Words) -> np.ndarray:
