@@ -104,7 +104,7 @@ def header_details(lines: DataFrame, order: str, header: str) -> DataFrame:
 def wide_to_long(rows: DataFrame, cells: str, order: str, header_rows: int) -> DataFrame:
     """A sheet of arrays of cells whose first rows are headers: period, each column's headers and values that are numbers. Headers are joined by column number."""
     n = F.row_number().over(Window.orderBy(order)) - 1  # one sheet
-    numbered = rows.select(n.alias("r"), F.posexplode(cells).alias("c", "cell"))
+    numbered = rows.withColumn("r", n).select("r", F.posexplode(cells).alias("c", "cell"))
     heads = numbered.where(F.col("r") < header_rows).groupBy("c").agg(F.transform(F.sort_array(F.collect_list(F.struct("r", "cell"))), lambda x: x["cell"]).alias("heads"))
     body = numbered.where(F.col("r") >= header_rows)
     periods = body.where("c = 0").select("r", F.col("cell").alias("period"))
@@ -201,7 +201,9 @@ def xlsx_cells(spark: SparkSession, path: str) -> DataFrame:
 
 def decoded(content: Column) -> Column:
     """Bytes as UTF-8 where they are, else as Windows-1252; line ends become one newline each."""
-    text = F.when(F.is_valid_utf8(content.cast("string")), content.cast("string")).otherwise(F.decode(content, "windows-1252"))
+    high = range(0x80, 0xA0)  # where Windows-1252 and ISO 8859-1 differ
+    windows = F.translate(F.decode(content, "iso-8859-1"), "".join(map(chr, high)), bytes(high).decode("cp1252", errors="replace"))
+    text = F.when(F.is_valid_utf8(content.cast("string")), content.cast("string")).otherwise(windows)
     return F.regexp_replace(text, r"\r+\n|\r", "\n")
 
 
