@@ -24,7 +24,7 @@ SMOOTHING = 0.5
 MAX_LANGUAGES = 256
 UNKNOWN = "und"
 #: A document whose largest share is smaller has no language that it is written in.
-MIN_SHARE = 0.5
+MIN_SHARE = 0.3
 
 
 @dataclass
