@@ -1,7 +1,7 @@
 """Toxicity by non-negative positive-unlabelled learning.
 
 Confirmed toxic texts are positives; all other text is unlabelled and holds toxic texts at the class prior. A linear
-classifier over the presence of words and of word beginnings minimises the prior-corrected risk: prior * risk of positives as positive, plus the
+classifier over the presence, once or more often, of words and of word beginnings minimises the prior-corrected risk: prior * risk of positives as positive, plus the
 risk of unlabelled as negative less prior * risk of positives as negative, where that difference may not go below zero.
 """
 
@@ -22,14 +22,29 @@ from tidemark.llm.words import Words, mixed, slices
 MAX_POSITIVE, MAX_UNLABELLED = 4_000, 12_000
 #: Features used: those whose presence differs most, and by LEAST_Z standard errors, between positive and unlabelled texts.
 VOCABULARY, LEAST_Z = 512, 4.0
-#: Bytes of a word that make its beginning.
-BEGINNING = 5
+#: Features whose prior-corrected rates in the two classes are more alike than this ratio tell them apart too little.
+LEAST_RATIO = 0.5
+#: Features that fewer texts of either class hold are chance, or the mark of one family of copies.
+LEAST_SHARE = 0.02
+#: Bytes of a word that make its beginnings.
+BEGINNINGS = (5, 7)
+#: A feature counts once more when a text has it so many times.
+LEVELS = (1, 2, 4)
 
 
 def features(w: Words) -> tuple[np.ndarray, np.ndarray]:
-    """(row, hash) of each feature of each word."""
-    start = mixed(w.hashes(BEGINNING) ^ np.uint64(BEGINNING))
-    return np.concatenate([w.row, w.row]), np.concatenate([w.hashes(), start])
+    """(row, hash), by row: words and beginnings that each row has at least once, twice and four times."""
+    kinds = [w.hashes(), *(mixed(w.hashes(n) ^ np.uint64(n)) for n in BEGINNINGS)]
+    row, h = np.tile(w.row, len(kinds)), np.concatenate(kinds)
+    order = np.lexsort((h, row))
+    row, h = row[order], h[order]
+    starts = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (h[1:] != h[:-1])])) if len(h) else np.zeros(0, dtype=np.int64)
+    times = np.diff(np.append(starts, len(h)))
+    row, h = row[starts], h[starts]
+    out = [(row[times >= k], h[times >= k] if k == 1 else mixed(h[times >= k] ^ np.uint64(k << 8))) for k in LEVELS]
+    row, h = (np.concatenate(x) for x in zip(*out, strict=True))
+    order = np.argsort(row, kind="stable")
+    return row[order], h[order]
 
 
 @dataclass
@@ -46,8 +61,7 @@ class ToxicityModel:
             row, h = features(w)
             at = np.minimum(np.searchsorted(self.words, h), len(self.words) - 1)
             hit = self.words[at] == h
-            pairs = np.unique(row[hit] * len(self.words) + at[hit])
-            logit += np.bincount(pairs // len(self.words), weights=self.weights[pairs % len(self.words)], minlength=n)
+            logit += np.bincount(row[hit], weights=self.weights[at[hit]], minlength=n)
         return 1 / (1 + np.exp(-np.clip(logit, -500, 500)))
 
 
@@ -59,9 +73,8 @@ def word_sets(docs: DataFrame) -> DataFrame:
         for b in batches:
             for w in slices(b.column("text")):
                 row, h = features(w)
-                order = np.argsort(row, kind="stable")
-                h, at = h[order].view(np.int64), 2 * w.first
-                sets = [np.unique(h[at[k] : at[k + 1]]) for k in range(w.hi - w.lo)]
+                h, at = h.view(np.int64), np.searchsorted(row, np.arange(w.hi - w.lo + 1))
+                sets = [np.sort(h[at[k] : at[k + 1]]) for k in range(w.hi - w.lo)]
                 part = b.slice(w.lo, w.hi - w.lo)
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], pa.array(sets, type=pa.list_(pa.int64()))], names=[*names, "words"])
 
@@ -81,7 +94,12 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
     p[np.searchsorted(every, in_p)], u[np.searchsorted(every, in_u)] = count_p, count_u
     both = (p + u + 1) / (n_p + n_u + 2)
     z = np.abs(p / n_p - u / n_u) / np.sqrt(both * (1 - both) * (1 / n_p + 1 / n_u))
-    z[(p + u < 3) | (z < LEAST_Z)] = 0
+    # What the unlabelled share of a feature would be without the positives among them.
+    rate_p = p / n_p
+    rate_n = np.maximum(u / n_u - prior * rate_p, 0) / (1 - prior)
+    alike = np.minimum(rate_p, rate_n) > LEAST_RATIO * np.maximum(rate_p, rate_n)
+    rare = np.maximum(rate_p, rate_n) < LEAST_SHARE
+    z[(p + u < 3) | (z < LEAST_Z) | alike | rare] = 0
     best = np.argsort(-z, kind="stable")[:vocabulary]
     words = np.sort(every[best[z[best] > 0]])
     if not len(words):
