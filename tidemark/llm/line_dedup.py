@@ -34,7 +34,9 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, id_col:
     base = packed(docs, id=id_col, text=text_col).withColumn("lines", F.split(F.coalesce("text", F.lit("")), "\n", -1))
     # A row is known by its id and its text: rows that repeat an id need not have the same lines.
     mark = F.xxhash64(F.coalesce("text", F.lit(""))).alias("mark")
-    lines = base.where("id is not null").select("id", mark, F.posexplode("lines").alias("pos", "line")).withColumn("key", line_key(F.col("line"))).where(F.length("key") >= min_chars).select("id", "mark", "pos", *_hashed(F.col("key")))
+    # Hashes are written once and read by each step after: the texts are split and normalised a single time.
+    lines = base.where("id is not null").select("id", mark, F.posexplode("lines").alias("pos", "line")).withColumn("key", line_key(F.col("line"))).where(F.length("key") >= min_chars)
+    lines = materialize(lines.select("id", "mark", "pos", *_hashed(F.col("key"))), "line-hashes")
     # A hash with fewer lines than min_docs can't be over the threshold; only the rest is counted by document.
     often = lines.groupBy("h1", "h2").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("h1", "h2")
     often = checked_broadcast(materialize(often, "often-lines"))
