@@ -12,7 +12,7 @@ import numpy as np
 import pytest
 
 from tidemark.storage import shared_dir
-from tidemark.llm import ann, decontaminate, jaccard_join, language_id, line_dedup, mixing, quality, secrets, toxicity, warc
+from tidemark.llm import ann, components, decontaminate, jaccard_join, language_id, line_dedup, mixing, quality, secrets, toxicity, warc
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -379,3 +379,16 @@ def test_toxicity(spark):
     none = toxicity.train(docs, labels.where("toxic = 0"), learn)
     assert all(r.score < 0.5 for r in toxicity.score(edge, none).collect())
     assert toxicity.score(edge.limit(0), toxicity.train(docs.limit(0), labels.limit(0), learn)).count() == 0
+
+
+def test_connected(spark):
+    rng = np.random.default_rng(3)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, 300, (260, 2))] + [(400 + k, 401 + k) for k in range(40)] + [(500, 500 + k) for k in range(60)] + [(7, 7)]
+    root = {v: v for e in edges if e[0] != e[1] for v in e}
+    for _ in range(400):
+        for a, b in edges:
+            if a != b:
+                root[a] = root[b] = min(root[a], root[b])
+    got = components.connected(spark.createDataFrame(edges, "a bigint, b bigint"))
+    assert {r.node: r.root for r in got.collect()} == root and got.count() == len(root)
+    assert components.connected(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
