@@ -17,6 +17,7 @@ from tidemark.functions import numbers as num
 from tidemark.functions import scalars as sc
 from tidemark.functions import text as tx
 from tidemark.operators import dedup, evidence, joins, stateful, windows
+from tidemark.queries import QUERIES
 
 rng = random.Random(11)
 GROUPS = {g: sorted(rng.choices(range(30), k=rng.randrange(0, 14))) for g in range(150)}
@@ -156,3 +157,12 @@ def test_scalars_and_text(spark):
     lat, lon = sc.hemisphere(F.lit("28.0N")), sc.hemisphere(F.lit("94.8W"))
     r = one.select(lat.alias("lat"), lon.alias("lon"), sc.bearing(F.lit(0.0), F.lit(0.0), F.lit(0.0), F.lit(1.0)).alias("b"), F.round(evidence.poisson_tail(F.lit(3), F.lit(2.0)), 6).alias("p"), tx.between(F.lit("a START b END c"), "START", ("END", "b")).alias("x"), tx.canonical_url(F.lit("HTTP://A.com/X?utm_source=1&q=2#f")).alias("u"), sc.max_known(F.array(F.lit(3.0), F.lit(-999.0)), [-999.0]).alias("m"), evidence.says_exactly(F.lit("rose to 1.5."), F.lit("1.5")).alias("said"), evidence.says_exactly(F.lit("rose to 11.5"), F.lit("1.5")).alias("unsaid")).first()
     assert (r.lat, r.lon, round(r.b), r.p, r.x, r.u, r.m, r.said, r.unsaid) == (28.0, -94.8, 90, 0.323324, " ", "http://A.com/X?q=2".replace("A.com", "a.com"), 3.0, True, False)
+
+
+def test_truncation_has_no_count_of_sentences(spark, tmp_path):
+    """Thirteen short sentences fit into 300 characters, and the limit holds for the one that doesn't."""
+    texts = [" ".join(f"Go {k}." for k in range(20)), " ".join(f"No{k}." for k in range(100)), "x" * 400 + ". Next.", ""]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: r.cut for r in QUERIES["doc_truncate_sentence_whole"](spark, str(tmp_path)).collect()}
+    fits = [k for k in range(100) if len(" ".join(f"No{i}." for i in range(k + 1))) <= 300]
+    assert len(fits) > 12 and got == {0: texts[0], 1: " ".join(f"No{i}." for i in fits), 2: "x" * 400 + ".", 3: ""}

@@ -65,6 +65,13 @@ def doc_truncate_sentence(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", tx.first_sentences(s, 300).alias("cut"))
 
 
+@query(f"""WITH {SENTENCES}, x AS (SELECT doc_id, unnest(ss) AS y, unnest(range(1, len(ss) + 1)) AS k FROM s), c AS (SELECT doc_id, k, sum(length(y) + 1) OVER (PARTITION BY doc_id ORDER BY k) - 1 AS size FROM x), d AS (SELECT doc_id, max(k) AS k FROM c WHERE k = 1 OR size <= 300 GROUP BY 1)
+SELECT doc_id, array_to_string(ss[1:coalesce(k, 0)], ' ') AS cut FROM s LEFT JOIN d USING (doc_id)""")
+def doc_truncate_sentence_whole(t: Tables) -> DataFrame:
+    """Like doc_truncate_sentence, with however many sentences fit into the 300 characters, not the first 12 of them."""
+    return t.documents.select("doc_id", tx.first_sentences(tx.sentences(F.col("text")), 300).alias("cut"))
+
+
 NUMBERS = r"n AS (SELECT doc_id, regexp_extract_all(text, '([0-9][0-9,]*(?:\.[0-9]+)?)', 1) AS ns FROM documents)"
 
 
