@@ -166,3 +166,11 @@ def test_truncation_has_no_count_of_sentences(spark, tmp_path):
     got = {r.doc_id: r.cut for r in QUERIES["doc_truncate_sentence_whole"](spark, str(tmp_path)).collect()}
     fits = [k for k in range(100) if len(" ".join(f"No{i}." for i in range(k + 1))) <= 300]
     assert len(fits) > 12 and got == {0: texts[0], 1: " ".join(f"No{i}." for i in fits), 2: "x" * 400 + ".", 3: ""}
+
+
+def test_redaction_of_whole_texts(spark, tmp_path):
+    """What stands after character 2,000 counts like what stands before."""
+    texts = ["plain " * 500, "plain " * 500 + "ann@b.org", "plain " * 500 + "10.0.0.1", "ann@b.org", ""]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.mails, r.addresses, r.clean) for r in QUERIES["pii_counts_whole"](spark, str(tmp_path)).collect()}
+    assert got == {0: (0, 0, True), 1: (1, 0, False), 2: (0, 1, False), 3: (1, 0, False), 4: (0, 0, True)}

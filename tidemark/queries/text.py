@@ -152,6 +152,14 @@ def pii_counts(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", F.regexp_count("text", F.lit(mail)).cast("bigint").alias("mails"), F.regexp_count("text", F.lit(ip)).cast("bigint").alias("addresses"), (F.regexp_replace(F.regexp_replace(head, mail, "<mail>"), ip, "<ip>") == head).alias("clean"))
 
 
+@query(r"""SELECT doc_id, len(regexp_extract_all(text, '[A-Za-z0-9._]+@[A-Za-z0-9.]+')) AS mails, len(regexp_extract_all(text, '[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}')) AS addresses, regexp_replace(regexp_replace(text, '[A-Za-z0-9._]+@[A-Za-z0-9.]+', '<mail>', 'g'), '[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}', '<ip>', 'g') = text AS clean FROM documents""")
+def pii_counts_whole(t: Tables) -> DataFrame:
+    """Like pii_counts, but a text is clean only if redaction leaves all of it as it is, not its first 2,000 characters."""
+    mail, ip = r"[A-Za-z0-9._]+@[A-Za-z0-9.]+", r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}"
+    redacted = F.regexp_replace(F.regexp_replace("text", mail, "<mail>"), ip, "<ip>")
+    return t.documents.select("doc_id", F.regexp_count("text", F.lit(mail)).cast("bigint").alias("mails"), F.regexp_count("text", F.lit(ip)).cast("bigint").alias("addresses"), (redacted == F.col("text")).alias("clean"))
+
+
 @query("""WITH RECURSIVE a AS (SELECT conv_id, list({'turn': turn, 'n': length(text)} ORDER BY length(text) DESC, turn) AS xs FROM conversations GROUP BY 1),
 r(conv_id, i, used, take) AS (SELECT conv_id, 0, 0::BIGINT, []::BIGINT[] FROM a UNION ALL SELECT r.conv_id, i + 1, CASE WHEN used + xs[i + 1].n <= 900 THEN used + xs[i + 1].n ELSE used END, CASE WHEN used + xs[i + 1].n <= 900 THEN list_append(take, xs[i + 1].turn) ELSE take END FROM r JOIN a ON a.conv_id = r.conv_id WHERE i < len(xs)),
 f AS (SELECT conv_id, arg_max(take, i) AS take FROM r GROUP BY 1) SELECT conv_id, unnest(take) AS turn FROM f""")
