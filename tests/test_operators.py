@@ -174,3 +174,19 @@ def test_redaction_of_whole_texts(spark, tmp_path):
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
     got = {r.doc_id: (r.mails, r.addresses, r.clean) for r in QUERIES["pii_counts_whole"](spark, str(tmp_path)).collect()}
     assert got == {0: (0, 0, True), 1: (1, 0, False), 2: (0, 1, False), 3: (1, 0, False), 4: (0, 0, True)}
+
+
+def test_longest_prefix_beyond_1000_lengths(spark):
+    """The longest prefix wins, however many lengths there are."""
+    labels = spark.createDataFrame([("a" * 1500,), ("a" * 7,), ("b",)], "label string")
+    prefixes = spark.createDataFrame([("a" * n,) for n in range(2, 1201)], "prefix string")
+    got = {len(r.label): r.prefix for r in joins.longest_prefix(labels, prefixes, "label", "prefix").collect()}
+    assert got == {1500: "a" * 1200, 7: "a" * 7, 1: None}
+
+
+def test_records_of_every_order_and_rule(spark, tmp_path):
+    spark.range(190).selectExpr("id AS o_orderkey", "id + 0.5D AS o_totalprice").write.parquet(f"{tmp_path}/orders.parquet")
+    got = QUERIES["validator_errors_whole"](spark, str(tmp_path)).collect()
+    broken = {x for r in got for x in f"{r.errors},{r.warnings}".split(",")}
+    assert len(got) == 190 and broken == {"", "text", "marker", "timeseries", "values", "finite", "unit", "freq", "lengths", "task_type", "text_quality", "timestamps", "source", "recites", "license", "text_source", "alignment", "repeated unit"}
+    assert {r.bucket: r.n for r in QUERIES["quarantine_split_whole"](spark, str(tmp_path)).collect()} == {"quarantine": 20, "shippable": 170}

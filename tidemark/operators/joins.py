@@ -79,10 +79,10 @@ def overlap_offset(a: DataFrame, b: DataFrame, key: list[str], at: str, value: s
 
 def longest_prefix(labels: DataFrame, prefixes: DataFrame, label: str, prefix: str) -> DataFrame:
     """Each label with the longest prefix that it starts with. Prefixes of each length are looked up by equality: a row a length, not a comparison with every prefix."""
-    lengths = [r.n for r in prefixes.select(F.length(prefix).alias("n")).where("n > 0").distinct().orderBy("n").limit(1000).collect()]
+    lengths = [r.n for r in prefixes.select(F.length(prefix).alias("n")).where("n > 0").distinct().orderBy("n").collect()]
     if not lengths:
         return labels.select(label).withColumn(prefix, F.lit(None).cast("string"))
-    cut = labels.select(label, F.explode(F.array(*[F.substring(label, 1, n) for n in lengths])).alias(prefix)).where(F.length(prefix) <= F.length(label))
+    cut = labels.select(label, F.explode(F.transform(F.filter(F.lit(lengths), lambda n: n <= F.length(label)), lambda n: F.substring(F.col(label), F.lit(1), n))).alias(prefix))
     found = cut.join(prefixes.select(prefix).distinct(), prefix).groupBy(label).agg(F.max_by(prefix, F.length(prefix)).alias(prefix))
     return labels.select(label).join(found, label, "left")
 

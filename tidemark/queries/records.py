@@ -77,6 +77,54 @@ def quarantine_split(t: Tables) -> DataFrame:
     return r.groupBy(F.when(bad, "quarantine").otherwise("shippable").alias("bucket")).agg(F.count("*").alias("n"))
 
 
+#: One kind of record for each residue: all rules broken, one after the other, and two kinds that break none.
+EVERY = """b AS (SELECT o_orderkey AS k, o_orderkey % 19 AS f FROM orders),
+e AS (SELECT k, f, ['text,marker', 'marker', 'timeseries', 'values', 'finite', 'unit', 'freq', 'lengths', 'task_type', 'text_quality', 'timestamps', '', '', '', '', '', '', '', ''][f + 1] AS errors,
+['', '', '', '', '', '', '', '', '', '', '', 'source', 'recites', 'license', 'text_source', 'alignment', 'repeated unit', '', ''][f + 1] AS warnings FROM b)"""
+
+
+def _every(t: Tables) -> DataFrame:
+    """Records of all orders, with a fault for each rule, by the order's number."""
+    f, v = F.col("f"), F.bround("o_totalprice", 0)
+    base = t.orders.select(F.col("o_orderkey").alias("k"), (F.col("o_orderkey") % 19).alias("f"), F.array(v, v).alias("two"))
+    values = F.when(f == 3, F.array().cast("array<double>")).when(f == 4, F.array(F.lit(float("inf")))).otherwise(F.col("two"))
+    one = F.struct(values.alias("values"), F.when(f == 5, " ").otherwise("usd").alias("unit"), F.when(f == 6, "1prd").otherwise("1d").alias("freq"))
+    more = F.struct(F.when(f == 7, F.slice("two", 1, 1)).otherwise(F.col("two")).alias("values"), F.when(f == 16, "usd").otherwise("eur").alias("unit"), F.lit("1d").alias("freq"))
+    marker = F.lit(records.MARKER + " total")
+    plain = {x.name: F.lit(None).cast(x.dataType) for x in records.RECORD.fields}
+    plain |= {
+        "text": F.when(f == 0, "").when(f == 1, "no marker").when(f == 17, F.concat(marker, marker)).otherwise(marker),
+        "timeseries": F.when(f == 2, F.array().cast(records.RECORD["timeseries"].dataType)).when(f.isin(7, 16, 17), F.array(one, more)).otherwise(F.array(one)),
+        "task_type": F.when(f == 8, "sft").otherwise("cpt"),
+        "text_quality": F.when(f != 9, "human"),
+        "timestamps": F.when(f == 10, F.array(F.lit("2024-01-01"))),
+        "source": F.when(f == 11, "ftp://x").otherwise("https://x"),
+        "alignment": F.when(f == 12, "recites").when(f == 15, "near").otherwise("describes"),
+        "license": F.when(f == 13, "own").otherwise("cc-by"),
+        "text_source": F.when(f == 14, "dictated").otherwise("human"),
+        "multi_series": f == 17,
+    }
+    return base.select("k", *[c.alias(n) for n, c in plain.items()])
+
+
+@query(f"WITH {EVERY} SELECT k, errors, warnings FROM e")
+def validator_errors_whole(t: Tables) -> DataFrame:
+    """Like validator_errors, over every order and every rule."""
+    out = records.validate(_every(t))
+    return out.select("k", F.array_join("errors", ",").alias("errors"), F.array_join("warnings", ",").alias("warnings"))
+
+
+@query(f"WITH {EVERY} SELECT k, errors || warnings AS errors FROM e")
+def validator_strict_whole(t: Tables) -> DataFrame:
+    return records.validate(_every(t), strict=True).select("k", F.array_join("errors", ",").alias("errors"))
+
+
+@query(f"WITH {EVERY} SELECT CASE WHEN f IN (3, 4) THEN 'quarantine' ELSE 'shippable' END AS bucket, count(*) AS n FROM e GROUP BY 1")
+def quarantine_split_whole(t: Tables) -> DataFrame:
+    bad = F.exists(records.errors(r := _every(t)), lambda e: e.isin("finite", "values"))
+    return r.groupBy(F.when(bad, "quarantine").otherwise("shippable").alias("bucket")).agg(F.count("*").alias("n"))
+
+
 @query("SELECT s_suppkey, n, nulls, round(nulls / n, 6) AS null_share, last_ok FROM (SELECT l_suppkey AS s_suppkey, count(*) AS n, count(*) FILTER (WHERE l_discount < 0.02) AS nulls, arg_max(l_discount >= 0.02, (l_shipdate, l_orderkey, l_linenumber)) AS last_ok FROM lineitem GROUP BY 1) WHERE nulls / n <= 0.2 AND last_ok")
 def null_budget_filter(t: Tables) -> DataFrame:
     v = F.when(F.col("l_discount") >= 0.02, F.col("l_discount"))

@@ -275,6 +275,14 @@ def longest_prefix(t: Tables) -> DataFrame:
     return joins.longest_prefix(t.part.select("p_type").distinct(), prefixes, "p_type", "prefix")
 
 
+@query("""WITH p AS (SELECT DISTINCT substr(p_type, 1, n) AS prefix FROM part, (SELECT unnest([3, 5, 9]) AS n)), j AS (SELECT p_type, arg_max(prefix, length(prefix)) AS prefix FROM (SELECT DISTINCT p_type FROM part) JOIN p ON starts_with(p_type, prefix) GROUP BY 1)
+SELECT p_type, prefix FROM (SELECT DISTINCT p_type FROM part) LEFT JOIN j USING (p_type)""")
+def longest_prefix_whole(t: Tables) -> DataFrame:
+    """Like longest_prefix, with the prefixes of every part."""
+    prefixes = t.part.select(F.explode(F.array(*[F.substring("p_type", 1, n) for n in (3, 5, 9)])).alias("prefix"))
+    return joins.longest_prefix(t.part.select("p_type").distinct(), prefixes, "p_type", "prefix")
+
+
 @query("SELECT event_id, last_value(CASE WHEN event_type = 'signup' THEN event_id END IGNORE NULLS) OVER (PARTITION BY user_id ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING) AS header FROM events")
 def header_carried_forward(t: Tables) -> DataFrame:
     e = t.events.withColumn("h", F.when(F.col("event_type") == "signup", F.col("event_id")))
