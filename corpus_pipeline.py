@@ -15,7 +15,7 @@ from tidemark.llm.shared import materialize
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in unknown languages go, and those so mixed that no language has three tenths of the words."""
+    """Documents most of whose words fit no learned language go, and those so mixed that no language has three tenths of the words."""
     return language_id.keep_identified(docs, language_id.learned(docs))
 
 

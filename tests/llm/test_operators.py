@@ -331,6 +331,28 @@ def test_language_id(spark):
     assert language_id.identify(edge.limit(0), model).count() == 0
 
 
+STRANGE = [
+    "Szybki brązowy lis przeskakuje nad leniwym psem, podczas gdy wszyscy oglądają mecz wieczorem.",
+    "Nopea ruskea kettu hyppää laiskan koiran yli, kun kaikki katsovat peliä tänä iltana.",
+    "Быстрая коричневая лиса прыгает через ленивую собаку, пока все смотрят игру.",
+    "敏捷的棕色狐狸跳过懒狗",
+    "xqzv wkjpf zzqrt vbnmx qwrtp lkjhg zxcvb mnbvc plmok ijnuh",
+]
+
+
+def test_unlearned_languages(spark):
+    """Texts of a language that wasn't learned and letter junk are in no known one; all given documents are, once theirs is learned, and numbers among words don't count."""
+    docs = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet")
+    model = language_id.learned(docs)
+    assert {r.lang_pred for r in language_id.identify(docs_of(spark, STRANGE), model).collect()} == {"und"}
+    assert language_id.keep_identified(docs, model).count() == docs.count()
+    figures = docs.where("lang = 'de'").orderBy("doc_id").limit(20).selectExpr("doc_id", "concat(text, repeat(' 12 345', 3 * length(text))) AS text")
+    assert "und" not in {r.lang_pred for r in language_id.identify(figures, model).collect()}
+    for lang in model.names:
+        rest, mine = docs.where(docs.lang != lang), docs.where(docs.lang == lang)
+        assert language_id.keep_identified(mine, language_id.learned(rest)).count() <= 0.05 * mine.count()
+
+
 def learn(c):
     return ~language_id.held_out(c, 5, 0)
 

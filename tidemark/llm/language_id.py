@@ -2,13 +2,16 @@
 
 A model has, for each language, the likelihoods of hashed byte trigrams inside words. The words of a document are drawn from
 a mixture of languages whose proportions expectation-maximisation estimates; the set of languages is the one with the best
-likelihood less a penalty for each language more. The prediction is the language with the largest share.
+likelihood less a penalty for each language more. The prediction is the language with the largest share, unless most words
+fit none of the languages: a word fits if its trigrams are likelier, on average, than halfway between what the languages'
+own words have (the entropy of all learned trigrams) and what any bytes have (all trigrams alike).
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +40,10 @@ class LanguageModel:
     largest_set: int = 8
     penalty: float = 6.0
 
+    @cached_property
+    def entropy(self) -> np.ndarray:
+        return -(np.exp(self.log_p) * self.log_p).sum(1)
+
 
 def _trigrams(w: Words) -> np.ndarray:
     """The bucket of the trigram around each byte; bytes outside words are blanks."""
@@ -76,8 +83,8 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
     return LanguageModel(names, np.log(counts / counts.sum(1, keepdims=True)))
 
 
-def mixtures(w: Words, model: LanguageModel) -> np.ndarray:
-    """Shares of the languages in each row's chosen set; zeros for rows without words."""
+def mixtures(w: Words, model: LanguageModel) -> tuple[np.ndarray, np.ndarray]:
+    """Shares of the languages in each row's chosen set, zeros for rows without words; and the rows most of whose words, numbers aside, fit none of the set: half of them and a standard error of half more."""
     n, langs = w.hi - w.lo, len(model.names)
     key, first, row, counts = _trigrams(w), w.first, w.row, w.counts
     like = np.empty((len(w.start), langs))
@@ -85,7 +92,8 @@ def mixtures(w: Words, model: LanguageModel) -> np.ndarray:
     for k in range(langs):
         np.cumsum(model.log_p[k][key], out=run[1:])
         like[:, k] = run[w.end] - run[w.start]
-    like -= like.max(1, keepdims=True, initial=-np.inf) if langs else 0
+    top = like.max(1, keepdims=True, initial=-np.inf) if langs else np.zeros((len(like), 1))
+    like -= top
     np.exp(like, out=like)
     per = 1 / np.maximum(counts, 1)[:, None]
 
@@ -111,7 +119,13 @@ def mixtures(w: Words, model: LanguageModel) -> np.ndarray:
         if not better.any():
             break
     out[counts == 0] = 0
-    return out
+    length = w.end - w.start
+    digits = np.concatenate([[0], np.cumsum((w.low >= 48) & (w.low < 58))])
+    counted = digits[w.end] - digits[w.start] < length
+    each = (top[:, 0] + np.log(np.maximum((like * out[row]).sum(1), 1e-300))) / length
+    unfit = counted & (each < -(out @ model.entropy + BITS * np.log(2))[row] / 2)
+    n_unfit, n_counted = sums(unfit.astype(float), first), sums(counted.astype(float), first)
+    return out, (n_counted > 0) & (n_unfit >= (n_counted + np.sqrt(n_counted)) / 2)
 
 
 def has_letter(text: Column) -> Column:
@@ -121,8 +135,8 @@ def has_letter(text: Column) -> Column:
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
     """One row per row of docs: `row` (all its columns), lang_pred, score (share of lang_pred), langs (map of shares).
 
-    A text that is null or has no letter is "und" with score 0 and no languages, and so is every text for a model without
-    languages. Equal shares go to the language first in the alphabet. Repeated rows get equal answers. Texts are read whole.
+    A text that is null, has no letter or has mostly words that fit no language is "und" with score 0 and no
+    languages, and so is every text for a model without languages. Equal shares go to the language first in the alphabet. Repeated rows get equal answers. Texts are read whole.
     """
     rows = packed(docs, text=text_col).withColumn("known", has_letter(F.col("text")))
     langs = pa.map_(pa.string(), pa.float64())
@@ -131,8 +145,8 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
         for b in batches:
             for w in slices(b.column("text")):
                 part = b.slice(w.lo, w.hi - w.lo)
-                share = mixtures(w, model)
-                share[~part.column("known").to_numpy(zero_copy_only=False)] = 0
+                share, strange = mixtures(w, model)
+                share[~part.column("known").to_numpy(zero_copy_only=False) | strange] = 0
                 top = share.argmax(1) if share.shape[1] else np.zeros(len(share), dtype=np.int64)
                 score = share.max(1, initial=0.0)
                 names = [model.names[k] if s > 0 else UNKNOWN for k, s in zip(top, score, strict=True)]
