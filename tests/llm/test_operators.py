@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import base64
+import dataclasses
 import hashlib
 import random
 import re
@@ -12,7 +13,7 @@ import numpy as np
 import pytest
 
 from tidemark.storage import shared_dir
-from tidemark.llm import ann, components, decontaminate, jaccard_join, language_id, line_dedup, mixing, quality, secrets, toxicity, warc
+from tidemark.llm import ann, components, decontaminate, jaccard_join, language_id, line_dedup, mixing, quality, secrets, shared, toxicity, warc
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -276,30 +277,58 @@ def test_secrets(spark):
 # -- 10
 
 
-def test_mixing(spark):
+def test_mixing(spark, monkeypatch):
     rows = [(i, prose(20 + i % 7), ["en", "fr", "de", None][i % 4 if i % 3 else 0], ["hot", "hot", "cold", None][i % 5 % 4]) for i in range(2000)]
+    rows += [(6000, "word \t " * 60_000 + "copyright x@y", "en", "hot"), (6001, " see | it \x0b", "fr", "cold"), (6002, "Call +49 (30) now", "de", "cold")]
     rows += [(None, prose(9), "en", "hot"), (5000, None, "en", "hot"), (5001, "  ", "en", "hot"), (5, rows[5][1], rows[5][2], rows[5][3])]
     df = spark.createDataFrame([(*r, "clash") for r in rows], "doc_id long, text string, lang string, source string, topic string")
-    mix = mixing.Mix(source=mixing.Target({"hot": 0.3}, 0.5), lang=mixing.Target({"en": 0.4, "fr": 0.2}), budget=1.0, sweeps=12)
+    mix = mixing.Mix(source=mixing.Target({"hot": 0.3}, 0.5), lang=mixing.Target({"en": 0.4, "fr": 0.2}), budget=1.0)
     out = mixing.mix_sources(df, mix).collect()
     assert len(out) == len(rows)
-    total = sum(r.n_tokens for r in out)
-    spent = sum(r.expected * r.n_tokens for r in out)
-    assert spent == pytest.approx(total * mix.budget, rel=1e-6)
-    share = defaultdict(float)
-    for r in out:
-        share[r.lang] += r.expected * r.n_tokens / spent
-    tokens = Counter()
-    for r in out:
-        tokens[r.lang] += r.n_tokens
-    weight = {k: {"en": 0.4, "fr": 0.2}.get(k, tokens[k] / total) for k in tokens}
-    for k in weight:
-        assert share[k] == pytest.approx(weight[k] / sum(weight.values()), abs=0.01)
-    assert sum(r.copies * r.n_tokens for r in out) == pytest.approx(spent, rel=0.1)
-    assert all(abs(r.copies - r.expected) < 1 for r in out)
+    plain = plain_mixing(rows, mix)
+    assert sorted((str(r.id), r.topic, r.n_tokens, round(r.expected, 9), r.copies) for r in out) == sorted(plain)
     assert {r.copies for r in out if r.id in (5000, 5001)} == {0}
-    assert sorted((str(r.id), r.copies) for r in mixing.mix_sources(df.repartition(5), mix).collect()) == sorted((str(r.id), r.copies) for r in out)
-    assert mixing.mix_sources(df.limit(0)).count() == 0
+    # Where sides are too large to broadcast, rows are dealt by key and salt: the same copies.
+    monkeypatch.setattr(shared, "BROADCAST_ROWS", 0)
+    few = dataclasses.replace(mix, sweeps=1)
+    assert sorted((str(r.id), r.topic, r.n_tokens, round(r.expected, 9), r.copies) for r in mixing.mix_sources(df.repartition(5), few).collect()) == sorted(plain_mixing(rows, few))
+    assert mixing.mix_sources(df.limit(0), few).count() == 0
+    monkeypatch.undo()
+    miss = mixing.misses(mixing.materialize(mixing._cells(mixing.measured(df.where("doc_id < 5000"))), "cells"), mix).collect()
+    assert {r.dim for r in miss} == set(mixing.DIMS) and max(abs(r.target - r.reached) for r in miss) < 0.01
+
+
+def plain_mixing(rows, mix):
+    """(id, topic, tokens, expected, copies) by loops over cells."""
+    docs = []
+    for i, text, lang, source in rows:
+        topic = next((n for n, p in mixing.TOPICS if re.search(p, text or "")), "general")
+        docs.append((i, {"source": source or "(none)", "lang": lang or "(none)", "topic": topic}, len([w for w in re.split(r"[ \t\n\r\f\x0b]+", text or "") if w])))
+    cells = Counter()
+    for _, c, n in docs:
+        if n:
+            cells[tuple(c[d] for d in mixing.DIMS)] += n
+    total, share = sum(cells.values()), {c: n for c, n in cells.items()}
+    goal = []
+    for k, d in enumerate(mixing.DIMS):
+        t, by = getattr(mix, d), Counter()
+        for c, n in cells.items():
+            by[c[k]] += n
+        w = {x: t.stated.get(x, (n / total) ** t.temper) for x, n in by.items()}
+        goal.append({x: v / sum(w.values()) * total for x, v in w.items()})
+    for _ in range(mix.sweeps):
+        for k in range(3):
+            got = Counter()
+            for c, v in share.items():
+                got[c[k]] += v
+            share = {c: v * goal[k][c[k]] / got[c[k]] for c, v in share.items()}
+    out = []
+    for i, c, n in docs:
+        c = tuple(c[d] for d in mixing.DIMS)
+        e = share[c] / cells[c] * mix.budget if n else 0.0
+        draw = int(hashlib.md5(f"{'null' if i is None else i}:{mix.seed}".encode()).hexdigest()[:8], 16) / 2**32
+        out.append((str(i), c[2], n, round(e, 9), int(e) + (draw < e - int(e))))
+    return out
 
 
 # -- 6, 7, 8
