@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.shared import fields, packed
-from tidemark.llm.words import IS_WORD, Words, slices, sums
+from tidemark.llm.words import PIECE, Words, slices, sums
 
 BITS = 15
 SMOOTHING = 0.5
@@ -37,7 +37,6 @@ class LanguageModel:
 
     rounds: int = 5
     set_rounds: int = 3
-    largest_set: int = 8
     penalty: float = 6.0
 
     @cached_property
@@ -45,12 +44,19 @@ class LanguageModel:
         return -(np.exp(self.log_p) * self.log_p).sum(1)
 
 
-def _trigrams(w: Words) -> np.ndarray:
-    """The bucket of the trigram around each byte; bytes outside words are blanks."""
-    x = np.full(len(w.low) + 2, 32, dtype=np.uint32)
-    x[1:-1] = np.where(IS_WORD[w.low], w.low, 32)
-    key = (x[:-2] << np.uint32(16)) | (x[1:-1] << np.uint32(8)) | x[2:]
-    return (key * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)
+def _pieces(w: Words) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(i, j, key): for the words i..j, of about PIECE bytes, the bucket of the trigram around each byte from the first of i to the last of j. What lies outside a word is a blank, whatever stands there."""
+    i = 0
+    while i < len(w.start):
+        j = max(i + 1, int(np.searchsorted(w.end, w.start[i] + PIECE, side="right")))
+        lo, hi = w.start[i], w.end[j - 1]
+        x = w.low[lo:hi].astype(np.uint32)
+        before, after = np.full(len(x), 32, dtype=np.uint32), np.full(len(x), 32, dtype=np.uint32)
+        before[1:], after[:-1] = x[:-1], x[1:]
+        before[w.start[i:j] - lo] = 32
+        after[w.end[i:j] - 1 - lo] = 32
+        yield i, j, (((before << np.uint32(16)) | (x << np.uint32(8)) | after) * np.uint32(0x9E3779B1)) >> np.uint32(32 - BITS)
+        i = j
 
 
 def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -> LanguageModel:
@@ -60,12 +66,15 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
         counts: dict[str, np.ndarray] = {}
         for b in batches:
             for w in slices(b.column("text")):
-                key, inside = _trigrams(w), IS_WORD[w.low]
                 langs = b.column("lang").slice(w.lo, w.hi - w.lo).to_pylist()
-                of = np.repeat(np.arange(len(langs)), np.diff(w.at))[inside]
-                for lang in set(langs):
-                    mine = np.array([x == lang for x in langs])
-                    counts[lang] = counts.get(lang, 0) + np.bincount(key[inside][mine[of]], minlength=1 << BITS)
+                names = sorted(set(langs))
+                code = np.array([names.index(x) for x in langs])[w.row]
+                for i, j, key in _pieces(w):
+                    length = w.end[i:j] - w.start[i:j]
+                    inside = np.repeat(w.start[i:j] - w.start[i] - np.concatenate([[0], np.cumsum(length)[:-1]]), length) + np.arange(length.sum())
+                    both = np.bincount(np.repeat(code[i:j], length) * (1 << BITS) + key[inside], minlength=len(names) << BITS)
+                    for k, lang in enumerate(names):
+                        counts[lang] = counts.get(lang, 0) + both[k << BITS : (k + 1) << BITS]
         for lang, mine in counts.items():
             at = np.flatnonzero(mine)
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), type=pa.string()), pa.array(at.astype(np.int32)), pa.array(mine[at])], names=["lang", "bucket", "n"])
@@ -83,48 +92,61 @@ def train(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang") -
     return LanguageModel(names, np.log(counts / counts.sum(1, keepdims=True)))
 
 
+def likelihoods(w: Words, model: LanguageModel) -> tuple[np.ndarray, np.ndarray]:
+    """(like, top): likelihoods of each word in each language as parts of its largest one, and the logarithm of that."""
+    like = np.empty((len(w.start), len(model.names)))
+    for i, j, key in _pieces(w):
+        at = np.column_stack([w.start[i:j], w.end[i:j]]).ravel()[:-1] - w.start[i]
+        for k, log_p in enumerate(model.log_p):
+            like[i:j, k] = np.add.reduceat(log_p[key], at)[::2]
+    top = like.max(1, initial=-np.inf) if len(model.names) else np.zeros(len(like))
+    like -= top[:, None]
+    return np.exp(like, out=like), top
+
+
+def fitted(like: np.ndarray, counts: np.ndarray, share: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Expectation-maximisation of each row's shares over its words, and the rows' log-likelihoods."""
+    first, row = np.concatenate([[0], np.cumsum(counts)]), np.repeat(np.arange(len(counts)), counts)
+    for _ in range(rounds):
+        each = like * share[row]
+        each /= np.maximum(each.sum(1, keepdims=True), 1e-300)
+        share = sums(each, first) / np.maximum(counts, 1)[:, None]
+    return share, sums(np.log(np.maximum((like * share[row]).sum(1), 1e-300)), first)
+
+
 def mixtures(w: Words, model: LanguageModel) -> tuple[np.ndarray, np.ndarray]:
-    """Shares of the languages in each row's chosen set, zeros for rows without words; and the rows most of whose words, numbers aside, fit none of the set: half of them and a standard error of half more."""
-    n, langs = w.hi - w.lo, len(model.names)
-    key, first, row, counts = _trigrams(w), w.first, w.row, w.counts
-    like = np.empty((len(w.start), langs))
-    run = np.zeros(len(key) + 1)
-    for k in range(langs):
-        np.cumsum(model.log_p[k][key], out=run[1:])
-        like[:, k] = run[w.end] - run[w.start]
-    top = like.max(1, keepdims=True, initial=-np.inf) if langs else np.zeros((len(like), 1))
-    like -= top
-    np.exp(like, out=like)
-    per = 1 / np.maximum(counts, 1)[:, None]
-
-    def fit(share: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
-        for _ in range(rounds):
-            each = like * share[row]
-            each /= np.maximum(each.sum(1, keepdims=True), 1e-300)
-            share = sums(each, first) * per
-        fits = np.log(np.maximum((like * share[row]).sum(1), 1e-300))
-        return share, sums(fits, first)
-
-    full, _ = fit(np.full((n, langs), 1 / max(langs, 1)), model.rounds)
+    """Shares of the languages in each row's chosen set, zeros for rows without words; and the rows most of whose words, numbers aside, fit none of the set: half of them and a standard error of half more.
+
+    The sets of a row are its leading languages in the fit with all of them, one language, two, and so on to all. As no
+    word is likelier than in its best language, a set's value is at most its penalty below 0: a row is done as soon as its
+    best value is above that, and only then. Nothing depends on other rows.
+    """
+    n, langs, counts, first = w.hi - w.lo, len(model.names), w.counts, w.first
+    like, top = likelihoods(w, model)
+    full, _ = fitted(like, counts, np.full((n, langs), 1 / max(langs, 1)), model.rounds)
     order = np.argsort(-full, axis=1, kind="stable")
-    best = np.full(n, -np.inf)
-    out = np.zeros((n, langs))
-    for size in range(1, min(langs, model.largest_set) + 1):
-        share = np.zeros((n, langs))
-        np.put_along_axis(share, order[:, :size], np.maximum(np.take_along_axis(full, order[:, :size], 1), 1e-6), 1)
-        share, fits = fit(share / np.maximum(share.sum(1, keepdims=True), 1e-300), 0 if size == 1 else model.set_rounds)
-        value = fits - model.penalty * 0.5 * (size - 1) * np.log(np.maximum(counts, 2))
-        better = value > best
-        best[better], out[better] = value[better], share[better]
-        if not better.any():
+    best, out = np.full(n, -np.inf), np.zeros((n, langs))
+    for size in range(1, langs + 1):
+        cost = model.penalty * 0.5 * (size - 1) * np.log(np.maximum(counts, 2))
+        rows = np.flatnonzero((counts > 0) & (-cost > best))
+        if not len(rows):
             break
-    out[counts == 0] = 0
-    length = w.end - w.start
+        share = np.zeros((len(rows), langs))
+        leading = order[rows, :size]
+        np.put_along_axis(share, leading, np.maximum(np.take_along_axis(full[rows], leading, 1), 1e-6), 1)
+        share /= share.sum(1, keepdims=True)
+        open_ = np.zeros(n, dtype=bool)
+        open_[rows] = True
+        share, fits = fitted(like if len(rows) == n else like[np.repeat(open_, counts)], counts[rows], share, 0 if size == 1 else model.set_rounds)
+        value = fits - cost[rows]
+        better = value > best[rows]
+        best[rows[better]], out[rows[better]] = value[better], share[better]
+    row, length = w.row, w.end - w.start
     digits = np.concatenate([[0], np.cumsum((w.low >= 48) & (w.low < 58))])
     counted = digits[w.end] - digits[w.start] < length
-    each = (top[:, 0] + np.log(np.maximum((like * out[row]).sum(1), 1e-300))) / length
-    unfit = counted & (each < -(out @ model.entropy + BITS * np.log(2))[row] / 2)
-    n_unfit, n_counted = sums(unfit.astype(float), first), sums(counted.astype(float), first)
+    each = (top + np.log(np.maximum((like * out[row]).sum(1), 1e-300))) / length
+    unfit = counted & (each < -((out * model.entropy).sum(1) + BITS * np.log(2))[row] / 2)
+    n_unfit, n_counted = sums(unfit, first), sums(counted, first)
     return out, (n_counted > 0) & (n_unfit >= (n_counted + np.sqrt(n_counted)) / 2)
 
 
@@ -136,7 +158,9 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
     """One row per row of docs: `row` (all its columns), lang_pred, score (share of lang_pred), langs (map of shares).
 
     A text that is null, has no letter or has mostly words that fit no language is "und" with score 0 and no
-    languages, and so is every text for a model without languages. Equal shares go to the language first in the alphabet. Repeated rows get equal answers. Texts are read whole.
+    languages, and so is every text for a model without languages. Equal shares go to the language first in the alphabet.
+    A row's answer depends on its text alone, so repeated rows get equal answers. Texts are read whole, the likelihoods of a
+    very long one piece by piece. An empty table gives an empty table; extra columns stay in `row`.
     """
     rows = packed(docs, text=text_col).withColumn("known", has_letter(F.col("text")))
     langs = pa.map_(pa.string(), pa.float64())
@@ -167,6 +191,10 @@ def learned(docs: DataFrame, id_col: str = "doc_id", parts: int = 4, part: int =
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, min_share: float = MIN_SHARE) -> DataFrame:
-    """docs without rows whose language is unknown or has less than min_share of the words; columns stay as they are."""
+    """docs without rows whose language is unknown or has less than min_share of the words; columns stay as they are.
+
+    Null, empty and letterless texts go; null ids, repeated rows and very long texts are judged by the text like any other;
+    an empty table gives an empty table.
+    """
     out = identify(docs, model).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_share))
     return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

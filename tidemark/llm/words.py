@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,20 +32,19 @@ def mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-class _Powers:
-    """Powers of BASE and of its inverse modulo 2^64, as many as the longest slice so far needs."""
+#: Bytes that are hashed at a time, so that scratch space doesn't follow the longest text.
+PIECE = 1 << 20
 
-    up = down = np.ones(1, dtype=np.uint64)
 
-    @classmethod
-    def to(cls, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(cls.up) <= n:
-            size = 1 << n.bit_length()
-            cls.up, cls.down = np.full(size, BASE), np.full(size, INVERSE)
-            cls.up[0] = cls.down[0] = 1
-            np.multiply.accumulate(cls.up, out=cls.up)
-            np.multiply.accumulate(cls.down, out=cls.down)
-        return cls.up, cls.down
+@cache
+def _powers() -> tuple[np.ndarray, np.ndarray]:
+    """Powers of BASE and of its inverse modulo 2^64, as many as a piece needs."""
+    out = []
+    for base in (BASE, INVERSE):
+        x = np.full(PIECE + 1, base)
+        x[0] = 1
+        out.append(np.multiply.accumulate(x))
+    return out[0], out[1]
 
 
 @dataclass
@@ -71,13 +71,23 @@ class Words:
 
     def hashes(self, prefix: int | None = None) -> np.ndarray:
         """64 bits for each word, or for its first bytes, the same for the same bytes anywhere."""
-        if not len(self.start):
-            return np.zeros(0, dtype=np.uint64)
-        up, down = _Powers.to(len(self.low) + 1)
-        run = np.zeros(len(self.low) + 1, dtype=np.uint64)
-        np.cumsum(BYTE_VALUE[self.low] * up[: len(self.low)], out=run[1:])
-        end = self.end if prefix is None else np.minimum(self.end, self.start + prefix)
-        return mixed((run[end] - run[self.start]) * down[self.start])
+        up, down = _powers()
+        out = np.zeros(len(self.start), dtype=np.uint64)
+        stop = self.end if prefix is None else np.minimum(self.end, self.start + prefix)
+        for lo in range(0, len(self.low), PIECE):
+            hi = min(lo + PIECE, len(self.low))
+            i, j = np.searchsorted(self.end, lo, side="right"), np.searchsorted(self.start, hi)
+            if i == j:
+                continue
+            run = np.zeros(hi - lo + 1, dtype=np.uint64)
+            np.cumsum(BYTE_VALUE[self.low[lo:hi]] * up[: hi - lo], out=run[1:])
+            a = np.maximum(self.start[i:j], lo) - lo
+            b = np.maximum(np.minimum(stop[i:j], hi) - lo, a)
+            part = (run[b] - run[a]) * down[a]
+            if self.start[i] < lo:  # only the first word can have begun in an earlier piece
+                part[:1] *= np.uint64(pow(int(BASE), lo - int(self.start[i]), 1 << 64))
+            out[i:j] += part
+        return mixed(out)
 
     def word(self, i: int) -> str:
         return self.low[self.start[i] : self.end[i]].tobytes().decode()
@@ -124,7 +134,10 @@ def grams(hashes: np.ndarray, row: np.ndarray, k: int, tag: int = 0) -> tuple[np
 
 
 def sums(values: np.ndarray, first: np.ndarray) -> np.ndarray:
-    """Sums of values between bounds along axis 0, 0 where there are none."""
-    run = np.zeros((len(values) + 1, *values.shape[1:]), dtype=np.result_type(values, np.float64) if values.dtype.kind == "f" else np.int64)
-    np.cumsum(values, axis=0, out=run[1:])
-    return run[first[1:]] - run[first[:-1]]
+    """Sums of values between bounds along axis 0, 0 where there are none. Each sum is of its own values alone: other rows don't even change its rounding."""
+    kind = np.float64 if values.dtype.kind == "f" else np.int64
+    out = np.zeros((len(first) - 1, *values.shape[1:]), dtype=kind)
+    full = np.flatnonzero(first[1:] > first[:-1])
+    if len(full):
+        out[full] = np.add.reduceat(values, first[full], axis=0, dtype=kind)
+    return out
