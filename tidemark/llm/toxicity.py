@@ -20,12 +20,10 @@ from tidemark.llm.words import Words, mixed, slices
 
 #: The classifier is fitted on at most so many positive and unlabelled texts, those with the smallest hashes of their ids.
 MAX_POSITIVE, MAX_UNLABELLED = 4_000, 12_000
-#: Features used: those whose presence differs most, and by LEAST_Z standard errors, between positive and unlabelled texts.
-VOCABULARY, LEAST_Z = 512, 4.0
+#: Chance that any feature at all is kept though it says nothing: features are tested at this level over their number.
+LEVEL = 0.01
 #: Features whose prior-corrected rates in the two classes are more alike than this ratio tell them apart too little.
 LEAST_RATIO = 0.5
-#: Features that fewer texts of either class hold are chance, or the mark of one family of copies.
-LEAST_SHARE = 0.02
 #: Bytes of a word that make its beginnings.
 BEGINNINGS = (5, 7)
 #: A feature counts once more when a text has it so many times.
@@ -34,14 +32,15 @@ LEVELS = (1, 2, 4)
 
 def features(w: Words) -> tuple[np.ndarray, np.ndarray]:
     """(row, hash), by row: words and beginnings that each row has at least once, twice and four times."""
-    kinds = [w.hashes(), *(mixed(w.hashes(n) ^ np.uint64(n)) for n in BEGINNINGS)]
-    row, h = np.tile(w.row, len(kinds)), np.concatenate(kinds)
-    order = np.lexsort((h, row))
-    row, h = row[order], h[order]
-    starts = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (h[1:] != h[:-1])])) if len(h) else np.zeros(0, dtype=np.int64)
-    times = np.diff(np.append(starts, len(h)))
-    row, h = row[starts], h[starts]
-    out = [(row[times >= k], h[times >= k] if k == 1 else mixed(h[times >= k] ^ np.uint64(k << 8))) for k in LEVELS]
+    out = []
+    for prefix in (None, *BEGINNINGS):
+        h = w.hashes() if prefix is None else mixed(w.hashes(prefix) ^ np.uint64(prefix))
+        order = np.lexsort((h, w.row))
+        row, h = w.row[order], h[order]
+        starts = np.flatnonzero(np.concatenate([[True], (row[1:] != row[:-1]) | (h[1:] != h[:-1])])) if len(h) else np.zeros(0, dtype=np.int64)
+        times = np.diff(np.append(starts, len(h)))
+        row, h = row[starts], h[starts]
+        out += [(row[times >= k], h[times >= k] if k == 1 else mixed(h[times >= k] ^ np.uint64(k << 8))) for k in LEVELS]
     row, h = (np.concatenate(x) for x in zip(*out, strict=True))
     order = np.argsort(row, kind="stable")
     return row[order], h[order]
@@ -81,63 +80,85 @@ def word_sets(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, fields(docs, names, "words array<bigint>"))
 
 
-def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, vocabulary: int = VOCABULARY, rounds: int = 400, rate: float = 0.1, decay: float = 1e-3) -> ToxicityModel:
-    """Non-negative risk, logistic loss, full batches, Adam. Without positives or unlabelled texts the score is the prior."""
-    prior = float(np.clip(prior, 1e-4, 0.5))
-    if not positive or not unlabelled:
-        return ToxicityModel(np.zeros(0, dtype=np.uint64), np.zeros(0), float(np.log(prior / (1 - prior))))
-    n_p, n_u = len(positive), len(unlabelled)
+def deviance(p: np.ndarray, n_p: int, u: np.ndarray, n_u: int) -> np.ndarray:
+    """Twice the log-likelihood ratio of two rates, p of n_p and u of n_u, against one rate for both."""
+
+    def part(k: np.ndarray, n: int, rate: np.ndarray) -> np.ndarray:
+        rate = np.clip(rate, 1e-12, 1 - 1e-12)
+        return k * np.log(rate) + (n - k) * np.log(1 - rate)
+
+    both = (p + u) / (n_p + n_u)
+    return 2 * (part(p, n_p, p / n_p) + part(u, n_u, u / n_u) - part(p, n_p, both) - part(u, n_u, both))
+
+
+def chosen(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> np.ndarray:
+    """Sorted features whose rates in the two classes differ by more than chance and by enough, however rare they are. Texts with equal features count once."""
+    n_p, n_u = len(positive := list({s.tobytes(): s for s in positive}.values())), len(unlabelled := list({s.tobytes(): s for s in unlabelled}.values()))
     in_p, count_p = np.unique(np.concatenate(positive), return_counts=True)
     in_u, count_u = np.unique(np.concatenate(unlabelled), return_counts=True)
     every = np.union1d(in_p, in_u)
     p, u = np.zeros(len(every)), np.zeros(len(every))
     p[np.searchsorted(every, in_p)], u[np.searchsorted(every, in_u)] = count_p, count_u
-    both = (p + u + 1) / (n_p + n_u + 2)
-    z = np.abs(p / n_p - u / n_u) / np.sqrt(both * (1 - both) * (1 / n_p + 1 / n_u))
     # What the unlabelled share of a feature would be without the positives among them.
     rate_p = p / n_p
     rate_n = np.maximum(u / n_u - prior * rate_p, 0) / (1 - prior)
     alike = np.minimum(rate_p, rate_n) > LEAST_RATIO * np.maximum(rate_p, rate_n)
-    rare = np.maximum(rate_p, rate_n) < LEAST_SHARE
-    z[(p + u < 3) | (z < LEAST_Z) | alike | rare] = 0
-    best = np.argsort(-z, kind="stable")[:vocabulary]
-    words = np.sort(every[best[z[best] > 0]])
-    if not len(words):
-        return ToxicityModel(words.view(np.uint64), np.zeros(0), float(np.log(prior / (1 - prior))))
+    return every[~alike & (deviance(p, n_p, u, n_u) > 2 * np.log(max(len(every), 1) / LEVEL))]
 
-    def matrix(sets: list[np.ndarray]) -> np.ndarray:
-        x = np.zeros((len(sets), len(words)), dtype=np.float32)
-        for k, s in enumerate(sets):
-            if len(s):
-                at = np.minimum(np.searchsorted(words, s), len(words) - 1)
-                x[k, at[words[at] == s]] = 1
-        return x
 
-    xp, xu = matrix(positive), matrix(unlabelled)
-    theta, m, v = np.zeros(len(words) + 1), np.zeros(len(words) + 1), np.zeros(len(words) + 1)
-    theta[-1] = np.log(prior / (1 - prior))
+class Sparse:
+    """Which of the words each set has: a matrix of zeros and ones by its ones."""
+
+    def __init__(self, sets: list[np.ndarray], words: np.ndarray) -> None:
+        self.shape = len(sets), len(words)
+        at = [np.searchsorted(words, s) for s in sets]
+        cols = [a[(a < len(words)) & (words[np.minimum(a, len(words) - 1)] == s)] for a, s in zip(at, sets, strict=True)]
+        self.cols, self.rows = np.concatenate(cols), np.repeat(np.arange(len(sets)), [len(c) for c in cols])
+
+    def times(self, weights: np.ndarray) -> np.ndarray:
+        return np.bincount(self.rows, weights=weights[self.cols], minlength=self.shape[0])
 
-    def side(x: np.ndarray, sign: float) -> tuple[float, np.ndarray]:
-        """Mean logistic loss of all rows as class `sign`, and its gradient."""
-        s = sign * (x @ theta[:-1].astype(np.float32) + theta[-1])
+    def transposed(self, weights: np.ndarray) -> np.ndarray:
+        return np.bincount(self.cols, weights=weights[self.rows], minlength=self.shape[1])
+
+
+def risk(theta: np.ndarray, xp: Sparse, xu: Sparse, prior: float) -> tuple[float, float, np.ndarray]:
+    """(positive part, negative part, gradient to follow) of the non-negative risk under the logistic loss; the last of theta is the bias."""
+
+    def side(x: Sparse, sign: float) -> tuple[float, np.ndarray]:
+        """Mean loss of all rows as class `sign`, and its gradient."""
+        s = sign * (x.times(theta[:-1]) + theta[-1])
         slope = -sign / (1 + np.exp(np.clip(s, -60, 60)))
-        return float(np.logaddexp(0, -s).mean()), np.append(x.T @ slope.astype(np.float32), slope.sum()) / len(x)
+        return float(np.logaddexp(0, -s).mean()), np.append(x.transposed(slope), slope.sum()) / x.shape[0]
+
+    loss_pp, as_positive = side(xp, 1)
+    loss_pn, p_negative = side(xp, -1)
+    loss_un, u_negative = side(xu, -1)
+    part, negative = loss_un - prior * loss_pn, u_negative - prior * p_negative
+    # Below zero the negative part is overfitted: its gradient is followed backwards.
+    return prior * loss_pp, part, prior * as_positive + negative if part >= 0 else -negative
+
 
+def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, rounds: int = 400, rate: float = 0.1, decay: float = 1e-4) -> ToxicityModel:
+    """Non-negative risk, full batches, Adam. Without positives, unlabelled texts or telling features the score is the prior. A prior of 0 or 1 is taken as within 1e-4 of it, so that its logit is finite."""
+    prior = float(np.clip(prior, 1e-4, 1 - 1e-4))
+    words = chosen(positive, unlabelled, prior) if positive and unlabelled else np.zeros(0, dtype=np.int64)
+    if not len(words):
+        return ToxicityModel(words.view(np.uint64), np.zeros(0), float(np.log(prior / (1 - prior))))
+    xp, xu = Sparse(positive, words), Sparse(unlabelled, words)
+    theta, m, v = np.zeros(len(words) + 1), np.zeros(len(words) + 1), np.zeros(len(words) + 1)
+    theta[-1] = np.log(prior / (1 - prior))
     for t in range(1, rounds + 1):
-        _, as_positive = side(xp, 1)
-        loss_pn, p_negative = side(xp, -1)
-        loss_un, u_negative = side(xu, -1)
-        negative = u_negative - prior * p_negative
-        # Below zero the negative part is overfitted: its gradient is followed backwards.
-        grad = prior * as_positive + negative if loss_un - prior * loss_pn >= 0 else -negative
+        _, _, grad = risk(theta, xp, xu, prior)
         grad[:-1] += decay * theta[:-1]
         m, v = 0.9 * m + 0.1 * grad, 0.999 * v + 0.001 * grad * grad
         theta -= rate * (m / (1 - 0.9**t)) / (np.sqrt(v / (1 - 0.999**t)) + 1e-8)
-    return ToxicityModel(words.view(np.uint64)[np.argsort(words.view(np.uint64))], theta[:-1][np.argsort(words.view(np.uint64))], float(theta[-1]))
+    order = np.argsort(words.view(np.uint64))
+    return ToxicityModel(words.view(np.uint64)[order], theta[:-1][order], float(theta[-1]))
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: object, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED) -> ToxicityModel:
-    """learn(id column) says of which rows labels and texts are learned. Null, repeated and homeless labels: ignored, one each, ignored."""
+    """learn(id column) says of which rows labels and texts are learned. Null, repeated and homeless labels: ignored, one each, ignored. Empty tables give a model that scores the prior."""
     known = labels.select(labels[id_col].alias("id"), labels[label_col].cast("int").alias("label")).where("id is not null and label in (0, 1)")
     known = known.where(learn(known["id"])).groupBy("id").agg(F.max("label").alias("label"))
     share = known.agg(F.avg("label").alias("prior")).first().prior
@@ -156,7 +177,11 @@ def train(docs: DataFrame, labels: DataFrame, learn: object, id_col: str = "doc_
 
 
 def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
-    """One row per row of docs: `row` (all its columns but the text) and score (0 to 1, higher: toxic likelier), over whole texts. Null and empty texts get the score of a text without words."""
+    """One row per row of docs: `row` (all its columns but the text) and score (0 to 1, higher: toxic likelier), over whole texts, however long.
+
+    Null and empty texts get the score of a text without words; repeated rows get equal scores; an empty table gives an
+    empty table; extra columns stay in `row`.
+    """
     rows = docs.select(F.struct(*[docs[c] for c in docs.columns if c != text_col]).alias("row"), docs[text_col].alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
