@@ -1,7 +1,8 @@
 """WARC archives as a chunked record table.
 
-Payloads go to the archives, and come back from them, as rows of record and chunk number: no step holds more of a payload
-than a chunk, and readers carry the digest along. A payload that equals a later one is written as a revisit of it.
+Payloads go to the archives, and come back from them, as rows of record and chunk number: nothing that writes or reads an
+archive holds more of a payload than a chunk, and both carry the digest along and compare it with the header at the end.
+Only the row of pages itself has its payload whole, and it is neither sorted nor shuffled while few payloads repeat. A payload that equals a later one is written as a revisit of it.
 Archives are gzipped record by record and lie in the folder that driver and executors share; a written table lists those
 that were finished, so the remains of a lost task are never read.
 """
@@ -20,8 +21,8 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import materialize
-from tidemark.storage import shared_dir
+from tidemark.llm.shared import join_narrow, materialize
+from tidemark.storage import run_dir
 
 CHUNK = 256 * 1024
 ARCHIVE = 128 << 20  # bytes after which a task begins another archive
@@ -46,9 +47,10 @@ def _head(r: dict) -> bytes:
     if r["type"] == "revisit":
         lines += [f"WARC-Profile: {PROFILE}", f"WARC-Refers-To: {_name(r['refers_to'])}"]
     else:
-        lines.append("Content-Type: text/html; charset=utf-8")
-    lines.append(f"Content-Length: {r['length'] if r['type'] == 'response' else 0}")
-    return ("\r\n".join(lines) + "\r\n\r\n").encode()
+        lines.append("Content-Type: application/http; msgtype=response")
+    http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {r['length']}\r\n\r\n" if r["type"] == "response" else ""
+    lines.append(f"Content-Length: {len(http) + r['length'] if http else 0}")
+    return ("\r\n".join(lines) + "\r\n\r\n" + http).encode()
 
 
 class _Archive:
@@ -65,13 +67,17 @@ class _Archive:
 
     def begin(self, r: dict) -> None:
         self.records += 1
+        self.head, self.sha1 = r, hashlib.sha1()
         self.zip = zlib.compressobj(4, zlib.DEFLATED, 31)
         self.put(self.zip.compress(_head(r)))
 
     def add(self, data: bytes) -> None:
+        self.sha1.update(data)
         self.put(self.zip.compress(data))
 
     def end(self) -> None:
+        if self.head["type"] == "response" and self.sha1.hexdigest() != self.head["sha1"]:
+            raise ValueError(f"record {self.head['record']}: its chunks are not its payload")
         self.put(self.zip.compress(b"\r\n\r\n") + self.zip.flush())
 
 
@@ -85,10 +91,13 @@ def write_archives(pages: DataFrame, folder: str, min_revisit: int = 0, id_col:
     payload = F.coalesce(pages[payload_col], F.lit("")).cast("binary")
     rows = pages.select(pages[id_col].alias("id"), pages[url_col].cast("string").alias("uri"), payload.alias("payload"))
     keyed = rows.select("*", F.sha1("payload").alias("sha1"), F.octet_length("payload").cast("long").alias("length"))
-    # The digests alone are grouped; the payloads are shuffled once, to meet their group's record.
-    groups = keyed.groupBy("sha1", "length").agg(F.max("id").alias("keep"))
+    # Payloads are equal if SHA-1, SHA-256 and length are: known pairs of files share the first. The digests alone are grouped;
+    # those that repeat go to the payloads.
+    keyed = keyed.withColumn("sha256", F.sha2("payload", 256))
+    groups = keyed.groupBy("sha1", "sha256", "length").agg(F.max("id").alias("keep"), F.count("*").alias("n")).where("n > 1").drop("n")
+    groups = materialize(groups, "repeated-payloads")
     revisit = (F.col("length") >= min_revisit) & F.col("keep").isNotNull() & ~F.col("id").eqNullSafe(F.col("keep"))
-    records = keyed.join(groups, ["sha1", "length"]).select(F.col("id").cast("string").alias("record"), F.when(revisit, "revisit").otherwise("response").alias("type"), "uri", F.when(revisit, F.col("keep").cast("string")).alias("refers_to"), "sha1", "length", F.when(revisit, F.lit(b"")).otherwise(F.col("payload")).alias("payload"))
+    records = join_narrow(keyed, groups, ["sha1", "sha256", "length"], "left", spread=F.xxhash64("id", "uri")).select(F.col("id").cast("string").alias("record"), F.when(revisit, "revisit").otherwise("response").alias("type"), "uri", F.when(revisit, F.col("keep").cast("string")).alias("refers_to"), "sha1", "length", F.when(revisit, F.lit(b"")).otherwise(F.col("payload")).alias("payload"))
     starts = F.sequence(F.lit(0), F.greatest(F.octet_length("payload") - 1, F.lit(0)), F.lit(chunk))
     chunks = records.withColumn("at", F.explode(starts)).select("record", "type", "uri", "refers_to", "sha1", "length", F.col("at"), F.substring("payload", F.col("at") + 1, F.lit(chunk)).alias("data"), (F.col("at") + chunk >= F.octet_length("payload")).alias("last"))
 
@@ -138,7 +147,14 @@ class _Parser:
                 self.head = {"record": _record(fields["WARC-Record-ID"]), "type": fields["WARC-Type"], "uri": None if uri is None else unquote(uri), "refers_to": _record(fields.get("WARC-Refers-To"))}
                 self.stated, self.length = fields["WARC-Payload-Digest"].removeprefix("sha1:"), int(fields["X-Payload-Length"])
                 self.left, self.number, self.bytes, self.sha1 = int(fields["Content-Length"]), 0, 0, hashlib.sha1()
+                self.http = self.head["type"] == "response"
                 self.buffer = rest
+            if self.http:  # the block's own header stands before the payload
+                text, found, rest = self.buffer.partition(b"\r\n\r\n")
+                if not found:
+                    return
+                self.left -= len(text) + 4
+                self.http, self.buffer = False, rest
             if self.left > len(self.buffer) < self.chunk:
                 return
             part = self.buffer[: min(self.left, self.chunk)]
@@ -187,4 +203,4 @@ def read_archives(archives: DataFrame, chunk: int = CHUNK) -> DataFrame:
 
 def round_trip(spark: SparkSession, pages: DataFrame, min_revisit: int = 0, **columns: str) -> DataFrame:
     """Writes pages to archives in the shared folder and gives the chunk table that is read back from them."""
-    return read_archives(write_archives(pages, f"{shared_dir(spark)}/tidemark/warc-{uuid.uuid4().hex}", min_revisit, **columns))
+    return read_archives(write_archives(pages, f"{run_dir(spark)}/warc-{uuid.uuid4().hex}", min_revisit, **columns))
