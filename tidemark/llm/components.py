@@ -9,7 +9,7 @@ from tidemark.llm.shared import materialize
 
 
 def _contracted(edges: DataFrame) -> DataFrame:
-    """Fewer edges that hang together as before: each node keeps one to its smallest neighbour, and its other smaller neighbours get one to that neighbour."""
+    """Fewer edges that hang together as before: each node keeps one to its smallest neighbour, and its other smaller neighbours get one to that neighbour. Edges with a null end are none."""
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct()
     low = down.withColumn("low", F.min("b").over(Window.partitionBy("a")))
     return low.select(F.when(F.col("b") == F.col("low"), F.col("a")).otherwise(F.col("b")).alias("a"), F.col("low").alias("b")).distinct()

@@ -16,13 +16,14 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import checked_broadcast, fields, materialize
+from tidemark.llm.shared import checked_broadcast, fields, join_narrow, materialize
 from tidemark.llm.words import Words, grams, slices
 
 GRAM, SPAN = 5, 10
 LEFT, RIGHT = SPAN - GRAM, SPAN  # words around a fingerprint's first word that any shared span through it can reach
-#: A bit for each value of the low bits of the benchmark's fingerprints: tasks pass on only fingerprints whose bit is set.
-SIEVE_BITS = 20
+#: A bit for each value of the low bits of the benchmark's fingerprints: tasks pass on only fingerprints whose bit is set. There
+#: are at least 16 bits a fingerprint, up to a benchmark of 2^20 fingerprints; a larger one lets more of them through.
+SIEVE_BITS = (20, 24)
 FOUND = "array<struct<pos:int,print:bigint,words:string,need:int>>"
 
 
@@ -53,7 +54,8 @@ def _prints(w: Words, short: list[int], sieve: np.ndarray | None) -> list[list[d
     out: list[list[dict]] = [[] for _ in counts]
 
     def passed(prints: np.ndarray) -> np.ndarray:
-        return sieve[(prints & np.uint64((1 << SIEVE_BITS) - 1)).astype(np.int64)]
+        low = (prints & np.uint64(8 * len(sieve) - 1)).astype(np.int64)
+        return (sieve[low >> 3] >> (7 - (low & 7)).astype(np.uint8)) & 1 == 1
 
     at, g = _winnowed(hashes, row)
     at = at if sieve is None else at[passed(g[at])]
@@ -97,20 +99,23 @@ def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
 
     A word is hit if it lies in an occurrence of a window of an item: 10 consecutive words, or all words of an item that
     has fewer. Null and empty texts have no words and no hits; items with no words or a null id take no part; repeated items
-    with one id are one item; rows of docs that repeat are each looked at. Empty tables give no rows or no hits.
+    with one id are one item; rows of docs that repeat are each looked at; very long texts are read
+    whole. Empty tables give no rows or no hits; extra columns are left out.
     """
     prints = materialize(benchmark_prints(items), "benchmark-prints")
     short = sorted(r.need for r in prints.where(F.col("need") < SPAN).select("need").distinct().collect())
-    # At most 2^SIEVE_BITS numbers come to the driver, however large the benchmark.
-    bits = prints.select(F.col("print").bitwiseAND((1 << SIEVE_BITS) - 1).cast("int").alias("bit")).distinct().toArrow()["bit"].to_numpy()
-    sieve = np.zeros(1 << SIEVE_BITS, dtype=bool)
+    width = min(max(SIEVE_BITS[0], (16 * prints.count()).bit_length()), SIEVE_BITS[1])
+    # At most 2^24 numbers come to the driver, however large the benchmark, and 2 MB go to the tasks.
+    bits = prints.select(F.col("print").bitwiseAND((1 << width) - 1).cast("int").alias("bit")).distinct().toArrow()["bit"].to_numpy()
+    sieve = np.zeros(1 << width, dtype=bool)
     sieve[bits] = True
+    sieve = np.packbits(sieve)
 
     rows = docs.select(docs[id_col].alias("id"), F.xxhash64(F.coalesce(docs[text_col], F.lit(""))).alias("mark"), docs[text_col].alias("text"))
     seen = materialize(_fingerprints(rows, short, sieve), "document-prints")
     found = seen.where(F.size("found") > 0).select("number", F.inline("found"))
     same = F.array_join(F.zip_with(F.split("words", " "), F.split("theirs", " "), lambda a, b: F.when((a == b) & (a != ""), "1").otherwise("0")), "")
-    hits = found.join(checked_broadcast(prints), ["print", "need"]).withColumn("same", same)
+    hits = join_narrow(found, prints, ["print", "need"], spread=F.xxhash64("number", "pos")).withColumn("same", same)
     run = F.regexp_extract("same", f"1{{{SPAN},}}", 0)
     whole = F.col("need") < SPAN
     first = F.when(whole, F.col("pos")).otherwise(F.col("pos") - LEFT + F.instr("same", "1" * SPAN) - 1)
@@ -123,7 +128,11 @@ def find_contamination(docs: DataFrame, items: DataFrame, id_col: str = "doc_id"
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs without the rows that hold a window of an item; columns stay as they are."""
+    """docs without the rows that hold a window of an item; columns stay as they are.
+
+    Rows with a null or empty text stay; rows are known by id and text, so repeated ones share their fate, and a null id is
+    an id like any other; without items all rows stay.
+    """
     hit = find_contamination(docs, items, id_col, text_col).where("n_hit > 0").select(F.col("id").alias("_hit_id"), F.col("mark").alias("_hit_mark")).distinct()
     hit = checked_broadcast(materialize(hit, "contaminated"))
     mark = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import connected
-from tidemark.llm.shared import checked_broadcast, fields, materialize
+from tidemark.llm.shared import checked_broadcast, fields, join_narrow, materialize
 from tidemark.llm.words import Words, grams, mixed, slices
 
 GRAM = 5
@@ -252,7 +252,7 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     words has one gram, all its words; a text without words (null, empty) is linked to nothing. Classes are connected
     components of links: class_id is the smallest id in the class, class_first the smallest row number, which is unique even
     where ids repeat or are null. n_links counts the rows that a row is linked to, copies among them. Repeated rows are
-    copies of each other. An empty table gives an empty table.
+    copies of each other. Very long texts are read whole. An empty table gives an empty table; extra columns are left out.
     """
     rows = docs.select(docs[id_col].alias("id"), F.xxhash64(F.coalesce(docs[text_col], F.lit(""))).alias("mark"), docs[text_col].alias("text"))
     seen = materialize(_signatures(rows), "signatures")
@@ -262,7 +262,9 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
 
     keys = reps.select("rep", F.explode("bands").alias("band"))
     buckets = keys.groupBy("band").agg(F.min("rep").alias("head"), F.count("*").alias("n")).where("n > 1")
-    inside = materialize(keys.join(buckets, "band"), "buckets")
+    # A band that a third of all rows have is dealt by its rows: the counts by band are combined in the tasks, and the join
+    # brings them back to the rows, not the rows to them.
+    inside = materialize(join_narrow(keys, materialize(buckets, "heads"), ["band"], spread=F.col("rep")), "buckets")
     sigs = reps.select("rep", "sig", "size")
     stars = inside.where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")).distinct()
     stars = stars.join(sigs.toDF("a", "sig_a", "size_a"), "a").join(sigs.toDF("b", "sig_b", "size_b"), "b")
@@ -272,7 +274,7 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
     # Buckets of three and more whose members are not all in one cluster.
     of = inside.where("n > 2").join(clusters.withColumnRenamed("node", "rep"), "rep", "left").withColumn("cluster", F.coalesce("root", "rep"))
     mixed_ = of.groupBy("band").agg(F.min("cluster").alias("least"), F.max("cluster").alias("most")).where("least < most").select("band")
-    rest = of.join(mixed_, "band").select("band", F.col("rep").alias("member"), "cluster", "n").join(sigs.withColumnRenamed("rep", "member"), "member")
+    rest = join_narrow(of, materialize(mixed_, "mixed-bands"), ["band"], spread=F.col("rep")).select("band", F.col("rep").alias("member"), "cluster", "n").join(sigs.withColumnRenamed("rep", "member"), "member")
     rest = _in_blocks(rest, "band", "n", "member").groupBy("band", "i", "j").applyInArrow(lambda t: _across(t, threshold, tolerance), "a bigint, b bigint")
     clusters = connected(materialize(near.union(rest), "near"))
 
@@ -295,10 +297,14 @@ def jaccard_classes(docs: DataFrame, threshold: float = THRESHOLD, tolerance: fl
 
 
 def drop_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """docs with one row of each class: the one with the smallest id (a null id comes last; among rows that repeat it, one). Columns stay as they are."""
+    """docs with one row of each class: the one with the smallest id; columns stay as they are.
+
+    A null id comes last. Of rows that repeat both id and text one stays, whichever: what else they hold isn't looked at.
+    Every row whose text is null, empty or without words stays, but for such repeats. An empty table gives an empty table.
+    """
     found = materialize(jaccard_classes(docs, threshold, id_col=id_col, text_col=text_col), "near-duplicates")
     stay = found.groupBy("class_first").agg(F.min_by(F.struct("id", "mark"), F.struct(F.col("id").isNull(), "id", "number")).alias("s")).select(F.col("s.id").alias("_stay_id"), F.col("s.mark").alias("_stay_mark"))
     mark = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
     kept = docs.join(stay, docs[id_col].eqNullSafe(stay["_stay_id"]) & (mark == stay["_stay_mark"]), "left_semi")
-    twice = found.groupBy("id", "mark").count().where("count > 1").isEmpty()
-    return kept if twice else kept.dropDuplicates([id_col, text_col])
+    once = found.groupBy("id", "mark").count().where("count > 1").isEmpty()
+    return kept if once else kept.dropDuplicates([id_col, text_col])

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import checked_broadcast, lower_ascii, materialize, packed
+from tidemark.llm.shared import join_narrow, lower_ascii, materialize, packed
 
 BLANKS = " \t\n\x0b\f\r"
 
@@ -29,7 +29,8 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, id_col:
 
     A null or empty text is one empty line. Keys under min_chars code points are never dropped. A key counts each
     document id once, however often rows or lines repeat; rows that share an id are one document, and rows without an id
-    count for nothing and lose nothing. If all lines go, `kept` is the empty string. An empty table gives an empty table.
+    count for nothing and lose nothing. If all lines go, `kept` is the empty string. Very long
+    texts are split whole. An empty table gives an empty table; extra columns stay in `row`.
     """
     base = packed(docs, id=id_col, text=text_col).withColumn("lines", F.split(F.coalesce("text", F.lit("")), "\n", -1))
     # A row is known by its id and its text: rows that repeat an id need not have the same lines.
@@ -39,11 +40,11 @@ def dedup_lines(docs: DataFrame, min_chars: int = 40, min_docs: int = 5, id_col:
     lines = materialize(lines.select("id", "mark", "pos", *_hashed(F.col("key"))), "line-hashes")
     # A hash with fewer lines than min_docs can't be over the threshold; only the rest is counted by document.
     often = lines.groupBy("h1", "h2").agg(F.count("*").alias("n")).where(F.col("n") >= min_docs).select("h1", "h2")
-    often = checked_broadcast(materialize(often, "often-lines"))
-    repeated = lines.join(often, ["h1", "h2"])
+    spread = F.xxhash64("id", "mark", "pos")
+    repeated = join_narrow(lines, materialize(often, "often-lines"), ["h1", "h2"], spread=spread)
     over = repeated.select("h1", "h2", "id").distinct().groupBy("h1", "h2").agg(F.count("*").alias("n"), F.max("id").alias("keeper")).where(F.col("n") >= min_docs)
-    over = checked_broadcast(materialize(over.select("h1", "h2", "keeper"), "lines-over"))
-    gone = repeated.join(over, ["h1", "h2"]).where(F.col("id") != F.col("keeper")).groupBy("id", "mark").agg(F.collect_set("pos").alias("gone"))
+    over = materialize(over.select("h1", "h2", "keeper"), "lines-over")
+    gone = join_narrow(repeated, over, ["h1", "h2"], spread=spread).where(F.col("id") != F.col("keeper")).groupBy("id", "mark").agg(F.collect_set("pos").alias("gone"))
     stay = F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), F.coalesce("gone", F.array().cast("array<int>")))
     # The lines are split again after the join: only the text itself is shuffled.
     whole = base.select("row", "id", "text", mark).join(gone, ["id", "mark"], "left").withColumn("lines", F.split(F.coalesce("text", F.lit("")), "\n", -1)).withColumn("stay", stay)
