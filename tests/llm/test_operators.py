@@ -10,10 +10,13 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
+import pyarrow as pa
 import pytest
 
 from tidemark.storage import shared_dir
 from tidemark.llm import ann, components, decontaminate, jaccard_join, language_id, line_dedup, mixing, quality, secrets, shared, toxicity, warc
+from tidemark.llm import words as words_
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -443,3 +446,193 @@ def test_connected(spark):
     got = components.connected(spark.createDataFrame(edges, "a bigint, b bigint"))
     assert {r.node: r.root for r in got.collect()} == root and got.count() == len(root)
     assert components.connected(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+# -- plain versions of the parts that no SQL states
+
+
+def slices_of(texts):
+    return list(words_.slices(pa.array(texts, type=pa.string())))
+
+
+def test_hashes_do_not_depend_on_pieces(monkeypatch):
+    """A word has one hash wherever it stands, in pieces of any size, also if it is longer than they are."""
+    texts = ["", "ab Cd éf", None, "x" * 5000 + " ab", "cd ab " * 400, "éf"]
+    (whole,) = slices_of(texts)
+    want = {p: whole.hashes(p) for p in (None, 3)}
+    said = [whole.word(i) for i in range(len(whole.start))]
+    assert len(set(want[None].tolist())) == len(set(said)) and len(set(want[3].tolist())) == len({w.encode()[:3] for w in said})
+    monkeypatch.setattr(words_, "PIECE", 64)
+    words_._powers.cache_clear()
+    try:
+        assert all((whole.hashes(p) == want[p]).all() for p in want)
+    finally:
+        words_._powers.cache_clear()
+
+
+def plain_mixture(text, model):
+    """(shares, value) of the best set by loops over words, trigrams and languages."""
+    def bucket(a, b, c):
+        return (((a << 16 | b << 8 | c) * 0x9E3779B1) & 0xFFFFFFFF) >> (32 - language_id.BITS)
+
+    logs = []
+    for w in words(text):
+        x = [32, *w.encode(), 32]
+        logs.append([sum(lp[bucket(*x[k : k + 3])] for k in range(len(x) - 2)) for lp in model.log_p])
+    like = [[np.exp(v - max(row)) for v in row] for row in logs]
+
+    def em(share, rounds):
+        for _ in range(rounds):
+            new = [0.0] * len(share)
+            for row in like:
+                whole = sum(a * b for a, b in zip(row, share, strict=True))
+                for k in range(len(share)):
+                    new[k] += row[k] * share[k] / whole / len(like)
+            share = new
+        return share, sum(np.log(sum(a * b for a, b in zip(row, share, strict=True))) for row in like)
+
+    langs = len(model.names)
+    full, _ = em([1 / langs] * langs, model.rounds)
+    order = sorted(range(langs), key=lambda k: -full[k])
+    best = (-np.inf, None)
+    for size in range(1, langs + 1):
+        share = [max(full[k], 1e-6) if k in order[:size] else 0.0 for k in range(langs)]
+        share, fits = em([v / sum(share) for v in share], 0 if size == 1 else model.set_rounds)
+        best = max(best, (fits - model.penalty * 0.5 * (size - 1) * np.log(max(len(like), 2)), share), key=lambda v: v[0])
+    return best[1]
+
+
+def test_mixtures_by_loops(spark):
+    """Every set size is looked at for every text, and a text has the same answer alone and among others."""
+    docs = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet")
+    model = language_id.learned(docs)
+    long = {r.lang: r.text for r in docs.where("length(text) > 3000").collect()}
+    parts = [t[:400] for t in long.values()]
+    texts = ["ab", *parts, " ".join(parts), parts[0] + " " + parts[1], parts[2][:60] + " " + parts[3], "\n".join(parts * 3), "zz 1 " + parts[1][:30]]
+    (w,) = slices_of(texts)
+    shares, strange = language_id.mixtures(w, model)
+    for t, got in zip(texts, shares, strict=True):
+        assert got == pytest.approx(plain_mixture(t, model), abs=1e-9)
+    for k, t in enumerate(texts):
+        (alone,) = slices_of([t])
+        share, odd = language_id.mixtures(alone, model)
+        assert (share[0] == shares[k]).all() and odd[0] == strange[k]
+    many = language_id.LanguageModel([f"l{k:02}" for k in range(12)], np.log(np.random.default_rng(1).dirichlet(np.full(1 << language_id.BITS, 0.05), 12) + 1e-9))
+    (w,) = slices_of(["some words that fit none of the twelve " * 20])
+    assert language_id.mixtures(w, many)[0][0] == pytest.approx(plain_mixture("some words that fit none of the twelve " * 20, many), abs=1e-9)
+
+
+def test_non_negative_risk_by_loops():
+    g = np.random.default_rng(2)
+    vocabulary = np.sort(g.integers(-(2**62), 2**62, 9))
+    draw = lambda n, p: [np.sort(vocabulary[g.random(9) < p]) for _ in range(n)]
+    positive, unlabelled = draw(7, 0.6), [*draw(11, 0.2), np.zeros(0, dtype=np.int64)]
+    xp, xu = toxicity.Sparse(positive, vocabulary), toxicity.Sparse(unlabelled, vocabulary)
+
+    def loss(theta, sets, sign):
+        return sum(np.log1p(np.exp(-sign * (theta[-1] + sum(theta[k] for k, v in enumerate(vocabulary) if v in s)))) for s in sets) / len(sets)
+
+    for prior in (0.1, 0.7, 0.95):
+        for scale in (0.1, 3.0):
+            theta = g.standard_normal(10) * scale
+            a, b, grad = toxicity.risk(theta, xp, xu, prior)
+            parts = lambda t: (prior * loss(t, positive, 1), loss(t, unlabelled, -1) - prior * loss(t, positive, -1))
+            assert (a, b) == pytest.approx(parts(theta))
+            follow = (lambda t: sum(parts(t))) if b >= 0 else (lambda t: -parts(t)[1])
+            for k in range(10):
+                step = np.eye(10)[k] * 1e-5
+                assert grad[k] == pytest.approx((follow(theta + step) - follow(theta - step)) / 2e-5, abs=1e-5)
+
+
+def test_toxic_marks_that_are_each_rare():
+    """Two hundred marks, each in a hundredth of the toxic texts, and a prior above a half."""
+    g = random.Random(5)
+    plain = [f"word{k}" for k in range(400)]
+    toxic = lambda k: " ".join([*g.choices(plain, k=30), f"mark{k % 200:03}x", f"mark{(k * 7 + 1) % 200:03}x"])
+    clean = lambda: " ".join(g.choices(plain, k=32))
+
+    def sets(texts):
+        out = []
+        for w in slices_of(texts):
+            row, h = toxicity.features(w)
+            out += [np.sort(h[row == r].view(np.int64)) for r in range(w.hi - w.lo)]
+        return out
+
+    for prior in (0.3, 0.7):
+        mixed_ = [toxic(g.randrange(200)) if g.random() < prior else clean() for _ in range(1500)]
+        model = toxicity.fit(sets([toxic(k) for k in range(3000)]), sets(mixed_), prior)
+        (w,) = slices_of([toxic(k) for k in range(200)])
+        (v,) = slices_of([clean() for _ in range(300)])
+        assert (model.scores(w) >= 0.5).mean() > 0.95 and (model.scores(v) >= 0.5).mean() < 0.02
+
+
+def plain_statistics(text):
+    t = text or ""
+    raw = t.encode()
+    w = words(t)
+    odds = lambda a, b: np.log((a + 0.5) / (max(b - a, 0) + 0.5))
+    size = [len(x.encode()) for x in w]
+    letters, lines = sum(size), raw.count(b"\n") + 1
+    of = lambda chars: sum(raw.count(bytes([c])) for c in chars)
+    return [
+        np.log1p(len(w)), np.log((sum(size) + 1) / (len(w) + 1)), odds(of(range(65, 91)), letters), odds(of(b"!"), len(raw)), odds(of(set(quality.SYMBOLS)), len(raw)), odds(of(range(48, 58)), len(raw)),
+        np.log(lines), odds(len(set(w)), len(w)), odds(of(b".,"), len(raw)), odds(sum(n > 12 for n in size), len(w)), np.log((len(w) + 1) / lines), odds(max(Counter(w).values(), default=0), len(w)),
+    ]
+
+
+def test_statistics_by_loops():
+    texts = ["", None, "One two, two!\nthree.", "A#$% 12 <b>\n\n", "éÉ déjà-vu extraordinarily VERYLONGWORDINDEED x", "\n", prose(3000), "!!!"]
+    (w,) = slices_of(texts)
+    assert quality.statistics(w) == pytest.approx(np.array([plain_statistics(t) for t in texts]))
+
+
+def test_very_long_text():
+    """A text of 8 MB, among short ones: scratch space is a few dozen bytes a byte."""
+    import tracemalloc
+
+    base = prose(60_000)
+    long = (base + "\n") * (8_000_000 // len(base.encode()))
+    column = pa.array(["short one", long, "the end"], type=pa.string())
+    model = language_id.LanguageModel(["a", "b"], np.log(np.random.default_rng(0).dirichlet(np.ones(1 << language_id.BITS), 2)))
+    for run in (lambda w: language_id.mixtures(w, model), quality.statistics, toxicity.features, jaccard_join.gram_sets):
+        tracemalloc.start()
+        out = [run(w) for w in words_.slices(column)]
+        peak = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        assert len(out) == 3 and peak < 60 * len(long.encode()), peak / len(long.encode())
+
+
+@pytest.mark.parametrize("rows", [0])
+def test_sides_too_large_to_broadcast(spark, monkeypatch, rows):
+    """Lines, fingerprints, bands and payloads dealt by key and salt give what broadcast sides give."""
+    monkeypatch.setattr(shared, "BROADCAST_ROWS", rows)
+    common = "a line that more than five documents hold, of forty characters"
+    base = prose(60, [f"w{k}" for k in range(400)])
+    df = docs_of(spark, [*[f"{common}\nown {k}" for k in range(8)], base, base + " more", base, "NULL", ""], extra=False)
+    got = line_dedup.dedup_lines(df).selectExpr("row.doc_id AS i", "kept", "n_lines", "n_dropped").collect()
+    assert Counter(map(tuple, got)) == plain_dedup([(r.doc_id, r.text) for r in df.collect()])
+    items = spark.createDataFrame([(1, base[:200])], "item_id long, text string")
+    found = decontaminate.find_contamination(df, items)
+    assert Counter((r.id, r.n_words, r.n_hit, ",".join(r["items"])) for r in found.collect()) == plain_contamination([(r.doc_id, r.text) for r in df.collect()], [(1, base[:200])])
+    assert Counter((r.id, r.class_id, r.n_links) for r in jaccard_join.jaccard_classes(df).collect()) == plain_classes([(r.doc_id, r.text) for r in df.collect()])
+    pages = spark.createDataFrame([(k, "u", "same" if k < 6 else f"p{k}") for k in range(9)], "page_id long, url string, html string")
+    ends = warc.round_trip(spark, pages).where("last").collect()
+    assert sorted((int(r.record), r.type, r.refers_to) for r in ends) == [(k, "revisit" if k < 5 else "response", "5" if k < 5 else None) for k in range(9)]
+
+
+def test_recall_over_several_shards(spark):
+    """24,000 vectors in four shards: at least 0.9 of the 20 nearest, by brute force, of 240 queries."""
+    g = np.random.default_rng(8)
+    centres = g.standard_normal((60, 32)) * 0.7
+    x = np.float32(centres[g.integers(0, 60, 24_000)] + g.standard_normal((24_000, 32)))
+    frame = pd.DataFrame({"vec_id": np.arange(24_000), "embedding": list(x)})
+    df = spark.createDataFrame(frame, "vec_id long, embedding array<float>")
+    got = defaultdict(set)
+    for r in ann.nearest(df, lambda c: c % 100 == 0, index=ann.Index(shard_rows=6_000)).collect():
+        got[r.query_id].add(r.vec_id)
+    hits = []
+    for q in range(0, 24_000, 100):
+        s = x.astype(np.float64) @ x[q].astype(np.float64)
+        s[q] = -np.inf
+        hits.append(len(got[q] & set(np.argpartition(-s, 20)[:20].tolist())) / 20)
+    assert len(got) == 240 and np.mean(hits) >= 0.9

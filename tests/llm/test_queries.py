@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 
 from tests.compare import connect, differences
-from tests.llm.test_operators import plain_classes, plain_contamination, plain_dedup
+from tests.llm.test_operators import plain_classes, plain_contamination, plain_dedup, plain_mixing
+from tidemark.llm import mixing
 from tidemark.llm.queries import ORACLE_SQL, QUERIES
 
 SF = "/root/testdata/sf0.001"
@@ -49,10 +51,34 @@ def test_pipeline(spark):
 
     mixed = stages["mixing"](spark, clean, SF)
     assert mixed.columns[: len(docs.columns)] == docs.columns and mixed.where("copies < 1").count() == 0
-    by = defaultdict(int)
-    for r in mixed.collect():
-        by[r.lang] += r.copies * r.n_tokens
-    assert by["en"] > by["es"] > 0
+    plain = plain_mixing([(r.doc_id, r.text, r.lang, r.source) for r in clean.collect()], mixing.Mix())
+    assert sorted((str(r.doc_id), r.topic, r.n_tokens, round(r.expected, 6), r.copies) for r in mixed.collect()) == sorted((i, t, n, round(e, 6), c) for i, t, n, e, c in plain if c > 0)
+
+
+def test_stages_with_odd_rows(spark):
+    """Nulls in any column, empty and long texts, ties, repeated rows, extra columns with clashing names, and empty tables."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(40)
+    text = docs.where("length(text) > 200").first().text
+    odd = [(None, text, "en", "web", 3, "x"), (900, None, None, None, None, None), (901, "", "en", "web", 0, "x"), (902, text * 60, None, "web", 9, None), (903, text, "en", None, 9, "y"), (903, text, "en", None, 9, "y"), (904, text, "en", "web", 9, "z")]
+    table = docs.withColumn("row", F.lit("clash")).withColumn("id", F.lit(1)).withColumn("copies", F.lit(7)).withColumn("found", F.lit("clash"))
+    more = spark.createDataFrame([(*r[:5], r[5] or "none", 1, 7, "clash") for r in odd], table.schema)
+    table = table.union(more)
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, table, SF)
+        assert out.columns == table.columns and set(out.columns) == set(table.columns), name
+        assert stage(spark, table.limit(0), SF).count() == 0, name
+        kept = {r.doc_id for r in out.collect()}
+        if name == "line dedup":
+            assert out.count() == table.count()
+        if name == "language ID":
+            assert not kept & {900, 901} and {None, 902, 903, 904} <= kept
+        if name == "n-gram Jaccard join":
+            assert {900, 901, 902} <= kept and 904 not in kept and None not in kept
+        if name == "benchmark decontamination":
+            assert {900, 901} <= kept
+    plain = table.select(*docs.columns)
+    mixed = corpus_pipeline.STAGES[-1][1](spark, plain, SF)
+    assert not {r.doc_id for r in mixed.collect()} & {900, 901} and corpus_pipeline.STAGES[-1][1](spark, plain.limit(0), SF).count() == 0
 
 
 def test_run(spark):
