@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.storage import materialize
+
 
 def first_of_text(df: DataFrame, text: Column, order: list[Column]) -> DataFrame:
     """One row of each normalised text, the first in order. Rows are grouped by a hash: only ids and hashes are sorted where df is narrow."""
@@ -27,8 +29,12 @@ def hashed_order(id_: Column, seed: str) -> Column:
 
 
 def stride_sample(df: DataFrame, order: list[str], n: int) -> DataFrame:
-    """Every n-th row of an order by id: of each value's rank, without sorting all rows in one task where ids are dense."""
-    return df.where(F.pmod(F.col(order[0]), F.lit(n)) == 0)
+    """The first row of an order and every n-th after it. Rows are dealt by ranges and numbered inside each, after the rows of the ranges before; only the sizes of the ranges, as many as partitions, come together."""
+    dealt = materialize(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "stride")
+    before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = dealt.groupBy("_range").agg(F.count("*").alias("_n")).select("_range", before.alias("_before"))
+    place = F.col("_before") + F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
+    return dealt.join(F.broadcast(offsets), "_range").withColumn("_place", place).where(F.col("_place") % n == 0).drop("_range", "_before", "_place")
 
 
 def stratified(df: DataFrame, strata: list[str], id_: str, k: int, seed: str) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -9,8 +12,8 @@ from tidemark.operators.stateful import folded
 
 
 def recites(numbers: Column, values: Column) -> Column:
-    """Whether any number is within max(1 % of a value, 0.01) of it or of its roundings, half to even, to 0, 1 or 2 places."""
-    near = lambda x, c: F.abs(x - c) <= F.greatest(0.01 * F.abs(c), F.lit(0.01))
+    """Whether any number is within max(1 % of a value, 0.01) of it or of its roundings, half to even, to 0, 1 or 2 places. 0 is said by 0 alone."""
+    near = lambda x, c: F.when(c == 0, x == 0).otherwise(F.abs(x - c) <= F.greatest(0.01 * F.abs(c), F.lit(0.01)))
     return F.exists(values, lambda v: F.exists(numbers, lambda x: near(x, v) | near(x, F.bround(v, 0)) | near(x, F.bround(v, 1)) | near(x, F.bround(v, 2))))
 
 
@@ -22,10 +25,11 @@ def says_exactly(text: Column, figure: Column) -> Column:
 
 def ordered_within(tokens: Column, figures: list[Column], span: int) -> Column:
     """Whether the figures stand in this order, the last at most span characters after the first."""
-    at = F.filter(tokens, lambda x: x["said"] == figures[0])
+    says = lambda x, figure: F.rtrim(x["said"], F.lit(",")) == figure
+    at = F.filter(tokens, lambda x: says(x, figures[0]))
 
     def following(figure: Column, pos: Column) -> Column:
-        return F.array_min(F.transform(F.filter(tokens, lambda x: (x["said"] == figure) & (x["pos"] > pos)), lambda x: x["pos"]))
+        return F.array_min(F.transform(F.filter(tokens, lambda x: says(x, figure) & (x["pos"] > pos)), lambda x: x["pos"]))
 
     def from_here(start: Column) -> Column:
         pos = start["pos"]
@@ -74,10 +78,29 @@ def lift(hit: str, control: str) -> list[Column]:
     return [n.alias("n"), F.round(a, 6).alias("rate"), F.round(b, 6).alias("control_rate"), F.round(100 * (a - b), 4).alias("points"), F.round(F.try_divide(a, b), 6).alias("lift"), F.round(z, 6).alias("z")]
 
 
+def _log_factorial(i: Column) -> Column:
+    """Stirling's series beyond 20, where its error is under 1e-12."""
+    x = i.cast("double")
+    series = x * F.log(x) - x + 0.5 * F.log(2 * math.pi * x) + 1 / (12 * x) - 1 / (360 * x * x * x) + 1 / (1260 * F.pow(x, F.lit(5)))
+    return F.when(i <= 20, F.log(F.factorial(F.least(i, F.lit(20)).cast("int")).cast("double"))).otherwise(series)
+
+
 def poisson_tail(k: Column, mean: Column) -> Column:
-    """P(X >= k)."""
-    terms = F.aggregate(F.sequence(F.lit(1), F.greatest(k - 1, F.lit(1))), F.struct(F.exp(-mean).alias("term"), F.exp(-mean).alias("sum")), lambda s, i: F.struct((s["term"] * mean / i).alias("term"), (s["sum"] + s["term"] * mean / i).alias("sum")), lambda s: s["sum"])
-    return F.when(k <= 0, 1.0).when(k == 1, 1 - F.exp(-mean)).otherwise(F.greatest(1 - terms, F.lit(0.0)))
+    """P(X >= k). The side that doesn't hold the mean is added up from k outwards, beginning with a term taken from its logarithm; after twelve standard deviations nothing is left to add."""
+    at = F.greatest(F.when(k <= mean, k - 1).otherwise(k), F.lit(0))
+    term = F.exp(at * F.log(mean) - mean - _log_factorial(at))
+    steps = F.sequence(F.lit(1), (50 + F.ceil(12 * F.sqrt(F.greatest(mean, k.cast("double"))))).cast("int"))
+
+    def added(following: Callable[[Column, Column], Column]) -> Column:
+        def step(s: Column, i: Column) -> Column:
+            t = s["term"] * following(s["at"], i)
+            return F.struct(t.alias("term"), (s["sum"] + t).alias("sum"), s["at"].alias("at"))
+
+        return F.aggregate(steps, F.struct(term.alias("term"), term.alias("sum"), at.cast("double").alias("at")), step, lambda s: s["sum"])
+
+    below = added(lambda n, i: F.greatest(n - i + 1, F.lit(0.0)) / mean)
+    above = added(lambda n, i: mean / (n + i))
+    return F.when(k <= 0, 1.0).when(mean <= 0, 0.0).when(k <= mean, F.greatest(1 - below, F.lit(0.0))).otherwise(F.least(above, F.lit(1.0)))
 
 
 def overlap_share(a: Column, b: Column) -> Column:

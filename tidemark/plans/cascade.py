@@ -11,10 +11,10 @@ def drop_reason(tests: list[tuple[str, Column]]) -> Column:
     return F.coalesce(*[F.when(test, F.lit(name)) for name, test in tests])
 
 
-def reconcile(df: DataFrame, reason: str = "drop_reason", kept: str = "kept") -> DataFrame:
-    """Units by outcome, with the number of all units beside each: the parts add up to it."""
+def reconcile(df: DataFrame, reason: str = "drop_reason", kept: str = "kept", units: DataFrame | None = None) -> DataFrame:
+    """Units by outcome, with the number of all units beside each, counted in `units`, the rows before they were given reasons: if an operator on the way lost or doubled some, the parts don't add up to it."""
     by = df.groupBy(F.coalesce(F.col(reason), F.lit(kept)).alias("outcome")).agg(F.count("*").alias("n"))
-    total = df.agg(F.count("*").alias("considered"))  # one row
+    total = (df if units is None else units).agg(F.count("*").alias("considered"))  # one row
     return by.join(F.broadcast(total))
 
 

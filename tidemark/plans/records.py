@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators import evidence
+
 CHANNEL = T.StructType([T.StructField("values", T.ArrayType(T.DoubleType())), T.StructField("unit", T.StringType()), T.StructField("freq", T.StringType())])
 _TEXT = ("task_type", "text_quality", "series_id", "dataset", "source", "license", "text_source", "alignment", "domain", "region", "period_start", "period_end")
 RECORD = T.StructType([
@@ -19,12 +21,13 @@ MARKER = "<ts></ts>"
 # Fixed values of the record format.
 FREQ = r"^\d+(ms|m|h|d|w|W|M|q|y|over|play)$"
 VOCABULARY = {
-    "task_type": ("cpt",),
-    "text_quality": ("human", "synthetic"),
-    "text_source": ("human", "llm", "template", "mixed"),
+    "task_type": ("world_knowledge",),
+    "text_quality": ("real", "generated"),
+    "text_source": ("first_party_official", "first_party_human", "third_party", "generated"),
     "alignment": ("recites", "describes", "contextualizes"),
-    "license": ("public-domain", "cc-by", "cc-by-sa", "cc-by-nc", "unknown"),
+    "license": ("public-domain-us-gov", "cc-by-4.0", "cc0", "proprietary-review", "unknown"),
 }
+FIGURE = r"(-?[0-9][0-9,]*\.?[0-9]*)"
 
 
 def channel(values: Column, unit: str, freq: str) -> Column:
@@ -36,46 +39,78 @@ def ordered_values(at: str, value: str) -> Column:
     return F.transform(F.sort_array(F.collect_list(F.struct(at, value))), lambda x: x[value])
 
 
+def _filled(ts: Column) -> Column:
+    """Channels that have values: those whose lengths count."""
+    return F.filter(ts, lambda c: F.coalesce(F.size(c["values"]) > 0, F.lit(False)))
+
+
 def _lengths_by_freq(ts: Column) -> Column:
-    """Whether channels of one frequency have one length."""
-    return F.forall(ts, lambda a: F.forall(ts, lambda b: (a["freq"] != b["freq"]) | (F.size(a["values"]) == F.size(b["values"]))))
+    """Whether channels of one valid frequency have one length."""
+    timed = F.filter(_filled(ts), lambda c: F.coalesce(c["freq"].rlike(FREQ), F.lit(False)))
+    return F.forall(timed, lambda a: F.forall(timed, lambda b: (a["freq"] != b["freq"]) | (F.size(a["values"]) == F.size(b["values"]))))
+
+
+def _series(r: DataFrame) -> Column:
+    return F.coalesce(r["timeseries"], F.array().cast(T.ArrayType(CHANNEL)))
+
+
+def _stamps(r: DataFrame) -> tuple[Column, Column]:
+    """(error, warning) of timestamps: they must be as many as the values where the channels have one length, and should be as many as some channel's where channels of several frequencies differ."""
+    full = _filled(_series(r))
+    lengths = F.transform(full, lambda c: F.size(c["values"]))
+    freqs = F.size(F.array_distinct(F.filter(F.transform(full, lambda c: c["freq"]), lambda f: F.coalesce(f.rlike(FREQ), F.lit(False)))))
+    there, n, own = r["timestamps"].isNotNull(), F.size(r["timestamps"]), F.size(F.array_distinct(lengths))
+    one = (own == 1) | ((own > 1) & (freqs == 1))
+    return there & ((F.size(_series(r)) == 0) | (one & (n != F.array_min(lengths)))), there & (own > 1) & ~one & ~F.array_contains(lengths, n)
 
 
-def errors(r: DataFrame) -> Column:
+def _named(rules: list[tuple[str, Column]]) -> Column:
+    return F.filter(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules]), lambda x: x.isNotNull())
+
+
+def errors(r: DataFrame, min_text_chars: int = 0) -> Column:
     """Names of the rules that each record breaks, in a fixed order. A missing series breaks `timeseries`, and never stops the others from being looked at."""
-    ts = F.coalesce(r["timeseries"], F.array().cast(T.ArrayType(CHANNEL)))
+    ts = _series(r)
     markers = F.regexp_count(F.coalesce(r["text"], F.lit("")), F.lit(MARKER))
     finite = lambda v: v.isNull() | ~(F.isnan(v) | (F.abs(v) == float("inf")))
-    rules = [
-        ("text", F.coalesce(F.length(r["text"]) == 0, F.lit(True))),
+    return _named([
+        ("text", F.coalesce(F.length(r["text"]) < max(min_text_chars, 1), F.lit(True))),
         ("marker", F.when(F.coalesce(r["multi_series"], F.lit(False)), markers != F.size(ts)).otherwise(markers != 1)),
         ("timeseries", F.size(ts) == 0),
         ("values", F.exists(ts, lambda c: F.coalesce(F.size(c["values"]) < 1, F.lit(True)))),
         ("finite", F.exists(ts, lambda c: ~F.forall(c["values"], finite))),
-        ("unit", F.exists(ts, lambda c: F.coalesce(F.trim(c["unit"]) == "", F.lit(True)))),
+        ("unit", F.exists(ts, lambda c: F.coalesce(c["unit"] == "", F.lit(True)))),
         ("freq", F.exists(ts, lambda c: ~F.coalesce(c["freq"].rlike(FREQ), F.lit(False)))),
         ("lengths", ~_lengths_by_freq(ts)),
         ("task_type", ~F.coalesce(r["task_type"].isin(*VOCABULARY["task_type"]), F.lit(False))),
         ("text_quality", ~F.coalesce(r["text_quality"].isin(*VOCABULARY["text_quality"]), F.lit(False))),
-        ("timestamps", r["timestamps"].isNotNull() & ((F.size(ts) == 0) | F.exists(ts, lambda c: F.size(c["values"]) != F.size(r["timestamps"])))),
-    ]
-    return F.filter(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules]), lambda x: x.isNotNull())
+        ("timestamps", _stamps(r)[0]),
+    ])
+
+
+def recites_a_value(r: DataFrame) -> Column:
+    """Whether any number in the text is any value of any channel, or one of its roundings."""
+    figures = F.filter(F.transform(F.regexp_extract_all(F.coalesce(r["text"], F.lit("")), F.lit(FIGURE)), lambda x: F.replace(x, F.lit(","), F.lit("")).try_cast("double")), lambda x: x.isNotNull())
+    values = F.filter(F.flatten(F.transform(_series(r), lambda c: F.coalesce(c["values"], F.array().cast("array<double>")))), lambda v: v.isNotNull())
+    return evidence.recites(figures, values)
 
 
 def warnings(r: DataFrame) -> Column:
-    """Vocabulary, source addresses, repeated units, and records that claim to recite a value that the text doesn't say."""
-    ts = F.coalesce(r["timeseries"], F.array().cast(T.ArrayType(CHANNEL)))
+    """Vocabulary, source addresses, repeated units, timestamps of no channel, and records that claim to recite a value that the text doesn't say."""
     unknown = [(c, r[c].isNotNull() & ~r[c].isin(*VOCABULARY[c])) for c in ("text_source", "alignment", "license")]
-    units = F.transform(ts, lambda c: F.concat_ws("|", c["unit"], c["freq"]))
-    last = F.transform(ts, lambda c: F.try_element_at(c["values"], F.lit(-1)))
-    said = F.exists(last, lambda v: v.isNotNull() & F.contains(r["text"], F.floor(v).cast("string")))
-    rules = [*unknown, ("source", r["source"].isNotNull() & ~r["source"].rlike("^https?://")), ("repeated unit", F.size(F.array_distinct(units)) < F.size(units)), ("recites", (r["alignment"] == "recites") & ~said)]
-    return F.filter(F.array(*[F.when(broken, F.lit(name)) for name, broken in rules]), lambda x: x.isNotNull())
+    units = F.filter(F.transform(_series(r), lambda c: c["unit"]), lambda u: u.isNotNull() & (u != ""))
+    return _named([
+        *unknown,
+        ("source", (F.length(r["source"]) > 0) & ~r["source"].rlike("(?i)^https?://")),
+        ("repeated unit", F.size(F.array_distinct(units)) < F.size(units)),
+        ("recites", (r["alignment"] == "recites") & ~recites_a_value(r)),
+        ("timestamps", _stamps(r)[1]),
+    ])
 
 
-def validate(records: DataFrame, strict: bool = False) -> DataFrame:
+def validate(records: DataFrame, strict: bool = False, min_text_chars: int = 0) -> DataFrame:
     """Adds errors and warnings; strict: warnings are errors."""
-    out = records.withColumn("errors", errors(records)).withColumn("warnings", warnings(records))
+    out = records.withColumn("errors", errors(records, min_text_chars)).withColumn("warnings", warnings(records))
     return out.withColumn("errors", F.concat("errors", "warnings")) if strict else out
 
 

@@ -30,7 +30,7 @@ def _weeks(t: Tables) -> DataFrame:
 def _record(df: DataFrame) -> DataFrame:
     values = F.transform("ns", lambda x: x.cast("double"))
     plain = {f.name: F.lit(None).cast(f.dataType) for f in records.RECORD.fields}
-    plain |= {"text": F.col("text"), "timeseries": F.array(records.channel(values, "events", "1d")), "task_type": F.lit("cpt"), "text_quality": F.lit("synthetic"), "alignment": F.lit("describes")}
+    plain |= {"text": F.col("text"), "timeseries": F.array(records.channel(values, "events", "1d")), "task_type": F.lit("world_knowledge"), "text_quality": F.lit("generated"), "alignment": F.lit("describes")}
     keep = [c for c in df.columns if c not in plain]
     return df.select(*keep, *[c.alias(n) for n, c in plain.items()])
 
@@ -42,86 +42,69 @@ def daily_event_window(t: Tables) -> DataFrame:
     return out.select("event_type", "day", "drop_reason", "text", "n7", "t7", F.size("errors").alias("n_errors"))
 
 
-@query(f"WITH {WEEKS} SELECT coalesce(drop_reason, 'kept') AS outcome, count(*) AS n, (SELECT count(*) FROM r) AS considered FROM r GROUP BY 1")
+@query(f"WITH {WEEKS} SELECT coalesce(drop_reason, 'kept') AS outcome, count(*) AS n, (SELECT count(*) FROM d) AS considered FROM r GROUP BY 1")
 def reconcile_counts(t: Tables) -> DataFrame:
-    return cascade.reconcile(_weeks(t))
-
-
-FAULTS = """b AS (SELECT o_orderkey AS k, o_orderkey % 12 AS f, round(o_totalprice) AS v FROM orders WHERE o_orderkey % 3 = 0)"""
-
-
-def _faulty(t: Tables) -> DataFrame:
-    """Records with a fault of each kind, by the order's number."""
-    f, v = F.col("f"), F.col("v")
-    base = t.orders.where("o_orderkey % 3 = 0").select(F.col("o_orderkey").alias("k"), (F.col("o_orderkey") % 12).alias("f"), F.bround("o_totalprice", 0).alias("v"))
-    one = F.struct(F.when(f == 3, F.array(F.lit(float("nan")))).when(f == 6, F.array().cast("array<double>")).otherwise(F.array(v, v)).alias("values"), F.lit("usd").alias("unit"), F.when(f == 9, "1prd").otherwise("1d").alias("freq"))
-    plain = {x.name: F.lit(None).cast(x.dataType) for x in records.RECORD.fields}
-    plain |= {"text": F.when(f == 0, "no marker").otherwise(F.lit(records.MARKER + " total")), "timeseries": F.array(one), "task_type": F.lit("cpt"), "text_quality": F.lit("human"), "alignment": F.when(f == 9, "recites").otherwise("describes"), "source": F.when(f == 6, "ftp://x").otherwise("https://x")}
-    return base.select("k", *[c.alias(n) for n, c in plain.items()])
-
-
-@query(f"WITH {FAULTS} SELECT k, CASE f WHEN 0 THEN 'marker' WHEN 3 THEN 'finite' WHEN 6 THEN 'values' WHEN 9 THEN 'freq' ELSE '' END AS errors, CASE f WHEN 6 THEN 'source' WHEN 9 THEN 'recites' ELSE '' END AS warnings FROM b")
-def validator_errors(t: Tables) -> DataFrame:
-    out = records.validate(_faulty(t))
-    return out.select("k", F.array_join("errors", ",").alias("errors"), F.array_join("warnings", ",").alias("warnings"))
-
-
-@query(f"WITH {FAULTS} SELECT k, CASE f WHEN 0 THEN 'marker' WHEN 3 THEN 'finite' WHEN 6 THEN 'values,source' WHEN 9 THEN 'freq,recites' ELSE '' END AS errors FROM b")
-def validator_strict(t: Tables) -> DataFrame:
-    return records.validate(_faulty(t), strict=True).select("k", F.array_join("errors", ",").alias("errors"))
-
-
-@query(f"WITH {FAULTS} SELECT CASE WHEN f IN (3, 6) THEN 'quarantine' ELSE 'shippable' END AS bucket, count(*) AS n FROM b GROUP BY 1")
-def quarantine_split(t: Tables) -> DataFrame:
-    bad = F.exists(records.errors(r := _faulty(t)), lambda e: e.isin("finite", "values"))
-    return r.groupBy(F.when(bad, "quarantine").otherwise("shippable").alias("bucket")).agg(F.count("*").alias("n"))
-
-
-#: One kind of record for each residue: all rules broken, one after the other, and two kinds that break none.
-EVERY = """b AS (SELECT o_orderkey AS k, o_orderkey % 19 AS f FROM orders),
-e AS (SELECT k, f, ['text,marker', 'marker', 'timeseries', 'values', 'finite', 'unit', 'freq', 'lengths', 'task_type', 'text_quality', 'timestamps', '', '', '', '', '', '', '', ''][f + 1] AS errors,
-['', '', '', '', '', '', '', '', '', '', '', 'source', 'recites', 'license', 'text_source', 'alignment', 'repeated unit', '', ''][f + 1] AS warnings FROM b)"""
+    return cascade.reconcile(_weeks(t), units=windows.daily_dense(t.events, ["event_type"], "ts", {"n": F.lit(1)}))
+
+
+RULES = r"""b AS (SELECT o_orderkey AS k, o_orderkey % 24 AS f, [round_even(o_totalprice, 0), round_even(o_totalprice, 0)] AS two FROM orders),
+c AS (SELECT k, f, {'values': CASE f WHEN 3 THEN []::DOUBLE[] WHEN 4 THEN ['inf'::DOUBLE] ELSE two END, 'unit': CASE f WHEN 5 THEN '' ELSE 'usd' END, 'freq': CASE f WHEN 6 THEN '1prd' ELSE '1d' END} AS one,
+  {'values': CASE WHEN f IN (7, 18, 19) THEN two[1:1] ELSE two END, 'unit': CASE f WHEN 16 THEN 'usd' ELSE 'eur' END, 'freq': CASE WHEN f IN (18, 19) THEN '1w' ELSE '1d' END} AS more, '<ts></ts> total' AS m, two[1]::BIGINT::VARCHAR AS v FROM b),
+r AS (SELECT k, CASE f WHEN 0 THEN '' WHEN 1 THEN 'no marker' WHEN 17 THEN m || m WHEN 20 THEN m || ' ' || v || '.' WHEN 23 THEN '<ts></ts>' ELSE m || ' 7' END AS text,
+  CASE WHEN f = 2 THEN [] WHEN f IN (7, 16, 17, 18, 19, 21) THEN [one, more] ELSE [one] END AS ts, CASE f WHEN 8 THEN 'cpt' ELSE 'world_knowledge' END AS task_type, CASE WHEN f <> 9 THEN 'real' END AS text_quality,
+  CASE f WHEN 10 THEN 1 WHEN 18 THEN 1 WHEN 19 THEN 5 WHEN 22 THEN 2 END AS n_stamps, CASE f WHEN 11 THEN 'ftp://x' ELSE 'HTTPS://x' END AS source, CASE WHEN f IN (12, 20) THEN 'recites' WHEN f = 15 THEN 'near' ELSE 'describes' END AS alignment,
+  CASE f WHEN 13 THEN 'own' ELSE 'cc0' END AS license, CASE f WHEN 14 THEN 'dictated' ELSE 'generated' END AS text_source, f IN (17, 21) AS multi FROM c),
+q AS (SELECT *, (length(text) - length(replace(text, '<ts></ts>', ''))) / 9 AS markers, [x for x in ts if len(x.values) > 0] AS filled, [len(x.values) for x in ts if len(x.values) > 0] AS lens, regexp_extract_all(text, '-?[0-9][0-9,]*\.?[0-9]*') AS nums FROM r),
+o AS (SELECT *, [x for x in filled if regexp_matches(x.freq, '^[0-9]+(ms|m|h|d|w|W|M|q|y|over|play)$')] AS timed, flatten([x.values for x in ts]) AS vals, [x.unit for x in ts if x.unit <> ''] AS units FROM q),
+p AS (SELECT *, len(list_distinct([x.freq for x in timed])) AS freqs, len(list_distinct([x.freq || ':' || len(x.values) for x in timed])) AS pairs, len(list_distinct(lens)) AS own,
+  EXISTS (SELECT 1 FROM (SELECT unnest(vals) AS v) CROSS JOIN (SELECT try_cast(replace(unnest(nums), ',', '') AS DOUBLE) AS t) WHERE abs(t - v) <= greatest(0.01 * abs(v), 0.01) OR abs(t - round(v)) <= greatest(0.01 * abs(round(v)), 0.01)) AS said FROM o),
+e AS (SELECT k, [x for x in [CASE WHEN length(text) < 10 THEN 'text' END, CASE WHEN markers <> CASE WHEN multi THEN len(ts) ELSE 1 END THEN 'marker' END, CASE WHEN len(ts) = 0 THEN 'timeseries' END, CASE WHEN len(filled) < len(ts) THEN 'values' END,
+  CASE WHEN len([v for v in vals if NOT isfinite(v)]) > 0 THEN 'finite' END, CASE WHEN len(units) < len(ts) THEN 'unit' END, CASE WHEN len([x for x in ts if NOT regexp_matches(x.freq, '^[0-9]+(ms|m|h|d|w|W|M|q|y|over|play)$')]) > 0 THEN 'freq' END, CASE WHEN pairs > freqs THEN 'lengths' END,
+  CASE WHEN task_type <> 'world_knowledge' THEN 'task_type' END, CASE WHEN coalesce(text_quality NOT IN ('real', 'generated'), TRUE) THEN 'text_quality' END, CASE WHEN (own = 1 OR freqs = 1) AND n_stamps <> lens[1] THEN 'timestamps' END] if x IS NOT NULL] AS errors,
+  [x for x in [CASE WHEN text_source NOT IN ('first_party_official', 'first_party_human', 'third_party', 'generated') THEN 'text_source' END, CASE WHEN alignment NOT IN ('recites', 'describes', 'contextualizes') THEN 'alignment' END,
+  CASE WHEN license NOT IN ('public-domain-us-gov', 'cc-by-4.0', 'cc0', 'proprietary-review', 'unknown') THEN 'license' END, CASE WHEN NOT regexp_matches(lower(source), '^https?://') THEN 'source' END, CASE WHEN len(list_distinct(units)) < len(units) THEN 'repeated unit' END,
+  CASE WHEN alignment = 'recites' AND NOT said THEN 'recites' END, CASE WHEN own > 1 AND freqs > 1 AND NOT list_contains(lens, n_stamps) THEN 'timestamps' END] if x IS NOT NULL] AS warnings FROM p)"""
 
 
 def _every(t: Tables) -> DataFrame:
-    """Records of all orders, with a fault for each rule, by the order's number."""
+    """Records of all orders, with a fault for each rule, and kinds without one, by the order's number."""
     f, v = F.col("f"), F.bround("o_totalprice", 0)
-    base = t.orders.select(F.col("o_orderkey").alias("k"), (F.col("o_orderkey") % 19).alias("f"), F.array(v, v).alias("two"))
+    base = t.orders.select(F.col("o_orderkey").alias("k"), (F.col("o_orderkey") % 24).alias("f"), F.array(v, v).alias("two"))
     values = F.when(f == 3, F.array().cast("array<double>")).when(f == 4, F.array(F.lit(float("inf")))).otherwise(F.col("two"))
-    one = F.struct(values.alias("values"), F.when(f == 5, " ").otherwise("usd").alias("unit"), F.when(f == 6, "1prd").otherwise("1d").alias("freq"))
-    more = F.struct(F.when(f == 7, F.slice("two", 1, 1)).otherwise(F.col("two")).alias("values"), F.when(f == 16, "usd").otherwise("eur").alias("unit"), F.lit("1d").alias("freq"))
+    one = F.struct(values.alias("values"), F.when(f == 5, "").otherwise("usd").alias("unit"), F.when(f == 6, "1prd").otherwise("1d").alias("freq"))
+    more = F.struct(F.when(f.isin(7, 18, 19), F.slice("two", 1, 1)).otherwise(F.col("two")).alias("values"), F.when(f == 16, "usd").otherwise("eur").alias("unit"), F.when(f.isin(18, 19), "1w").otherwise("1d").alias("freq"))
     marker = F.lit(records.MARKER + " total")
+    said = F.concat(marker, F.lit(" "), F.col("two")[0].cast("bigint").cast("string"), F.lit("."))
     plain = {x.name: F.lit(None).cast(x.dataType) for x in records.RECORD.fields}
     plain |= {
-        "text": F.when(f == 0, "").when(f == 1, "no marker").when(f == 17, F.concat(marker, marker)).otherwise(marker),
-        "timeseries": F.when(f == 2, F.array().cast(records.RECORD["timeseries"].dataType)).when(f.isin(7, 16, 17), F.array(one, more)).otherwise(F.array(one)),
-        "task_type": F.when(f == 8, "sft").otherwise("cpt"),
-        "text_quality": F.when(f != 9, "human"),
-        "timestamps": F.when(f == 10, F.array(F.lit("2024-01-01"))),
-        "source": F.when(f == 11, "ftp://x").otherwise("https://x"),
-        "alignment": F.when(f == 12, "recites").when(f == 15, "near").otherwise("describes"),
-        "license": F.when(f == 13, "own").otherwise("cc-by"),
-        "text_source": F.when(f == 14, "dictated").otherwise("human"),
-        "multi_series": f == 17,
+        "text": F.when(f == 0, "").when(f == 1, "no marker").when(f == 17, F.concat(marker, marker)).when(f == 20, said).when(f == 23, records.MARKER).otherwise(F.concat(marker, F.lit(" 7"))),
+        "timeseries": F.when(f == 2, F.array().cast(records.RECORD["timeseries"].dataType)).when(f.isin(7, 16, 17, 18, 19, 21), F.array(one, more)).otherwise(F.array(one)),
+        "task_type": F.when(f == 8, "cpt").otherwise("world_knowledge"),
+        "text_quality": F.when(f != 9, "real"),
+        "timestamps": F.when(f.isin(10, 18), F.array(F.lit("2024-01-01"))).when(f == 19, F.array_repeat(F.lit("2024-01-01"), 5)).when(f == 22, F.array_repeat(F.lit("2024-01-01"), 2)),
+        "source": F.when(f == 11, "ftp://x").otherwise("HTTPS://x"),
+        "alignment": F.when(f.isin(12, 20), "recites").when(f == 15, "near").otherwise("describes"),
+        "license": F.when(f == 13, "own").otherwise("cc0"),
+        "text_source": F.when(f == 14, "dictated").otherwise("generated"),
+        "multi_series": f.isin(17, 21),
     }
     return base.select("k", *[c.alias(n) for n, c in plain.items()])
 
 
-@query(f"WITH {EVERY} SELECT k, errors, warnings FROM e")
-def validator_errors_whole(t: Tables) -> DataFrame:
-    """Like validator_errors, over every order and every rule."""
-    out = records.validate(_every(t))
+@query(f"WITH {RULES} SELECT k, array_to_string(errors, ',') AS errors, array_to_string(warnings, ',') AS warnings FROM e")
+def validator_errors(t: Tables) -> DataFrame:
+    out = records.validate(_every(t), min_text_chars=10)
     return out.select("k", F.array_join("errors", ",").alias("errors"), F.array_join("warnings", ",").alias("warnings"))
 
 
-@query(f"WITH {EVERY} SELECT k, errors || warnings AS errors FROM e")
-def validator_strict_whole(t: Tables) -> DataFrame:
-    return records.validate(_every(t), strict=True).select("k", F.array_join("errors", ",").alias("errors"))
+@query(f"WITH {RULES} SELECT k, array_to_string(errors || warnings, ',') AS errors FROM e")
+def validator_strict(t: Tables) -> DataFrame:
+    return records.validate(_every(t), strict=True, min_text_chars=10).select("k", F.array_join("errors", ",").alias("errors"))
 
 
-@query(f"WITH {EVERY} SELECT CASE WHEN f IN (3, 4) THEN 'quarantine' ELSE 'shippable' END AS bucket, count(*) AS n FROM e GROUP BY 1")
-def quarantine_split_whole(t: Tables) -> DataFrame:
-    bad = F.exists(records.errors(r := _every(t)), lambda e: e.isin("finite", "values"))
+@query(f"WITH {RULES} SELECT CASE WHEN list_has_any(errors, ['finite', 'values']) THEN 'quarantine' ELSE 'shippable' END AS bucket, count(*) AS n FROM e GROUP BY 1")
+def quarantine_split(t: Tables) -> DataFrame:
+    bad = F.exists(records.errors(r := _every(t), 10), lambda e: e.isin("finite", "values"))
     return r.groupBy(F.when(bad, "quarantine").otherwise("shippable").alias("bucket")).agg(F.count("*").alias("n"))
 
 
@@ -152,13 +135,15 @@ def _spending(t: Tables) -> DataFrame:
     return s.select("user_id", "vs", whole(last).alias("last"), whole(before).alias("before"), text.alias("text"))
 
 
-@query("""WITH s AS (SELECT user_id, list(value ORDER BY ts, event_id) AS vs FROM events WHERE event_type = 'purchase' GROUP BY 1), x AS (SELECT user_id, floor(vs[len(vs)])::BIGINT AS a, floor(coalesce(vs[len(vs) - 1], 0))::BIGINT AS b FROM s)
-SELECT user_id, TRUE AS exact, TRUE AS pair, a = b OR a = user_id OR b = user_id OR (user_id = b AND a <> b) AS reversed FROM x""")
+@query(r"""WITH s AS (SELECT user_id, list(value ORDER BY ts, event_id) AS vs FROM events WHERE event_type = 'purchase' GROUP BY 1), x AS (SELECT user_id, floor(vs[len(vs)])::BIGINT AS a, floor(coalesce(vs[len(vs) - 1], 0))::BIGINT AS b FROM s),
+n AS (SELECT *, regexp_extract_all(user_id || ' spent ' || a || ' and before that ' || b || ' in 2024', '[0-9][0-9,]*') AS ns FROM x)
+SELECT user_id, list_contains(ns, a::VARCHAR) AS exact, list_contains(ns, (a + 1)::VARCHAR) AS other, len([i for i in range(1, 5) if ns[i] = a::VARCHAR AND list_contains(ns[i + 1:], b::VARCHAR)]) > 0 AS pair, len([i for i in range(1, 5) if ns[i] = b::VARCHAR AND list_contains(ns[i + 1:], a::VARCHAR)]) > 0 AS reversed FROM n""")
 def recites_exact_terminal(t: Tables) -> DataFrame:
+    """Whether the text says the last figure, one that it mostly doesn't, and the last two in the order of the text and against it."""
     x = _spending(t).withColumn("k", num.tokens(F.col("text")))
-    pair = evidence.ordered_within(F.col("k"), [F.col("last"), F.col("before")], 140)
-    same = (F.col("last") == F.col("before")) | (F.col("last") == F.col("user_id").cast("string")) | (F.col("before") == F.col("user_id").cast("string"))
-    return x.select("user_id", evidence.says_exactly(F.col("text"), F.col("last")).alias("exact"), pair.alias("pair"), same.alias("reversed"))
+    pair = lambda *figures: evidence.ordered_within(F.col("k"), [F.col(f) for f in figures], 140)
+    next_ = (F.col("last").cast("bigint") + 1).cast("string")
+    return x.select("user_id", evidence.says_exactly(F.col("text"), F.col("last")).alias("exact"), evidence.says_exactly(F.col("text"), next_).alias("other"), pair("last", "before").alias("pair"), pair("before", "last").alias("reversed"))
 
 
 SERIES = "m AS (SELECT o_orderpriority AS p, date_trunc('month', o_orderdate)::DATE AS month, count(*) AS v FROM orders GROUP BY ALL)"
@@ -241,9 +226,9 @@ def shared_text_resolution(t: Tables) -> DataFrame:
     return d.join(groups, "h").select("doc_id", verdict.alias("verdict"))
 
 
-@query("SELECT o_orderkey FROM orders WHERE o_orderkey % 97 = 0")
+@query("SELECT o_orderkey FROM (SELECT o_orderkey, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS place FROM orders) WHERE place % 97 = 0")
 def sample_stride(t: Tables) -> DataFrame:
-    return dedup.stride_sample(t.orders, ["o_orderkey"], 97).select("o_orderkey")
+    return dedup.stride_sample(t.orders.select("o_orderdate", "o_orderkey"), ["o_orderdate", "o_orderkey"], 97).select("o_orderkey")
 
 
 @query("SELECT lang, doc_id FROM (SELECT lang, doc_id, row_number() OVER (PARTITION BY lang ORDER BY md5(doc_id || ':s'), doc_id) AS n FROM documents) WHERE n <= 20")
