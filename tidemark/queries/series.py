@@ -169,9 +169,9 @@ def month_trailing_gapnull(t: Tables) -> DataFrame:
     return windows.trailing_months(m.where("month(month) % 5 <> 0"), refs, ["p"], "ref", "month", "v", 12)
 
 
-@query(f"WITH {MONTHLY}, x AS (SELECT *, row_number() OVER (PARTITION BY p, month(month) ORDER BY month DESC) AS back FROM m) SELECT p, month, v, back FROM x WHERE back <= 3 AND month(month) = 6")
+@query(f"WITH {MONTHLY}, x AS (SELECT *, row_number() OVER (PARTITION BY p, month(month) ORDER BY month DESC) AS back FROM m) SELECT p, month, v, back FROM x WHERE back <= 3")
 def same_month_across_years(t: Tables) -> DataFrame:
-    return windows.trailing_rows(_monthly(t).where("month(month) = 6"), ["p"], ["month"], 3)
+    return windows.trailing_rows(_monthly(t).withColumn("mm", F.month("month")), ["p", "mm"], ["month"], 3).drop("mm")
 
 
 @query(f"WITH {MONTHLY} SELECT p, month, round(sum(v) OVER (PARTITION BY p, CASE WHEN month(month) >= 10 THEN year(month) + 1 ELSE year(month) END ORDER BY month ROWS UNBOUNDED PRECEDING), 2) AS season_total FROM m")
@@ -268,17 +268,9 @@ def freshest_alias(t: Tables) -> DataFrame:
     return t.supplier.withColumn("g", F.col("s_nationkey") % 5).join(best, "g").select("s_suppkey", F.col("n_name").alias("name"))
 
 
-@query("""WITH p AS (SELECT DISTINCT substr(p_type, 1, n) AS prefix FROM part, (SELECT unnest([3, 5, 9]) AS n) WHERE p_partkey % 10 = 0), j AS (SELECT p_type, arg_max(prefix, length(prefix)) AS prefix FROM (SELECT DISTINCT p_type FROM part) JOIN p ON starts_with(p_type, prefix) GROUP BY 1)
-SELECT DISTINCT part.p_type, prefix FROM part LEFT JOIN j ON j.p_type = part.p_type""")
-def longest_prefix(t: Tables) -> DataFrame:
-    prefixes = t.part.where("p_partkey % 10 = 0").select(F.explode(F.array(*[F.substring("p_type", 1, n) for n in (3, 5, 9)])).alias("prefix"))
-    return joins.longest_prefix(t.part.select("p_type").distinct(), prefixes, "p_type", "prefix")
-
-
 @query("""WITH p AS (SELECT DISTINCT substr(p_type, 1, n) AS prefix FROM part, (SELECT unnest([3, 5, 9]) AS n)), j AS (SELECT p_type, arg_max(prefix, length(prefix)) AS prefix FROM (SELECT DISTINCT p_type FROM part) JOIN p ON starts_with(p_type, prefix) GROUP BY 1)
 SELECT p_type, prefix FROM (SELECT DISTINCT p_type FROM part) LEFT JOIN j USING (p_type)""")
-def longest_prefix_whole(t: Tables) -> DataFrame:
-    """Like longest_prefix, with the prefixes of every part."""
+def longest_prefix(t: Tables) -> DataFrame:
     prefixes = t.part.select(F.explode(F.array(*[F.substring("p_type", 1, n) for n in (3, 5, 9)])).alias("prefix"))
     return joins.longest_prefix(t.part.select("p_type").distinct(), prefixes, "p_type", "prefix")
 

@@ -58,17 +58,9 @@ def doc_sections(t: Tables) -> DataFrame:
     return s.where("head is null").groupBy("doc_id", "section").agg(F.count("*").alias("lines"), F.sum(F.length("line")).alias("chars"))
 
 
-@query(f"""WITH {SENTENCES}, x AS (SELECT doc_id, ss, unnest(range(1, len(ss) + 1)) AS k FROM s), c AS (SELECT doc_id, array_to_string(ss[1:k], ' ') AS cut, k FROM x WHERE k <= 12), d AS (SELECT doc_id, max(k) FILTER (WHERE k = 1 OR length(cut) <= 300) AS k FROM c GROUP BY 1)
-SELECT doc_id, cut FROM c JOIN d USING (doc_id, k) UNION ALL SELECT doc_id, '' FROM s WHERE len(ss) = 0""")
-def doc_truncate_sentence(t: Tables) -> DataFrame:
-    s = F.slice(tx.sentences(F.col("text")), 1, 12)
-    return t.documents.select("doc_id", tx.first_sentences(s, 300).alias("cut"))
-
-
 @query(f"""WITH {SENTENCES}, x AS (SELECT doc_id, unnest(ss) AS y, unnest(range(1, len(ss) + 1)) AS k FROM s), c AS (SELECT doc_id, k, sum(length(y) + 1) OVER (PARTITION BY doc_id ORDER BY k) - 1 AS size FROM x), d AS (SELECT doc_id, max(k) AS k FROM c WHERE k = 1 OR size <= 300 GROUP BY 1)
 SELECT doc_id, array_to_string(ss[1:coalesce(k, 0)], ' ') AS cut FROM s LEFT JOIN d USING (doc_id)""")
-def doc_truncate_sentence_whole(t: Tables) -> DataFrame:
-    """Like doc_truncate_sentence, with however many sentences fit into the 300 characters, not the first 12 of them."""
+def doc_truncate_sentence(t: Tables) -> DataFrame:
     return t.documents.select("doc_id", tx.first_sentences(tx.sentences(F.col("text")), 300).alias("cut"))
 
 
@@ -77,7 +69,7 @@ NUMBERS = r"n AS (SELECT doc_id, regexp_extract_all(text, '([0-9][0-9,]*(?:\.[0-
 
 @query(f"WITH {NUMBERS}, e AS (SELECT doc_id, unnest(ns) AS said FROM n) SELECT doc_id, count(*) AS n, count(*) FILTER (WHERE contains(said, '.')) AS with_decimals, max(try_cast(replace(rtrim(said, ','), ',', '') AS DOUBLE)) AS largest FROM e GROUP BY 1")
 def doc_numbers(t: Tables) -> DataFrame:
-    e = t.documents.select("doc_id", F.inline(num.tokens(F.col("text"))))
+    e = t.documents.select("doc_id", F.explode(F.regexp_extract_all("text", F.lit(num.TOKEN), 1)).alias("said"))
     return e.groupBy("doc_id").agg(F.count("*").alias("n"), F.count_if(F.col("said").contains(".")).alias("with_decimals"), F.max(num.value(F.col("said"))).alias("largest"))
 
 
@@ -128,10 +120,10 @@ def url_canonical(t: Tables) -> DataFrame:
     return t.pages.select("page_id", tx.canonical_url(F.col("url")).alias("url"))
 
 
-@query(r"SELECT conv_id, turn, regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '([,.])', ' \1', 'g'), ' ([,.;:!?%)])', '\1', 'g'), '([($#@]) ', '\1', 'g'), ' ''', '''', 'g') = text AS same, trim(regexp_replace(lower(substr(text, 1, 40)), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM conversations")
+@query(r"SELECT conv_id, turn, regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '([,.])', ' \1', 'g'), ' ([,.;:!?%)])', '\1', 'g'), '([($#@]) ', '\1', 'g'), ' ''', '''', 'g') = text AS same, trim(regexp_replace(lower(text), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM conversations")
 def detokenise_slug(t: Tables) -> DataFrame:
     apart = F.regexp_replace("text", "([,.])", " $1")
-    return t.conversations.select("conv_id", "turn", (tx.detokenise(apart) == F.col("text")).alias("same"), tx.slug(F.substring("text", 1, 40)).alias("slug"))
+    return t.conversations.select("conv_id", "turn", (tx.detokenise(apart) == F.col("text")).alias("same"), tx.slug(F.col("text")).alias("slug"))
 
 
 @query("SELECT doc_id FROM documents WHERE (contains(lower(text), 'the') AND contains(lower(text), 'license')) OR (contains(lower(text), 'password')) OR (contains(lower(text), 'und') AND contains(lower(text), 'nicht') AND contains(lower(text), 'sich'))")
@@ -145,16 +137,9 @@ def region_between_markers(t: Tables) -> DataFrame:
     return t.pages.select("page_id", tx.between(F.col("html"), "<title>", ("</title>", "***")).alias("title"))
 
 
-@query(r"""SELECT doc_id, len(regexp_extract_all(text, '[A-Za-z0-9._]+@[A-Za-z0-9.]+')) AS mails, len(regexp_extract_all(text, '[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}')) AS addresses, regexp_replace(regexp_replace(substr(text, 1, 2000), '[A-Za-z0-9._]+@[A-Za-z0-9.]+', '<mail>', 'g'), '[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}', '<ip>', 'g') = substr(text, 1, 2000) AS clean FROM documents""")
-def pii_counts(t: Tables) -> DataFrame:
-    mail, ip = r"[A-Za-z0-9._]+@[A-Za-z0-9.]+", r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}"
-    head = F.substring("text", 1, 2000)
-    return t.documents.select("doc_id", F.regexp_count("text", F.lit(mail)).cast("bigint").alias("mails"), F.regexp_count("text", F.lit(ip)).cast("bigint").alias("addresses"), (F.regexp_replace(F.regexp_replace(head, mail, "<mail>"), ip, "<ip>") == head).alias("clean"))
-
-
 @query(r"""SELECT doc_id, len(regexp_extract_all(text, '[A-Za-z0-9._]+@[A-Za-z0-9.]+')) AS mails, len(regexp_extract_all(text, '[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}')) AS addresses, regexp_replace(regexp_replace(text, '[A-Za-z0-9._]+@[A-Za-z0-9.]+', '<mail>', 'g'), '[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}', '<ip>', 'g') = text AS clean FROM documents""")
-def pii_counts_whole(t: Tables) -> DataFrame:
-    """Like pii_counts, but a text is clean only if redaction leaves all of it as it is, not its first 2,000 characters."""
+def pii_counts(t: Tables) -> DataFrame:
+    """A text is clean if redaction leaves all of it as it is."""
     mail, ip = r"[A-Za-z0-9._]+@[A-Za-z0-9.]+", r"[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}"
     redacted = F.regexp_replace(F.regexp_replace("text", mail, "<mail>"), ip, "<ip>")
     return t.documents.select("doc_id", F.regexp_count("text", F.lit(mail)).cast("bigint").alias("mails"), F.regexp_count("text", F.lit(ip)).cast("bigint").alias("addresses"), (redacted == F.col("text")).alias("clean"))
