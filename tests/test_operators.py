@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 from collections import defaultdict
@@ -163,7 +164,7 @@ def test_truncation_has_no_count_of_sentences(spark, tmp_path):
     """Thirteen short sentences fit into 300 characters, and the limit holds for the one that doesn't."""
     texts = [" ".join(f"Go {k}." for k in range(20)), " ".join(f"No{k}." for k in range(100)), "x" * 400 + ". Next.", ""]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = {r.doc_id: r.cut for r in QUERIES["doc_truncate_sentence_whole"](spark, str(tmp_path)).collect()}
+    got = {r.doc_id: r.cut for r in QUERIES["doc_truncate_sentence"](spark, str(tmp_path)).collect()}
     fits = [k for k in range(100) if len(" ".join(f"No{i}." for i in range(k + 1))) <= 300]
     assert len(fits) > 12 and got == {0: texts[0], 1: " ".join(f"No{i}." for i in fits), 2: "x" * 400 + ".", 3: ""}
 
@@ -172,7 +173,7 @@ def test_redaction_of_whole_texts(spark, tmp_path):
     """What stands after character 2,000 counts like what stands before."""
     texts = ["plain " * 500, "plain " * 500 + "ann@b.org", "plain " * 500 + "10.0.0.1", "ann@b.org", ""]
     spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
-    got = {r.doc_id: (r.mails, r.addresses, r.clean) for r in QUERIES["pii_counts_whole"](spark, str(tmp_path)).collect()}
+    got = {r.doc_id: (r.mails, r.addresses, r.clean) for r in QUERIES["pii_counts"](spark, str(tmp_path)).collect()}
     assert got == {0: (0, 0, True), 1: (1, 0, False), 2: (0, 1, False), 3: (1, 0, False), 4: (0, 0, True)}
 
 
@@ -185,8 +186,42 @@ def test_longest_prefix_beyond_1000_lengths(spark):
 
 
 def test_records_of_every_order_and_rule(spark, tmp_path):
-    spark.range(190).selectExpr("id AS o_orderkey", "id + 0.5D AS o_totalprice").write.parquet(f"{tmp_path}/orders.parquet")
-    got = QUERIES["validator_errors_whole"](spark, str(tmp_path)).collect()
+    spark.range(240).selectExpr("id AS o_orderkey", "id + 0.5D AS o_totalprice").write.parquet(f"{tmp_path}/orders.parquet")
+    got = QUERIES["validator_errors"](spark, str(tmp_path)).collect()
     broken = {x for r in got for x in f"{r.errors},{r.warnings}".split(",")}
-    assert len(got) == 190 and broken == {"", "text", "marker", "timeseries", "values", "finite", "unit", "freq", "lengths", "task_type", "text_quality", "timestamps", "source", "recites", "license", "text_source", "alignment", "repeated unit"}
-    assert {r.bucket: r.n for r in QUERIES["quarantine_split_whole"](spark, str(tmp_path)).collect()} == {"quarantine": 20, "shippable": 170}
+    assert len(got) == 240 and broken == {"", "text", "marker", "timeseries", "values", "finite", "unit", "freq", "lengths", "task_type", "text_quality", "timestamps", "source", "recites", "license", "text_source", "alignment", "repeated unit"}
+    assert {r.bucket: r.n for r in QUERIES["quarantine_split"](spark, str(tmp_path)).collect()} == {"quarantine": 20, "shippable": 220}
+
+
+def test_poisson_tail_of_large_means(spark):
+    """Against sums of logarithms, from means of a thousandth to a hundred thousand."""
+    cases = [(k, m) for m in (0.001, 0.5, 3.0, 40.0, 745.0, 1000.0, 100_000.0) for k in sorted({0, 1, 2, 21, int(m * 0.8), int(m), int(m) + 1, int(m + 5 * m**0.5), int(2 * m)})]
+
+    def plain(k, m):
+        terms = lambda ks: math.fsum(math.exp(i * math.log(m) - m - math.lgamma(i + 1)) for i in ks)
+        spread = int(14 * max(k, m) ** 0.5) + 60
+        return 1.0 if k == 0 else 1 - terms(range(max(0, k - spread), k)) if k <= m else terms(range(k, k + spread))
+
+    df = spark.createDataFrame(cases, "k long, m double").withColumn("p", evidence.poisson_tail(F.col("k"), F.col("m")))
+    for r in df.collect():
+        assert r.p == pytest.approx(plain(r.k, r.m), rel=1e-8, abs=1e-12), (r.k, r.m)
+
+
+def test_null_keys_are_one_group(spark):
+    rows_ = [(None, 1), (None, 2), (None, 12), (7, 1), (7, 5), (7, 11)]
+    kept = stateful.greedy_spacing(spark.createDataFrame(rows_, "u long, at int"), ["u"], "at", 10)
+    assert sorted(((r.u, r["at"]) for r in kept.collect()), key=str) == sorted([(None, 1.0), (None, 12.0), (7, 1.0), (7, 11.0)], key=str)
+
+
+def test_stride_takes_positions(spark):
+    """Every third of ids with gaps, a common factor and repeats, over many ranges."""
+    ids = [97 * k for k in range(500)] + [97] * 3
+    got = dedup.stride_sample(spark.createDataFrame([(i,) for i in ids], "id long").repartition(5), ["id"], 3)
+    assert sorted(r.id for r in got.collect()) == sorted(ids)[::3] and got.columns == ["id"]
+
+
+def test_figures_said_and_unsaid(spark):
+    text = F.lit("It rose from 2.5 to 15, not 151 or 1,500")
+    k = num.tokens(text)
+    r = spark.range(1).select(*[evidence.says_exactly(text, F.lit(x)).alias(n) for n, x in (("a", "15"), ("b", "5"), ("c", "500"), ("d", "151"))], evidence.ordered_within(k, [F.lit("15"), F.lit("2.5")], 99).alias("e"), evidence.ordered_within(k, [F.lit("2.5"), F.lit("15")], 99).alias("f"), evidence.ordered_within(k, [F.lit("2.5"), F.lit("15")], 3).alias("g"), evidence.recites(F.array(F.lit(0.005)), F.array(F.lit(0.0))).alias("h")).first()
+    assert tuple(r) == (True, False, False, True, False, True, False, False)

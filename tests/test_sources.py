@@ -69,6 +69,8 @@ def test_text_tables(spark):
 def test_blocks_sheets_bytes_boxes(spark, tmp_path):
     html = spark.createDataFrame([('<p>a</p><div class="x ad"><div>no</div>no</div><div>b</div>',), (None,)], "html string")
     assert {r.body for r in readers.without_blocks(html, "html", {"ad"}).collect()} == {"ab", None}
+    open_ = spark.createDataFrame([("<p>Prices of bread &co",), ("a<script>if (x</p>) y</script>b<style>.c{}</style>",)], "html string")
+    assert {r.body for r in readers.without_blocks(open_, "html", {"ad"}).collect()} == {"Prices of bread &co", "ab"}
     ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"'
     with zipfile.ZipFile(tmp_path / "b.xlsx", "w") as z:
         z.writestr("xl/sharedStrings.xml", f"<sst {ns}><si><t>Year</t></si><si><r><t>a</t></r><r><t>b</t></r></si></sst>")
@@ -83,8 +85,8 @@ def test_blocks_sheets_bytes_boxes(spark, tmp_path):
 
 
 def test_json_lines_round_trip_and_reconcile(spark):
-    good = '{"text":"<ts></ts> a","timeseries":[{"values":[1.0,null],"unit":"u","freq":"1d"}],"task_type":"cpt","text_quality":"human"}'
-    lines = spark.createDataFrame([(good,), ("{not json",), ('{"text":"x","timestamps":["t"],"task_type":"cpt","text_quality":"human"}',)], "value string")
+    good = '{"text":"<ts></ts> a","timeseries":[{"values":[1.0,null],"unit":"u","freq":"1d"}],"task_type":"world_knowledge","text_quality":"real"}'
+    lines = spark.createDataFrame([(good,), ("{not json",), ('{"text":"x","timestamps":["t"],"task_type":"world_knowledge","text_quality":"real"}',)], "value string")
     parsed = records.parse_lines(lines)
     assert parsed.where("bad").count() == 1
     checked = {r.text: r.errors for r in records.validate(parsed.where("not bad").drop("value", "bad")).collect()}
@@ -97,3 +99,5 @@ def test_json_lines_round_trip_and_reconcile(spark):
     assert {r.outcome: r.n for r in report.collect()} == {"a": 10, "b": 20, "kept": 70}
     with pytest.raises(ValueError):
         cascade.require_reconciled(report.where("outcome <> 'a'"))
+    with pytest.raises(ValueError):  # an operator on the way lost a row
+        cascade.require_reconciled(cascade.reconcile(df.limit(99), units=spark.range(100)))

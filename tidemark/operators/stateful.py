@@ -17,17 +17,23 @@ from pyspark.sql import types as T
 def folded(df: DataFrame, by: list[str], order: list[Column], out: str, start: Callable, step: Callable, end: Callable | None = None) -> DataFrame:
     """Rows of each group go in order through step(state, row), which gives (state, rows to return); end(state) gives the last ones.
 
-    Partitions are sorted by group and order and streamed: a state is kept, never a group.
+    Partitions are sorted by group and order and streamed: a state is kept, never a group. Rows whose key is null are one group.
     """
     schema = T.StructType([df.schema[c] for c in by] + T.StructType.fromDDL(out).fields)
     names = [f.name for f in schema.fields]
+    whole = [isinstance(df.schema[c].dataType, T.IntegralType) for c in by]
+
+    def key_of(r: tuple) -> tuple:
+        """Pandas gives nulls as NaN, and whole numbers beside them as floats."""
+        values = (getattr(r, c) for c in by)
+        return tuple(None if pd.isna(v) else int(v) if w else v for v, w in zip(values, whole, strict=True))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         key, state = None, None
         for pdf in batches:
             rows = []
             for r in pdf.itertuples(index=False):
-                here = tuple(getattr(r, c) for c in by)
+                here = key_of(r)
                 if here != key:
                     if key is not None and end:
                         rows += [key + x for x in end(state)]

@@ -112,7 +112,7 @@ def wide_to_long(rows: DataFrame, cells: str, order: str, header_rows: int) -> D
 
 
 def loose_rows(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Rows of two fields with commas or blanks between, period first; anything else is no row. freq says whether all periods are months."""
+    """Rows of two fields with commas or blanks between, period first; anything else is no row."""
     cells = F.when(F.col(column).contains(","), F.split(column, r"\s*,\s*")).otherwise(F.split(F.trim(column), r"\s+"))
     period = F.regexp_extract(cells[0], r"^(\d{4})-?(\d{2})(?:-01)?$", 0)
     rows = lines.select(cells.alias("cells"), period.alias("period")).where("period <> '' and size(cells) = 2")
@@ -130,22 +130,24 @@ def dated_index(line: Column) -> tuple[Column, Column]:
 
 
 class _Text(HTMLParser):
-    """Text outside nested blocks of given classes."""
+    """Text outside nested blocks of given classes, scripts and styles."""
 
     def __init__(self, drop: set[str]) -> None:
         super().__init__()
-        self.drop, self.depth, self.out = drop, 0, []
+        self.drop, self.depth, self.hidden, self.out = drop, 0, False, []
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        self.hidden = tag in ("script", "style")
         if tag == "div" and (self.depth or self.drop & set((dict(attrs).get("class") or "").split())):
             self.depth += 1
 
     def handle_endtag(self, tag: str) -> None:
+        self.hidden = False
         if tag == "div" and self.depth:
             self.depth -= 1
 
     def handle_data(self, data: str) -> None:
-        if not self.depth:
+        if not self.depth and not self.hidden:
             self.out.append(data)
 
 
@@ -159,6 +161,7 @@ def without_blocks(df: DataFrame, html: str, classes: set[str]) -> DataFrame:
             return None
         parser = _Text(classes)
         parser.feed(text)
+        parser.close()  # gives what follows the last tag, or an unfinished entity
         return " ".join("".join(parser.out).split())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

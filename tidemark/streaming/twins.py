@@ -40,7 +40,7 @@ def running_top(stream: DataFrame) -> DataFrame:
             n += len(f)
             top = max(top, float(f["value"].max())) if len(f) and f["value"].notna().any() else top
         state.update((top, n))
-        yield pd.DataFrame({"user_id": [key[0]], "top": [top], "n": [n]})
+        yield pd.DataFrame({"user_id": [key[0]], "top": pd.Series([top if top > float("-inf") else None], dtype="Float64"), "n": [n]})
 
     return stream.groupBy("user_id").applyInPandasWithState(step, "user_id long, top double, n long", "top double, n long", "update", GroupStateTimeout.NoTimeout)
 
