@@ -10,7 +10,6 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pytest
 
@@ -625,8 +624,7 @@ def test_recall_over_several_shards(spark):
     g = np.random.default_rng(8)
     centres = g.standard_normal((60, 32)) * 0.7
     x = np.float32(centres[g.integers(0, 60, 24_000)] + g.standard_normal((24_000, 32)))
-    frame = pd.DataFrame({"vec_id": np.arange(24_000), "embedding": list(x)})
-    df = spark.createDataFrame(frame, "vec_id long, embedding array<float>")
+    df = spark.createDataFrame(pa.table({"vec_id": np.arange(24_000), "embedding": pa.ListArray.from_arrays(pa.array(np.arange(0, x.size + 1, 32, dtype=np.int32)), pa.array(x.ravel()))}))
     got = defaultdict(set)
     for r in ann.nearest(df, lambda c: c % 100 == 0, index=ann.Index(shard_rows=6_000)).collect():
         got[r.query_id].add(r.vec_id)

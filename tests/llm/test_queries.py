@@ -73,7 +73,7 @@ def test_stages_with_odd_rows(spark):
         if name == "language ID":
             assert not kept & {900, 901} and {None, 902, 903, 904} <= kept
         if name == "n-gram Jaccard join":
-            assert {900, 901, 902} <= kept and 904 not in kept and None not in kept
+            assert {900, 901} <= kept and not kept & {None, 902, 904}  # 902 repeats one text: nearly the same 5-grams
         if name == "benchmark decontamination":
             assert {900, 901} <= kept
     plain = table.select(*docs.columns)
