@@ -66,3 +66,35 @@ def spine(df: DataFrame, by: list[str], date: str, unit: str = "day") -> DataFra
     step = {"day": "INTERVAL 1 DAY", "month": "INTERVAL 1 MONTH", "quarter": "INTERVAL 3 MONTH"}[unit]
     bounds = df.groupBy(*by).agg(F.min(date).alias("_lo"), F.max(date).alias("_hi"))
     return bounds.where("_lo is not null").select(*by, F.explode(F.sequence("_lo", "_hi", F.expr(step))).alias(date))
+
+
+# English months, in order.
+MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
+_M, _Y = "(" + "|".join(MONTHS) + ")", r"([0-9]{4})"
+#: What a title can say of the time that it covers, the most telling first: shape, pattern, and the groups of the last month or quarter and its year.
+STATED = (
+    ("span_years", rf"\b{_M}\s+{_Y}\s+to\s+{_M}\s+{_Y}", 3, 4),
+    ("month_to_month", rf"\b{_M}\s+to\s+{_M}\s+{_Y}", 2, 3),
+    ("week_ending", rf"\bweek ending\s+[0-9]{{1,2}}\s+{_M}\s+{_Y}", 1, 2),
+    ("year_ending", rf"\byear ending\s+{_M}\s+{_Y}", 1, 2),
+    ("quarter_named", rf"\bquarter\s+[0-9][^0-9]{{0,24}}\b{_M}\s+{_Y}", 1, 2),
+    ("month", rf"\b{_M}\s+{_Y}", 1, 2),
+    ("quarter", rf"\b(?:q|quarter\s*)([1-4])\s+{_Y}", 1, 2),
+    ("year_range", r"\b[0-9]{4}\s*(?:to|-|/)\s*[0-9]{2,4}\b", None, None),
+    ("year_only", r"\b[0-9]{4}\b", None, None),
+)
+
+
+def stated_period(title: Column) -> Column:
+    """period (YYYY-MM or YYYY-Qn, the end of a range; null for years alone) and shape of what a title says after its colon, if it has one; shape "none" if it says no time, null for a null title."""
+    at = F.instr(title, ":")
+    low = F.lower(F.substring(title, at + 1, F.length(title)))
+    out = F.when(title.isNotNull(), F.struct(F.lit(None).cast("string").alias("period"), F.lit("none").alias("shape")))
+    for shape, pattern, unit, year in reversed(STATED):
+        period = F.lit(None).cast("string")
+        if unit is not None:
+            said = F.regexp_extract(low, pattern, unit)
+            number = F.lpad(F.array_position(F.array(*map(F.lit, MONTHS)), said).cast("string"), 2, "0")
+            period = F.concat(F.regexp_extract(low, pattern, year), F.lit("-"), F.concat(F.lit("Q"), said) if shape == "quarter" else number)
+        out = F.when(low.rlike(pattern), F.struct(period.alias("period"), F.lit(shape).alias("shape"))).otherwise(out)
+    return out

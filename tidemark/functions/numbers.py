@@ -51,3 +51,37 @@ def tolerance(said: Column) -> Column:
     """Half a unit of the last place written; trailing zeros of a whole number aren't taken as written precision."""
     zeros = F.length(F.regexp_extract(F.regexp_replace(said, ",", ""), r"^[0-9]*?[1-9]?(0*)$", 1))
     return F.when(decimals(said) > 0, 0.5 * F.pow(F.lit(10.0), -decimals(said))).otherwise(0.5 * F.pow(F.lit(10.0), zeros))
+
+
+# What stands behind a number and what it makes of it.
+SCALES = {"billion": 1e9, "bn": 1e9, "million": 1e6, "mn": 1e6, "thousand": 1e3}
+PERCENT, POINTS = ("%", "per cent", "percent"), ("index point", "index points", "point", "points")
+NUMBER_WORDS = ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven", "twelve")
+CLAIM = r"(?i)([£$€]?)\s*(-?[0-9]{1,3}(?:,[0-9]{3})+(?:\.[0-9]+)?|-?[0-9]+(?:\.[0-9]+)?)(?:\s*(percentage points?|per cent|percent|%|billion|bn\b|million|mn\b|thousand|index points?|points?))?"
+
+
+def typed(text: Column) -> Column:
+    """Numbers in the order of the text, each with value (scaled), kind (pct, pp, points, money, count, plain) and said."""
+
+    def one(said: Column) -> Column:
+        number = F.replace(F.regexp_extract(said, CLAIM, 2), F.lit(","), F.lit("")).cast("double")
+        suffix = F.lower(F.regexp_extract(said, CLAIM, 3))
+        scale = F.lit(1.0)
+        for word, factor in SCALES.items():
+            scale = F.when(suffix == word, factor).otherwise(scale)
+        kind = F.when(suffix.isin(*PERCENT), "pct").when(suffix.startswith("percentage point"), "pp").when(suffix.isin(*POINTS), "points").when(F.regexp_extract(said, CLAIM, 1) != "", "money").when(suffix != "", "count").otherwise("plain")
+        return F.struct((number * scale).alias("value"), kind.alias("kind"), F.trim(said).alias("said"))
+
+    return F.transform(F.regexp_extract_all(text, F.lit(CLAIM), 0), one)
+
+
+def claimed(text: Column) -> Column:
+    """Typed numbers alone: years, list numbers and lengths of time, which nothing marks as measurements, are left out."""
+    return F.filter(typed(text), lambda x: x["kind"] != "plain")
+
+
+def words_as_figures(text: Column) -> Column:
+    """zero to twelve in figures, as words of their own in any case."""
+    for n, word in enumerate(NUMBER_WORDS):
+        text = F.regexp_replace(text, rf"(?i)\b{word}\b", str(n))
+    return text
