@@ -22,7 +22,7 @@ def test_csv_with_newlines_and_bad_rows(spark, tmp_path):
     with gzip.open(tmp_path / "a.csv.gz", "wt") as f:
         f.write('EPISODE,Damage,Story\n1,50K,"two\nlines, ""quoted"""\n2,,x\nbad\n')
     schema = T.StructType([T.StructField("Episode", T.IntegerType()), T.StructField("Damage", T.StringType()), T.StructField("Story", T.StringType())])
-    out = readers.csv(spark, str(tmp_path / "a.csv.gz"), schema)
+    out = readers.csv(spark, str(tmp_path / "a.csv.gz"), schema, newlines=True)
     assert out.columns == ["episode", "damage", "story", "_bad_row"]
     good = out.where("_bad_row is null").collect()
     assert [(r.episode, r.damage, r.story) for r in good] == [(1, "50K", 'two\nlines, "quoted"'), (2, None, "x")]
@@ -58,7 +58,7 @@ def test_text_tables(spark):
     track = spark.createDataFrame([("f", 0, "AL01, NAME, 2,"), ("f", 1, "20200101, 0000, TS"), ("f", 2, "20200101, 0600, HU"), ("f", 3, "AL02, X, 1,"), ("f", 4, "20200301, 0000, TD")], "file string, n int, value string")
     assert [(r.group, r.n) for r in readers.header_details(track, "n", r"^[A-Z]{2}\d").orderBy("n").collect()] == [("AL01", 1), ("AL01", 2), ("AL02", 4)]
     sheet = spark.createDataFrame([(0, ["Title", "GDP", "CPI"]), (1, ["CDID", "AB", "CD"]), (2, ["1990 Q1", "1,234", "x"]), (3, ["1990 Q2", "2", "3.5"])], "n int, cells array<string>")
-    assert rows(readers.wide_to_long(sheet, "cells", "n", 2), "period", "value") == [(["GDP", "AB"], "1990 Q1", 1234.0), (["GDP", "AB"], "1990 Q2", 2.0), (["CPI", "CD"], "1990 Q2", 3.5)]
+    assert rows(readers.wide_to_long(sheet.withColumn("s", F.lit("x")), "cells", "n", 2, ["s"]).drop("s"), "period", "value") == [(["GDP", "AB"], "1990 Q1", 1234.0), (["GDP", "AB"], "1990 Q2", 2.0), (["CPI", "CD"], "1990 Q2", 3.5)]
     loose = spark.createDataFrame([("197901   -0.3283",), ("1979-02-01, 0.5",), ("title line",), ("1979-03 nan",)], "value string")
     assert rows(readers.loose_rows(loose), "period") == [("1979-01", -0.3283), ("1979-02", 0.5), ("1979-03", None)]
     d, v = readers.dated_index(F.col("value"))
@@ -101,3 +101,18 @@ def test_json_lines_round_trip_and_reconcile(spark):
         cascade.require_reconciled(report.where("outcome <> 'a'"))
     with pytest.raises(ValueError):  # an operator on the way lost a row
         cascade.require_reconciled(cascade.reconcile(df.limit(99), units=spark.range(100)))
+
+
+def test_split_lines_and_bad_rows(spark, tmp_path):
+    good = '{"text":"<ts></ts> a","timeseries":[{"values":[%s],"unit":"u","freq":"1d"}],"task_type":"world_knowledge","license":"%s"}'
+    parsed = records.parse_lines(spark.createDataFrame([(good % (k, x),) for k, x in enumerate(["cc0", "unknown", "cc0"])], "value string")).drop("value", "bad")
+    records.write_lines(parsed, str(tmp_path / "out"), "license")
+    back = records.parse_lines(spark.read.text(str(tmp_path / "out")).select("value"))
+    assert sorted(r.license for r in back.collect()) == ["cc0", "cc0", "unknown"] and back.where("bad").count() == 0
+    assert records.parse_lines(spark.read.text(str(tmp_path / "out/_split=cc0"))).count() == 2
+    with pytest.raises(ValueError):
+        records.write_lines(parsed.withColumn("timeseries", F.array(records.channel(F.array(F.lit(float("nan"))), "u", "1d"))), str(tmp_path / "bad"))
+    assert not (tmp_path / "bad").exists()
+    (tmp_path / "p.csv").write_text("a,b\n1,x\nno,y\n3,z\n")
+    counted = readers.bad_rows(readers.csv(spark, str(tmp_path / "p.csv"), T.StructType.fromDDL("a int, b string"))).first()
+    assert (counted.n, counted.n_bad, counted.n_empty) == (3, 1, 0)

@@ -123,3 +123,12 @@ def parse_lines(lines: DataFrame, schema: T.StructType = RECORD, line: str = "va
 def to_lines(records: DataFrame) -> DataFrame:
     """One JSON object a line, nulls written; values that JSON can't say must have been refused before."""
     return records.select(F.to_json(F.struct(*records.columns), {"ignoreNullFields": "false"}).alias("value"))
+
+
+def write_lines(records: DataFrame, path: str, split: str | None = None) -> None:
+    """Writes records as JSON lines; split: a folder for each value of that column (a licence, say), which stays in the lines. Refuses, before anything is written, records with values that JSON can't say."""
+    finite = F.forall(F.flatten(F.transform(_series(records), lambda c: F.coalesce(c["values"], F.array().cast("array<double>")))), lambda v: v.isNull() | ~(F.isnan(v) | (F.abs(v) == float("inf"))))
+    if not records.where(~finite).isEmpty():
+        raise ValueError("records with values that aren't finite")
+    lines = records.select(F.to_json(F.struct(*records.columns), {"ignoreNullFields": "false"}).alias("value"), *([F.col(split).alias("_split")] if split else []))
+    (lines.write.partitionBy("_split") if split else lines.write).text(path)

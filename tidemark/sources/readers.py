@@ -23,12 +23,21 @@ def _with_bad(schema: T.StructType) -> T.StructType:
     return T.StructType([*schema.fields, T.StructField(BAD, T.StringType())])
 
 
-def csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", header: bool = True) -> DataFrame:
-    """CSV, gzipped or not, with newlines inside quotes; columns are named as in the schema, lower case. Rows that don't fit have `_bad_row` filled and are for the caller to count or drop."""
-    out = spark.read.csv(path, schema=_with_bad(schema), sep=sep, header=header, multiLine=True, escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord=BAD, enforceSchema=True)
+def csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", header: bool = True, newlines: bool = False) -> DataFrame:
+    """CSV, gzipped or not; columns are named as in the schema, lower case. Rows that don't fit have `_bad_row` filled and are for the caller to count (`bad_rows`) or drop.
+
+    newlines: quoted cells may hold them, which makes each file one task; without, plain files are split among tasks.
+    """
+    out = spark.read.csv(path, schema=_with_bad(schema), sep=sep, header=header, multiLine=newlines, escape='"', mode="PERMISSIVE", columnNameOfCorruptRecord=BAD, enforceSchema=True)
     return out.toDF(*[c if c == BAD else c.strip().lower() for c in out.columns])
 
 
+def bad_rows(rows: DataFrame) -> DataFrame:
+    """How many rows there are (n), how many don't fit the schema (n_bad), and how many hold nothing that could be read (n_empty). One pass."""
+    empty = F.coalesce(*[F.col(c).cast("string") for c in rows.columns if c != BAD]).isNull()
+    return rows.agg(F.count("*").alias("n"), F.count(BAD).alias("n_bad"), F.count_if(empty).alias("n_empty"))
+
+
 def csv_after_preamble(spark: SparkSession, path: str, schema: T.StructType, starts: str) -> DataFrame:
     """CSV whose header follows other lines: the lines before the one that begins with `starts`, and that one, are left out by a comparison with its place in the file."""
     lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("n"))
@@ -101,14 +110,14 @@ def header_details(lines: DataFrame, order: str, header: str) -> DataFrame:
     return out.where(~is_head)
 
 
-def wide_to_long(rows: DataFrame, cells: str, order: str, header_rows: int) -> DataFrame:
-    """A sheet of arrays of cells whose first rows are headers: period, each column's headers and values that are numbers. Headers are joined by column number."""
-    n = F.row_number().over(Window.orderBy(order)) - 1  # one sheet
-    numbered = rows.withColumn("r", n).select("r", F.posexplode(cells).alias("c", "cell"))
-    heads = numbered.where(F.col("r") < header_rows).groupBy("c").agg(F.transform(F.sort_array(F.collect_list(F.struct("r", "cell"))), lambda x: x["cell"]).alias("heads"))
+def wide_to_long(rows: DataFrame, cells: str, order: str, header_rows: int, sheet: list[str]) -> DataFrame:
+    """Sheets, known by the columns `sheet`, of arrays of cells whose first rows are headers: sheet, period, each column's headers and values that are numbers. Headers are joined by sheet and column number; rows of one sheet are numbered together."""
+    n = F.row_number().over(Window.partitionBy(*sheet).orderBy(order)) - 1
+    numbered = rows.withColumn("r", n).select(*sheet, "r", F.posexplode(cells).alias("c", "cell"))
+    heads = numbered.where(F.col("r") < header_rows).groupBy(*sheet, "c").agg(F.transform(F.sort_array(F.collect_list(F.struct("r", "cell"))), lambda x: x["cell"]).alias("heads"))
     body = numbered.where(F.col("r") >= header_rows)
-    periods = body.where("c = 0").select("r", F.col("cell").alias("period"))
-    return body.where("c > 0").join(periods, "r").join(heads, "c").select("heads", "period", number_or_null(F.col("cell")).alias("value")).where("value is not null")
+    periods = body.where("c = 0").select(*sheet, "r", F.col("cell").alias("period"))
+    return body.where("c > 0").join(periods, [*sheet, "r"]).join(heads, [*sheet, "c"]).select(*sheet, "heads", "period", number_or_null(F.col("cell")).alias("value")).where("value is not null")
 
 
 def loose_rows(lines: DataFrame, column: str = "value") -> DataFrame:
