@@ -98,3 +98,28 @@ def stated_period(title: Column) -> Column:
             period = F.concat(F.regexp_extract(low, pattern, year), F.lit("-"), F.concat(F.lit("Q"), said) if shape == "quarter" else number)
         out = F.when(low.rlike(pattern), F.struct(period.alias("period"), F.lit(shape).alias("shape"))).otherwise(out)
     return out
+
+
+def iso_period(code: Column) -> Column:
+    """YYYYMM and YYYYMMDD with hyphens; anything else, as a bare year, as it is: no day is made up."""
+    c = code.cast("string")
+    return F.regexp_replace(F.regexp_replace(c, r"^([0-9]{4})([0-9]{2})$", "$1-$2"), r"^([0-9]{4})([0-9]{2})([0-9]{2})$", "$1-$2-$3")
+
+
+def cutoff(freq: Column, d: Column) -> Column:
+    """The latest period code that a series of this frequency may have at a date: YYYY, YYYYMM or YYYYMMDD."""
+    return F.when(freq == "1y", F.date_format(d, "yyyy")).when(freq == "1M", F.date_format(d, "yyyyMM")).otherwise(F.date_format(d, "yyyyMMdd"))
+
+
+def week_ending_dates(text: Column, latest_year: int) -> Column:
+    """How many different dates the text gives after "week ending": by a month's name, or as month/day/year, where a two-digit year is the latest one that isn't after latest_year."""
+    lead = r"(?i)\bweek ending:?\s+(?:on )?"
+    named = F.transform(F.regexp_extract_all(text, F.lit(lead + r"([A-Z]{3}[A-Z]*\.? [0-9]{1,2},? [0-9]{4})"), 1), lambda s: F.to_date(F.try_to_timestamp(F.regexp_replace(F.initcap(F.lower(s)), r"^([A-Za-z]{3})[a-z]*\.? ([0-9]+),? ", "$1 $2 "), F.lit("MMM d yyyy"))))
+
+    def numeric(s: Column) -> Column:
+        month, day_, year = (F.split(s, "/")[i].cast("int") for i in range(3))
+        full = F.when(year >= 100, year).when(year + 2000 <= latest_year, year + 2000).otherwise(year + 1900)
+        return F.to_date(F.try_to_timestamp(F.format_string("%04d-%02d-%02d", full, month, day_), F.lit("yyyy-MM-dd")))
+
+    written = F.transform(F.regexp_extract_all(text, F.lit(lead + r"([0-9]{1,2}/[0-9]{1,2}/(?:[0-9]{4}|[0-9]{2}))\b"), 1), numeric)
+    return F.size(F.array_distinct(F.array_compact(F.concat(named, written))))

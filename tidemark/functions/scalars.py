@@ -47,3 +47,19 @@ def banded(value: Column, edges: list[float], names: list[str]) -> Column:
 def max_known(values: Column, missing: list[float]) -> Column:
     """Largest entry that isn't a sentinel; null without one."""
     return F.array_max(F.filter(values, lambda x: ~x.isin(*missing)))
+
+
+def converted(value: Column, unit: Column, factors: dict[str, float], places: int = 6) -> Column:
+    """The value times its unit's factor, 1 for units without one, rounded half to even."""
+    factor = F.lit(1.0)
+    for name, f in factors.items():
+        factor = F.when(unit == name, f).otherwise(factor)
+    return F.bround(value * factor, places)
+
+
+def flare_flux(text: Column) -> Column:
+    """B5.7 as 5.7e-7 watts a square metre; null for sentinels and letters without a class."""
+    # Exponents of the flare classes.
+    exponent = F.create_map(*map(F.lit, ("A", -8, "B", -7, "C", -6, "M", -5, "X", -4)))
+    written = F.concat(F.regexp_extract(text, "^.(.+)$", 1), F.lit("e"), exponent[F.upper(F.left(text, F.lit(1)))].cast("string"))
+    return written.try_cast("double")

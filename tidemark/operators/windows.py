@@ -77,6 +77,55 @@ def evenly_spread(df: DataFrame, by: list[str], order: list[str], cap: int) -> D
     return ranked.where((F.col("_n") <= cap) | hit).drop("_n")
 
 
+def spread_with_ends(df: DataFrame, by: list[str], order: list[str], cap: int) -> DataFrame:
+    """At most cap (2 or more) rows of each group, the first and the last among them: positions i * (n - 1) / (cap - 1), rounded half to even."""
+    w = Window.partitionBy(*by)
+    ranked = df.withColumn("pos", F.row_number().over(w.orderBy(*order)) - 1).withColumn("_n", F.count("*").over(w))
+    hit = F.exists(F.sequence(F.lit(0), F.lit(cap - 1)), lambda i: F.bround(i * (F.col("_n") - 1) / (cap - 1), 0) == F.col("pos"))
+    return ranked.where((F.col("_n") <= cap) | hit).drop("_n")
+
+
+def start_within_nulls(series: DataFrame, by: list[str], channel: str, at: str, end: DataFrame, budget: float) -> DataFrame:
+    """start: per group the earliest first period of a channel from which to the group's `end` at most the share `budget` of the channels' periods is missing, else the latest first period.
+
+    One row for each channel and known period, an integer; `end` has one row a group. Known periods are counted by period
+    before they are summed from the end, so no pair of start and period is made.
+    """
+    first = series.groupBy(*by, channel).agg(F.min(at).alias(at))
+    channels = first.groupBy(*by).agg(F.count("*").alias("_channels"), F.max(at).alias("_latest"))
+    known = series.join(end, by).groupBy(*by, at, "end").agg(F.count_if(F.col(at) <= F.col("end")).alias("_n"))
+    so_far = known.withColumn("_got", F.sum("_n").over(Window.partitionBy(*by).orderBy(F.desc(at)).rowsBetween(Window.unboundedPreceding, 0)))
+    tried = so_far.join(first.select(*by, at).distinct(), [*by, at]).join(channels, by)
+    cells = (F.col("end") - F.col(at) + 1) * F.col("_channels")
+    fits = (cells > 0) & ((cells - F.col("_got")) <= budget * cells + 1e-9)
+    return tried.groupBy(*by).agg(F.coalesce(F.min(F.when(fits, F.col(at))), F.first("_latest")).alias("start"))
+
+
+def ends_on(refs: DataFrame, series: DataFrame, by: list[str], ref: str, month: str, value: str) -> DataFrame:
+    """References whose own month the series has, not merely an earlier one."""
+    last = series.where(F.col(value).isNotNull()).select(*by, F.col(month).alias(ref))
+    return refs.join(last, [*by, ref], "left_semi")
+
+
+def around_crest(df: DataFrame, by: list[str], order: str, value: str, half: int) -> DataFrame:
+    """Rows at most `half` positions from the first row with the largest value, with `off`, their distance in rows."""
+    w = Window.partitionBy(*by)
+    placed = df.withColumn("_pos", F.row_number().over(w.orderBy(order)))
+    crest = F.max_by("_pos", F.struct(F.col(value), -F.col("_pos"))).over(w)
+    return placed.withColumn("off", F.col("_pos") - crest).where(F.abs("off") <= half).drop("_pos")
+
+
+def within_budget(df: DataFrame, by: list[str], order: list[str], importance: list[Column], text: str, tokens: int) -> DataFrame:
+    """Per group the texts in their order, joined by blanks, after the least important were dropped until about four characters a token fit; the most important always stays. text, kept, dropped."""
+    size = F.sum(F.length(F.coalesce(F.col(text), F.lit(""))) + 1).over(Window.partitionBy(*by).orderBy(*importance).rowsBetween(Window.unboundedPreceding, 0)) - 1
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(*importance))
+    stays = F.col("_stays")
+    part = F.struct(*[F.col(c) for c in order], F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    rows = df.withColumn("_stays", (F.ceil(size / 4) <= tokens) | (rank == 1)).withColumn("_part", part)
+    out = rows.groupBy(*by).agg(F.array_sort(F.collect_list(F.when(stays, F.col("_part")))).alias("_parts"), F.count_if(~stays).alias("dropped"))
+    return out.select(*by, F.array_join(F.transform("_parts", lambda p: p["_text"]), " ").alias("text"), F.size("_parts").alias("kept"), "dropped")
+
+
 def upper_median(by: list[str], df: DataFrame, value: str, name: str) -> DataFrame:
     """Element n // 2 of the sorted values."""
     w = Window.partitionBy(*by)
