@@ -3,8 +3,9 @@
 Equal vectors are one node. Nodes are dealt to shards of bounded size by a hash, and Spark joins build the graph of all
 shards at once: blocks of vectors on the same side of random planes start it, then each round joins the neighbours of
 neighbours: every node brings its neighbours, and the nodes whose neighbour it is, together, and pairs among them that are
-nearer than what either has go back to them. A query goes to every shard, starts from a few nodes (its own place in the
-graph, if it is a node there) and follows the best nodes it has not expanded until its beam holds none.
+nearer than what either has go back to them. A shard is held by one task and the queries stream past it: a query goes to
+every shard, starts from a few nodes (its own place in the graph, if it is a node there) and follows the best nodes it has
+not expanded until its beam holds none.
 
 So that near means a large inner product for vectors of any length, the graph is built on vectors with one more component
 that makes all of them equally long.
@@ -20,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import materialize
+from tidemark.llm.shared import checked_broadcast, materialize
 
 
 @dataclass(frozen=True)
@@ -36,7 +37,7 @@ class Index:
     offers: int = 8  # best pairs that each node gets from one joining
     beam: int = 256
     expand: int = 64
-    query_block: int = 1024
+    query_block: int = 1024  # queries that make another copy of a shard worth while, where cores are idle
     spare: int = 12  # found beyond the number asked for, ranked again by exact products
 
 
@@ -252,33 +253,47 @@ def _walk(ids: np.ndarray, x: np.ndarray, adjacency: list[np.ndarray], q: np.nda
     return beam[:k], score[:k]
 
 
-def _searched(k: int, index: Index) -> Callable[[pa.Table, pa.Table], pa.Table]:
-    def run(shard: pa.Table, queries: pa.Table) -> pa.Table:
-        empty = pa.table({"query": pa.array([], pa.int64()), "near": pa.array([], pa.int64())})
-        if not shard.num_rows or not queries.num_rows:
-            return empty
-        order = np.argsort(shard["node"].to_numpy())
-        shard = shard.take(pa.array(order)).combine_chunks()
-        ids = shard["node"].to_numpy()
-        vec = shard["vec"].chunk(0)
-        x = vec.flatten().to_numpy().astype(np.float32).reshape(len(ids), -1)
-        near = shard["nears"].chunk(0)
-        src = np.repeat(np.arange(len(ids)), np.diff(near.offsets.to_numpy()))
-        dst = np.searchsorted(ids, near.flatten().to_numpy())
-        # Both directions of each edge, of the second a sample as large as the first.
-        by = np.lexsort((np.random.default_rng(1).permutation(len(dst)), dst))
-        bounds = np.searchsorted(dst[by], np.arange(len(ids) + 1))
-        ahead = np.searchsorted(src, np.arange(len(ids) + 1))
-        adjacency = [np.union1d(dst[ahead[i] : ahead[i + 1]], src[by[bounds[i] : bounds[i + 1]][: 2 * index.reverse]]) for i in range(len(ids))]
-        seeds = np.unique(np.linspace(0, len(ids) - 1, index.beam).astype(np.int64))
-        out: tuple[list, list] = ([], [])
-        for q, v in zip(queries["query"].to_pylist(), queries["query_vec"].combine_chunks().to_pylist() if queries["query_vec"].num_chunks else [], strict=True):
-            at = int(np.searchsorted(ids, q))
-            own = at if at < len(ids) and ids[at] == q else -1
-            found, _ = _walk(ids, x, adjacency, np.asarray(v, dtype=np.float32), own, k + index.spare, index, seeds)
-            out[0].append(np.full(len(found), q, dtype=np.int64))
-            out[1].append(ids[found])
-        return pa.table({"query": np.concatenate(out[0]), "near": np.concatenate(out[1])}) if out[0] else empty
+def _prepared(nodes: list[pa.RecordBatch], index: Index) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
+    """A shard's ids in order, its vectors, the neighbours of each node both ways, and the nodes that a search from nowhere starts at."""
+    shard = pa.concat_batches(nodes)
+    shard = shard.take(pa.array(np.argsort(shard.column("id").to_numpy())))
+    ids = shard.column("id").to_numpy()
+    x = shard.column("vec").flatten().to_numpy().astype(np.float32).reshape(len(ids), -1)
+    near = shard.column("nears")
+    src = np.repeat(np.arange(len(ids)), np.diff(near.offsets.to_numpy()))
+    dst = np.searchsorted(ids, near.flatten().to_numpy())
+    # Both directions of each edge, of the second a sample as large as the first.
+    by = np.lexsort((np.random.default_rng(1).permutation(len(dst)), dst))
+    bounds = np.searchsorted(dst[by], np.arange(len(ids) + 1))
+    ahead = np.searchsorted(src, np.arange(len(ids) + 1))
+    adjacency = [np.union1d(dst[ahead[i] : ahead[i + 1]], src[by[bounds[i] : bounds[i + 1]][: 2 * index.reverse]]) for i in range(len(ids))]
+    return ids, x, adjacency, np.unique(np.linspace(0, len(ids) - 1, index.beam).astype(np.int64))
+
+
+def _searched(k: int, index: Index) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Over rows sorted by place and kind: the nodes of a place are held, its queries, which come after them, stream past."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        place, nodes, ready = None, [], None
+        for b in batches:
+            places, kinds = b.column("place").to_numpy(), b.column("kind").to_numpy()
+            bounds = _ragged(places * 2 + kinds) if len(b) else np.zeros(1, dtype=np.int64)
+            for lo, hi in zip(bounds[:-1], bounds[1:], strict=True):
+                if places[lo] != place:
+                    place, nodes, ready = places[lo], [], None
+                part = b.slice(int(lo), int(hi - lo))
+                if kinds[lo] == 0:
+                    nodes.append(part)
+                    continue
+                if ready is None:
+                    ready, nodes = _prepared(nodes, index), []
+                ids, x, adjacency, seeds = ready
+                asked = part.column("id").to_numpy()
+                q = part.column("vec").flatten().to_numpy().astype(np.float32).reshape(len(asked), -1)
+                at = np.minimum(np.searchsorted(ids, asked), len(ids) - 1)
+                own = np.where(ids[at] == asked, at, -1)
+                found = [ids[_walk(ids, x, adjacency, q[i], int(own[i]), k + index.spare, index, seeds)[0]] for i in range(len(asked))]
+                yield pa.RecordBatch.from_arrays([pa.array(np.repeat(asked, [len(f) for f in found])), pa.array(np.concatenate(found))], names=["query", "near"])
 
     return run
 
@@ -300,13 +315,21 @@ def nearest(vectors: DataFrame, is_query: Callable[[Column], Column], k: int = 2
     asked = materialize(asked, "asked")
     queries = asked.select(F.col("node").alias("query")).distinct().join(nodes.select(F.col("node").alias("query"), F.col("vec").alias("query_vec")), "query")
     queries = materialize(queries.withColumn("dim", F.size("query_vec")), "queries")
-    blocks = max(1, -(-queries.count() // index.query_block))
+    shards = materialize(placed.select("shard").distinct().withColumn("dim", F.shiftright("shard", 32).cast("int")), "shards")
+    # A shard is one place; only where there are fewer shards than cores is each copied, for cores that would be idle.
+    cores = vectors.sparkSession.sparkContext.defaultParallelism
+    copies = max(1, min(-(-cores // max(1, shards.count())), -(-queries.count() // index.query_block)))
     nears = graph.groupBy("node").agg(F.collect_list("near").alias("nears"))
-    stored = nodes.select("node", "vec").join(placed.select("node", "shard"), "node").join(nears, "node", "left").withColumn("nears", F.coalesce("nears", F.array().cast("array<bigint>")))
-    left = stored.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    shards = placed.select(F.col("shard").alias("to")).distinct().withColumn("dim", F.shiftright("to", 32).cast("int"))
-    right = queries.withColumn("turn", F.pmod(F.xxhash64("query"), F.lit(blocks)).cast("int")).join(shards, "dim")
-    found = left.groupBy("shard", "part").cogroup(right.groupBy("to", "turn")).applyInArrow(_searched(k, index), "query bigint, near bigint")
+    stored = nodes.select("node", "vec").join(placed.select("node", "shard"), "node").join(nears, "node", "left")
+    stored = stored.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    turn = F.pmod(F.xxhash64("query"), F.lit(copies)).cast("int")
+    sent = queries.join(checked_broadcast(shards), "dim").select(F.col("query").alias("node"), F.col("query_vec").alias("vec"), "shard", F.lit(None).cast("array<bigint>").alias("nears"), turn.alias("part"))
+
+    def laid(rows: DataFrame, kind: int) -> DataFrame:
+        return rows.select((F.col("shard") * copies + F.col("part")).alias("place"), F.lit(kind).alias("kind"), F.col("node").alias("id"), F.col("vec").cast("array<float>").alias("vec"), F.coalesce("nears", F.array().cast("array<bigint>")).alias("nears"))
+
+    met = laid(stored, 0).union(laid(sent, 1)).repartition("place").sortWithinPartitions("place", "kind")
+    found = met.mapInArrow(_searched(k, index), "query bigint, near bigint")
     found = found.union(queries.select("query", F.col("query").alias("near")))  # rows with the query's own vector
     scored = found.join(queries.select("query", "query_vec"), "query").join(nodes.select(F.col("node").alias("near"), "vec", "ids"), "near").select("query", "ids", dot(F.col("query_vec"), F.col("vec")).alias("score"))
     top = scored.withColumn("n", F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), F.col("ids")[0]))).where(F.col("n") <= k + index.spare + 1)
