@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.plans import cascade, records
-from tidemark.sources import readers
+from tidemark.sources import markup, readers, sinks
 
 
 def rows(df, *order):
@@ -116,3 +116,41 @@ def test_split_lines_and_bad_rows(spark, tmp_path):
     (tmp_path / "p.csv").write_text("a,b\n1,x\nno,y\n3,z\n")
     counted = readers.bad_rows(readers.csv(spark, str(tmp_path / "p.csv"), T.StructType.fromDDL("a int, b string"))).first()
     assert (counted.n, counted.n_bad, counted.n_empty) == (3, 1, 0)
+
+
+def test_xml_elements(spark):
+    docs = [
+        (1, '<r day="2020-01-01"><s name="A &amp; B & C"><c fips="1">x &nbsp;y < 5</c></s><s name="D" day="own"><c fips="2"/></s></r>'),
+        (2, '<r><c fips="3"/><c fips="4"'),
+        (3, None),
+        (4, ""),
+        (5, '<m:r xmlns:m="u"><m:c m:fips="6">\x01&unknown;</m:c></m:r>'),
+        (6, "<r><x/></r>"),
+    ]
+    out = markup.xml_elements(spark.createDataFrame(docs, "k int, doc string"), "doc", "c", ["k"])
+    got = [(r.k, r.n, r.attributes, r.text, r.broken) for r in out.orderBy("k", "n").collect()]
+    assert got == [
+        (1, 0, {"day": "2020-01-01", "name": "A & B & C", "fips": "1"}, "x y < 5", False),
+        (1, 1, {"day": "own", "name": "D", "fips": "2"}, "", False),
+        (2, 0, {"fips": "3"}, "", True),
+        (3, None, None, None, False),
+        (4, None, None, None, True),
+        (5, 0, {"fips": "6"}, "&unknown;", False),
+        (6, None, None, None, False),
+    ]
+
+
+def test_cubes(spark):
+    cube = '{"id":["geo","sex","time"],"size":[2,1,3],"dimension":{"geo":{"category":{"index":{"FR":1,"DE":0}}},"sex":{"category":{"index":["T"]}},"time":{"category":{"index":["2020","2021","2022"]}}},"value":%s}'
+    df = spark.createDataFrame([("a", cube % '{"0":1.5,"5":2}'), ("b", cube % "[null,7,null,8,null,null]"), ("c", cube % "[]"), ("d", "no json"), ("e", None)], "k string, j string")
+    got = {(r.k, r.dims["geo"], r.dims["sex"], r.dims["time"], r.value) for r in markup.json_stat(df, "j", ["k"]).collect()}
+    assert got == {("a", "DE", "T", "2020", 1.5), ("a", "FR", "T", "2022", 2.0), ("b", "DE", "T", "2021", 7.0), ("b", "FR", "T", "2020", 8.0)}
+
+
+def test_sinks(spark, tmp_path):
+    df = spark.createDataFrame([(1, "é\n", None, "free"), (2, None, 1.5, None)], "k int, t string, v double, b string")
+    sinks.write_json_lines(df.drop("b"), str(tmp_path / "plain"))
+    assert sorted(r.value for r in spark.read.text(str(tmp_path / "plain")).collect()) == ['{"k":1,"t":"é\\n","v":null}', '{"k":2,"t":null,"v":1.5}']
+    sinks.write_json_lines(df, str(tmp_path / "split"), "b")
+    assert {(r.b, r.value[:6]) for r in spark.read.schema("value string, b string").text(str(tmp_path / "split")).collect()} == {("free", '{"k":1'), (None, '{"k":2')}
+    assert sinks.finished(spark, str(tmp_path / "split")) and not sinks.finished(spark, str(tmp_path / "none"))

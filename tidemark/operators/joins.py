@@ -96,3 +96,10 @@ def carried_forward(df: DataFrame, by: list[str], order: list[str], value: str,
     """The last value that wasn't null, as of each row."""
     w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return df.withColumn(name, F.last(value, ignorenulls=True).over(w))
+
+
+def overlap_agreement(a: DataFrame, b: DataFrame, key: list[str], value: str) -> DataFrame:
+    """One row: shared keys, those whose values are equal (two nulls are), and their share, which is null where no key is shared. The same whichever table comes first; keys are unique in each."""
+    both = a.select(*key, F.col(value).alias("_a")).join(b.select(*key, F.col(value).alias("_b")), key)
+    same = F.col("_a").eqNullSafe(F.col("_b"))
+    return both.agg(F.count("*").alias("shared"), F.count_if(same).alias("equal"), F.avg(same.cast("double")).alias("agreement"))

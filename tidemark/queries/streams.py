@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.queries.registry import Tables, query
 from tidemark.queries.series import SESSIONS
+from tidemark.storage import materialize, run_dir
 from tidemark.streaming import twins
 
 
@@ -37,3 +40,17 @@ def stream_running_top(t: Tables) -> DataFrame:
     """Every trigger gives what changed; the last state of a user has the most rows."""
     out = twins.run_now(twins.running_top(_stream(t)), "update")
     return out.groupBy("user_id").agg(F.max_by("top", "n").alias("top"), F.max("n").alias("n"))
+
+
+@query("SELECT event_id, 1 AS times, event_id % 2 = 0 AS in_first FROM events")
+def stream_carried_on(t: Tables) -> DataFrame:
+    """Half of the events come, then a run; the rest come, then two runs: every event is there once."""
+    at = f"{run_dir(t.spark)}/arrivals-{uuid.uuid4().hex}"
+    rows = t.events.select("event_id")
+    rows.where("event_id % 2 = 0").write.parquet(at)
+    stream = twins.arrivals(t.spark, at, rows)
+    first = materialize(twins.carry_on(stream, f"{at}-out"), "first").withColumn("in_first", F.lit(True))
+    rows.where("event_id % 2 <> 0").write.mode("append").parquet(at)
+    twins.carry_on(stream, f"{at}-out")
+    all_rows = twins.carry_on(stream, f"{at}-out").groupBy("event_id").agg(F.count("*").alias("times"))
+    return all_rows.join(first, "event_id", "left").select("event_id", "times", F.coalesce("in_first", F.lit(False)).alias("in_first"))

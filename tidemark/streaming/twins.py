@@ -57,3 +57,19 @@ def run_now(result: DataFrame, mode: str) -> DataFrame:
     query = result.writeStream.outputMode(mode).option("checkpointLocation", f"{path}-state").trigger(availableNow=True).foreachBatch(put).start()
     query.awaitTermination()
     return spark.read.schema(result.schema).parquet(path if mode == "complete" else f"{path}/batch=*")
+
+
+def arrivals(spark: SparkSession, folder: str, like: DataFrame) -> DataFrame:
+    """Parquet files of a folder as they come in."""
+    return spark.readStream.schema(like.schema).parquet(folder)
+
+
+def carry_on(result: DataFrame, path: str) -> DataFrame:
+    """Appends to the table at `path` what has come since the last run of the same stream, each row once, then stops.
+
+    Progress lies beside the table in `path`-state: a run that is lost, or that is followed by another, goes on from there.
+    The table has a log of the files that count, so what a lost run left behind is not read.
+    """
+    query = result.writeStream.format("parquet").outputMode("append").option("checkpointLocation", f"{path}-state").trigger(availableNow=True).start(path)
+    query.awaitTermination()
+    return result.sparkSession.read.schema(result.schema).parquet(path)
