@@ -106,6 +106,41 @@ m AS (SELECT t, max(page_id) AS keep FROM p GROUP BY t)
 SELECT page_id, strlen(t) AS payload_bytes, {digest} AS payload_digest, CASE WHEN page_id <> keep THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN page_id <> keep THEN keep END AS refers_to FROM p JOIN m USING (t)"""
 
 
+def lexical_sql(docs: str = "documents", items: str = "benchmark", k: int = 10) -> str:
+    """Every document that holds a term of an item is scored."""
+    terms = "unnest(regexp_extract_all(translate(coalesce(text, ''), '{}', '{}'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t".format(UPPER, LOWER)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, text FROM {docs}),
+p AS (SELECT rid, t, count(*) AS tf FROM (SELECT rid, {terms} FROM d) GROUP BY ALL),
+l AS (SELECT rid, sum(tf)::BIGINT AS n FROM p GROUP BY rid),
+z AS (SELECT count(*) AS nd, sum(n)::BIGINT AS nt FROM l),
+m AS (SELECT rid, 10 + (90 * n * nd) // nt AS m FROM l, z),
+q AS (SELECT DISTINCT item_id, t FROM (SELECT item_id, {terms} FROM {items} WHERE item_id IS NOT NULL)),
+w AS (SELECT t, floor(1000.0::DOUBLE * ln((2 * nd + 2)::DOUBLE / (2 * count(*) + 1)::DOUBLE))::BIGINT AS w FROM p, z GROUP BY t, nd),
+s AS (SELECT item_id, rid, sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m)))::BIGINT AS score FROM q JOIN p USING (t) JOIN w USING (t) JOIN m USING (rid) GROUP BY ALL),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST)::INTEGER AS rank, doc_id, score FROM s JOIN d USING (rid) WHERE score > 0)
+SELECT * FROM r WHERE rank <= {k}"""
+
+
+def source_audit_sql(docs: str = "documents", min_docs: int = 30, most: int = 50) -> str:
+    """Every term is compared by itself."""
+    terms = "unnest(regexp_extract_all(translate(text, '{}', '{}'), '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS t".format(UPPER, LOWER)
+    share = "(1 + (1000000000::HUGEINT * (coalesce({}, 0) + 5)) // {})::BIGINT"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, coalesce(text, '') AS text, coalesce(lang, '') AS lang, coalesce(source, '') AS source FROM {docs}),
+o AS (SELECT lang, source, t, rid, count(*) AS n FROM (SELECT lang, source, rid, {terms} FROM d) GROUP BY ALL),
+k AS (SELECT lang, t, sum(n)::BIGINT AS n FROM o GROUP BY lang, t HAVING count(*) >= {min_docs}),
+c AS (SELECT o.lang, source, t, sum(o.n)::BIGINT AS n FROM o JOIN k USING (lang, t) GROUP BY ALL),
+v AS (SELECT lang, count(*) AS v, sum(n)::BIGINT + 5 * count(*) AS whole FROM k GROUP BY lang),
+g AS (SELECT lang, source, coalesce(sum(n), 0)::BIGINT + 5 * coalesce(any_value(v), 0) AS whole FROM (SELECT DISTINCT lang, source FROM d) LEFT JOIN c USING (lang, source) LEFT JOIN v USING (lang) GROUP BY lang, source),
+p AS (SELECT g.lang, source, k.t, c.n, {share.format('c.n', 'g.whole')} AS p, {share.format('k.n', 'v.whole')} AS q FROM g JOIN k USING (lang) JOIN v USING (lang) LEFT JOIN c USING (lang, source, t)),
+x AS (SELECT a.lang, a.source, b.source AS item, sum(abs(a.p - b.p))::BIGINT AS value FROM p a JOIN p b ON a.lang = b.lang AND a.t = b.t AND a.source <> b.source GROUP BY ALL),
+y AS (SELECT g.lang, g.source, 'pair' AS part, h.source AS item, coalesce(value, 0) AS value FROM g JOIN g h ON g.lang = h.lang AND g.source <> h.source LEFT JOIN x ON x.lang = g.lang AND x.source = g.source AND x.item = h.source
+  UNION ALL SELECT lang, source, 'term', t, p - q FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM y)
+SELECT * FROM r WHERE part = 'pair' OR rank <= {most}"""
+
+
 ORACLE_SQL = {
     "op2_line_dedup": f"SELECT doc_id, n_lines, n_dropped, sha256(kept) AS kept_sha256 FROM ({line_dedup_sql()})",
     "op3_decontaminate": f"SELECT doc_id, n_words, n_hit, n_items, items_sha256, contaminated FROM ({decontaminate_sql()})",
@@ -113,4 +148,6 @@ ORACLE_SQL = {
     "op5_jaccard_join": f"SELECT doc_id, class_id, n_links FROM ({jaccard_sql()})",
     "op9_secrets": secrets_sql(),
     "op10_mixing": mixing_sql(),
+    "op11_lexical_search": lexical_sql(),
+    "op12_source_audit": source_audit_sql(),
 }

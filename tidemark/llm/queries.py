@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import ann, decontaminate, jaccard_join, language_id, line_dedup, mixing, quality, secrets, toxicity, warc
+from tidemark.llm import ann, decontaminate, jaccard_join, language_id, lexical, line_dedup, mixing, quality, secrets, source_audit, toxicity, url_filter, warc
 from tidemark.llm.oracles import ORACLE_SQL  # noqa: F401
 
 
@@ -72,6 +72,22 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), "source", "lang", "topic", "n_tokens", F.round("expected", 6).alias("expected"), "copies")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical.build(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return lexical.search(index, table(spark, sf_dir, "benchmark")).select(F.col("item").alias("item_id"), F.col("rank").cast("int").alias("rank"), F.col("id").alias("doc_id"), "score")
+
+
+def op12_source_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit_sources(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """No table labels URLs, so the rules do."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    model = url_filter.train(url_filter.labelled_by_rules(pages))
+    return url_filter.judge(pages, model).select("row.page_id", "host", "path", "rule", "verdict", F.round("score", 6).alias("score"))
+
+
 QUERIES = {
     "op1_ann": op1_ann,
     "op2_line_dedup": op2_line_dedup,
@@ -83,4 +99,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_secrets": op9_secrets,
     "op10_mixing": op10_mixing,
+    "op11_lexical_search": op11_lexical_search,
+    "op12_source_audit": op12_source_audit,
+    "op13_url_filter": op13_url_filter,
 }

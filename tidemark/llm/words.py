@@ -20,6 +20,8 @@ LOWERED = np.arange(256, dtype=np.uint8)
 LOWERED[65:91] += 32
 IS_WORD = np.zeros(256, dtype=bool)
 IS_WORD[48:58] = IS_WORD[97:123] = IS_WORD[128:] = True
+IS_LETTER = IS_WORD.copy()
+IS_LETTER[48:58] = False
 BASE = np.uint64(0x9E3779B97F4A7C15)
 INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 BYTE_VALUE = np.random.default_rng(20240101).integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -92,6 +94,20 @@ class Words:
     def word(self, i: int) -> str:
         return self.low[self.start[i] : self.end[i]].tobytes().decode()
 
+    def counted(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.LargeStringArray]:
+        """(row, code, n, terms): how often each row has each of its words, by row; a word is terms[code], compared as a whole."""
+        length = self.end - self.start
+        edge = np.zeros(len(self.low) + 1, dtype=np.int8)
+        edge[self.start] = 1
+        edge[self.end] -= 1
+        inside = np.cumsum(edge[:-1], dtype=np.int8).astype(bool)
+        bounds = np.concatenate([[0], np.cumsum(length)]).astype(np.int64)
+        coded = pa.Array.from_buffers(pa.large_string(), len(length), [None, pa.py_buffer(bounds), pa.py_buffer(self.low[inside])]).dictionary_encode()
+        terms = coded.dictionary
+        pair, n = np.unique(self.row * max(1, len(terms)) + coded.indices.to_numpy(zero_copy_only=False), return_counts=True)
+        row, code = np.divmod(pair, max(1, len(terms)))
+        return row, code, n, terms
+
 
 def column(values: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """(bounds, bytes) of a text column; null is the empty text."""
@@ -102,7 +118,8 @@ def column(values: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     return bounds, np.frombuffer(data, dtype=np.uint8) if data is not None and data.size else np.zeros(0, dtype=np.uint8)
 
 
-def slices(values: pa.Array | pa.ChunkedArray) -> Iterator[Words]:
+def slices(values: pa.Array | pa.ChunkedArray, is_letter: np.ndarray = IS_WORD) -> Iterator[Words]:
+    """is_letter: which (lower-cased) bytes words are made of."""
     bounds, data = column(values)
     lo, n = 0, len(bounds) - 1
     while lo < n:
@@ -110,7 +127,7 @@ def slices(values: pa.Array | pa.ChunkedArray) -> Iterator[Words]:
         raw = data[bounds[lo] : bounds[hi]]
         at = bounds[lo : hi + 1] - bounds[lo]
         low = LOWERED[raw]
-        is_word = IS_WORD[low]
+        is_word = is_letter[low]
         edge = np.zeros(len(raw) + 1, dtype=bool)
         edge[at] = True
         start = is_word.copy()
