@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidemark.functions import calendar as cal
+from tidemark.functions import numbers as num
 from tidemark.functions import scalars
 from tidemark.operators import agreement, windows
 
@@ -33,10 +34,11 @@ def test_scores(spark):
 
 
 def test_figures_of_a_series(spark):
-    values = F.array(F.lit(1234.56), F.lit(None).cast("double"), F.lit(2.5))
-    count = lambda text: one(spark, agreement.figures_in_series(F.col("t"), values), t=text)
-    assert count("1,234.56 and 1234.6, 1235, 1235 again") == 3
-    assert count("nothing") == 0 and count("9.9") == 0
+    series = spark.createDataFrame([(k, v) for k in range(5) for v in (1234.56, None, 2.5)] + [(9, 1.0)], "k int, v double")
+    texts = spark.createDataFrame([(0, "1,234.56 and 1234.6, 1235, 1235 again"), (1, "nothing"), (2, "9.9"), (3, None), (4, "2.50 or 2.499"), (4, "2.5 and 2"), (7, "1.0")], "k int, t string")
+    got = {r.k: r.figures for r in agreement.figures_in_series(texts, series, ["k"], "t", "v").collect()}
+    assert got == {0: 3, 1: 0, 2: 0, 3: 0, 4: 4}
+    assert agreement.figures_in_series(texts.limit(0), series, ["k"], "t", "v").count() == 0
 
 
 def test_signs_and_years(spark):
@@ -44,6 +46,8 @@ def test_signs_and_years(spark):
     assert [sign("above"), sign("below below above"), sign("above below"), sign(""), sign("above", 2)] == [1, -1, None, None, None]
     got = spark.createDataFrame([("to 1999, then 2030", 1999, 2001), ("1999 and 2000", 1999, 2001), ("", 1999, None)], "t string, e int, a int").select(*agreement.terminal_year(F.col("t"), F.col("e"), F.col("a")))
     assert [tuple(r) for r in got.collect()] == [(True, True), (True, False), (False, False)]
+    got = spark.createDataFrame([("1202045 tonnes", 2020, 2021)], "t string, e int, a int").select(*agreement.terminal_year(F.col("t"), F.col("e"), F.col("a"))).first()
+    assert tuple(got) == (False, False)
 
 
 def test_symbols_with_signs_of_patterns(spark):
@@ -92,3 +96,24 @@ def test_shards(spark):
     assert {(r.k, r.x) for r in agreement.union_by_priority([a, b], ["k"]).collect()} == {(1, "a"), (2, "b")}
     shards = [spark.createDataFrame([("p", 1.0, 1), ("q", 0.0, 2)], "f string, m double, i int"), spark.createDataFrame([("p", 0.5, 3)], "f string, m double, i int")]
     assert [r.i for r in agreement.gated(shards, "f", F.col("m"), 0.5, [F.desc("i")], 1).collect()] == [3]
+
+
+def test_numbers_in_context(spark):
+    """Ranges share unit, scale, currency and, with a dash, sign; what measures nothing has another role."""
+    read = lambda text: [(x.value, x.kind, x.role) for x in one(spark, num.typed(F.col("t")), t=text)]
+    plain = lambda text: [x.value for x in one(spark, num.measured(F.col("t")), t=text)]
+    assert read("10-12% and -10-12%") == [(10, "pct", "value"), (12, "pct", "value"), (-10, "pct", "value"), (-12, "pct", "value")]
+    assert read("between $2 and 3 billion, 5 to 7 million") == [(2e9, "money", "value"), (3e9, "money", "value"), (5e6, "count", "value"), (7e6, "count", "value")]
+    assert read("£5m, £-6 and -£7, (-8), x-9") == [(5e6, "money", "value"), (-6, "money", "value"), (-7, "money", "value"), (-8, "plain", "value"), (9, "plain", "value")]
+    assert read("5 pointless rules, 3 millionaires, 2 points") == [(5, "plain", "value"), (3, "plain", "value"), (2, "points", "value")]
+    assert [r for *_, r in read("2020-21, 1850, 6th, 45°N, 3 days, a 12-month, 5-10 years, 2 million km2, 5% of it, target of 1.5, 10:30, 1.2.3, 7a")] == ["year"] * 3 + ["ordinal", "coordinate"] + ["duration"] * 4 + ["extent", "share", "threshold"] + ["name"] * 5
+    assert plain("In 2024 it was 0.46 above 1991-2020, the 3rd in 30 years, A7 x") == [0.46]
+    assert plain("") == [] and one(spark, num.typed(F.lit(None).cast("string"))) is None and plain("9" * 400 + " 1") == [float("inf"), 1.0]
+
+
+def test_periods(spark):
+    said = lambda text: tuple(one(spark, cal.stated_period(F.col("t")), t=text))
+    assert said("GDP: first quarter 2020") == ("2020-Q1", "quarter") and said("2nd quarter of 2021") == ("2021-Q2", "quarter") and said("Q3 2019") == ("2019-Q3", "quarter")
+    assert said("Prices, Jan. 2020") == ("2020-01", "month") and said("12 Sept 2019") == ("2019-09", "month") and said("January 12th, 2020") == ("2020-01", "month")
+    assert said("Q1 2020 to Q3 2020") == ("2020-Q3", "range") and said("Apr 2019 - Jun 2020") == ("2020-06", "range") and said("2019/20") == (None, "years")
+    assert said("Maybe 12") == (None, "none") and said("quarter 7 2020") == (None, "quarter") and one(spark, cal.stated_period(F.lit(None).cast("string"))) is None

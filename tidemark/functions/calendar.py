@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.numbers import let, lexed
+
 
 def day(ts: Column) -> Column:
     return F.to_date(ts)
@@ -68,36 +70,57 @@ def spine(df: DataFrame, by: list[str], date: str, unit: str = "day") -> DataFra
     return bounds.where("_lo is not null").select(*by, F.explode(F.sequence("_lo", "_hi", F.expr(step))).alias(date))
 
 
-# English months, in order.
+# English months, in order, and the words that periods are made of.
 MONTHS = ("january", "february", "march", "april", "may", "june", "july", "august", "september", "october", "november", "december")
-_M, _Y = "(" + "|".join(MONTHS) + ")", r"([0-9]{4})"
-#: What a title can say of the time that it covers, the most telling first: shape, pattern, and the groups of the last month or quarter and its year.
-STATED = (
-    ("span_years", rf"\b{_M}\s+{_Y}\s+to\s+{_M}\s+{_Y}", 3, 4),
-    ("month_to_month", rf"\b{_M}\s+to\s+{_M}\s+{_Y}", 2, 3),
-    ("week_ending", rf"\bweek ending\s+[0-9]{{1,2}}\s+{_M}\s+{_Y}", 1, 2),
-    ("year_ending", rf"\byear ending\s+{_M}\s+{_Y}", 1, 2),
-    ("quarter_named", rf"\bquarter\s+[0-9][^0-9]{{0,24}}\b{_M}\s+{_Y}", 1, 2),
-    ("month", rf"\b{_M}\s+{_Y}", 1, 2),
-    ("quarter", rf"\b(?:q|quarter\s*)([1-4])\s+{_Y}", 1, 2),
-    ("year_range", r"\b[0-9]{4}\s*(?:to|-|/)\s*[0-9]{2,4}\b", None, None),
-    ("year_only", r"\b[0-9]{4}\b", None, None),
-)
+QUARTERS = ("first", "second", "third", "fourth")
+PERIOD_WORDS = {"q": "P", "quarter": "P", "to": "T", "-": "T", "–": "T", "/": "T", "through": "T", "until": "T", "ending": "E", "ended": "E", "week": "W", "year": "K", "of": "F", ",": "F", ".": ".", "st": "S", "nd": "S", "rd": "S", "th": "S"}
+#: Over one letter a token: a month with or without its day, or a quarter; then one with its year; then all that can belong to it.
+_UNIT = r"(?:(?:DS?F?)?M\.?(?:DS?)?|PD|[OD]S?P)"
+_DATED = rf"{_UNIT}F?Y"
+_PHRASE = rf"(?:[WK]E)?(?:{_UNIT}(?:F?Y)?T)?{_DATED}"
+
+
+def _period_token(w: Column) -> Column:
+    """Letter and number of a token: M a month, O an ordinal of a quarter, Y a year, D a number up to 31, else as in PERIOD_WORDS; x for all others."""
+    names = {m: k + 1 for k, name in enumerate(MONTHS) for m in (name, name[:3])} | {"sept": 9}
+    lookup = lambda table: F.try_element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), w)
+    month, ordinal = lookup(names), lookup({q: k + 1 for k, q in enumerate(QUARTERS)})
+    number = F.when(w.rlike("^[0-9]{1,4}$"), w.cast("int"))
+    letter = F.when(month.isNotNull(), "M").when(ordinal.isNotNull(), "O").when(F.length(w).between(4, 4) & number.isNotNull(), "Y").when(number.between(1, 31) & (F.length(w) <= 2), "D")
+    quarter = F.when(w.rlike("^q[1-4]$"), F.substring(w, 2, 1).cast("int"))
+    return F.struct(F.when(quarter.isNotNull(), "Q").otherwise(F.coalesce(letter, lookup(PERIOD_WORDS), F.lit("x"))).alias("letter"), F.coalesce(month, ordinal, quarter, number).alias("n"))
 
 
 def stated_period(title: Column) -> Column:
-    """period (YYYY-MM or YYYY-Qn, the end of a range; null for years alone) and shape of what a title says after its colon, if it has one; shape "none" if it says no time, null for a null title."""
+    """period (YYYY-MM or YYYY-Qn, the end of a range; null for years alone) and shape of what a title says after its colon, if it has one: "week ending", "year ending", "range", "quarter", "month", "years", "year" or "none"; null for a null title.
+
+    Tokens become letters (month, year, quarter, day, "to" and the like); the first run of letters that reads as a dated phrase
+    is the period: "Jan. 2020", "9 January 2020", "first quarter of 2020", "Q3 2019", "April to June 2021".
+    """
     at = F.instr(title, ":")
-    low = F.lower(F.substring(title, at + 1, F.length(title)))
-    out = F.when(title.isNotNull(), F.struct(F.lit(None).cast("string").alias("period"), F.lit("none").alias("shape")))
-    for shape, pattern, unit, year in reversed(STATED):
-        period = F.lit(None).cast("string")
-        if unit is not None:
-            said = F.regexp_extract(low, pattern, unit)
-            number = F.lpad(F.array_position(F.array(*map(F.lit, MONTHS)), said).cast("string"), 2, "0")
-            period = F.concat(F.regexp_extract(low, pattern, year), F.lit("-"), F.concat(F.lit("Q"), said) if shape == "quarter" else number)
-        out = F.when(low.rlike(pattern), F.struct(period.alias("period"), F.lit(shape).alias("shape"))).otherwise(out)
-    return out
+    rest = F.substring(title, at + 1, F.length(title))
+
+    def said(t: Column) -> Column:
+        # A token stands for one letter, "q3" for two, as "q 3" does.
+        code = F.array_join(F.transform(t, lambda x: F.when(x["letter"] == "Q", "PD").otherwise(x["letter"])), "")
+        ns = F.flatten(F.transform(t, lambda x: F.when(x["letter"] == "Q", F.array(F.lit(None).cast("int"), x["n"])).otherwise(F.array(x["n"]))))
+
+        def phrase(c: Column) -> Column:
+            found, start = F.regexp_extract(c["code"], _PHRASE, 0), F.regexp_instr(c["code"], F.lit(_PHRASE))
+            end = start + F.length(found) - 1  # of the year, from 1
+            last = F.regexp_extract(found, rf"{_DATED}$", 0)
+            quarter = last.contains("P")
+            place = F.length(F.regexp_extract(last, "^.*?(?:M|[OD](?=S?P)|(?<=P)D)", 0))
+            n = F.get(c["ns"], end - F.length(last) + place - 1)
+            year = F.get(c["ns"], end - 1).cast("string")
+            period = F.when(~quarter, F.concat(year, F.lit("-"), F.lpad(n.cast("string"), 2, "0"))).when(n.between(1, 4), F.concat(year, F.lit("-Q"), n.cast("string")))
+            shape = F.when(found.startswith("W"), "week ending").when(found.startswith("K"), "year ending").when(found.contains("T"), "range").when(quarter, "quarter").otherwise("month")
+            alone = F.when(c["code"].rlike("YT[YD]"), "years").when(c["code"].contains("Y"), "year").otherwise("none")
+            return F.when(found != "", F.struct(period.alias("period"), shape.alias("shape"))).otherwise(F.struct(F.lit(None).cast("string").alias("period"), alone.alias("shape")))
+
+        return let(F.struct(code.alias("code"), ns.alias("ns")), phrase)
+
+    return F.when(title.isNotNull(), let(F.transform(lexed(rest), lambda x: _period_token(x["w"])), said))
 
 
 def iso_period(code: Column) -> Column:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -53,31 +55,128 @@ def tolerance(said: Column) -> Column:
     return F.when(decimals(said) > 0, 0.5 * F.pow(F.lit(10.0), -decimals(said))).otherwise(0.5 * F.pow(F.lit(10.0), zeros))
 
 
-# What stands behind a number and what it makes of it.
-SCALES = {"billion": 1e9, "bn": 1e9, "million": 1e6, "mn": 1e6, "thousand": 1e3}
-PERCENT, POINTS = ("%", "per cent", "percent"), ("index point", "index points", "point", "points")
+# What stands beside a number and what it makes of it.
+SCALES = {"thousand": 1e3, "million": 1e6, "mn": 1e6, "billion": 1e9, "bn": 1e9, "trillion": 1e12}
+UNITS = {"%": "pct", "percent": "pct", "per cent": "pct", "percentage point": "pp", "percentage points": "pp", "point": "points", "points": "points", "index point": "points", "index points": "points"}
+CURRENCIES = ("£", "$", "€")
+DASHES = ("-", "–", "−")
+ORDINALS = ("st", "nd", "rd", "th")
+DURATIONS = ("second", "seconds", "minute", "minutes", "hour", "hours", "day", "days", "week", "weeks", "month", "months", "year", "years", "decade", "decades", "century", "centuries")
+EXTENTS = ("mm", "cm", "m", "metre", "metres", "meter", "meters", "km", "km2", "km²", "mile", "miles", "square", "hectare", "hectares", "ha", "acre", "acres", "km/h", "kmh", "kt", "hpa", "mbar", "people", "persons", "inhabitants", "residents", "lives", "deaths", "homes")
+THRESHOLDS = ("limit", "target", "threshold", "warming")
 NUMBER_WORDS = ("zero", "one", "two", "three", "four", "five", "six", "seven", "eight", "nine", "ten", "eleven", "twelve")
-CLAIM = r"(?i)([£$€]?)\s*(-?[0-9]{1,3}(?:,[0-9]{3})+(?:\.[0-9]+)?|-?[0-9]+(?:\.[0-9]+)?)(?:\s*(percentage points?|per cent|percent|%|billion|bn\b|million|mn\b|thousand|index points?|points?))?"
+
+BLANKS = " \t\n\r\f"
+#: A number, a word or any other character, with the blanks before it.
+LEX = r"[ \t\n\r\f]*(?:[0-9]+(?:,[0-9]{3})*(?:\.[0-9]+)?|\p{L}[\p{L}'’²0-9]*|[^ \t\n\r\f])"
+#: Characters that make numbers which they touch on both sides parts of one name, address, date or time.
+BINDERS = (".", ":", "/", "_", "@", "#")
+
+
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value), where value is worked out once however often f uses it."""
+    return F.transform(F.array(value), f)[0]
+
+
+def lexed(text: Column) -> Column:
+    """Words, numbers and other characters in order: said, w (in lower case) and touches (no blank before it)."""
+
+    def one(x: Column) -> Column:
+        bare = F.ltrim(x, F.lit(BLANKS))
+        return F.struct(bare.alias("said"), F.lower(bare).alias("w"), (F.length(bare) == F.length(x)).alias("touches"))
+
+    return F.transform(F.regexp_extract_all(text, F.lit(LEX), F.lit(0)), one)
+
+
+def _one_of(c: Column, values: tuple[str, ...]) -> Column:
+    return F.coalesce(c.isin(*values), F.lit(False))
+
+
+def _looked_up(c: Column, table: dict) -> Column:
+    return F.try_element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), F.coalesce(c, F.lit("")))
+
+
+def _read(t: Column, i: Column) -> Column:
+    """What the tokens around the number at place i make of it, ranges aside."""
+    at = lambda k: F.get(t, i + k)
+    word = lambda k: at(k)["w"]
+    touches = lambda k: F.coalesce(at(k)["touches"], F.lit(False))
+    solid = lambda k: F.coalesce(word(k).rlike(r"^[\p{L}0-9]"), F.lit(False))
+
+    money = _one_of(word(-1), CURRENCIES) | (_one_of(word(-1), DASHES) & touches(0) & _one_of(word(-2), CURRENCIES))
+    # A dash is a sign if it touches what follows and nothing solid before it.
+    sign = lambda k: _one_of(word(k), DASHES) & touches(k + 1) & ~(touches(k) & (solid(k - 1) | _one_of(word(k - 1), (")", "%"))))
+    negative = F.when(_one_of(word(-1), CURRENCIES), sign(-2)).otherwise(sign(-1))
+    scale = F.coalesce(_looked_up(word(1), SCALES), F.when(money & touches(1) & (word(1) == "m"), 1e6))
+    unit = F.coalesce(_looked_up(F.concat_ws(" ", word(1), word(2)), UNITS), _looked_up(word(1), UNITS))
+    kind = F.coalesce(unit, F.when(money, "money").when(scale.isNotNull(), "count").otherwise("plain"))
+    number = F.replace(at(0)["said"], F.lit(","), F.lit("")).try_cast("double")
+    year = lambda k: F.coalesce(word(k).rlike(r"^(1[89]|20)[0-9]{2}$") & word(k).between("1850", "2100"), F.lit(False))
+    behind = F.when(scale.isNotNull() | (_one_of(word(1), DASHES) & touches(1)), word(2)).otherwise(word(1))
+    after_unit = F.when(_looked_up(word(1), UNITS).isNotNull(), word(2)).otherwise(word(3))
+
+    bound = lambda k: _one_of(word(k), BINDERS) & touches(k) & touches(k + 1) & solid(k - 1) & solid(k + 1)
+    suffix = touches(1) & F.coalesce(word(1).rlike(r"^\p{L}"), F.lit(False)) & scale.isNull() & ~_one_of(word(1), EXTENTS)
+    ordinal = touches(1) & _one_of(word(1), ORDINALS)
+    prefix = touches(0) & F.coalesce(word(-1).rlike(r"[\p{L}0-9]$"), F.lit(False))
+    role = (
+        F.when(ordinal, "ordinal")
+        .when(bound(-1) | bound(1) | prefix | suffix, "name")
+        .when(((word(1) == "°") & _one_of(word(2), ("n", "s", "e", "w"))) | (_one_of(word(1), ("degree", "degrees")) & _one_of(word(2), ("north", "south", "east", "west"))), "coordinate")
+        .when((kind == "plain") & year(0), "year")
+        .when((kind == "plain") & _one_of(word(-1), DASHES) & touches(-1) & touches(0) & year(-2) & (F.length(word(0)) == 2), "year")
+        .when(_one_of(behind, DURATIONS), "duration")
+        .when(_one_of(behind, EXTENTS), "extent")
+        .when((kind == "pct") & _one_of(after_unit, ("of",)), "share")
+        .when(_one_of(word(-1), THRESHOLDS) | _one_of(word(-2), THRESHOLDS) | _one_of(word(-3), THRESHOLDS) | _one_of(word(-4), THRESHOLDS), "threshold")
+        .otherwise("value")
+    )
+    dash = _one_of(word(1), DASHES) & touches(1) & touches(2)
+    between = _one_of(F.when(money, word(-2)).otherwise(word(-1)), ("between",))
+    to = _one_of(word(1), ("to",)) | (_one_of(word(1), ("and",)) & between)
+    link = F.when(unit.isNull() & scale.isNull() & ~_one_of(role, ("year", "name", "ordinal")), F.when(dash, "dash").when(to, "to"))
+    return F.struct(i.alias("at"), at(0)["said"].alias("said"), number.alias("number"), negative.alias("negative"), money.alias("money"), _one_of(word(-1), CURRENCIES).alias("marked"), F.coalesce(scale, F.lit(1.0)).alias("scale"), kind.alias("kind"), role.alias("role"), link.alias("link"))
+
+
+def _ranged(r: Column, n: Column) -> Column:
+    """The n-th number with what it shares with the other end of a range."""
+    x, before, after = r[n], F.get(r, n - 1), F.get(r, n + 1)
+    joins = lambda a, b: F.coalesce(a["link"].isNotNull() & (b["at"] - a["at"] == F.when(b["marked"], 3).otherwise(2)) & ~_one_of(b["role"], ("year", "name", "ordinal")), F.lit(False))
+    low, high = joins(x, after), joins(before, x)
+    money = x["money"] | (high & before["money"])
+    scale = F.when(low, after["scale"]).otherwise(x["scale"])
+    shared = F.when(low & (x["kind"] == "plain"), after["kind"]).otherwise(x["kind"])
+    kind = F.when(money & shared.isin("plain", "count"), "money").otherwise(shared)
+    negative = x["negative"] | (high & (before["link"] == "dash") & before["negative"])
+    role = F.when(low & (x["role"] == "value"), after["role"]).otherwise(x["role"])
+    return F.struct(F.when(negative, -x["number"] * scale).otherwise(x["number"] * scale).alias("value"), kind.alias("kind"), x["said"].alias("said"), role.alias("role"), x["at"].alias("at"))
 
 
 def typed(text: Column) -> Column:
-    """Numbers in the order of the text, each with value (scaled), kind (pct, pp, points, money, count, plain) and said."""
+    """Numbers in the order of the text: value (scaled, signed), kind (pct, pp, points, money, count, plain), said (the digits), role, at (the place among the tokens).
+
+    A dash is a sign only where it touches nothing before it. The ends of a range ("10-12%", "between $2 and 3 billion") share
+    unit, scale and currency, and with a dash the sign. role says what a number is that measures nothing: a year, the two digits
+    of "2019-20", an ordinal, part of a name, date or version, a coordinate, a duration, an extent in other units, a share "of"
+    something, a threshold; else it is "value". One pass cuts the text into tokens; each number then looks at those beside it.
+    """
 
-    def one(said: Column) -> Column:
-        number = F.replace(F.regexp_extract(said, CLAIM, 2), F.lit(","), F.lit("")).cast("double")
-        suffix = F.lower(F.regexp_extract(said, CLAIM, 3))
-        scale = F.lit(1.0)
-        for word, factor in SCALES.items():
-            scale = F.when(suffix == word, factor).otherwise(scale)
-        kind = F.when(suffix.isin(*PERCENT), "pct").when(suffix.startswith("percentage point"), "pp").when(suffix.isin(*POINTS), "points").when(F.regexp_extract(said, CLAIM, 1) != "", "money").when(suffix != "", "count").otherwise("plain")
-        return F.struct((number * scale).alias("value"), kind.alias("kind"), F.trim(said).alias("said"))
+    def numbers(t: Column) -> Column:
+        places = F.filter(F.sequence(F.lit(0), F.size(t) - 1), lambda i: t[i]["w"].rlike("^[0-9]"))
+        return F.when(F.size(t) > 0, let(F.transform(places, lambda i: _read(t, i)), lambda r: F.transform(r, lambda x, n: _ranged(r, n))))
 
-    return F.transform(F.regexp_extract_all(text, F.lit(CLAIM), 0), one)
+    none = F.array().cast("array<struct<value:double,kind:string,said:string,role:string,at:int>>")
+    return F.when(text.isNotNull(), F.coalesce(let(lexed(text), numbers), none))
 
 
 def claimed(text: Column) -> Column:
-    """Typed numbers alone: years, list numbers and lengths of time, which nothing marks as measurements, are left out."""
-    return F.filter(typed(text), lambda x: x["kind"] != "plain")
+    """Typed numbers that measure something: with a unit, a scale or a currency, and in no other role."""
+    return F.filter(typed(text), lambda x: (x["kind"] != "plain") & (x["role"] == "value"))
+
+
+def measured(text: Column) -> Column:
+    """Numbers that may be readings of a series: typed or plain, but no years, ordinals, names, coordinates, durations, extents, shares or thresholds."""
+    return F.filter(typed(text), lambda x: x["role"] == "value")
 
 
 def words_as_figures(text: Column) -> Column:

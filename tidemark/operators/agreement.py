@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import numbers as num
 
-YEAR = r"\b(19[0-9]{2}|20[0-9]{2})\b"
+YEAR = r"(?<![0-9])(19[0-9]{2}|20[0-9]{2})(?![0-9])"
 CITED = r"\[[0-9]+(?:, ?[0-9]+)*\]"
 SCORE = r"\b([0-9]{1,3})(?: for |/|-)([0-9]{1,3})\b"
 MARK = "<ts></ts>"
@@ -19,9 +19,8 @@ MARK = "<ts></ts>"
 def unsupported(summary: Column, shown: Column) -> Column:
     """Figures of the summary, as written, that none of the numbers shown (an array) rounds to at the precision written. Citations such as [3, 7] are no figures."""
     def roomy(x: Column) -> Column:
-        said = F.regexp_extract(x["said"], num.CLAIM, 2)
-        plain = F.abs(num.value(said))
-        room = num.tolerance(said) * F.when(plain > 0, F.abs(x["value"]) / plain).otherwise(1.0) + 1e-9
+        plain = F.abs(num.value(x["said"]))
+        room = num.tolerance(x["said"]) * F.when(plain > 0, F.abs(x["value"]) / plain).otherwise(1.0) + 1e-9
         return F.struct(x["said"].alias("said"), F.abs(x["value"]).alias("value"), room.alias("room"))
 
     figures = F.transform(num.typed(F.regexp_replace(summary, CITED, " ")), roomy)
@@ -34,18 +33,18 @@ def unresolved(figures: Column, accepted: Column) -> Column:
     return F.array_except(figures, F.coalesce(accepted, F.array().cast("array<string>")))
 
 
-def forms(values: Column) -> Column:
-    """How the values are written with two places, with one, and as whole numbers; nulls are left out."""
-    known = F.filter(values, lambda v: v.isNotNull())
-    return F.flatten(F.transform(known, lambda v: F.array(F.format_string("%.2f", v), F.format_string("%.1f", v), F.format_string("%.0f", F.bround(v, 0)))))
+def figures_in_series(texts: DataFrame, series: DataFrame, key: list[str], text: str, value: str) -> DataFrame:
+    """key, figures: how many different figures of a key's texts are a value of its series, rounded to two places, to one or to none (half to even), or would be if they were rounded to two places or one. A key without texts or values has no row.
 
-
-def figures_in_series(text: Column, values: Column) -> Column:
-    """How many different figures of the text are a written form of a value of the series, or become one at two places or at one."""
-    said = F.transform(F.regexp_extract_all(text, F.lit(r"[0-9][0-9,]*(?:\.[0-9]+)?"), 0), lambda s: F.translate(s, ",", ""))
-    have = forms(values)
-    as_written = lambda s: F.array_contains(have, s) | F.array_contains(have, F.format_string("%.2f", s.cast("double"))) | F.array_contains(have, F.format_string("%.1f", s.cast("double")))
-    return F.size(F.filter(F.array_distinct(said), as_written))
+    Figures and values meet by an equality join on key and hundredths: none is compared with every value of a long series.
+    """
+    hundredths = lambda c, places: F.round(F.bround(c, places) * 100).cast("long")
+    said = texts.select(*key, F.explode(num.typed(F.col(text))).alias("x")).select(*key, F.translate("x.said", ",", "").alias("figure")).distinct()
+    said = said.select(*key, "figure", F.explode(F.array_distinct(F.array(*[hundredths(F.col("figure").cast("double"), p) for p in (2, 1)]))).alias("at"))
+    shown = series.where(F.col(value).isNotNull()).select(*key, F.explode(F.array(*[hundredths(F.abs(value), p) for p in (2, 1, 0)])).alias("at")).distinct()
+    both = texts.select(*key).distinct().join(series.select(*key).distinct(), key)
+    found = said.join(shown, [*key, "at"]).select(*key, "figure").distinct().groupBy(*key).agg(F.count("*").alias("figures"))
+    return both.join(found, key, "left").select(*key, F.coalesce("figures", F.lit(0)).cast("long").alias("figures"))
 
 
 def margin(text: Column, up: str, down: str) -> Column:
@@ -61,8 +60,9 @@ def stated_sign(text: Column, up: str, down: str, least: int = 1) -> Column:
 
 def terminal_year(text: Column, end: Column, assessed: Column) -> list[Column]:
     """named: the text names the year `end`; latest: no later year is named, other than projections beyond `assessed`."""
-    years = F.filter(F.transform(F.regexp_extract_all(text, F.lit(YEAR), 1), lambda y: y.cast("int")), lambda y: y <= F.coalesce(assessed, end))
-    return [F.contains(text, end.cast("string")).alias("named"), F.coalesce(F.array_max(years) == end, F.lit(False)).alias("latest")]
+    said = F.transform(F.regexp_extract_all(text, F.lit(YEAR), 1), lambda y: y.cast("int"))
+    years = F.filter(said, lambda y: y <= F.coalesce(assessed, end))
+    return [F.array_contains(said, end).alias("named"), F.coalesce(F.array_max(years) == end, F.lit(False)).alias("latest")]
 
 
 def scores(text: Column) -> Column:
@@ -82,12 +82,26 @@ def states_score(text: Column, runs: Column, wickets: Column) -> Column:
     return F.exists(scores(text), lambda s: (s["runs"] == runs) & (s["wickets"] == wickets)) | ((wickets >= 10) & alone)
 
 
+# What stands before a symbol in brackets.
+EXCHANGES = ("symbol", "nyse", "nasdaq", "nysearca", "amex", "otc")
+SYMBOLS = r"[A-Za-z0-9]+(?:[.-][A-Za-z0-9]+)*|[^A-Za-z0-9 \t\r\n\f]"
+
+
 def names_symbol(text: Column, symbol: Column) -> Column:
-    """Whether the text names a ticker: by exchange, $ or the word ticker in any case; three characters or more also alone, in their own case."""
-    quoted = F.concat(F.lit(r"\Q"), symbol, F.lit(r"\E"))
-    marked = F.concat(F.lit(r"(?i)(\(\s*(Symbol|NYSE|NASDAQ|NYSEARCA|AMEX|OTC)[:\s]\s*"), quoted, F.lit(r"\s*\)|\$"), quoted, F.lit(r"\b|\bticker\s+"), quoted, F.lit(r"\b)"))
-    alone = F.concat(F.lit(r"\b"), quoted, F.lit(r"\b"))
-    return F.regexp_like(text, marked) | ((F.length(symbol) >= 3) & F.regexp_like(text, alone))
+    """Whether the text names a ticker. It does in any case of letters if a token that is the symbol stands in brackets after an exchange (with or without a colon), after $ or after the word ticker; and in the symbol's own case alone, if it has three characters or more."""
+
+    def said(t: Column) -> Column:
+        low = lambda i: F.lower(F.get(t, i))
+        same = lambda a, *b: F.coalesce(a.isin(*b), F.lit(False))
+
+        def here(i: Column) -> Column:
+            after_exchange = F.when(low(i - 1) == ":", same(low(i - 2), *EXCHANGES) & same(low(i - 3), "(")).otherwise(same(low(i - 1), *EXCHANGES) & same(low(i - 2), "("))
+            marked = same(low(i - 1), "$", "ticker") | (F.coalesce(after_exchange, F.lit(False)) & same(low(i + 1), ")"))
+            return ((low(i) == F.lower(symbol)) & marked) | ((F.length(symbol) >= 3) & (t[i] == symbol))
+
+        return F.when(F.size(t) > 0, F.exists(F.sequence(F.lit(0), F.size(t) - 1), here)).otherwise(F.lit(False))
+
+    return num.let(F.regexp_extract_all(text, F.lit(SYMBOLS), F.lit(0)), said)
 
 
 def revisions(df: DataFrame, key: list[str], value: str, places: int = 4) -> DataFrame:

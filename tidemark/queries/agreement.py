@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions import calendar as cal
+from tidemark.functions import numbers as num
 from tidemark.functions import scalars
 from tidemark.operators import agreement, windows
 from tidemark.queries.registry import Tables, query
@@ -70,7 +71,22 @@ def figures_in_series(t: Tables) -> DataFrame:
     whole, grouped = _s(n), F.format_number(n, 0)
     texts = [F.concat(whole, F.lit(".37, then "), whole, F.lit(".4 and "), whole), F.concat(F.lit("about "), grouped, F.lit(".37 again "), grouped, F.lit(".37")), F.concat(whole, F.lit(".38 and "), _s(n + 7)), F.concat(whole, F.lit(".40 or "), whole, F.lit(", not 12."))]
     text = F.concat(*[F.when(_k() % 4 == i, x).otherwise("") for i, x in enumerate(texts)])
-    return t.orders.select(_k().alias("k"), agreement.figures_in_series(text, F.array(n + 0.37, F.lit(None).cast("double"))).alias("figures"))
+    said = t.orders.select(_k().alias("k"), text.alias("text"))
+    shown = t.orders.select(_k().alias("k"), F.explode(F.array(n + 0.37, F.lit(None).cast("double"))).alias("v"))
+    out = agreement.figures_in_series(said, shown, ["k"], "text", "v")
+    return out.select("k", F.col("figures").cast("int").alias("figures"))
+
+
+@query(r"""WITH f AS (SELECT DISTINCT conv_id, role, replace(s, ',', '') AS s FROM (SELECT conv_id, role, unnest(regexp_extract_all(text, '\p{L}[\p{L}''’²0-9]*|([0-9]+(?:,[0-9]{3})*(?:\.[0-9]+)?)', 1)) AS s FROM conversations) WHERE s <> ''),
+v AS (SELECT DISTINCT conv_id, unnest([round_even(round_even(s::DOUBLE, 2) * 100, 0)::BIGINT, round_even(round_even(s::DOUBLE, 1) * 100, 0)::BIGINT, round_even(round_even(s::DOUBLE, 0) * 100, 0)::BIGINT]) AS h FROM f WHERE role <> 'assistant'),
+h AS (SELECT conv_id, s, unnest([round_even(round_even(s::DOUBLE, 2) * 100, 0)::BIGINT, round_even(round_even(s::DOUBLE, 1) * 100, 0)::BIGINT]) AS h FROM f WHERE role = 'assistant'),
+b AS (SELECT conv_id FROM conversations WHERE role = 'assistant' INTERSECT SELECT conv_id FROM v)
+SELECT conv_id, count(DISTINCT s) AS figures FROM b LEFT JOIN (SELECT DISTINCT h.conv_id, s FROM h JOIN v USING (conv_id, h)) USING (conv_id) GROUP BY conv_id""")
+def figures_taken_up(t: Tables) -> DataFrame:
+    """How many figures of what the assistant says are figures of what others in the conversation say."""
+    c = t.conversations
+    shown = c.where("role <> 'assistant'").select("conv_id", F.explode(num.typed(F.col("text"))).alias("x")).select("conv_id", num.value(F.col("x.said")).alias("v"))
+    return agreement.figures_in_series(c.where("role = 'assistant'"), shown, ["conv_id"], "text", "v")
 
 
 @query("""SELECT o_orderkey AS k, CASE o_orderkey % 3 WHEN 0 THEN [] WHEN 1 THEN [(o_orderkey % 300 + 900)::VARCHAR] ELSE [(o_orderkey % 300 + 900)::VARCHAR, '77.5'] END AS bad, CASE o_orderkey % 3 WHEN 2 THEN 1 ELSE 0 END + CASE WHEN o_orderkey % 6 = 1 THEN 1 WHEN o_orderkey % 6 = 5 THEN 1 ELSE 0 END AS n_bad FROM orders""")
@@ -89,7 +105,7 @@ ABOVE, BELOW = r"(?i)\b(above|warmer|wetter)\b", r"(?i)\b(below|colder|drier)\b"
 
 @query("""WITH b AS (SELECT o_orderkey AS k, o_orderkey % 4 AS up, o_orderkey % 3 AS down, o_totalprice > lag(o_totalprice) OVER w AS rose FROM orders WINDOW w AS (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey))
 SELECT k, CASE WHEN up = down THEN NULL ELSE sign(up - down)::INT END AS stated, CASE WHEN abs(up - down) >= 2 THEN rose = (up > down) END AS agrees FROM b""")
-def direction_agreement(t: Tables) -> DataFrame:
+def stated_direction(t: Tables) -> DataFrame:
     """Words above and below the average against the change of the series; agreement is asked for a lead of two words."""
     text = F.concat(F.expr("repeat('Much Warmer than usual; ', cast(o_orderkey % 4 as int))"), F.expr("repeat('far below it, belowdecks; ', cast(o_orderkey % 3 as int))"))
     w = F.lag("o_totalprice").over(windows.Window.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey"))

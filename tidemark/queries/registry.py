@@ -21,9 +21,11 @@ class Tables:
 
 
 def query(sql: str | None = None) -> Callable:
-    """Registers a function of Tables under its own name; sql None: SQL can't express it."""
+    """Registers a function of Tables under its own name, which no other query may have; sql None: SQL can't express it."""
 
     def register(f: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
+        if f.__name__ in QUERIES:
+            raise ValueError(f"two queries are called {f.__name__}")
         QUERIES[f.__name__] = lambda spark, sf_dir: f(Tables(spark, sf_dir))
         if sql:
             ORACLE_SQL[f.__name__] = sql
