@@ -2,16 +2,12 @@
 
 from __future__ import annotations
 
-import functools
 import math
-import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.numbers import claimed
-from tidemark.functions.text import clauses, sentences
 from tidemark.operators.stateful import folded
 
 
@@ -110,22 +106,3 @@ def poisson_tail(k: Column, mean: Column) -> Column:
 def overlap_share(a: Column, b: Column) -> Column:
     """Share of the distinct words of a that b has."""
     return F.when(F.size(F.array_distinct(a)) > 0, F.size(F.array_intersect(a, b)) / F.size(F.array_distinct(a)))
-
-
-def attributed(df: DataFrame, text: str, channels: dict[str, list[str]], within: int | None = None) -> DataFrame:
-    """A row for each typed number of each clause that names exactly one channel: df's columns, clause (its position), channel, value, kind.
-
-    A clause is what lies between ends of sentences or semicolons, so that claims about different series don't answer for
-    each other. A channel is named if all its words stand in the clause, in any case, as words; a clause that names two is
-    ambiguous and gives nothing. within: the first word must stand at most so many characters from the number.
-    """
-    parts = F.flatten(F.transform(sentences(F.col(text)), clauses))
-    each = df.select("*", F.posexplode(parts).alias("clause", "_clause")).withColumn("_low", F.lower("_clause"))
-    names = F.array(*[F.when(functools.reduce(lambda a, b: a & b, [F.col("_low").rlike(rf"\b{re.escape(w.lower())}\b") for w in words]), F.lit(name)) for name, words in channels.items()])
-    one = each.withColumn("_named", F.filter(names, lambda x: x.isNotNull())).where(F.size("_named") == 1).withColumn("channel", F.col("_named")[0])
-    out = one.select(*df.columns, "clause", "channel", "_low", F.inline(claimed(F.col("_clause"))))
-    if within is not None:
-        first = functools.reduce(lambda a, c: F.when(F.col("channel") == c[0], c[1][0].lower()).otherwise(a), channels.items(), F.lit(""))
-        between = F.abs(F.instr("_low", F.lower("said")) - F.instr(F.col("_low"), first))
-        out = out.where(between <= within)
-    return out.drop("_low", "said")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import calendar as cal
 from tidemark.functions import numbers as num
-from tidemark.operators import evidence
+from tidemark.operators import attribution, proximity
 from tidemark.queries.registry import Tables, query
 
 
@@ -109,7 +109,6 @@ def number_words(t: Tables) -> DataFrame:
 
 
 CLAIMS = "b AS (SELECT o_orderkey AS k, (o_orderkey % 50 + 1)::DOUBLE AS a, (o_orderkey % 70 + 2)::DOUBLE AS b FROM orders)"
-CHANNELS = {"goods": ["goods", "inflation"], "services": ["services"]}
 
 
 def _told(t: Tables) -> DataFrame:
@@ -118,12 +117,66 @@ def _told(t: Tables) -> DataFrame:
     return t.orders.select(F.col("o_orderkey").alias("k"), text.alias("text"))
 
 
+def _channels(t: Tables) -> DataFrame:
+    return t.spark.createDataFrame([("goods", "Goods: inflation"), ("services", "Services")], "channel string, title string")
+
+
 @query(f"WITH {CLAIMS} SELECT k, 0 AS clause, 'goods' AS channel, a AS value FROM b UNION ALL SELECT k, 1, 'services', b FROM b")
 def clause_attribution(t: Tables) -> DataFrame:
-    return evidence.attributed(_told(t), "text", CHANNELS).select("k", "clause", "channel", "value")
+    return attribution.attributed(_told(t), ["k"], "text", _channels(t), "channel", "title", most=1).select("k", "clause", "channel", "value")
 
 
 @query(f"WITH {CLAIMS} SELECT k, 'goods' AS channel, a AS value FROM b")
 def keyword_proximity(t: Tables) -> DataFrame:
-    """Numbers at most 60 characters from the first word of the channel that their clause names."""
-    return evidence.attributed(_told(t), "text", CHANNELS, within=60).select("k", "channel", "value")
+    """Numbers at most 12 words from the channel that their clause names."""
+    return attribution.attributed(_told(t), ["k"], "text", _channels(t), "channel", "title", most=1, within=12).select("k", "channel", "value")
+
+
+def _item_words(t: Tables, least: int) -> DataFrame:
+    """item_id, words: the words of each benchmark item with so many letters at least, in order."""
+    words = F.filter(F.transform(num.lexed(F.col("text")), lambda x: x["w"]), lambda w: w.rlike(r"^\p{L}") & (F.length(w) >= least))
+    return t.benchmark.select("item_id", words.alias("words"))
+
+
+def _titles(t: Tables) -> DataFrame:
+    """Every two neighbouring words of six letters or more of a benchmark item are a channel's title."""
+    pairs = F.transform(F.sequence(F.lit(0), F.size("words") - 2), lambda i: F.concat_ws(" ", F.col("words")[i], F.col("words")[i + 1]))
+    rows = _item_words(t, 6).where(F.size("words") > 1).select("item_id", F.posexplode(pairs).alias("i", "title"))
+    return rows.select(F.concat_ws(":", F.col("item_id").cast("string"), "i").alias("channel"), "title")
+
+
+_SENTENCES = r"""m AS (SELECT k, regexp_replace(text, '\b(Mr|Mrs|Dr|St|No|vs|etc|approx|U\.S)\.', '\1' || chr(2), 'g') AS m FROM x),
+s AS (SELECT k, [y for y in [trim(translate(z, chr(2), '.')) for z in string_split(regexp_replace(m, '([.!?])[ \n]+', '\1' || chr(1), 'g'), chr(1))] if y <> ''] AS ss FROM m),
+c AS (SELECT k, unnest(cs) AS text, generate_subscripts(cs, 1) - 1 AS clause FROM (SELECT k, [y for y in [trim(z) for z in flatten([string_split(q, ';') for q in ss])] if y <> ''] AS cs FROM s))"""
+_SYNONYMS = _cased("w", attribution.ENGLISH.synonyms)
+_FORM = f"coalesce({_SYNONYMS}, CASE WHEN w IN {_listed(attribution.ENGLISH.measures + attribution.ENGLISH.restrictions)} THEN w WHEN length(w) > 3 AND w LIKE '%s' AND w NOT LIKE '%ss' THEN left(w, length(w) - 1) ELSE w END)"
+_ITEM_WORDS = f"iw AS (SELECT item_id, [w for w in [lower(ltrim(y, chr(32) || chr(9) || chr(10) || chr(13) || chr(12))) for y in regexp_extract_all(text, '{_LEX}')] if regexp_matches(w, '^\\p{{L}}') AND length(w) >= LEAST] AS ws FROM benchmark)"
+NAMED = f"""WITH {TEXTS}, {_SENTENCES},
+w AS (SELECT k, clause, lower(ltrim(unnest(regexp_extract_all(text, '{_LEX}')), chr(32) || chr(9) || chr(10) || chr(13) || chr(12))) AS w FROM c),
+v AS (SELECT DISTINCT k, clause, {_FORM} AS f FROM w WHERE regexp_matches(w, '^\\p{{L}}')),
+{_ITEM_WORDS.replace("LEAST", "6")},
+ti AS (SELECT item_id || ':' || i AS channel, unnest(ws[i + 1:i + 2]) AS w FROM (SELECT item_id, ws, unnest(range(len(ws) - 1)) AS i FROM iw WHERE len(ws) > 1)),
+tf AS (SELECT DISTINCT channel, {_FORM} AS f FROM ti),
+tn AS (SELECT channel, f, count(*) OVER (PARTITION BY channel) AS n FROM tf WHERE f IN (SELECT f FROM v) AND length(f) >= 3 AND f NOT IN {_listed(attribution.ENGLISH.generic)}),
+h AS (SELECT k, clause, channel, list_sort(list(f)) AS matched FROM v JOIN tn USING (f) GROUP BY ALL HAVING count(*) >= greatest(1, floor(0.8 * any_value(n) + 0.5)))
+SELECT a.k, a.clause::INT AS clause, a.channel FROM h a WHERE NOT EXISTS (SELECT 1 FROM h b WHERE b.k = a.k AND b.clause = a.clause AND len(b.matched) > len(a.matched) AND list_has_all(b.matched, a.matched))"""
+
+
+@query(NAMED)
+def clauses_name_channels(t: Tables) -> DataFrame:
+    """The channels that each clause of all documents and turns names."""
+    rows = attribution.clauses_of(_texts(t), ["k"], "text")
+    return attribution.named(rows, ["k"], _titles(t), "channel", "title").select("k", "clause", "channel")
+
+
+@query(f"""WITH {TEXTS}, {_SENTENCES},
+w AS (SELECT k, clause, i - 1 AS pos, lower(ltrim(l[i], chr(32) || chr(9) || chr(10) || chr(13) || chr(12))) AS w FROM (SELECT k, clause, l, unnest(range(1, len(l) + 1)) AS i FROM (SELECT k, clause, regexp_extract_all(text, '{_LEX}') AS l FROM c))),
+{_ITEM_WORDS.replace("LEAST", "4")},
+kw AS (SELECT DISTINCT item_id, unnest(ws) AS w FROM iw),
+p AS (SELECT k, clause, item_id, w.pos FROM w JOIN kw USING (w)), n AS (SELECT k, clause, pos FROM w WHERE regexp_matches(w, '^[0-9]'))
+SELECT n.k, n.clause::INT AS clause, n.pos::INT AS at, item_id AS channel, min(abs(p.pos - n.pos))::INT AS gap FROM n JOIN p ON p.k = n.k AND p.clause = n.clause GROUP BY ALL HAVING min(abs(p.pos - n.pos)) <= 20""")
+def figures_near_keywords(t: Tables) -> DataFrame:
+    """Numbers of all documents and turns that stand within twenty tokens of a word of a benchmark item, whatever they measure."""
+    words = _item_words(t, 4).select("item_id", F.explode("words").alias("word"))
+    every = ("value", "year", "ordinal", "name", "coordinate", "duration", "extent", "share", "threshold")
+    return proximity.near_keywords(_texts(t), ["k"], "text", words, "item_id", "word", 20, roles=every).select("k", "clause", "at", "channel", "gap")
