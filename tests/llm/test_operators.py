@@ -375,10 +375,14 @@ def test_unlearned_languages(spark):
     """Texts of a language that wasn't learned and letter junk are in no known one; all given documents are, once theirs is learned, and numbers among words don't count."""
     docs = spark.read.parquet(f"{SF.replace('0.001', '0.01')}/documents.parquet")
     model = language_id.learned(docs)
-    assert {r.lang_pred for r in language_id.identify(docs_of(spark, STRANGE), model).collect()} == {"und"}
+    out = language_id.identify(docs_of(spark, STRANGE), model).collect()
+    assert all(r.strange and r.lang_pred in model.names for r in out) and language_id.keep_identified(docs_of(spark, STRANGE), model).count() == 0
     assert language_id.keep_identified(docs, model).count() == docs.count()
     figures = docs.where("lang = 'de'").orderBy("doc_id").limit(20).selectExpr("doc_id", "concat(text, repeat(' 12 345', 3 * length(text))) AS text")
-    assert "und" not in {r.lang_pred for r in language_id.identify(figures, model).collect()}
+    assert not any(r.strange for r in language_id.identify(figures, model).collect())
+    # Every text with a letter has a learned language, however short or foreign.
+    short = ["Hello", "The quick brown fox", "Müller GmbH & Co. KG", "x", "日本", "https://example.org/a?b=1", *{w for r in docs.limit(60).collect() for w in words(r.text)[:12] if not w.isdigit()}]
+    assert {r.lang_pred for r in language_id.identify(docs_of(spark, short, extra=False), model).collect()} <= set(model.names)
     for lang in model.names:
         rest, mine = docs.where(docs.lang != lang), docs.where(docs.lang == lang)
         assert language_id.keep_identified(mine, language_id.learned(rest)).count() <= 0.05 * mine.count()
@@ -559,7 +563,12 @@ def test_toxic_marks_that_are_each_rare():
 
     for prior in (0.3, 0.7):
         mixed_ = [toxic(g.randrange(200)) if g.random() < prior else clean() for _ in range(1500)]
-        model = toxicity.fit(sets([toxic(k) for k in range(3000)]), sets(mixed_), prior)
+        positive, unlabelled = sets([toxic(k) for k in range(3000)]), sets(mixed_)
+        count = lambda many: Counter(x for s in {s.tobytes(): s for s in many}.values() for x in s.tolist())
+        p, u, n_p, n_u = count(positive), count(unlabelled), len({s.tobytes() for s in positive}), len({s.tobytes() for s in unlabelled})
+        every = np.array(sorted(p | u))
+        told = toxicity.telling(np.array([p[x] for x in every.tolist()], dtype=float), n_p, np.array([u[x] for x in every.tolist()], dtype=float), n_u, prior, len(every))
+        model = toxicity.fit(positive, unlabelled, every[told], prior)
         (w,) = slices_of([toxic(k) for k in range(200)])
         (v,) = slices_of([clean() for _ in range(300)])
         assert (model.scores(w) >= 0.5).mean() > 0.95 and (model.scores(v) >= 0.5).mean() < 0.02

@@ -23,7 +23,7 @@ def test_same_as_sql(spark, name):
 
 
 def test_contract():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
     assert len(corpus_pipeline.STAGES) == 5
 
 
@@ -76,9 +76,13 @@ def test_stages_with_odd_rows(spark):
             assert {900, 901} <= kept and not kept & {None, 902, 904}  # 902 repeats one text: nearly the same 5-grams
         if name == "benchmark decontamination":
             assert {900, 901} <= kept
-    plain = table.select(*docs.columns)
-    mixed = corpus_pipeline.STAGES[-1][1](spark, plain, SF)
-    assert not {r.doc_id for r in mixed.collect()} & {900, 901} and corpus_pipeline.STAGES[-1][1](spark, plain.limit(0), SF).count() == 0
+    mix = corpus_pipeline.STAGES[-1][1]
+    clash = table.withColumn("topic", F.lit("t")).withColumn("N_Tokens", F.lit(1)).withColumn("copies_", F.lit(2)).withColumn("expected", F.lit(0.5))
+    mixed = mix(spark, clash, SF)
+    assert mixed.columns == [*clash.columns, "topic_", "n_tokens_", "expected_", "copies__"] and len({c.lower() for c in mixed.columns}) == len(mixed.columns)
+    mixed.write.format("noop").mode("overwrite").save()
+    assert not {r.doc_id for r in mixed.collect()} & {900, 901} and mix(spark, clash.limit(0), SF).count() == 0
+    assert {(r.doc_id, r.copies__) for r in mixed.collect()} == {(r.doc_id, r.copies) for r in mix(spark, table.select(*docs.columns), SF).collect()}
 
 
 def test_run(spark):

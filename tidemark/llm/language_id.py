@@ -2,9 +2,9 @@
 
 A model has, for each language, the likelihoods of hashed byte trigrams inside words. The words of a document are drawn from
 a mixture of languages whose proportions expectation-maximisation estimates; the set of languages is the one with the best
-likelihood less a penalty for each language more. The prediction is the language with the largest share, unless most words
-fit none of the languages: a word fits if its trigrams are likelier, on average, than halfway between what the languages'
-own words have (the entropy of all learned trigrams) and what any bytes have (all trigrams alike).
+likelihood less a penalty for each language more. The prediction is the language with the largest share. A text is strange
+if most of its words fit none of the languages: a word fits if its trigrams are likelier, on average, than halfway between
+what the languages' own words have (the entropy of all learned trigrams) and what any bytes have (all trigrams alike).
 """
 
 from __future__ import annotations
@@ -28,6 +28,10 @@ MAX_LANGUAGES = 256
 UNKNOWN = "und"
 #: A document whose largest share is smaller has no language that it is written in.
 MIN_SHARE = 0.3
+#: Standard errors by which more than half of a text's words must fit no language for it to be strange: no text of one or two words is.
+CERTAIN = 1.5
+#: A word counts once for every so many bytes begun, as in scripts without blanks a sentence is one word.
+WORD_BYTES = 12
 
 
 @dataclass
@@ -115,7 +119,7 @@ def fitted(like: np.ndarray, counts: np.ndarray, share: np.ndarray, rounds: int)
 
 
 def mixtures(w: Words, model: LanguageModel) -> tuple[np.ndarray, np.ndarray]:
-    """Shares of the languages in each row's chosen set, zeros for rows without words; and the rows most of whose words, numbers aside, fit none of the set: half of them and a standard error of half more.
+    """Shares of the languages in each row's chosen set, zeros for rows without words; and the rows most of whose words, numbers aside, fit none of the set: half of them and CERTAIN standard errors of half more.
 
     The sets of a row are its leading languages in the fit with all of them, one language, two, and so on to all. As no
     word is likelier than in its best language, a set's value is at most its penalty below 0: a row is done as soon as its
@@ -146,8 +150,9 @@ def mixtures(w: Words, model: LanguageModel) -> tuple[np.ndarray, np.ndarray]:
     counted = digits[w.end] - digits[w.start] < length
     each = (top + np.log(np.maximum((like * out[row]).sum(1), 1e-300))) / length
     unfit = counted & (each < -((out * model.entropy).sum(1) + BITS * np.log(2))[row] / 2)
-    n_unfit, n_counted = sums(unfit, first), sums(counted, first)
-    return out, (n_counted > 0) & (n_unfit >= (n_counted + np.sqrt(n_counted)) / 2)
+    times = (length + WORD_BYTES - 1) // WORD_BYTES
+    n_unfit, n_counted = sums(unfit * times, first), sums(counted * times, first)
+    return out, (n_counted > 0) & (n_unfit >= (n_counted + CERTAIN * np.sqrt(n_counted)) / 2)
 
 
 def has_letter(text: Column) -> Column:
@@ -155,10 +160,10 @@ def has_letter(text: Column) -> Column:
 
 
 def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> DataFrame:
-    """One row per row of docs: `row` (all its columns), lang_pred, score (share of lang_pred), langs (map of shares).
+    """One row per row of docs: `row` (all its columns), lang_pred, score (share of lang_pred), langs (map of shares), strange.
 
-    A text that is null, has no letter or has mostly words that fit no language is "und" with score 0 and no
-    languages, and so is every text for a model without languages. Equal shares go to the language first in the alphabet.
+    Only a text that is null or has no letter is "und", with score 0 and no languages, and so is every text for a model
+    without languages; any other has a learned language, strange or not. Equal shares go to the language first in the alphabet.
     A row's answer depends on its text alone, so repeated rows get equal answers. Texts are read whole, the likelihoods of a
     very long one piece by piece. An empty table gives an empty table; extra columns stay in `row`.
     """
@@ -170,14 +175,14 @@ def identify(docs: DataFrame, model: LanguageModel, text_col: str = "text") -> D
             for w in slices(b.column("text")):
                 part = b.slice(w.lo, w.hi - w.lo)
                 share, strange = mixtures(w, model)
-                share[~part.column("known").to_numpy(zero_copy_only=False) | strange] = 0
+                share[~part.column("known").to_numpy(zero_copy_only=False)] = 0
                 top = share.argmax(1) if share.shape[1] else np.zeros(len(share), dtype=np.int64)
                 score = share.max(1, initial=0.0)
                 names = [model.names[k] if s > 0 else UNKNOWN for k, s in zip(top, score, strict=True)]
                 maps = [[(model.names[k], float(s[k])) for k in np.flatnonzero(s)] for s in share]
-                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(names, type=pa.string()), pa.array(np.minimum(score, 1.0)), pa.array(maps, type=langs)], names=["row", "lang_pred", "score", "langs"])
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(names, type=pa.string()), pa.array(np.minimum(score, 1.0)), pa.array(maps, type=langs), pa.array(strange)], names=["row", "lang_pred", "score", "langs", "strange"])
 
-    return rows.mapInArrow(run, fields(rows, ["row"], "lang_pred string, score double, langs map<string,double>"))
+    return rows.mapInArrow(run, fields(rows, ["row"], "lang_pred string, score double, langs map<string,double>, strange boolean"))
 
 
 def held_out(id_: Column, parts: int, part: int) -> Column:
@@ -191,10 +196,10 @@ def learned(docs: DataFrame, id_col: str = "doc_id", parts: int = 4, part: int =
 
 
 def keep_identified(docs: DataFrame, model: LanguageModel, min_share: float = MIN_SHARE) -> DataFrame:
-    """docs without rows whose language is unknown or has less than min_share of the words; columns stay as they are.
+    """docs without rows whose language is unknown, that are strange, or whose language has less than min_share of the words; columns stay as they are.
 
-    Null, empty and letterless texts go; null ids, repeated rows and very long texts are judged by the text like any other;
+    Null, empty and letterless texts go, strange texts only from three words on; null ids, repeated rows and very long texts are judged by the text like any other;
     an empty table gives an empty table.
     """
-    out = identify(docs, model).where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= min_share))
+    out = identify(docs, model).where((F.col("lang_pred") != UNKNOWN) & ~F.col("strange") & (F.col("score") >= min_share))
     return out.select(*[F.col("row").getField(c).alias(c) for c in docs.columns])

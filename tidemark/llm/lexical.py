@@ -121,7 +121,7 @@ def _sizes(texts: DataFrame) -> tuple[int, int]:
     return r[0] or 0, r[1] or 0
 
 
-def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Index:
+def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", range_pairs: int = RANGE_PAIRS) -> Index:
     """The index of all terms of all documents, a written table. Texts are read twice: to count, then to index. Nothing is shuffled.
 
     Each row of docs is a document, also where rows repeat; null, empty and termless texts are in no range's trees; an id
@@ -142,7 +142,7 @@ def build(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> In
                     i, j = np.searchsorted(row, [lo, hi])
                     open_.add(ids.slice(lo, hi - lo), counts[lo:hi], row[i:j] - lo, code[i:j], tf[i:j], terms)
                     lo = hi
-                    if open_.docs == RANGE_DOCS or open_.pairs >= RANGE_PAIRS:
+                    if open_.docs == RANGE_DOCS or open_.pairs >= range_pairs:
                         yield from open_.rows(number, n_docs, n_terms)
                         number, open_ = number + 1, _Range()
         if open_.docs:

@@ -7,7 +7,7 @@ multiplied. What a vector says of its sources is ranked before the terms behind
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -39,6 +39,7 @@ class Audit:
 def counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
     """lang, source, term, n, docs: partial counts of the tasks; several rows for one term."""
     said = [F.coalesce(docs[c].cast("string"), F.lit("")).alias(a) for c, a in ((text_col, "text"), (lang_col, "lang"), (source_col, "source"))]
+    flush = FLUSH
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.Table] = []
@@ -51,10 +52,10 @@ def counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sour
                 each = pa.table({"lang": names["lang"].take(of), "source": names["source"].take(of), "term": terms.take(pa.array(code)), "n": pa.array(n.astype(np.int64)), "docs": pa.array(np.ones(len(n), dtype=np.int64))})
                 held.append(_summed([each]))
                 size += held[-1].nbytes
-                if size > FLUSH:
+                if size > flush:
                     merged = _summed(held)
                     held, size = [merged], merged.nbytes
-                    if size > FLUSH // 2:
+                    if size > flush // 2:
                         yield from _batches(merged)
                         held, size = [], 0
         if held:
@@ -102,31 +103,35 @@ def _entries(audit: Audit) -> DataFrame:
     return join_narrow(each, audit.groups, ["lang", "source"], spread=F.col("h1")).withColumn("p", share(F.col("n"), F.col("whole"))).drop("n", "whole", "v")
 
 
-def _compared(key: tuple, vectors: pa.Table, sides: pa.Table) -> pa.Table:
+def _compared(block_size: int) -> Callable[[tuple, pa.Table, pa.Table], pa.Table]:
     """lang, a, b, value, seen: sums over the vectors of a chunk for the pairs of sources a in one block and b in another, and how many terms they stand for."""
-    lang, left, right, _ = (k.as_py() for k in key)
-    base = np.zeros((2, BLOCK), dtype=np.int64)
-    there = np.zeros((2, BLOCK), dtype=bool)
-    code, zero = sides["code"].to_numpy(), sides["p0"].to_numpy()
-    for s, block in enumerate((left, right)):
-        mine = code // BLOCK == block
-        base[s, code[mine] % BLOCK], there[s, code[mine] % BLOCK] = zero[mine], True
-    v = vectors["v"].to_numpy()
-    names, at = np.unique(v, return_inverse=True)
-    times = np.zeros(len(names), dtype=np.int64)
-    times[at] = vectors["multiplicity"].to_numpy()
-    p = np.repeat(base[:, None, :], len(names), axis=1)
-    code = vectors["code"].to_numpy()
-    for s, block in enumerate((left, right)):
-        mine = code // BLOCK == block
-        p[s, at[mine], code[mine] % BLOCK] = vectors["p"].to_numpy()[mine]
-    a, b = np.nonzero(there[0][:, None] & there[1][None, :] & ((left < right) | (np.arange(BLOCK)[:, None] < np.arange(BLOCK)[None, :])))
-    value = np.zeros(len(a), dtype=np.int64)
-    for i in np.unique(a):
-        mine = a == i
-        value[mine] = (np.abs(p[0, :, i, None] - p[1][:, b[mine]]) * times[:, None]).sum(0)
-    n = len(a)
-    return pa.table({"lang": pa.array([lang] * n, type=pa.string()), "a": pa.array((a + left * BLOCK).astype(np.int32)), "b": pa.array((b + right * BLOCK).astype(np.int32)), "value": value, "seen": np.full(n, times.sum())})
+
+    def run(key: tuple, vectors: pa.Table, sides: pa.Table) -> pa.Table:
+        lang, left, right, _ = (k.as_py() for k in key)
+        base = np.zeros((2, block_size), dtype=np.int64)
+        there = np.zeros((2, block_size), dtype=bool)
+        code, zero = sides["code"].to_numpy(), sides["p0"].to_numpy()
+        for s, block in enumerate((left, right)):
+            mine = code // block_size == block
+            base[s, code[mine] % block_size], there[s, code[mine] % block_size] = zero[mine], True
+        v = vectors["v"].to_numpy()
+        names, at = np.unique(v, return_inverse=True)
+        times = np.zeros(len(names), dtype=np.int64)
+        times[at] = vectors["multiplicity"].to_numpy()
+        p = np.repeat(base[:, None, :], len(names), axis=1)
+        code = vectors["code"].to_numpy()
+        for s, block in enumerate((left, right)):
+            mine = code // block_size == block
+            p[s, at[mine], code[mine] % block_size] = vectors["p"].to_numpy()[mine]
+        a, b = np.nonzero(there[0][:, None] & there[1][None, :] & ((left < right) | (np.arange(block_size)[:, None] < np.arange(block_size)[None, :])))
+        value = np.zeros(len(a), dtype=np.int64)
+        for i in np.unique(a):
+            mine = a == i
+            value[mine] = (np.abs(p[0, :, i, None] - p[1][:, b[mine]]) * times[:, None]).sum(0)
+        n = len(a)
+        return pa.table({"lang": pa.array([lang] * n, type=pa.string()), "a": pa.array((a + left * block_size).astype(np.int32)), "b": pa.array((b + right * block_size).astype(np.int32)), "value": value, "seen": np.full(n, times.sum())})
+
+    return run
 
 
 def pairs(audit: Audit) -> DataFrame:
@@ -147,7 +152,7 @@ def pairs(audit: Audit) -> DataFrame:
     sides = zeros.join(tasks, "lang").select("lang", "block", "chunk", "code", "p0", F.explode(F.sequence(F.lit(0), F.col("last"))).alias("other"))
     sides = sides.select("lang", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "chunk", "code", "p0")
     key = ["lang", "i", "j", "chunk"]
-    met = each.groupBy(*key).cogroup(sides.groupBy(*key)).applyInArrow(_compared, "lang string, a int, b int, value bigint, seen bigint")
+    met = each.groupBy(*key).cogroup(sides.groupBy(*key)).applyInArrow(_compared(BLOCK), "lang string, a int, b int, value bigint, seen bigint")
     sums = met.groupBy("lang", "a", "b").agg(F.sum("value").alias("value"), F.sum("seen").alias("seen"))
     left, right = (zeros.select("lang", F.col("code").alias(x), F.col("p0").alias(f"p_{x}")) for x in "ab")
     named = sums.join(left, ["lang", "a"]).join(right, ["lang", "b"]).join(audit.langs, "lang").select("lang", "a", "b", (F.col("value") + (F.col("v") - F.col("seen")) * F.abs(F.col("p_a") - F.col("p_b"))).alias("value"))

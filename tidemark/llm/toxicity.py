@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.shared import fields
+from tidemark.llm.shared import fields, materialize
 from tidemark.llm.words import Words, mixed, slices
 
 #: The classifier is fitted on at most so many positive and unlabelled texts, those with the smallest hashes of their ids.
@@ -91,19 +91,27 @@ def deviance(p: np.ndarray, n_p: int, u: np.ndarray, n_u: int) -> np.ndarray:
     return 2 * (part(p, n_p, p / n_p) + part(u, n_u, u / n_u) - part(p, n_p, both) - part(u, n_u, both))
 
 
-def chosen(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float) -> np.ndarray:
-    """Sorted features whose rates in the two classes differ by more than chance and by enough, however rare they are. Texts with equal features count once."""
-    n_p, n_u = len(positive := list({s.tobytes(): s for s in positive}.values())), len(unlabelled := list({s.tobytes(): s for s in unlabelled}.values()))
-    in_p, count_p = np.unique(np.concatenate(positive), return_counts=True)
-    in_u, count_u = np.unique(np.concatenate(unlabelled), return_counts=True)
-    every = np.union1d(in_p, in_u)
-    p, u = np.zeros(len(every)), np.zeros(len(every))
-    p[np.searchsorted(every, in_p)], u[np.searchsorted(every, in_u)] = count_p, count_u
+def telling(p: np.ndarray, n_p: int, u: np.ndarray, n_u: int, prior: float, n_features: int) -> np.ndarray:
+    """Which features, held by p of n_p positive and u of n_u unlabelled texts, have rates in the two classes that differ by more than chance and by enough, however rare they are."""
     # What the unlabelled share of a feature would be without the positives among them.
     rate_p = p / n_p
     rate_n = np.maximum(u / n_u - prior * rate_p, 0) / (1 - prior)
     alike = np.minimum(rate_p, rate_n) > LEAST_RATIO * np.maximum(rate_p, rate_n)
-    return every[~alike & (deviance(p, n_p, u, n_u) > 2 * np.log(max(len(every), 1) / LEVEL))]
+    return ~alike & (deviance(p, n_p, u, n_u) > 2 * np.log(max(n_features, 1) / LEVEL))
+
+
+def chosen(sets: DataFrame, n_p: int, n_u: int, prior: float) -> np.ndarray:
+    """sets: label (1 positive, 0 unlabelled), words. The telling words, sorted; they alone come to the driver."""
+    each = sets.select("label", F.explode("words").alias("word")).groupBy("word").agg(F.sum("label").alias("p"), F.sum(1 - F.col("label")).alias("u"))
+    each = materialize(each, "toxic-counts")
+    n_features = each.count()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            p, u = (b.column(c).to_numpy().astype(np.float64) for c in "pu")
+            yield pa.RecordBatch.from_arrays([b.column("word").filter(pa.array(telling(p, n_p, u, n_u, prior, n_features)))], names=["word"])
+
+    return np.sort(each.mapInArrow(run, "word bigint").toArrow()["word"].to_numpy())
 
 
 class Sparse:
@@ -139,11 +147,10 @@ def risk(theta: np.ndarray, xp: Sparse, xu: Sparse, prior: float) -> tuple[float
     return prior * loss_pp, part, prior * as_positive + negative if part >= 0 else -negative
 
 
-def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float, rounds: int = 400, rate: float = 0.1, decay: float = 1e-4) -> ToxicityModel:
-    """Non-negative risk, full batches, Adam. Without positives, unlabelled texts or telling features the score is the prior. A prior of 0 or 1 is taken as within 1e-4 of it, so that its logit is finite."""
-    prior = float(np.clip(prior, 1e-4, 1 - 1e-4))
-    words = chosen(positive, unlabelled, prior) if positive and unlabelled else np.zeros(0, dtype=np.int64)
-    if not len(words):
+def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], words: np.ndarray, prior: float, rounds: int = 400, rate: float = 0.1, decay: float = 1e-4) -> ToxicityModel:
+    """Non-negative risk of sets of the features `words` (sorted), full batches, Adam. Without positives, unlabelled texts or features the score is the prior."""
+    if not (len(words) and positive and unlabelled):
+        words = np.zeros(0, dtype=np.int64)
         return ToxicityModel(words.view(np.uint64), np.zeros(0), float(np.log(prior / (1 - prior))))
     xp, xu = Sparse(positive, words), Sparse(unlabelled, words)
     theta, m, v = np.zeros(len(words) + 1), np.zeros(len(words) + 1), np.zeros(len(words) + 1)
@@ -158,7 +165,12 @@ def fit(positive: list[np.ndarray], unlabelled: list[np.ndarray], prior: float,
 
 
 def train(docs: DataFrame, labels: DataFrame, learn: object, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_positive: int = MAX_POSITIVE, max_unlabelled: int = MAX_UNLABELLED) -> ToxicityModel:
-    """learn(id column) says of which rows labels and texts are learned. Null, repeated and homeless labels: ignored, one each, ignored. Empty tables give a model that scores the prior."""
+    """learn(id column) says of which rows labels and texts are learned. Null, repeated and homeless labels: ignored, one each, ignored. Empty tables give a model that scores the prior.
+
+    Texts with equal features count once in the choice of features. The driver gets the chosen features and, of each text the
+    classifier is fitted on, which of them it has, however long it is. A prior of 0 or 1 is taken as within 1e-4 of it, so that
+    its logit is finite.
+    """
     known = labels.select(labels[id_col].alias("id"), labels[label_col].cast("int").alias("label")).where("id is not null and label in (0, 1)")
     known = known.where(learn(known["id"])).groupBy("id").agg(F.max("label").alias("label"))
     share = known.agg(F.avg("label").alias("prior")).first().prior
@@ -169,11 +181,26 @@ def train(docs: DataFrame, labels: DataFrame, learn: object, id_col: str = "doc_
         order: list[Column] = [F.xxhash64(F.lit("pu"), "id"), F.col("id")]
         return F.broadcast(ids.select("id").orderBy(*order).limit(n))  # n bounds it
 
-    def sets(n: int, ids: DataFrame) -> list[np.ndarray]:
-        got = word_sets(rows.join(drawn(ids, n), "id").select("text")).toArrow()["words"]
-        return [np.asarray(x, dtype=np.int64) for chunk in got.chunks for x in (chunk.values[chunk.offsets[k].as_py() : chunk.offsets[k + 1].as_py()].to_numpy() for k in range(len(chunk)))]
+    def sets(n: int, ids: DataFrame, label: int) -> DataFrame:
+        return word_sets(rows.join(drawn(ids, n), "id").select(F.lit(label).alias("label"), "text"))
+
+    prior = float(np.clip(share or 0.0, 1e-4, 1 - 1e-4))
+    both = materialize(sets(max_positive, known.where("label = 1"), 1).union(sets(max_unlabelled, rows.select("id").distinct(), 0)), "toxic-sets")
+    marks = [F.xxhash64("words").alias("h1"), F.xxhash64(F.lit("set"), "words").alias("h2")]
+    unique = both.select("label", *marks, "words").groupBy("label", "h1", "h2").agg(F.first("words").alias("words"))
+    unique = materialize(unique.select("label", "words"), "toxic-distinct")
+    n = {r.label: r["count"] for r in unique.groupBy("label").count().collect()}  # two rows
+    words = chosen(unique, n[1], n[0], prior) if len(n) == 2 else np.zeros(0, dtype=np.int64)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            kept = [x[np.isin(x, words)] for x in (v.values.to_numpy() for v in b.column("words"))]
+            yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(kept, type=pa.list_(pa.int64()))], names=["label", "words"])
 
-    return fit(sets(max_positive, known.where("label = 1")), sets(max_unlabelled, rows.select("id").distinct()), share or 0.0)
+    got = both.mapInArrow(cut, "label int, words array<bigint>").toArrow()
+    label = got["label"].to_numpy()
+    held = [v.values.to_numpy() for v in got["words"]]
+    return fit([x for x, y in zip(held, label, strict=True) if y], [x for x, y in zip(held, label, strict=True) if not y], words, prior)
 
 
 def score(docs: DataFrame, model: ToxicityModel, text_col: str = "text") -> DataFrame:
