@@ -15,7 +15,7 @@ from tidemark.llm.shared import materialize
 
 
 def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents most of whose words fit no learned language go (from nine words on), and those so mixed that no language has three tenths of the words.
+    """Documents most of whose words fit no learned language go (from three words on), and those so mixed that no language has three tenths of the words.
 
     Null, empty and letterless texts go. A null id is an id like any other here, rows that repeat share their fate, texts are
     read whole, an empty table stays empty, and columns of any names stay as they are.
