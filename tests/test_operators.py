@@ -17,7 +17,7 @@ from tidemark.functions import calendar as cal
 from tidemark.functions import numbers as num
 from tidemark.functions import scalars as sc
 from tidemark.functions import text as tx
-from tidemark.operators import dedup, evidence, joins, stateful, windows
+from tidemark.operators import dedup, evidence, joins, sections, stateful, windows
 from tidemark.queries import QUERIES
 
 rng = random.Random(11)
@@ -225,3 +225,93 @@ def test_figures_said_and_unsaid(spark):
     k = num.tokens(text)
     r = spark.range(1).select(*[evidence.says_exactly(text, F.lit(x)).alias(n) for n, x in (("a", "15"), ("b", "5"), ("c", "500"), ("d", "151"))], evidence.ordered_within(k, [F.lit("15"), F.lit("2.5")], 99).alias("e"), evidence.ordered_within(k, [F.lit("2.5"), F.lit("15")], 99).alias("f"), evidence.ordered_within(k, [F.lit("2.5"), F.lit("15")], 3).alias("g"), evidence.recites(F.array(F.lit(0.005)), F.array(F.lit(0.0))).alias("h")).first()
     assert tuple(r) == (True, False, False, True, False, True, False, False)
+
+
+def test_first_of_similar(spark):
+    """Not transitive: of a chain a ~ b ~ c, b goes and c stays."""
+    w = [f"w{k}" for k in range(200)]
+    a, b, c = w[:40], w[8:48], w[16:56]
+    texts = [(1, "g", " ".join(a)), (2, "g", " ".join(b)), (3, "g", " ".join(c)), (4, "g", " ".join(c)), (5, "h", " ".join(a)), (6, "g", None), (7, "g", ""), (8, "g", "one two"), (9, "g", "ONE, two!"), (10, None, "one two"), (11, None, "one two")]
+    df = spark.createDataFrame(texts, "i int, g string, t string").withColumn("s_", F.lit("clash"))
+    got = {r.i: r.kept for r in dedup.first_of_similar(df, ["g"], [F.col("i")], "i", "t").collect()}
+    assert got == {1: True, 2: False, 3: True, 4: False, 5: True, 6: True, 7: True, 8: True, 9: False, 10: True, 11: False}
+    rows = [(k, rng.randrange(3), " ".join(rng.choices(w[:9], k=rng.randrange(0, 25)))) for k in range(200)]
+    want, kept = {}, defaultdict(list)
+    for i, g, t in rows:
+        v = t.split()
+        mine = {tuple(v[j : j + 3]) for j in range(max(len(v) - 3, 0) + 1)} if v else set()
+        want[i] = not any(len(mine & o) > 0.3 * len(mine | o) for o in kept[g])
+        if want[i]:
+            kept[g].append(mine)
+    df = spark.createDataFrame(rows, "i int, g int, t string")
+    assert {r.i: r.kept for r in dedup.first_of_similar(df, ["g"], [F.col("i")], "i", "t", 0.3, 3).collect()} == want and not all(want.values())
+    assert dedup.first_of_similar(df.limit(0), ["g"], [F.col("i")], "i", "t").count() == 0
+
+
+def test_unlike_last(spark):
+    def longest(a, b):
+        """Length of the matching blocks: the longest first, then those on both sides of it."""
+        best = max(((n, -i, -j) for i in range(len(a)) for j in range(len(b)) for n in [next((n for n in range(min(len(a) - i, len(b) - j), 0, -1) if a[i : i + n] == b[j : j + n]), 0)]), default=(0, 0, 0))
+        n, i, j = best[0], -best[1], -best[2]
+        return n + longest(a[:i], b[:j]) + longest(a[i + n :], b[j + n :]) if n else 0
+
+    rows = [(k, rng.randrange(2), "".join(rng.choices("abc ", k=rng.randrange(0, 9)))) for k in range(120)]
+    want, kept = {}, defaultdict(list)
+    for i, g, t in rows:
+        share = [2 * longest(t, o) / (len(t) + len(o)) if t or o else 1.0 for o in kept[g][-4:]]
+        want[i] = not any(x > 0.7 for x in share)
+        if want[i]:
+            kept[g].append(t)
+    df = spark.createDataFrame(rows + [(900, None, None), (901, None, "")], "i int, g int, t string")
+    got = {r.i: r.kept for r in dedup.unlike_last(df, ["g"], [F.col("i")], "i", "t", 0.7, 4).collect()}
+    assert got == want | {900: True, 901: False} and sum(want.values()) < 110
+
+
+def test_turns_unlike_last(spark):
+    from difflib import SequenceMatcher
+
+    sf = "/root/testdata/sf0.001"
+    want, kept = {}, defaultdict(list)
+    for r in spark.read.parquet(f"{sf}/conversations.parquet").orderBy("conv_id", "turn").collect():
+        good = not any(SequenceMatcher(None, r.text or "", o).ratio() > 0.6 for o in kept[r.role][-10:])
+        want[f"{r.conv_id}:{r.turn}"] = good
+        if good:
+            kept[r.role].append(r.text or "")
+    assert {r.id: r.kept for r in QUERIES["turns_unlike_last"](spark, sf).collect()} == want
+
+
+def test_controls(spark):
+    rows = [(g, t, rng.choice("ab" if g % 3 else "a") if g % 5 else None, float(g * 100 + t)) for g in range(30) for t in range(rng.randrange(0, 9))]
+    df = spark.createDataFrame(rows, "g int, t int, u string, v double").repartition(7)
+    by = defaultdict(list)
+    for r in rows:
+        by[r[0]].append(r)
+    want, strided = {}, {}
+    for mine in by.values():
+        for i, r in enumerate(mine):
+            ahead = [mine[(i + k) % len(mine)] for k in range(1, len(mine))]
+            other = next((x for x in ahead if x[2] != r[2]), None)
+            if other:
+                want[r[3]] = other[3]
+            far = mine[(i + 3) % len(mine)]
+            if far[2] != r[2]:
+                strided[r[3]] = far[3]
+    out = evidence.other_unit_control(df, ["g"], ["t"], "u", ["v"])
+    assert out.columns == ["g", "t", "u", "v", "control_v"] and {r.v: r.control_v for r in out.collect()} == want and out.count() == len(want)
+    assert {r.v: r.control_v for r in evidence.stride_control(df, ["g"], ["t"], ["v"], 3, "u").collect()} == strided
+    assert evidence.other_unit_control(df.limit(0), ["g"], ["t"], "u", ["v"]).count() == 0
+    null = df.withColumn("g", F.lit(None).cast("int")).where("v < 300")
+    assert evidence.other_unit_control(null, ["g"], ["v"], "u", ["v"]).count() == null.count()
+
+
+def test_sections_of_two_manners(spark):
+    named = "Summary of the month\n\nIt rose.\n\nFood\n\nFood rose 2%.\nMore of it.\n\nOther notes\n\nStill food.\n\nEnergy\r\n\r\nEnergy fell.\n\nA      1  2\nB      3  4\n\nCore\nitems\n\nCore rose."
+    opened = "All in all it rose.\n\nMore of all.\n\nThe food index rose.\n\nAmong others it fell.\n\nThe energy index fell.\n\nThe core index rose.\n\n-----\n\nTechnical notes\n\nNotes are here.\n\nThe food index is a note."
+    grammar = sections.Grammar(headings={"food": "Food", "energy": "Energy", "core": "Core items"}, openers={"food": "The food", "energy": "The energy", "core": "The core"}, closings={"notes": "Technical"})
+    df = spark.createDataFrame([(1, named), (2, opened), (3, "Only prose here.\n\nAnd more."), (4, None), (5, "")], "k int, text string").withColumn("kind", F.lit("clash"))
+    out = sections.sectioned(sections.blocks_of(df, ["k"], "text"), ["k"], grammar).orderBy("k", "pos").collect()
+    assert [(r.k, r.manner, r.section, r.block) for r in out] == [
+        (1, "heading", "lede", "It rose."), (1, "heading", "food", "Food rose 2%.\nMore of it."), (1, "heading", "food", "Still food."), (1, "heading", "energy", "Energy fell."), (1, "heading", "core", "Core rose."),
+        (2, "opener", "lede", "All in all it rose."), (2, "opener", "lede", "More of all."), (2, "opener", "food", "The food index rose."), (2, "opener", "energy", "The energy index fell."), (2, "opener", "core", "The core index rose."),
+        (2, "opener", "notes", "Notes are here."), (2, "opener", "notes", "The food index is a note."),
+    ]

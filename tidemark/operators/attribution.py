@@ -81,8 +81,8 @@ def named(clause_rows: DataFrame, key: list[str], channels: DataFrame, id_: str,
     """key, clause, channel, matched (the title's words that the clause has): the channels that each clause of clauses_of names.
 
     A clause names a channel if it has all its measures and restrictions, `coverage` of its concepts (of those that any clause
-    has), and no guard that isn't one of the channel's restrictions. Of channels whose matched words are a proper part of
-    another's only the other counts. Titles of equal words are all named. Empty tables name nothing.
+    has), and no guard that isn't one of the channel's restrictions. A channel whose matched words are a proper part of another's
+    is not named, nor is one with equal matched words that lacks more of its own. Titles of equal words are all named. Empty tables name nothing.
     """
     rows = clause_rows.select(*key, "clause", "words")
     titles = materialize(calibrated(titles_of(channels, id_, title, vocabulary), rows.select(F.explode("words").alias("word")), coverage), "titles")
@@ -94,10 +94,11 @@ def named(clause_rows: DataFrame, key: list[str], channels: DataFrame, id_: str,
     said = F.size(F.array_except("strict", "words")) == 0
     kept_out = F.size(F.array_except(F.array_intersect("words", guards), "strict")) > 0
     concepts = F.array_intersect("concepts", "words")
-    found = met.where(first & said & ~kept_out & (F.size(concepts) >= F.col("need"))).select(*key, "clause", "channel", F.sort_array(F.array_union("strict", concepts)).alias("matched"))
-    rivals = F.collect_set("matched").over(Window.partitionBy(*key, "clause"))
-    beaten = F.exists("_rivals", lambda r: (F.size(r) > F.size("matched")) & (F.size(F.array_except("matched", r)) == 0))
-    return found.withColumn("_rivals", rivals).where(~beaten).drop("_rivals")
+    found = met.where(first & said & ~kept_out & (F.size(concepts) >= F.col("need"))).select(*key, "clause", "channel", F.sort_array(F.array_union("strict", concepts)).alias("matched"), (F.size("concepts") - F.size(concepts)).alias("_lacks"))
+    rivals = F.collect_set(F.struct("matched", "_lacks")).over(Window.partitionBy(*key, "clause"))
+    more = lambda r: (F.size(r["matched"]) > F.size("matched")) | ((F.size(r["matched"]) == F.size("matched")) & (r["_lacks"] < F.col("_lacks")))
+    beaten = F.exists("_rivals", lambda r: more(r) & (F.size(F.array_except("matched", r["matched"])) == 0))
+    return found.withColumn("_rivals", rivals).where(~beaten).drop("_rivals", "_lacks")
 
 
 def attributed(df: DataFrame, key: list[str], text: str, channels: DataFrame, id_: str, title: str, most: int = 3, within: int | None = None, vocabulary: Vocabulary = ENGLISH, coverage: float = 0.8) -> DataFrame:

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections import Counter, deque
+from difflib import SequenceMatcher
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.functions.numbers import let, lexed
+from tidemark.operators.stateful import folded
 from tidemark.storage import materialize
 
 
@@ -28,13 +33,71 @@ def hashed_order(id_: Column, seed: str) -> Column:
     return F.md5(F.concat(id_.cast("string"), F.lit(f":{seed}")))
 
 
-def stride_sample(df: DataFrame, order: list[str], n: int) -> DataFrame:
-    """The first row of an order and every n-th after it. Rows are dealt by ranges and numbered inside each, after the rows of the ranges before; only the sizes of the ranges, as many as partitions, come together."""
-    dealt = materialize(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "stride")
+def placed(df: DataFrame, order: list[str], name: str = "placed") -> DataFrame:
+    """A written table: df with _place, a row's place in the whole order from 0, and _range, which part of the order it lies in. Rows are dealt by ranges and numbered inside each, after the rows of the ranges before; only the sizes of the ranges, as many as partitions, come together."""
+    dealt = materialize(df.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), name)
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = dealt.groupBy("_range").agg(F.count("*").alias("_n")).select("_range", before.alias("_before"))
     place = F.col("_before") + F.row_number().over(Window.partitionBy("_range").orderBy(*order)) - 1
-    return dealt.join(F.broadcast(offsets), "_range").withColumn("_place", place).where(F.col("_place") % n == 0).drop("_range", "_before", "_place")
+    return materialize(dealt.join(F.broadcast(offsets), "_range").withColumn("_place", place).drop("_before"), name)
+
+
+def stride_sample(df: DataFrame, order: list[str], n: int) -> DataFrame:
+    """The first row of an order and every n-th after it."""
+    return placed(df, order, "stride").where(F.col("_place") % n == 0).drop("_range", "_place")
+
+
+def shingles(text: Column, k: int) -> Column:
+    """Hashes of the distinct runs of k words, in lower case; of all words where there are fewer; none of a text without words."""
+
+    def runs(w: Column) -> Column:
+        each = F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - k, F.lit(0))), lambda i: F.xxhash64(F.array_join(F.slice(w, i + 1, F.lit(k)), " ")))
+        return F.when(F.size(w) > 0, F.array_distinct(each)).otherwise(F.array().cast("array<bigint>"))
+
+    return let(F.filter(F.transform(lexed(F.coalesce(text, F.lit(""))), lambda x: x["w"]), lambda w: w.rlike(r"^[\p{L}0-9]")), runs)
+
+
+def first_of_similar(df: DataFrame, by: list[str], order: list[Column], id_: str, text: str, over: float = 0.5, k: int = 8) -> DataFrame:
+    """by, id_, kept: in the order of each group a row is kept unless its k-word shingles have a Jaccard similarity over `over` with those of a row kept before.
+
+    Unlike classes of near-duplicates this isn't transitive: of a chain a ~ b ~ c, where a and c are apart, b goes and c stays.
+    The state of a group is an index from shingles to kept rows, so a row is compared with those that share one. A group passes
+    through one task. Texts without words are alike only to none. Null texts are empty; rows that repeat go, but for the first.
+    """
+
+    def step(state: tuple[dict, list], r: tuple) -> tuple:
+        index, sizes = state
+        mine = r.s_.tolist()
+        shared = Counter(j for h in mine for j in index.get(h, ()))
+        if any(n > over * (len(mine) + sizes[j] - n) for j, n in shared.items()):
+            return state, [(getattr(r, id_), False)]
+        for h in mine:
+            index.setdefault(h, []).append(len(sizes))
+        sizes.append(len(mine))
+        return state, [(getattr(r, id_), True)]
+
+    rows = df.select(*by, id_, *[c.alias(f"o{i}_") for i, c in enumerate(order)], shingles(F.col(text), k).alias("s_"))
+    return folded(rows, by, [F.col(f"o{i}_") for i in range(len(order))], f"{id_} {df.schema[id_].dataType.simpleString()}, kept boolean", lambda: ({}, []), step)
+
+
+def alike(a: str, b: str, over: float) -> bool:
+    """Whether the matching blocks of two texts, the longest first, make up more than the share `over` of both. Bounds that cost less are asked first."""
+    m = SequenceMatcher(None, a, b)
+    return m.real_quick_ratio() > over and m.quick_ratio() > over and m.ratio() > over
+
+
+def unlike_last(df: DataFrame, by: list[str], order: list[Column], id_: str, text: str, over: float, last: int = 10) -> DataFrame:
+    """by, id_, kept: in the order of each group a row is kept unless its text is alike to one of the `last` rows kept before it. A group passes through one task that holds those rows. Null texts are empty; two empty texts are alike."""
+
+    def step(held: deque, r: tuple) -> tuple:
+        mine = r.t_
+        good = not any(alike(mine, other, over) for other in held)
+        if good:
+            held.append(mine)
+        return held, [(getattr(r, id_), good)]
+
+    rows = df.select(*by, id_, *[c.alias(f"o{i}_") for i, c in enumerate(order)], F.coalesce(text, F.lit("")).alias("t_"))
+    return folded(rows, by, [F.col(f"o{i}_") for i in range(len(order))], f"{id_} {df.schema[id_].dataType.simpleString()}, kept boolean", lambda: deque(maxlen=last), step)
 
 
 def stratified(df: DataFrame, strata: list[str], id_: str, k: int, seed: str) -> DataFrame:

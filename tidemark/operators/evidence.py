@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators import dedup
 from tidemark.operators.stateful import folded
+from tidemark.storage import materialize
 
 
 def recites(numbers: Column, values: Column) -> Column:
@@ -70,6 +72,48 @@ def neighbour_control(df: DataFrame, strata: list[str], order: list[str], column
     return ranked.where("_n > 1").withColumn("_i", F.pmod(F.col("_i") + shift, F.col("_n"))).join(other, [*strata, "_i"]).drop("_i", "_n")
 
 
+def other_unit_control(df: DataFrame, strata: list[str], order: list[str], unit: str, columns: list[str]) -> DataFrame:
+    """Each row with the columns (as control_) of the next row of its stratum, around the end, that is of another unit: chance agreement that leaves out a match's own other records. Strata of one unit have no partners.
+
+    Rows of one unit in a row are a run; the partner is the first row of the run after, or, around the end, of the first run that is
+    another unit's. Places and runs are counted by parts of the order, so no task holds a stratum. order must be total; units and strata may be null.
+    """
+    rows = dedup.placed(df, [*strata, *order], "control")
+    before = rows.select((F.col("_place") + 1).alias("_place"), F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate([*strata, unit])]).alias("_prev"))
+    now = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate([*strata, unit])])
+    rows = materialize(rows.join(before, "_place", "left").withColumn("_new", (~F.coalesce(now.eqNullSafe(F.col("_prev")), F.lit(False))).cast("int")).drop("_prev"), "control")
+    starts = F.coalesce(F.sum("_n").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    offsets = rows.groupBy("_range").agg(F.sum("_new").alias("_n")).select("_range", starts.alias("_before"))
+    run = F.col("_before") + F.sum("_new").over(Window.partitionBy("_range").orderBy("_place").rowsBetween(Window.unboundedPreceding, 0))
+    rows = materialize(rows.join(F.broadcast(offsets), "_range").withColumn("_run", run).drop("_before"), "control")
+    key = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(strata)])
+    runs = materialize(rows.where("_new = 1").select("_run", key.alias("_stratum"), F.col(unit).alias("_unit"), F.struct(*columns).alias("_row")), "runs")
+    first = runs.groupBy("_stratum").agg(F.min("_run").alias("_first"), F.max("_run").alias("_last"), F.min_by("_unit", "_run").alias("_first_unit")).where("_last > _first")
+    # The last run goes around to the first, or past it where that is the same unit's.
+    around = F.when(F.col("_unit").eqNullSafe(F.col("_first_unit")), F.col("_first") + 1).otherwise(F.col("_first"))
+    ahead = runs.join(first, runs["_stratum"].eqNullSafe(first["_stratum"])).select("_run", F.when(F.col("_run") < F.col("_last"), F.col("_run") + 1).otherwise(around).alias("_to"))
+    partner = ahead.join(runs.select(F.col("_run").alias("_to"), "_row"), "_to").select("_run", "_row")
+    return rows.join(partner, "_run").select(*df.columns, *[F.col("_row")[c].alias(f"control_{c}") for c in columns])
+
+
+def stride_control(df: DataFrame, strata: list[str], order: list[str], columns: list[str], stride: int, unit: str | None = None) -> DataFrame:
+    """Each row with the columns (as control_) of the row `stride` places on in its stratum, around the end; rows whose partner is of the same unit, or the row itself, have none. No task holds a stratum."""
+    rows = dedup.placed(df, [*strata, *order], "control")
+    key = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(strata)])
+    sizes = rows.groupBy(key.alias("_stratum")).agg(F.min("_place").alias("_first"), F.count("*").alias("_n"))
+    each = rows.withColumn("_key", key).join(sizes, F.col("_key").eqNullSafe(sizes["_stratum"])).withColumn("_to", F.col("_first") + F.pmod(F.col("_place") - F.col("_first") + stride, F.col("_n")))
+    other = rows.select(F.col("_place").alias("_to"), F.struct(*columns).alias("_row"), *([F.col(unit).alias("_unit")] if unit else []))
+    met = each.join(other, "_to").where(F.col("_to") != F.col("_place"))
+    met = met.where(~F.col(unit).eqNullSafe(F.col("_unit"))) if unit else met
+    return met.select(*df.columns, *[F.col("_row")[c].alias(f"control_{c}") for c in columns])
+
+
+def month_shift_control(series: DataFrame, by: list[str], month: str, columns: list[str], months: int) -> DataFrame:
+    """Each row with the columns (as control_) of its own series so many months on; rows without such a month have none."""
+    other = series.select(*by, F.add_months(month, -months).alias(month), *[F.col(c).alias(f"control_{c}") for c in columns])
+    return series.join(other, [*by, month])
+
+
 def lift(hit: str, control: str) -> list[Column]:
     """Aggregates: both rates, their difference in points, their ratio, and an approximate z."""
     n, a, b = F.count("*"), F.avg(F.col(hit).cast("int")), F.avg(F.col(control).cast("int"))

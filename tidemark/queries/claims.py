@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import numbers as num
 from tidemark.functions import text as tx
-from tidemark.operators import windows
+from tidemark.operators import evidence, superlatives, windows
 from tidemark.plans import cascade
 from tidemark.queries.registry import Tables, query
 from tidemark.queries.series import DENSE, MONTHLY, _dense, _monthly
@@ -218,3 +218,49 @@ def fallback_source(t: Tables) -> DataFrame:
 @query("SELECT event_type, dow, event_id FROM (SELECT event_type, dayofweek(ts)::INT + 1 AS dow, event_id, row_number() OVER (PARTITION BY event_type, dayofweek(ts) ORDER BY event_id) AS k FROM events) WHERE k = 1")
 def one_sample_per_shape(t: Tables) -> DataFrame:
     return t.events.groupBy("event_type", F.dayofweek("ts").alias("dow")).agg(F.min("event_id").alias("event_id"))
+
+
+STATED_EXTREMES = f"""WITH {MONTHLY}, x AS (SELECT p, month, v, v - lag(v) OVER (PARTITION BY p ORDER BY month) AS d, (month(month) * 7 + year(month)) % 6 AS f, (month - to_months(1 + (month(month) * 5 + year(month) * 3) % 30))::DATE AS since FROM m WHERE NOT (month(month) = 5 AND year(month) % 2 = 0))"""
+
+
+@query(f"""{STATED_EXTREMES},
+c AS (SELECT *, CASE WHEN f IN (0, 2, 5) THEN 'high' ELSE 'low' END AS extreme, CASE WHEN f IN (3, 4) THEN 'change' ELSE 'level' END AS basis, f IN (0, 1, 3, 5) AS bounded FROM x),
+e AS (SELECT c.p, c.month, max(CASE WHEN c.basis = 'change' THEN y.d ELSE y.v END) AS hi, min(CASE WHEN c.basis = 'change' THEN y.d ELSE y.v END) AS lo FROM c JOIN x y ON y.p = c.p AND y.month <= c.month AND (NOT c.bounded OR y.month > c.since) GROUP BY ALL),
+b AS (SELECT c.*, hi, lo, CASE WHEN basis = 'change' THEN c.d ELSE c.v END AS now, z.v AS before FROM c JOIN e USING (p, month) LEFT JOIN x z ON z.p = c.p AND z.month = c.since)
+SELECT p AS channel, month, extreme, CASE WHEN bounded THEN since END AS since, basis, CASE WHEN now IS NULL THEN 'no data' WHEN CASE WHEN extreme = 'high' THEN now >= hi - 1e-9 ELSE now <= lo + 1e-9 END THEN 'consistent' WHEN f = 5 AND before IS NULL THEN 'other series' WHEN f = 5 AND month(month) % 2 = 0 THEN 'other series' ELSE 'contradicted' END AS verdict FROM b""")
+def superlatives_stated(t: Tables) -> DataFrame:
+    """Of each month of each priority a superlative, bounded or not, of the level or the change, some with the value of the earlier month, in part a wrong one; a series without its even Mays."""
+    m = _monthly(t).where("not (month(month) = 5 and year(month) % 2 = 0)")
+    f = (F.month("month") * 7 + F.year("month")) % 6
+    since = F.add_months("month", -(1 + (F.month("month") * 5 + F.year("month") * 3) % 30))
+    named = F.date_format(since, "MMMM yyyy")
+    then = m.select("p", F.col("month").alias("_since"), F.col("v").alias("_then"))
+    rows = m.select("p", "month", f.alias("f"), since.alias("_since"), named.alias("_named")).join(then, ["p", "_since"], "left")
+    quoted = F.format_string("%.2f", F.coalesce("_then", F.lit(1.0)) + F.when(F.month("month") % 2 == 0, 7.0).otherwise(0.0))
+    said = F.lower(F.regexp_replace("p", "^[0-9]-", ""))
+    text = F.concat(said, F.lit(" orders were"), F.when(F.col("f") == 0, F.concat(F.lit(" at their highest level since "), "_named")).when(F.col("f") == 1, F.concat(F.lit(" the lowest they have been since "), "_named")).when(F.col("f") == 2, F.lit(" the highest on record")).when(F.col("f") == 3, F.concat(F.lit(" down by the smallest change since "), "_named")).when(F.col("f") == 4, F.lit(" showing the weakest recorded rise since records began")).otherwise(F.concat(F.lit(" at their highest since "), "_named", F.lit(", when it was "), quoted)), F.lit("."))
+    history = m.select("p", "month", "v")
+    channels = m.select("p").distinct().withColumn("title", F.regexp_replace("p", "^[0-9]-", ""))
+    out = superlatives.checked(rows.select("p", "month", text.alias("text")), ["p"], "text", "month", channels, "p", "title", history, "p", "month", "v")
+    return out.select("channel", "month", "extreme", "since", "basis", "verdict")
+
+
+@query("""WITH r AS (SELECT o_orderkey, o_orderpriority AS p, o_orderstatus AS u, o_totalprice AS v, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) AS i, count(*) OVER (PARTITION BY o_orderpriority) AS n FROM orders)
+SELECT a.o_orderkey, arg_min(b.v, (b.i - a.i + a.n) % a.n) AS control_v FROM r a JOIN r b ON a.p = b.p AND a.u <> b.u GROUP BY a.o_orderkey""")
+def control_of_another_unit(t: Tables) -> DataFrame:
+    """In each priority, by date: the price of the next order, around the end, of another status."""
+    o = t.orders.select("o_orderkey", F.col("o_orderpriority").alias("p"), F.col("o_orderstatus").alias("u"), "o_orderdate", F.col("o_totalprice").alias("v"))
+    return evidence.other_unit_control(o, ["p"], ["o_orderdate", "o_orderkey"], "u", ["v"]).select("o_orderkey", "control_v")
+
+
+@query("""WITH r AS (SELECT o_orderkey, o_orderpriority AS p, o_custkey AS u, o_totalprice AS v, row_number() OVER (PARTITION BY o_orderpriority ORDER BY o_orderdate, o_orderkey) - 1 AS i, count(*) OVER (PARTITION BY o_orderpriority) AS n FROM orders)
+SELECT a.o_orderkey, b.v AS control_v FROM r a JOIN r b ON b.p = a.p AND b.i = (a.i + 97) % a.n WHERE a.u <> b.u AND a.i <> b.i""")
+def control_at_a_stride(t: Tables) -> DataFrame:
+    """In each priority, by date: the price of the order 97 places on, if it is another customer's."""
+    o = t.orders.select("o_orderkey", F.col("o_orderpriority").alias("p"), F.col("o_custkey").alias("u"), "o_orderdate", F.col("o_totalprice").alias("v"))
+    return evidence.stride_control(o, ["p"], ["o_orderdate", "o_orderkey"], ["v"], 97, "u").select("o_orderkey", "control_v")
+
+
+@query(f"WITH {MONTHLY} SELECT a.p, a.month, a.v, b.v AS control_v FROM m a JOIN m b ON a.p = b.p AND b.month = (a.month + INTERVAL 5 MONTH)::DATE")
+def control_months_on(t: Tables) -> DataFrame:
+    return evidence.month_shift_control(_monthly(t), ["p"], "month", ["v"], 5)

@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import joins
 from tidemark.queries.registry import Tables, query
-from tidemark.sources import markup, sinks
-from tidemark.storage import run_dir
+from tidemark.sources import archives, markup, sinks
+from tidemark.storage import materialize, run_dir
 
 
 @query("""SELECT o_orderkey, l_linenumber AS line, CAST(l_quantity AS BIGINT) AS quantity, o_orderstatus || ' & co' AS who, o_orderkey % 7 = 0 AS broken
@@ -72,8 +72,10 @@ def column_rewritten(t: Tables) -> DataFrame:
     """Shards of orders whose priority is rewritten; the second run finds it done."""
     path = f"{run_dir(t.spark)}/shards-{uuid.uuid4().hex}"
     t.orders.select("o_orderkey", "o_orderpriority").write.parquet(path)
-    assert sinks.rewrite_column(t.spark, path, f"{path}-new", "o_orderpriority", F.lower("o_orderpriority"))
-    assert not sinks.rewrite_column(t.spark, path, f"{path}-new", "o_orderpriority", F.lit(""))
+    first = sinks.rewrite_column(t.spark, path, f"{path}-new", "o_orderpriority", F.lower("o_orderpriority"))
+    again = sinks.rewrite_column(t.spark, path, f"{path}-new", "o_orderpriority", F.lit(""))
+    if not first or again:
+        raise RuntimeError("shards were rewritten twice, or not at all")
     return t.spark.read.parquet(f"{path}-new")
 
 
@@ -103,3 +105,15 @@ def overlap_agreement(t: Tables) -> DataFrame:
     """Share of the keys of two tables that agree, among those that both have."""
     counts = lambda rows: rows.groupBy(F.col("l_suppkey").alias("k"), F.col("l_returnflag").alias("f")).agg(F.count("*").alias("n"))
     return joins.overlap_agreement(counts(t.lineitem.where("l_linenumber <= 2")), counts(t.lineitem.where("l_linenumber > 2")), ["k", "f"], "n")
+
+
+@query("""WITH l AS (SELECT source || '/' || lang || '.txt' AS member, doc_id, unnest(string_split(replace(text, chr(13), ' '), chr(10))) AS line, generate_subscripts(string_split(replace(text, chr(13), ' '), chr(10)), 1) AS i FROM documents)
+SELECT member, row_number() OVER (PARTITION BY member ORDER BY doc_id, i) - 1 AS n, line FROM l WHERE member IS NOT NULL""")
+def zip_member_lines(t: Tables) -> DataFrame:
+    """The texts of each source and language are a member of one of three archives, which lie in a tree beside another file; every line of every member is read back."""
+    path = f"{run_dir(t.spark)}/archives-{uuid.uuid4().hex}"
+    lines = t.documents.select(F.concat("source", F.lit("/"), "lang", F.lit(".txt")).alias("member"), "doc_id", F.posexplode(F.split(F.translate("text", "\r", " "), "\n")).alias("i", "line"))
+    written = archives.write(lines, f"{path}/deep/down", "member", ["doc_id", "i"], "line", 3)
+    materialize(written, "archives")
+    t.region.write.mode("append").json(f"{path}/other")
+    return archives.lines(archives.members(archives.listed(t.spark, path, "*.zip"), r"[^/]+/[^/]+\.txt")).select("member", "n", "line")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import numbers as num
 from tidemark.functions import text as tx
-from tidemark.operators import stateful
+from tidemark.operators import dedup, sections, stateful
 from tidemark.queries.registry import Tables, query
 
 SENTENCES = r"""m AS (SELECT doc_id, regexp_replace(text, '\b(Mr|Mrs|Dr|St|No|vs|etc|approx|U\.S)\.', '\1' || chr(2), 'g') AS m FROM documents),
@@ -153,3 +153,41 @@ def ranked_budget_fill(t: Tables) -> DataFrame:
     ranked = F.sort_array(F.collect_list(F.struct((-F.length("text")).alias("o"), "turn", F.length("text").alias("n"))))
     a = t.conversations.groupBy("conv_id").agg(ranked.alias("xs"))
     return a.select("conv_id", F.explode(stateful.budget_fill(F.col("xs"), "n", 900)).alias("x")).select("conv_id", F.col("x.turn").alias("turn"))
+
+
+SHINGLED = """w AS (SELECT doc_id, source, [x FOR x IN [lower(ltrim(y, chr(32) || chr(9) || chr(10) || chr(13) || chr(12))) FOR y IN regexp_extract_all(coalesce(text, ''), '{lex}')] IF regexp_matches(x, '^[\\p{{L}}0-9]')] AS ws FROM documents),
+g AS (SELECT DISTINCT doc_id, source, array_to_string(ws[i + 1:i + 8], ' ') AS s FROM (SELECT *, unnest(range(greatest(len(ws) - 8, 0) + 1)) AS i FROM w WHERE len(ws) > 0))""".format(lex=num.LEX.replace("'", "''"))
+
+
+@query(f"""WITH RECURSIVE {SHINGLED}, n AS (SELECT doc_id, count(*) AS n FROM g GROUP BY 1),
+x AS (SELECT a.source, a.doc_id AS late, b.doc_id AS early, count(*) AS both_n FROM g a JOIN g b ON a.source = b.source AND a.s = b.s AND b.doc_id < a.doc_id GROUP BY ALL),
+e AS (SELECT late, list(early) AS near FROM x JOIN n p ON p.doc_id = late JOIN n q ON q.doc_id = early WHERE both_n > 0.5 * (p.n + q.n - both_n) GROUP BY late),
+o AS (SELECT source, doc_id, near, row_number() OVER (PARTITION BY source ORDER BY doc_id) AS i FROM documents LEFT JOIN e ON late = doc_id),
+r(source, i, kept) AS (SELECT source, 0::BIGINT, []::BIGINT[] FROM (SELECT DISTINCT source FROM o) UNION ALL SELECT o.source, o.i, CASE WHEN coalesce(list_has_any(kept, near), FALSE) THEN kept ELSE list_append(kept, doc_id) END FROM r JOIN o ON o.source IS NOT DISTINCT FROM r.source AND o.i = r.i + 1),
+k AS (SELECT source, arg_max(kept, i) AS kept FROM r GROUP BY source) SELECT doc_id, list_contains(kept, doc_id) AS kept FROM documents JOIN k ON k.source IS NOT DISTINCT FROM documents.source""")
+def doc_first_of_similar(t: Tables) -> DataFrame:
+    """Documents of each source in order: kept unless too like one kept before."""
+    return dedup.first_of_similar(t.documents, ["source"], [F.col("doc_id")], "doc_id", "text").select("doc_id", "kept")
+
+
+@query()
+def turns_unlike_last(t: Tables) -> DataFrame:
+    """Turns of each role in the order of conversations: kept unless alike to one of the last ten kept."""
+    turns = t.conversations.select("role", F.struct("conv_id", "turn").alias("at"), "text", F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("id"), "conv_id", "turn")
+    return dedup.unlike_last(turns, ["role"], [F.col("conv_id"), F.col("turn")], "id", "text", 0.6).select("id", "kept")
+
+
+TOPICS = sections.Grammar(headings={"early": "[A-H]", "late": "[S-Z]"}, openers={"the": "The? ", "vowel": "[AEIOU][a-z]+ "}, closings={"end": r"In\.|La\.|Der\."}, sure=4)
+
+
+@query(f"""WITH {SENTENCES}, b AS (SELECT doc_id, unnest(ss) AS block, unnest(range(len(ss))) AS pos FROM s), k AS (SELECT *, CASE WHEN length(block) <= 12 THEN 'heading' ELSE 'prose' END AS kind, replace(block, chr(10), ' ') AS flat FROM b),
+t AS (SELECT *, CASE WHEN kind = 'heading' THEN CASE WHEN regexp_matches(flat, '^[A-H]') THEN 'early' WHEN regexp_matches(flat, '^[S-Z]') THEN 'late' END END AS named, CASE WHEN kind = 'heading' AND regexp_matches(flat, '^(In\\.|La\\.|Der\\.)') THEN 'end' END AS closing, CASE WHEN kind = 'prose' THEN CASE WHEN regexp_matches(flat, '^The? ') THEN 'the' WHEN regexp_matches(flat, '^[AEIOU][a-z]+ ') THEN 'vowel' END END AS opener FROM k),
+n AS (SELECT doc_id, CASE WHEN count(named) >= 4 THEN 'heading' WHEN count(closing) > 0 OR (count(named) < 3 AND count(opener) >= 4) THEN 'opener' WHEN count(named) >= 3 THEN 'heading' END AS manner FROM t GROUP BY doc_id),
+u AS (SELECT t.*, manner, last_value(named IGNORE NULLS) OVER w AS under, first_value(closing IGNORE NULLS) OVER w AS ended, count(opener) OVER w > 0 AS begun FROM t JOIN n USING (doc_id) WINDOW w AS (PARTITION BY t.doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING)),
+z AS (SELECT *, CASE manner WHEN 'heading' THEN coalesce(under, 'lede') WHEN 'opener' THEN coalesce(ended, opener, CASE WHEN NOT begun THEN 'lede' END) END AS section FROM u)
+SELECT doc_id, manner, section, count(*) AS blocks, sum(length(block))::BIGINT AS chars FROM z WHERE kind = 'prose' AND section IS NOT NULL GROUP BY ALL""")
+def doc_topic_sections(t: Tables) -> DataFrame:
+    """Sentences of documents as blocks, those of up to twelve characters as headings, read in the manner that each document shows."""
+    b = t.documents.select("doc_id", F.posexplode(tx.sentences(F.col("text"))).alias("pos", "block"))
+    b = b.select("doc_id", "pos", F.when(F.length("block") <= 12, sections.HEADING).otherwise(sections.PROSE).alias("kind"), "block")
+    return sections.sectioned(b, ["doc_id"], TOPICS).groupBy("doc_id", "manner", "section").agg(F.count("*").alias("blocks"), F.sum(F.length("block")).alias("chars"))

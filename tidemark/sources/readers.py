@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.numbers import number_or_null
+from tidemark.sources import archives
 
 BAD = "_bad_row"
 
@@ -60,26 +61,9 @@ def last_wins(rows: DataFrame, key: list[str], order: str) -> DataFrame:
     return rows.groupBy(*key).agg(F.max_by(F.struct(*values), order).alias("_r")).select(*key, "_r.*")
 
 
-def zipped_lines(spark: SparkSession, path: str, wanted: str = r".*", contains: str | None = None) -> DataFrame:
-    """Lines (archive, member, n, line) of members of zip files; `contains` drops lines before they leave the task. An archive is a row of its own and is read as a whole, its members by lines."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for where, content in zip(b.column("path").to_pylist(), b.column("content"), strict=True):
-                with zipfile.ZipFile(io.BytesIO(content.as_py())) as z:
-                    for name in (n for n in z.namelist() if re.fullmatch(wanted, n)):
-                        held = []
-                        with z.open(name) as member:
-                            for n, line in enumerate(io.TextIOWrapper(member, "utf-8", errors="replace")):
-                                if contains is None or contains in line:
-                                    held.append({"archive": where, "member": name, "n": n, "line": line.rstrip("\r\n")})
-                                if len(held) >= 5000:
-                                    yield pa.RecordBatch.from_pylist(held)
-                                    held = []
-                        if held:
-                            yield pa.RecordBatch.from_pylist(held)
-
-    return spark.read.format("binaryFile").load(path).select("path", "content").mapInArrow(run, "archive string, member string, n bigint, line string")
+def zipped_lines(spark: SparkSession, path: str | list[str], wanted: str = r".*", contains: str | None = None) -> DataFrame:
+    """Lines (archive, member, n, line) of members of zip files, below folders too; `contains` drops lines before they leave the task. Each member is read by itself."""
+    return archives.lines(archives.members(archives.listed(spark, path), wanted), contains)
 
 
 def json_points(df: DataFrame, column: str, sentinel: float) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from tidemark.storage import shared_dir
+from tidemark.storage import run_dir
 
 
 def events(spark: SparkSession, folder: str, name: str, per_trigger: int = 1) -> DataFrame:
@@ -48,7 +48,7 @@ def running_top(stream: DataFrame) -> DataFrame:
 def run_now(result: DataFrame, mode: str) -> DataFrame:
     """Runs a stream over all that is there now, to a table in the shared folder; complete results replace, others add up."""
     spark = result.sparkSession
-    path = f"{shared_dir(spark)}/tidemark/stream-{uuid.uuid4().hex}"
+    path = f"{run_dir(spark)}/stream-{uuid.uuid4().hex}"
 
     def put(batch: DataFrame, number: int) -> None:
         # A batch that runs again after a failure replaces what it wrote before.
