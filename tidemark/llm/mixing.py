@@ -9,9 +9,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.llm import shared
 from tidemark.llm.shared import join_narrow, materialize
 
 #: Topic of a document: the first rule that its text matches, else "general". A stand-in, as documents carry no topics.
@@ -103,10 +104,13 @@ def rake(cells: DataFrame, mix: Mix) -> tuple[Factors, DataFrame]:
     """Iterative proportional fitting of materialized cells (source, lang, topic, tokens): factors, and the cells with their targets.
 
     The product of a cell's three factors is how often each of its tokens is taken, if as many are taken as there are. Each
-    sweep fits the source, then the language, then the topic marginal: an aggregate over the cells that is combined in the
-    tasks before the shuffle and written, a row for each category. No task holds the cells of a category.
+    sweep fits the source, then the language, then the topic marginal. Up to BROADCAST_ROWS cells, all sweeps are one plan over
+    one partition, and written once; beyond, each fit is an aggregate over the cells that is combined in the tasks before the
+    shuffle and written, a row for each category: no task holds the cells of a category.
     """
     aimed, sizes = _aimed(cells, mix)
+    if aimed.limit(shared.BROADCAST_ROWS + 1).count() <= shared.BROADCAST_ROWS:
+        return _raked_together(aimed, sizes, mix), aimed
     out = Factors({}, sizes)
     for _ in range(mix.sweeps):
         for d in DIMS:
@@ -117,6 +121,19 @@ def rake(cells: DataFrame, mix: Mix) -> tuple[Factors, DataFrame]:
     return out, aimed
 
 
+def _raked_together(aimed: DataFrame, sizes: dict[str, int], mix: Mix) -> Factors:
+    """The factors of few cells: the cells carry them from fit to fit."""
+    one = aimed.coalesce(1).select("*", *[F.lit(1.0).alias(f"f_{d}") for d in DIMS])
+    for _ in range(mix.sweeps):
+        for d in DIMS:
+            a, b = [e for e in DIMS if e != d]
+            got = F.sum(F.col("tokens") * F.col(f"f_{a}") * F.col(f"f_{b}")).over(Window.partitionBy(d))
+            one = one.withColumn(f"f_{d}", F.col(f"t_{d}") / got)
+    each = F.explode(F.array(*[F.struct(F.lit(d).alias("dim"), F.col(d).alias("category"), F.col(f"f_{d}").alias("f")) for d in DIMS])).alias("of")
+    fitted = materialize(one.select(each).groupBy("of.dim", "of.category").agg(F.first("of.f").alias("f")), "mix-factors")
+    return Factors({d: fitted.where(F.col("dim") == d).select(F.col("category").alias(d), F.col("f").alias(f"f_{d}")) for d in DIMS}, sizes)
+
+
 def misses(cells: DataFrame, mix: Mix) -> DataFrame:
     """dim, category, target, reached: the share of the sample's tokens that each category was to have, and has after the last sweep."""
     factors, aimed = rake(cells, mix)
