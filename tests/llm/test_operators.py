@@ -643,3 +643,12 @@ def test_recall_over_several_shards(spark):
         s[q] = -np.inf
         hits.append(len(got[q] & set(np.argpartition(-s, 20)[:20].tolist())) / 20)
     assert len(got) == 240 and np.mean(hits) >= 0.9
+
+
+def test_many_secrets_in_a_text(spark):
+    """Positions over several runs of matches, with characters beyond the basic plane among them."""
+    text = "".join(f"é😀 token = 'abcdef{k}' password:short " if k % 3 else "secret=abc x" * (k % 5) for k in range(900))
+    (rule,) = [r for r in secrets.BASE if r.kind == "assign"]
+    want = [(m.start(), m.end()) for m in re.finditer(r"(?i)(?:password|passwd|secret|token|api_?key)[\"']? *[:=] *[\"']?([A-Za-z0-9+/_.=-]+)", text) if len(m[1]) >= 6]
+    found, _ = secrets.scan(spark.createDataFrame([("p", text)], "path string, text string"))
+    assert [tuple(s) for s in found.first().found[rule.id]] == want and len(want) > 2 * secrets.RUN

@@ -12,6 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.functions.numbers import let
 from tidemark.llm.shared import materialize
 
 
@@ -43,11 +44,13 @@ MORE = (
 RULES = BASE + MORE
 OPEN, MID, CLOSE, OTHER = "\x01", "\x02", "\x03", "\x04"
 SPANS = "array<struct<first:int,last:int>>"
+#: Matches whose positions are added up in one list.
+RUN = 256
 LEDGER = f"blob string, found map<string,{SPANS}>"
 
 
 def spans(text: Column, rule: Rule) -> Column:
-    """Spans of a rule as code points, end exclusive: matches are marked in place, and lengths between marks add up to positions."""
+    """Spans of a rule as code points, end exclusive: matches are marked in place, and lengths between marks add up to positions, first of runs of RUN matches, then within each: no list grows match by match over a whole text."""
     parts = F.split(F.regexp_replace(text, rule.pattern, f"{OPEN}$1{MID}$2{CLOSE}"), OPEN)
     none = F.array().cast(SPANS)
 
@@ -57,9 +60,15 @@ def spans(text: Column, rule: Rule) -> Column:
         span = F.array(F.struct(at["pos"].alias("first"), (at["pos"] + both).alias("last")))
         return F.struct((at["pos"] + F.length(part) - 2).alias("pos"), F.when(both - lead >= rule.min_value, F.concat(at["out"], span)).otherwise(at["out"]).alias("out"))
 
-    start = F.struct(F.length(parts[0]).alias("pos"), none.alias("out"))
-    found = F.aggregate(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), start, step, lambda at: at["out"])
-    return F.when(text.rlike(rule.pattern), found).otherwise(none)
+    def located(p: Column) -> Column:
+        run = lambda k: F.slice(p, k * RUN + 2, F.lit(RUN))
+        runs = F.sequence(F.lit(0), F.floor((F.size(p) - 2) / RUN).cast("int"))
+        length = lambda k: F.aggregate(run(k), F.lit(0), lambda n, part: n + F.length(part) - 2)
+        starts = F.aggregate(F.transform(runs, length), F.array(F.length(p[0])), lambda out, n: F.concat(out, F.array(F.element_at(out, -1) + n)))
+        inside = lambda at: lambda k: F.aggregate(run(k), F.struct(at[k].alias("pos"), none.alias("out")), step, lambda s: s["out"])
+        return F.flatten(let(starts, lambda at: F.transform(runs, inside(at))))
+
+    return F.when(text.rlike(rule.pattern), let(parts, located)).otherwise(none)
 
 
 def scan(history: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES, path_col: str = "path", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
