@@ -315,3 +315,62 @@ def test_sections_of_two_manners(spark):
         (2, "opener", "lede", "All in all it rose."), (2, "opener", "lede", "More of all."), (2, "opener", "food", "The food index rose."), (2, "opener", "energy", "The energy index fell."), (2, "opener", "core", "The core index rose."),
         (2, "opener", "notes", "Notes are here."), (2, "opener", "notes", "The food index is a note."),
     ]
+
+
+def test_truncations(spark):
+    texts = ["", "short", "a  b\tc " * 30, "x" * 40, "one\ntwo\n\nthree " + "y" * 30, "ab cd ef gh ij kl", None, "w" * 25 + " tail of words"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    x, cap = F.col("t"), 20
+    got = {r.t: r for r in df.select("t", tx.truncated_words(x, cap).alias("w"), tx.truncated_lines(x, cap).alias("l"), tx.truncated_tokens(x, 3).alias("k"), tx.truncated_paragraphs(x, cap).alias("p"), tx.short_paragraphs(tx.paragraphs(x), cap).alias("s")).collect()}
+    for t in texts:
+        if t is None:
+            assert tuple(got[t]) == (None,) * 6
+            continue
+        flat = " ".join(t.split())
+        assert got[t].w == (flat if len(flat) <= cap else flat[: cap - 2].rsplit(" ", 1)[0][: cap - 3] + "...")
+        lines, kept = t.split("\n"), ""
+        for i in range(len(lines), 0, -1):
+            if len("\n".join(lines[:i])) <= cap:
+                kept = "\n".join(lines[:i])
+                break
+        else:
+            kept = t[:cap]
+        assert got[t].l == kept
+        used, words_ = 0, []
+        for w in flat.split(" "):
+            used += -(-len(w) // 4)
+            if used > 3:
+                break
+            words_.append(w)
+        assert got[t].k == " ".join(words_)
+        paras = [p.strip(" ") for p in t.split("\n") if p.strip(" ")]
+        take = next((i for i in range(len(paras), 0, -1) if len("\n\n".join(paras[:i])) <= cap), 1)
+        assert got[t].p == "\n\n".join(paras[:take])
+        assert "".join(got[t].s).replace(" ", "") == "".join(paras).replace(" ", "")
+
+
+def test_long_paragraphs_keep_their_sentences(spark):
+    p = "First one here. Second, 2.8% of it! Third is a much longer sentence that alone is over the cap? End."
+    out = spark.createDataFrame([(p,)], "p string").select(tx.short_paragraphs(F.array("p"), 35).alias("s")).first().s
+    assert out == ["First one here. Second, 2.8% of it!", "Third is a much longer sentence that alone is over the cap?", "End."]
+
+
+def test_stated_ranks(spark):
+    from tidemark.operators import superlatives
+
+    texts = {"The sixth warmest June.": [(6, True)], "12th-lowest and the 2nd driest": [(12, False), (2, False)], "the warmest": [], "page 3 warmest": [], "": [], "First-ever highest, twelfth lowest": [(12, False)]}
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", superlatives.stated_ranks(F.col("t")).alias("r"))
+    assert {r.t: [(x["rank"], x.high) for x in r.r or []] for r in df.collect()} == texts
+
+
+def test_last_rows_before(spark):
+    left = [(g, k, rng.randrange(20)) for g in range(12) for k in range(g % 4)]
+    right = [(g, rng.randrange(20), i) for g in range(1, 14) for i in range(rng.randrange(9))]
+    a, b = spark.createDataFrame(left, "g int, k int, t int"), spark.createDataFrame(right, "g int, rt int, i int")
+    for strict in (True, False):
+        want = set()
+        for g, k, t in left:
+            mine = sorted([(rt, i) for h, rt, i in right if h == g and (rt < t or (rt == t and not strict))], reverse=True)
+            want |= {(g, k, t, n + 1, i) for n, (_, i) in enumerate(mine[:3])}
+        out = joins.last_n_before(a, b, ["g"], "k", "t", "rt", 3, [F.desc("rt"), F.desc("i")], strict).collect()
+        assert {(r.g, r.k, r.t, r.back, r.i) for r in out} == want and len(out) == len(want)

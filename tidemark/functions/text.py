@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -54,6 +56,58 @@ def first_sentences(parts: Column, cap: int) -> Column:
     return F.array_join(F.slice(parts, F.lit(1), k), " ")
 
 
+def truncated_words(text: Column, cap: int) -> Column:
+    """Blanks collapsed; a text of over cap characters ends with the last whole word that leaves room for three dots, which follow it. A first word that is too long itself is cut."""
+    flat = collapse_space(text)
+    head = F.substring(flat, 1, cap - 3)
+    whole = F.when(F.substring(flat, cap - 2, 1) == " ", head).otherwise(F.regexp_replace(head, r" [^ ]*$", ""))
+    return F.when(F.length(flat) <= cap, flat).otherwise(F.concat(whole, F.lit("...")))
+
+
+def _leading(parts: Column, cost: Callable[[Column], Column], between: int, cap: int) -> Column:
+    """How many leading parts fit into cap, each with its cost and `between` before all but the first."""
+
+    def step(s: Column, x: Column) -> Column:
+        total = s["n"] + cost(x) + F.when(s["k"] > 0, between).otherwise(0)
+        fits = s["open"] & (total <= cap)
+        return F.struct(F.when(fits, total).otherwise(s["n"]).cast("int").alias("n"), (s["k"] + fits.cast("int")).alias("k"), fits.alias("open"))
+
+    return F.aggregate(parts, F.struct(F.lit(0).alias("n"), F.lit(0).alias("k"), F.lit(True).alias("open")), step, lambda s: s["k"])
+
+
+def truncated_lines(text: Column, cap: int) -> Column:
+    """As many leading whole lines as fit into cap characters with their newlines; a first line that is too long is cut."""
+    parts = F.split(text, "\n")
+    k = _leading(parts, F.length, 1, cap)
+    return F.when(k > 0, F.array_join(F.slice(parts, F.lit(1), k), "\n")).otherwise(F.substring(text, 1, cap))
+
+
+def truncated_paragraphs(text: Column, cap: int) -> Column:
+    """As many leading paragraphs, joined by a blank line, as fit into cap characters; at least one, whole."""
+    parts = paragraphs(text)
+    return F.array_join(F.slice(parts, F.lit(1), F.greatest(_leading(parts, F.length, 2, cap), F.lit(1))), "\n\n")
+
+
+def truncated_tokens(text: Column, cap: int) -> Column:
+    """As many leading words (runs without blanks) as have cap tokens, of four characters begun each, joined by blanks."""
+    parts = F.split(collapse_space(text), " ")
+    return F.array_join(F.slice(parts, F.lit(1), _leading(parts, lambda w: F.ceil(F.length(w) / 4).cast("int"), 0, cap)), " ")
+
+
+def short_paragraphs(parts: Column, cap: int) -> Column:
+    """Paragraphs of over cap characters as pieces of whole sentences, as many to a piece as fit; a sentence that is too long by itself is a piece."""
+
+    def pieces(p: Column) -> Column:
+        def step(s: Column, x: Column) -> Column:
+            last = F.try_element_at(s, F.lit(-1))
+            fits = last.isNotNull() & (F.length(last) + 1 + F.length(x) <= cap)
+            return F.when(fits, F.concat(F.slice(s, 1, F.size(s) - 1), F.array(F.concat(last, F.lit(" "), x)))).otherwise(F.concat(s, F.array(x)))
+
+        return F.when(F.length(p) <= cap, F.array(p)).otherwise(F.aggregate(sentences(p), F.array().cast("array<string>"), step))
+
+    return F.flatten(F.transform(parts, pieces))
+
+
 def html_to_text(html: Column) -> Column:
     """Scripts, styles and comments go with what is in them, tags become blanks, the five basic entities their characters."""
     out = F.regexp_replace(html, r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->", " ")

@@ -123,3 +123,13 @@ def attributed(df: DataFrame, key: list[str], text: str, channels: DataFrame, id
     if within is not None:
         owners = owners.where(F.array_min(F.transform("names", lambda p: F.abs(p - F.col("at")))) <= within)
     return owners.select(*key, "clause", "at", "value", "kind", "channel")
+
+
+def directions(df: DataFrame, key: list[str], text: str, channels: DataFrame, id_: str, title: str, up: tuple[str, ...], down: tuple[str, ...], vocabulary: Vocabulary = ENGLISH, coverage: float = 0.8) -> DataFrame:
+    """key, channel, ups, downs: words of rise and fall in the clauses of a text that name a channel and no other. Channels that none names have no row; null texts name none."""
+    rows = materialize(clauses_of(df, key, text, vocabulary).select(*key, "clause", "text", "words"), "direction-clauses")
+    who = named(rows, key, channels, id_, title, vocabulary, coverage).withColumn("_n", F.count("*").over(Window.partitionBy(*key, "clause"))).where("_n = 1")
+    said = F.transform(lexed(F.col("text")), lambda t: t["w"])
+    count = lambda side: F.size(F.filter(said, lambda w: w.isin(*side)))
+    each = who.join(rows.select(*key, "clause", count(up).alias("_up"), count(down).alias("_down")), [*key, "clause"])
+    return each.groupBy(*key, "channel").agg(F.sum("_up").alias("ups"), F.sum("_down").alias("downs"))

@@ -34,16 +34,26 @@ def asof(left: DataFrame, right: DataFrame, on: list[str], left_at: str, right_a
 
 
 def last_n_before(left: DataFrame, right: DataFrame, on: list[str], left_id: str, left_at: str, right_at: str, n: int, order: list[Column], strict: bool = True) -> DataFrame:
-    """Up to n latest right rows before (or at) each left row, with back = 1 for the latest. `order` sorts right rows, latest first."""
-    near = F.col(right_at) < F.col(left_at) if strict else F.col(right_at) <= F.col(left_at)
-    w = Window.partitionBy(left_id).orderBy(*order)
-    return left.join(right, on).where(near).withColumn("back", F.row_number().over(w)).where(F.col("back") <= n)
+    """Up to n latest right rows before (or at) each left row, with back = 1 for the latest. `order` sorts right rows, latest first: by right_at, then by what tells apart rows of one time.
+
+    Right rows are numbered once, an as-of pass finds the latest, and those before it are looked up by their numbers: no row but
+    those of the answer is made, however many came earlier. left_id is not needed for that, but must tell left rows apart.
+    """
+    numbered = right.withColumn("_r", F.row_number().over(Window.partitionBy(*on).orderBy(*order)))
+    latest = asof(left, numbered.withColumn("_last", -F.col("_r")), on, left_at, right_at, ["_r"], strict, tie="_last").where("_r is not null").select(*left.columns, F.col("_r").alias("_first"))
+    asked = latest.withColumn("back", F.explode(F.sequence(F.lit(1), F.lit(n)))).withColumn("_r", F.col("_first") + F.col("back") - 1)
+    return asked.join(numbered, [*on, "_r"]).drop("_r", "_first")
 
 
 def bitemporal_asof(facts: DataFrame, as_of: DataFrame, keys: list[str], known: str, at: str, value: str, tie: str) -> DataFrame:
-    """For each as-of time and key: the value known last at or before it."""
-    seen = facts.join(as_of, F.col(known) <= F.col(at))
-    return seen.groupBy(at, *keys).agg(F.max_by(value, F.struct(known, tie)).alias(value), F.max(known).alias(known))
+    """For each as-of time and key: the value known last at or before it. as_of: the times alone.
+
+    Facts are first combined to one for each key and time; only keys, with the time at which they are first known, meet the times, which
+    makes the rows of the answer and no others; an as-of pass fills them.
+    """
+    facts = facts.where(F.col(known).isNotNull()).groupBy(*keys, known).agg(F.max_by(value, tie).alias(value))
+    asked = facts.groupBy(*keys).agg(F.min(known).alias("_since")).join(as_of.select(at), F.col("_since") <= F.col(at)).drop("_since")
+    return asof(asked, facts, keys, at, known, [value])
 
 
 def in_interval(left: DataFrame, right: DataFrame, on: list[str], left_lo: str, left_hi: str, right_at: str, bucket: int) -> DataFrame:

@@ -20,6 +20,9 @@ HIGH = ("highest", "largest", "strongest", "biggest", "fastest")
 LOW = ("lowest", "smallest", "weakest", "slowest")
 CHANGES = ("change", "decline", "decrease", "drop", "fall", "increase", "jump", "rise")
 SCOPES = ("comparable basis", "comparable series", "consistent series", "national statistic")
+RANKED_HIGH = ("highest", "hottest", "largest", "warmest", "wettest")
+RANKED_LOW = ("coldest", "coolest", "driest", "lowest", "smallest")
+ORDINALS = ("first", "second", "third", "fourth", "fifth", "sixth", "seventh", "eighth", "ninth", "tenth", "eleventh", "twelfth")
 REACH = 12  # tokens from the superlative to the words that bound it
 CLOSE = 1e-9
 BACK = 0.05  # how far a value quoted of the earlier month may be from the series there
@@ -130,3 +133,38 @@ def checked(df: DataFrame, key: list[str], text: str, month: str, channels: Data
         .otherwise("contradicted")
     )
     return told.select(*key, month, "clause", "extreme", "since", "basis", "quoted", "channel", verdict.alias("verdict"))
+
+
+def stated_ranks(text: Column) -> Column:
+    """Ranks in a record that a text states ("the sixth warmest June", "12th-lowest"): rank and high (whether it counts from the top)."""
+
+    def found(t: Column) -> Column:
+        word = lambda i: F.get(t, i)["w"]
+        in_words = F.create_map(*[F.lit(x) for k, w in enumerate(ORDINALS) for x in (w, k + 1)])
+
+        def ranked(i: Column) -> Column:
+            before = F.when(word(i - 1).isin("-", "–"), i - 2).otherwise(i - 1)
+            suffix = word(before).isin("st", "nd", "rd", "th") & F.coalesce(F.get(t, before)["touches"], F.lit(False))
+            figure = F.when(suffix & word(before - 1).rlike("^[0-9]{1,3}$"), word(before - 1).cast("int"))
+            rank = F.coalesce(F.try_element_at(in_words, F.coalesce(word(before), F.lit(""))), figure)
+            return F.when(rank > 0, F.struct(rank.alias("rank"), word(i).isin(*RANKED_HIGH).alias("high")))
+
+        places = F.filter(F.sequence(F.lit(0), F.size(t) - 1), lambda i: t[i]["w"].isin(*RANKED_HIGH, *RANKED_LOW))
+        return F.when(F.size(t) > 0, F.array_compact(F.transform(places, ranked)))
+
+    return let(lexed(text), found)
+
+
+def ranks_checked(df: DataFrame, text: str, month: str, record: DataFrame, by: list[str], value: str, same_month: bool = True) -> DataFrame:
+    """by, month, rank, high, actual, agrees: of texts that state one rank alone, against the place of their month in the record.
+
+    df has `by` and the month; record: by, month, value. same_month: among the same calendar months up to it, else among all months up to it. Equal values
+    have the best of their ranks. Texts that state several ranks, and months that the record lacks, give no row.
+    """
+    one = df.withColumn("_r", stated_ranks(F.col(text))).where(F.size("_r") == 1).select(*by, month, F.col("_r")[0]["rank"].alias("rank"), F.col("_r")[0]["high"].alias("high"))
+    strata = [*by, *([F.month(month)] if same_month else [])]
+    so_far = F.collect_list(value).over(Window.partitionBy(*strata).orderBy(month).rowsBetween(Window.unboundedPreceding, 0))
+    placed = record.where(F.col(value).isNotNull()).select(*by, month, value, so_far.alias("_seen"))
+    placed = placed.select(*by, month, (F.size(F.filter("_seen", lambda v: v > F.col(value))) + 1).alias("_high"), (F.size(F.filter("_seen", lambda v: v < F.col(value))) + 1).alias("_low"))
+    actual = F.when(F.col("high"), F.col("_high")).otherwise(F.col("_low"))
+    return one.join(placed, [*by, month]).select(*by, month, "rank", "high", actual.alias("actual"), (F.col("rank") == actual).alias("agrees"))

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import numbers as num
 from tidemark.functions import text as tx
-from tidemark.operators import evidence, superlatives, windows
+from tidemark.operators import attribution, evidence, superlatives, windows
 from tidemark.plans import cascade
 from tidemark.queries.registry import Tables, query
 from tidemark.queries.series import DENSE, MONTHLY, _dense, _monthly
@@ -264,3 +264,33 @@ def control_at_a_stride(t: Tables) -> DataFrame:
 @query(f"WITH {MONTHLY} SELECT a.p, a.month, a.v, b.v AS control_v FROM m a JOIN m b ON a.p = b.p AND b.month = (a.month + INTERVAL 5 MONTH)::DATE")
 def control_months_on(t: Tables) -> DataFrame:
     return evidence.month_shift_control(_monthly(t), ["p"], "month", ["v"], 5)
+
+
+@query(f"""WITH {MONTHLY}, x AS (SELECT *, (year(month) + month(month)) % 12 + 1 AS stated, (year(month) * month(month)) % 2 = 0 AS high, year(month) % 5 = 4 AS twice FROM m)
+SELECT *, actual = rank AS agrees FROM (SELECT a.p, a.month, a.stated::INT AS rank, a.high, (count(*) FILTER (WHERE CASE WHEN a.high THEN b.v > a.v ELSE b.v < a.v END) + 1)::INT AS actual
+FROM x a JOIN x b ON a.p = b.p AND month(b.month) = month(a.month) AND b.month <= a.month WHERE NOT a.twice GROUP BY a.p, a.month, a.stated, a.high)""")
+def ranks_stated(t: Tables) -> DataFrame:
+    """Of each month the rank that its text states among the same months so far, in words or in figures; texts of every fifth year state two."""
+    m = _monthly(t)
+    stated, high = (F.year("month") + F.month("month")) % 12 + 1, (F.year("month") * F.month("month")) % 2 == 0
+    word = F.array(*map(F.lit, superlatives.ORDINALS))[stated - 1]
+    figure = F.concat(stated.cast("string"), F.when(stated == 1, "st-").when(stated == 2, "nd ").when(stated == 3, "rd ").otherwise("th "))
+    extreme = F.when(high, "highest").otherwise("lowest")
+    text = F.concat(F.lit("It was the "), F.when(F.year("month") % 2 == 0, F.concat(word, F.lit(" "))).otherwise(figure), extreme, F.lit(" of its kind"), F.when(F.year("month") % 5 == 4, ", if not the third largest").otherwise(""), F.lit("."))
+    return superlatives.ranks_checked(m.select("p", "month", text.alias("text")), "text", "month", m, ["p"], "v")
+
+
+@query(f"""WITH {MONTHLY}, b AS (SELECT *, (SELECT median(x.v) FROM m x WHERE x.p = m.p AND x.month < m.month AND x.month >= m.month - INTERVAL 5 MONTH) AS before FROM m), c AS (SELECT *, v / before - 1 AS move, month(month) % 3 AS f FROM b WHERE before IS NOT NULL)
+SELECT p, month, CASE f WHEN 0 THEN 2 WHEN 1 THEN 0 ELSE 1 END::BIGINT AS ups, CASE f WHEN 1 THEN 1 ELSE 0 END::BIGINT AS downs, sign(CASE f WHEN 1 THEN -1 ELSE 1 END) = sign(move) AS agrees FROM c WHERE abs(move) >= 0.1""")
+def channel_directions(t: Tables) -> DataFrame:
+    """What clauses that name a priority alone say of its direction, where the month is a tenth or more from the median of the five before."""
+    m = _monthly(t).withColumn("title", F.lower(F.regexp_replace("p", "^[0-9]-", "")))
+    f = F.month("month") % 3
+    said = F.when(f == 0, " orders rose and were up").when(f == 1, " orders fell; others rose").otherwise(" orders grew")
+    other = F.when(F.col("title") == "urgent", "medium").otherwise("urgent")
+    text = F.concat(F.col("title"), said, F.lit(". While "), other, F.lit(" orders fell, those that are "), F.col("title"), F.lit(" grew. Nothing fell."))
+    channels = m.select("p", "title").distinct()
+    told = attribution.directions(m.select(F.col("p").alias("of"), "month", text.alias("text")), ["of", "month"], "text", channels, "p", "title", ("rose", "up", "grew"), ("fell", "down")).where("channel = of")
+    moved = evidence.before_median(_monthly(t), ["p"], "month", "v", 5).where("median_before is not null").select("p", "month", (F.col("v") / F.col("median_before") - 1).alias("move"))
+    both = told.select(F.col("channel").alias("p"), "month", "ups", "downs").join(moved.where(F.abs("move") >= 0.1), ["p", "month"])
+    return both.select("p", "month", "ups", "downs", (F.signum(F.col("ups") - F.col("downs")) == F.signum("move")).alias("agrees"))

@@ -191,3 +191,24 @@ def doc_topic_sections(t: Tables) -> DataFrame:
     b = t.documents.select("doc_id", F.posexplode(tx.sentences(F.col("text"))).alias("pos", "block"))
     b = b.select("doc_id", "pos", F.when(F.length("block") <= 12, sections.HEADING).otherwise(sections.PROSE).alias("kind"), "block")
     return sections.sectioned(b, ["doc_id"], TOPICS).groupBy("doc_id", "manner", "section").agg(F.count("*").alias("blocks"), F.sum(F.length("block")).alias("chars"))
+
+
+@query("""WITH f AS (SELECT doc_id, text, trim(regexp_replace(text, '[ \\t\\n\\r\\f\\v]+', ' ', 'g')) AS flat, string_split(text, chr(10)) AS ls FROM documents),
+l AS (SELECT doc_id, max(i) AS k FROM (SELECT doc_id, i, sum(length(line) + 1) OVER (PARTITION BY doc_id ORDER BY i) - 1 AS size FROM (SELECT doc_id, unnest(ls) AS line, unnest(range(1, len(ls) + 1)) AS i FROM f)) WHERE size <= 200 GROUP BY 1),
+p AS (SELECT doc_id, [x FOR x IN [trim(y) FOR y IN ls] IF x <> ''] AS ps FROM f), q AS (SELECT doc_id, max(i) AS k FROM (SELECT doc_id, i, sum(length(x) + 2) OVER (PARTITION BY doc_id ORDER BY i) - 2 AS size FROM (SELECT doc_id, unnest(ps) AS x, unnest(range(1, len(ps) + 1)) AS i FROM p)) WHERE size <= 200 GROUP BY 1),
+w AS (SELECT doc_id, string_split(flat, ' ') AS ws FROM f), v AS (SELECT doc_id, max(i) AS k FROM (SELECT doc_id, i, sum(ceil(length(x) / 4.0)) OVER (PARTITION BY doc_id ORDER BY i) AS size FROM (SELECT doc_id, unnest(ws) AS x, unnest(range(1, len(ws) + 1)) AS i FROM w)) WHERE size <= 50 GROUP BY 1)
+SELECT f.doc_id, CASE WHEN length(flat) <= 200 THEN flat WHEN substr(flat, 198, 1) = ' ' THEN left(flat, 197) || '...' ELSE regexp_replace(left(flat, 197), ' [^ ]*$', '') || '...' END AS words,
+  CASE WHEN l.k > 0 THEN array_to_string(ls[1:l.k], chr(10)) ELSE left(text, 200) END AS lines, array_to_string(ps[1:greatest(coalesce(q.k, 0), 1)], chr(10) || chr(10)) AS paragraphs, array_to_string(ws[1:coalesce(v.k, 0)], ' ') AS tokens
+FROM f LEFT JOIN l USING (doc_id) JOIN p USING (doc_id) LEFT JOIN q USING (doc_id) JOIN w USING (doc_id) LEFT JOIN v USING (doc_id)""")
+def doc_truncations(t: Tables) -> DataFrame:
+    """Documents cut at a word, a line, a paragraph and a token."""
+    x = F.col("text")
+    return t.documents.select("doc_id", tx.truncated_words(x, 200).alias("words"), tx.truncated_lines(x, 200).alias("lines"), tx.truncated_paragraphs(x, 200).alias("paragraphs"), tx.truncated_tokens(x, 50).alias("tokens"))
+
+
+@query(f"""WITH RECURSIVE {SENTENCES}, r(doc_id, ss, i, k, size) AS (SELECT doc_id, ss, 1, 1, length(ss[1]) FROM s WHERE len(ss) > 0 UNION ALL SELECT doc_id, ss, i + 1, CASE WHEN size + 1 + length(ss[i + 1]) <= 300 THEN k ELSE k + 1 END, CASE WHEN size + 1 + length(ss[i + 1]) <= 300 THEN size + 1 + length(ss[i + 1]) ELSE length(ss[i + 1]) END FROM r WHERE i < len(ss)),
+z AS (SELECT doc_id, k, string_agg(ss[i], ' ' ORDER BY i) AS piece FROM r GROUP BY ALL)
+SELECT doc_id, k - 1 AS pos, piece FROM z WHERE doc_id IN (SELECT doc_id FROM documents WHERE length(text) > 300) UNION ALL SELECT doc_id, 0, text FROM documents WHERE length(text) <= 300""")
+def doc_pieces(t: Tables) -> DataFrame:
+    """Documents as paragraphs of one: pieces of whole sentences of up to 300 characters."""
+    return t.documents.where("text is not null").select("doc_id", F.posexplode(tx.short_paragraphs(F.array("text"), 300)).alias("pos", "piece"))
