@@ -6,10 +6,11 @@ import uuid
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.operators import joins
 from tidemark.queries.registry import Tables, query
-from tidemark.sources import archives, markup, sinks
+from tidemark.sources import archives, markup, readers, sinks
 from tidemark.storage import materialize, run_dir
 
 
@@ -117,3 +118,22 @@ def zip_member_lines(t: Tables) -> DataFrame:
     materialize(written, "archives")
     t.region.write.mode("append").json(f"{path}/other")
     return archives.lines(archives.members(archives.listed(t.spark, path, "*.zip"), r"[^/]+/[^/]+\.txt")).select("member", "n", "line")
+
+
+def news_folder(t: Tables) -> str:
+    """Documents as quoted CSV: an id, a symbol, a day and the text, newlines and all."""
+    path = f"{run_dir(t.spark)}/news-{uuid.uuid4().hex}"
+    day = F.date_add(F.lit("2020-01-01").cast("date"), (F.col("doc_id") % 365).cast("int"))
+    t.documents.select("doc_id", F.col("source").alias("symbol"), day.alias("day"), "text").write.csv(path, header=True, quoteAll=True, escape='"', emptyValue="")
+    return path
+
+
+def news_by_day(t: Tables, path: str) -> DataFrame:
+    """Articles and characters of each symbol and day; rows that don't fit are counted as a symbol's without a day."""
+    rows = readers.csv(t.spark, path, T.StructType.fromDDL("doc_id bigint, symbol string, day date, text string"), newlines=True)
+    return rows.groupBy("symbol", "day").agg(F.count("*").alias("articles"), F.sum(F.coalesce(F.length("text"), F.lit(0)).cast("bigint")).alias("chars"))
+
+
+@query("SELECT source AS symbol, (DATE '2020-01-01' + (doc_id % 365)::INT)::DATE AS day, count(*) AS articles, sum(length(coalesce(text, '')))::BIGINT AS chars FROM documents GROUP BY ALL")
+def csv_news_by_day(t: Tables) -> DataFrame:
+    return news_by_day(t, news_folder(t))
