@@ -45,6 +45,13 @@ def from_serial(n: Column) -> Column:
     return F.date_add(F.lit("1899-12-30").cast("date"), n.cast("int"))
 
 
+def short_quarter_start(text: Column, pivot: int = 50) -> Column:
+    """First day of a quarter written 90q4, in either case; two-digit years from `pivot` on are of the last century. Null for anything else."""
+    year = F.regexp_extract(text, r"^([0-9]{2})[qQ][1-4]$", 1).try_cast("int")
+    quarter = F.regexp_extract(text, r"^[0-9]{2}[qQ]([1-4])$", 1).try_cast("int")
+    return F.when(year.isNotNull(), F.make_date(year + F.when(year >= pivot, 1900).otherwise(2000), quarter * 3 - 2, F.lit(1)))
+
+
 def period_start(text: Column) -> Column:
     """First day of YYYY, YYYY-MM, YYYY-Qn or YYYYMMDD; null for anything else."""
     year = F.substring(text, 1, 4).try_cast("int")

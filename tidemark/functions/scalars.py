@@ -49,6 +49,12 @@ def max_known(values: Column, missing: list[float]) -> Column:
     return F.array_max(F.filter(values, lambda x: ~x.isin(*missing)))
 
 
+def max_if_all_known(values: Column, missing: list[float]) -> Column:
+    """Largest entry, or null if any is null or a sentinel, or there is none."""
+    known = F.forall(values, lambda x: x.isNotNull() & ~x.isin(*missing))
+    return F.when(known & (F.size(values) > 0), F.array_max(values))
+
+
 def converted(value: Column, unit: Column, factors: dict[str, float], places: int = 6) -> Column:
     """The value times its unit's factor, 1 for units without one, rounded half to even."""
     factor = F.lit(1.0)

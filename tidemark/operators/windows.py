@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.joins import asof
+
 from tidemark.functions.calendar import spine
 
 
@@ -136,3 +138,41 @@ def upper_median(by: list[str], df: DataFrame, value: str, name: str) -> DataFra
 def frequency_of(days: Column) -> Column:
     """The frequency token of a series whose usual spacing is so many days."""
     return F.when(days <= 1, "1d").when(days <= 10, "1W").when(days <= 45, "1M").when(days <= 135, "1q").otherwise("1y")
+
+
+def best_span(parts: DataFrame, by: list[str], at: str, size: str, figures: str, cap: int) -> DataFrame:
+    """by, first, last, score: the run of neighbouring parts of at most `cap` characters in all (one between parts) with the most of figures * 1000 + characters; ties go to the earlier start. Groups none of whose parts fit have no row.
+
+    From each start the longest run that fits is the best, and its end is found among the running lengths by an as-of pass: no
+    two parts are paired.
+    """
+    so_far = Window.partitionBy(*by).orderBy(at).rowsBetween(Window.unboundedPreceding, 0)
+    rows = parts.select(*by, at, F.col(size).cast("long").alias("_size"), F.col(figures).cast("long").alias("_figures"))
+    rows = rows.withColumn("_upto", F.sum(F.col("_size") + 1).over(so_far)).withColumn("_found", F.sum("_figures").over(so_far))
+    starts = rows.select(*by, F.col(at).alias("first"), (F.col("_upto") - F.col("_size") - 1).alias("_before"), (F.col("_found") - F.col("_figures")).alias("_less")).withColumn("_most", F.col("_before") + cap + 1)
+    ends = rows.select(*by, F.col(at).alias("last"), "_upto", F.col("_found").alias("_all"))
+    spans = asof(starts, ends, by, "_most", "_upto", ["last", "_all"], tie="last").where(F.col("last") >= F.col("first"))
+    score = (F.col("_all") - F.col("_less")) * 1000 + F.col("_upto") - F.col("_before") - 1
+    scored = spans.select(*by, "first", "last", score.alias("score"))
+    return scored.groupBy(*by).agg(F.max_by(F.struct("first", "last", "score"), F.struct("score", -F.col("first"))).alias("_s")).select(*by, "_s.*")
+
+
+def clustered(df: DataFrame, by: list[str], at: str, gap: float) -> DataFrame:
+    """by, lo, hi, n: clusters of coordinates in one dimension, each at most `gap` from the next."""
+    known = df.where(F.col(at).isNotNull())
+    return islands(known, by, at, F.lit(gap)).groupBy(*by, "island").agg(F.min(at).alias("lo"), F.max(at).alias("hi"), F.count("*").alias("n")).drop("island")
+
+
+def whole_channels(points: DataFrame, by: list[str], channel: str, day: str, value: str, end: str, days: int) -> DataFrame:
+    """by, channel: channels with a value on each of the `days` days that end at the group's last day `end` (a column); one that is null there, or that lacks a day, is left out."""
+    inside = points.where(F.col(value).isNotNull() & (F.datediff(F.col(end), F.col(day)) < days) & (F.datediff(F.col(end), F.col(day)) >= 0))
+    seen = inside.groupBy(*by, channel).agg(F.count_distinct(day).alias("_n"))
+    return seen.where(F.col("_n") == days).drop("_n")
+
+
+def numbered(parts: DataFrame, by: list[str], order: list[str], text: str, cap: int) -> DataFrame:
+    """by, order, text, number (from 1): the leading parts of a group that fit into `cap` characters with one between them; the first is kept however long it is, and nothing after one that doesn't fit."""
+    so_far = Window.partitionBy(*by).orderBy(*order)
+    running = F.sum(F.length(text) + 1).over(so_far.rowsBetween(Window.unboundedPreceding, 0))
+    rows = parts.withColumn("number", F.row_number().over(so_far)).withColumn("_used", running - 1)
+    return rows.where((F.col("number") == 1) | (F.col("_used") <= cap)).drop("_used")

@@ -6,8 +6,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import calendar as cal
+from tidemark.functions import scalars
+from tidemark.functions import text as tx
 from tidemark.operators import joins, stateful, windows
 from tidemark.queries.registry import Tables, query
+from tidemark.queries.text import SENTENCES
 
 DENSE = """b AS (SELECT event_type, min(ts)::DATE AS lo, max(ts)::DATE AS hi FROM events GROUP BY 1),
 s AS (SELECT event_type, unnest(generate_series(lo, hi, INTERVAL 1 DAY))::DATE AS day FROM b),
@@ -287,3 +290,54 @@ def crest_centred(t: Tables) -> DataFrame:
     c = t.lineitem.groupBy("l_suppkey", F.to_date("l_shipdate").alias("d")).agg(F.count("*").alias("v"))
     crest = c.groupBy("l_suppkey").agg(F.max_by("d", F.struct("v", -F.datediff("d", F.lit("1970-01-01")))).alias("crest"))
     return c.join(crest, "l_suppkey").withColumn("off", F.datediff("d", "crest")).where("off between -10 and 10").select("l_suppkey", "d", "v", "off")
+
+
+@query(f"""WITH {SENTENCES}, x AS (SELECT doc_id, unnest(ss) AS s, unnest(range(len(ss))) AS pos FROM s), c AS (SELECT doc_id, pos, length(s) AS n, len(regexp_extract_all(s, '[0-9]+')) AS f FROM x),
+r AS (SELECT *, sum(n + 1) OVER w AS upto, sum(f) OVER w AS found FROM c WINDOW w AS (PARTITION BY doc_id ORDER BY pos)),
+z AS (SELECT a.doc_id, a.pos AS first, b.pos AS last, (b.found - a.found + a.f) * 1000 + b.upto - a.upto + a.n AS score FROM r a JOIN r b ON a.doc_id = b.doc_id AND b.pos >= a.pos AND b.upto - a.upto + a.n <= 600)
+SELECT doc_id, arg_max(first, (score, -first)) AS first, arg_max(last, (score, -first, last)) AS last, max(score)::BIGINT AS score FROM z GROUP BY doc_id""")
+def best_figure_span(t: Tables) -> DataFrame:
+    """Of each document the neighbouring sentences of up to 600 characters that say most in figures."""
+    s = t.documents.select("doc_id", F.posexplode(tx.sentences(F.col("text"))).alias("pos", "s"))
+    s = s.select("doc_id", F.col("pos").cast("bigint").alias("pos"), F.length("s").alias("n"), F.regexp_count("s", F.lit("[0-9]+")).alias("f"))
+    return windows.best_span(s, ["doc_id"], "pos", "n", "f", 600)
+
+
+@query("""WITH o AS (SELECT DISTINCT o_custkey AS c, (o_totalprice / 1000)::DOUBLE AS x FROM orders), g AS (SELECT *, coalesce((x - lag(x) OVER (PARTITION BY c ORDER BY x) > 14)::INT, 0) AS b FROM o), i AS (SELECT *, sum(b) OVER (PARTITION BY c ORDER BY x) AS k FROM g)
+SELECT c, min(x) AS lo, max(x) AS hi, count(*) AS n FROM i GROUP BY c, k""")
+def clusters_of_prices(t: Tables) -> DataFrame:
+    return windows.clustered(t.orders.select(F.col("o_custkey").alias("c"), (F.col("o_totalprice") / 1000).alias("x")).distinct(), ["c"], "x", 14.0)
+
+
+@query("""WITH d AS (SELECT event_type AS c, user_id % 7 AS g, ts::DATE AS day, CASE WHEN sum(value) > 40 THEN sum(value) END AS v FROM events GROUP BY ALL), e AS (SELECT g, max(day) AS last FROM d GROUP BY 1)
+SELECT d.g, c FROM d JOIN e USING (g) WHERE v IS NOT NULL AND day > last - 7 GROUP BY ALL HAVING count(DISTINCT day) = 7""")
+def channels_of_every_day(t: Tables) -> DataFrame:
+    """Types of event with a sum over 40 on each of the last seven days of a group of users."""
+    total = F.sum("value")
+    d = t.events.groupBy(F.col("event_type").alias("c"), (F.col("user_id") % 7).alias("g"), F.to_date("ts").alias("day")).agg(F.when(total > 40, total).alias("v"))
+    ends = d.groupBy("g").agg(F.max("day").alias("last"))
+    return windows.whole_channels(d.join(ends, "g"), ["g"], "c", "day", "v", "last", 7)
+
+
+@query(f"""WITH m AS (SELECT conv_id, turn, regexp_replace(text, '\\b(Mr|Mrs|Dr|St|No|vs|etc|approx|U\\.S)\\.', '\\1' || chr(2), 'g') AS m FROM conversations), p AS (SELECT conv_id, turn, [x FOR x IN [trim(translate(y, chr(2), '.')) FOR y IN string_split(regexp_replace(m, '([.!?])[ \\n]+', '\\1' || chr(1), 'g'), chr(1))] IF x <> ''] AS ss FROM m),
+x AS (SELECT conv_id, turn, unnest(range(len(ss))) AS pos, unnest(ss) AS sentence FROM p), r AS (SELECT *, row_number() OVER w AS number, sum(length(sentence) + 1) OVER w - 1 AS used FROM x WINDOW w AS (PARTITION BY conv_id ORDER BY turn, pos)) SELECT conv_id, turn, number, sentence FROM r WHERE number = 1 OR used <= 400""")
+def numbered_sentences(t: Tables) -> DataFrame:
+    """Sentences of a conversation's turns, numbered throughout, up to 400 characters, the first always."""
+    s = t.conversations.select("conv_id", "turn", F.posexplode(tx.sentences(F.col("text"))).alias("pos", "sentence"))
+    return windows.numbered(s, ["conv_id"], ["turn", "pos"], "sentence", 400).select("conv_id", "turn", F.col("number").cast("bigint").alias("number"), "sentence")
+
+
+@query("SELECT o_orderkey, (make_date(year(o_orderdate), quarter(o_orderdate) * 3 - 2, 1))::DATE AS start FROM orders")
+def short_quarters(t: Tables) -> DataFrame:
+    said = F.concat(F.date_format("o_orderdate", "yy"), F.when(F.col("o_orderkey") % 2 == 0, "q").otherwise("Q"), F.quarter("o_orderdate").cast("string"))
+    return t.orders.select("o_orderkey", cal.short_quarter_start(said).alias("start"))
+
+
+@query("""WITH h AS (SELECT user_id, ts::DATE AS day, hour(ts) // 6 AS slot, max(value) AS v FROM events GROUP BY ALL), d AS (SELECT user_id, day, count(*) AS n, max(v) AS top, count(*) FILTER (WHERE v IS NULL) AS unknown FROM h GROUP BY ALL)
+SELECT user_id, day, CASE WHEN n = 4 AND unknown = 0 THEN top END AS top FROM d""")
+def day_maximum_if_complete(t: Tables) -> DataFrame:
+    """A day's largest value of a user, if each quarter of the day has one."""
+    h = t.events.groupBy("user_id", F.to_date("ts").alias("day"), F.floor(F.hour("ts") / 6).alias("slot")).agg(F.max("value").alias("v"))
+    d = h.groupBy("user_id", "day").agg(F.map_from_entries(F.collect_list(F.struct("slot", "v"))).alias("at"))
+    slots = F.array(*[F.try_element_at("at", F.lit(k).cast("bigint")) for k in range(4)])
+    return d.select("user_id", "day", scalars.max_if_all_known(slots, [-999.0]).alias("top"))
