@@ -652,3 +652,60 @@ def test_many_secrets_in_a_text(spark):
     want = [(m.start(), m.end()) for m in re.finditer(r"(?i)(?:password|passwd|secret|token|api_?key)[\"']? *[:=] *[\"']?([A-Za-z0-9+/_.=-]+)", text) if len(m[1]) >= 6]
     found, _ = secrets.scan(spark.createDataFrame([("p", text)], "path string, text string"))
     assert [tuple(s) for s in found.first().found[rule.id]] == want and len(want) > 2 * secrets.RUN
+
+
+def plain_features(text):
+    """Words and beginnings of 5 and 7 bytes, each with how often the text has it, as (kind, bytes, times at least)."""
+    count = Counter()
+    for w in words(text):
+        raw = w.encode()
+        count.update([("word", raw), (5, raw[:5]), (7, raw[:7])])
+    return {(*what, k) for what, n in count.items() for k in toxicity.LEVELS if n >= k}
+
+
+def test_features_by_loops():
+    texts = ["", "one two two three", "extraordinary Extraordinarily extra", "é " * 5 + "ééééé", prose(400), None]
+    (w,) = slices_of(texts)
+    row, h = toxicity.features(w)
+    seen = {}
+    for r, t in enumerate(texts):
+        mine, want = h[row == r].tolist(), plain_features(t)
+        assert len(set(mine)) == len(mine) == len(want)
+        seen[r] = set(mine)
+    for a in range(len(texts)):  # texts share as many hashes as features
+        for b in range(a):
+            assert len(seen[a] & seen[b]) == len(plain_features(texts[a]) & plain_features(texts[b]))
+
+
+def test_chosen_by_loops(spark):
+    """The features that Spark counts and chooses are those that a likelihood-ratio test in plain Python chooses."""
+    g = random.Random(3)
+    rows = [(1, [k for k in range(60) if g.random() < (0.5 if k < 12 else 0.1)]) for _ in range(200)] + [(0, [k for k in range(60) if g.random() < (0.1 if k < 12 or k > 50 else 0.12)]) for _ in range(500)]
+    prior, n_p, n_u = 0.2, 200, 500
+    count = [[sum(k in s for y, s in rows if y == label) for k in range(60)] for label in (1, 0)]
+
+    def log_likelihood(k, n, rate):
+        return (k * np.log(rate) if k else 0.0) + ((n - k) * np.log(1 - rate) if n - k else 0.0)
+
+    want = []
+    for k in range(60):
+        p, u = count[0][k], count[1][k]
+        if not p + u:
+            continue
+        twice = 2 * (log_likelihood(p, n_p, p / n_p) + log_likelihood(u, n_u, u / n_u) - log_likelihood(p, n_p, (p + u) / 700) - log_likelihood(u, n_u, (p + u) / 700))
+        clean = max(u / n_u - prior * p / n_p, 0) / (1 - prior)
+        if min(p / n_p, clean) <= toxicity.LEAST_RATIO * max(p / n_p, clean) and twice > 2 * np.log(60 / toxicity.LEVEL):
+            want.append(k)
+    got = toxicity.chosen(spark.createDataFrame(rows, "label int, words array<bigint>"), n_p, n_u, prior)
+    assert got.tolist() == want and set(range(12)) <= set(want)
+
+
+def test_one_very_long_text_among_those_that_toxicity_is_fitted_on(spark):
+    """Only telling features of a text come to the driver, whatever its length."""
+    base = spark.range(400).selectExpr("id AS doc_id", "concat('plain words of text w', id * 7919 % 997, ' x', id * 31 % 613, if(id % 4 = 0, ' vile slur', '')) AS text")
+    long = spark.range(400, 401).selectExpr("id AS doc_id", "array_join(transform(sequence(1, 300000), k -> concat('w', k)), ' ') AS text")
+    labels = spark.range(401).selectExpr("id AS doc_id", "cast(id % 4 = 0 AS int) AS toxic").where("doc_id < 200")
+    model = toxicity.train(base.union(long), labels, learn)
+    assert 0 < len(model.words) < 100
+    out = {r.doc_id: r.score for r in toxicity.score(base.union(long), model).selectExpr("row.doc_id", "score").collect()}
+    assert all((s >= 0.5) == (i % 4 == 0) for i, s in out.items() if i < 400) and out[400] < 0.5

@@ -307,7 +307,8 @@ def nearest(vectors: DataFrame, is_query: Callable[[Column], Column], k: int = 2
 
     Scores are inner products in double precision of the vectors as given, added in the order of their components.
     Vectors of another dimension than the query's are no candidates; who takes part at all: see nodes_of. A query with
-    fewer than k candidates gets all that the graph reaches; a shard of up to `beam` nodes is reached wholly.
+    fewer than k candidates gets all that the graph reaches; a shard of up to `beam` nodes is reached wholly. Rows with equal
+    vectors are one node and found together; an empty table gives no rows; extra columns are left out.
     """
     rows, nodes = nodes_of(vectors, id_col, vector_col, k)
     placed, graph = build_graph(nodes, index)

@@ -158,7 +158,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, learn: object, id_col: st
     """One row per row of docs: `row` (all its columns but the text) and score. learn(id column) says of which rows labels are learned.
 
     Null and empty texts are scored like any other, as texts without words. Labels that are null, repeat or have no document
-    are ignored, taken each, and ignored. Without labels every score is 0.5. Empty tables give no rows.
+    are ignored, taken each, and ignored. Without labels every score is 0.5. Empty tables give no rows. Texts are read whole, a
+    very long one by itself; rows that repeat get equal scores; extra columns stay in `row`, whatever they are called.
     """
     stats = materialize(with_statistics(docs, text_col), "statistics")
     known = labels.select(labels[id_col].alias("id"), labels[label_col].alias("label")).where("label is not null")

@@ -77,7 +77,8 @@ def scan(history: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule,
     findings has a row per row of history: path, blob, found (map from rule version to spans). ledger is the old one with
     what was scanned now; give it to the next run, which scans only pairs of blob and rule version that it lacks. A null
     text is an empty one; null paths and repeated rows are kept. Characters U+0001 to U+0003 can't be part of a match and
-    read as U+0004. An empty history gives no findings and leaves the ledger as it is.
+    read as U+0004. An empty history gives no findings and leaves the ledger as it is. Texts are scanned whole, however long and
+    however many matches they have; extra columns, whatever they are called, are left out.
     """
     text = F.coalesce(history[text_col], F.lit(""))
     rows = history.select(history[path_col].alias("path"), F.sha2(text, 256).alias("blob"), text.alias("text"))

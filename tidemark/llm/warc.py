@@ -86,7 +86,8 @@ def write_archives(pages: DataFrame, folder: str, min_revisit: int = 0, id_col:
 
     Of rows with equal payloads of at least min_revisit bytes, those with the largest id are responses and the others
     revisit it; smaller payloads, and payloads of which no row has an id, are all responses. A null payload is an empty
-    one; a null url gives no target; extra columns are left out. An empty table writes no archive.
+    one; a null url gives no target; extra columns are left out. An empty table writes no archive. Rows that repeat an id are
+    records each, with one WARC-Record-ID; of those with the largest id and equal payloads all are responses.
     """
     payload = F.coalesce(pages[payload_col], F.lit("")).cast("binary")
     rows = pages.select(pages[id_col].alias("id"), pages[url_col].cast("string").alias("uri"), payload.alias("payload"))
