@@ -67,7 +67,7 @@ def calibrated(titles: DataFrame, told: DataFrame, coverage: float) -> DataFrame
     those; one without, under so many of its rarest concepts that a clause can't miss all of them.
     """
     mine = titles.select(F.explode(F.array_union("strict", "concepts")).alias("word")).distinct()
-    often = materialize(told.join(mine, "word").groupBy("word").agg(F.count("*").alias("n")), "told-words")
+    often = materialize(told.groupBy("word").agg(F.count("*").alias("n")).join(mine, "word"), "told-words")
     each = titles.select("channel", F.explode("concepts").alias("word")).join(often, "word").groupBy("channel").agg(F.sort_array(F.collect_list(F.struct("n", "word"))).alias("found"))
     strict = titles.select("channel", F.explode("strict").alias("word")).join(often, "word", "left").groupBy("channel").agg(F.min_by("word", F.struct(F.coalesce("n", F.lit(0)), F.col("word"))).alias("rarest"))
     need = F.when(F.size("concepts") > 0, F.greatest(F.lit(1), F.floor(F.lit(coverage) * F.size("concepts") + 0.5).cast("int"))).otherwise(0)
@@ -84,17 +84,17 @@ def named(clause_rows: DataFrame, key: list[str], channels: DataFrame, id_: str,
     has), and no guard that isn't one of the channel's restrictions. A channel whose matched words are a proper part of another's
     is not named, nor is one with equal matched words that lacks more of its own. Titles of equal words are all named. Empty tables name nothing.
     """
-    rows = clause_rows.select(*key, "clause", "words")
+    rows = materialize(clause_rows.select(*key, "clause", "words"), "clauses")
     titles = materialize(calibrated(titles_of(channels, id_, title, vocabulary), rows.select(F.explode("words").alias("word")), coverage), "titles")
-    posted = titles.select("channel", "strict", "concepts", "need", "posts", F.posexplode("posts").alias("turn", "word"))
-    met = rows.select(*key, "clause", "words", F.explode("words").alias("word")).join(posted, "word")
-    # A clause with several of a channel's posts meets it at the first.
-    first = ~F.exists(F.slice("posts", F.lit(1), F.col("turn")), lambda p: F.array_contains("words", p))
+    # A clause's words come back only for the channels that it meets: rows of single words don't carry all of them.
+    posted = titles.select("channel", F.explode("posts").alias("word"))
+    met = rows.select(*key, "clause", F.explode("words").alias("word")).join(posted, "word").select(*key, "clause", "channel").distinct()
+    met = met.join(titles.drop("posts"), "channel").join(rows, [*key, "clause"])
     guards = F.array(*map(F.lit, vocabulary.guards)).cast("array<string>")
     said = F.size(F.array_except("strict", "words")) == 0
     kept_out = F.size(F.array_except(F.array_intersect("words", guards), "strict")) > 0
     concepts = F.array_intersect("concepts", "words")
-    found = met.where(first & said & ~kept_out & (F.size(concepts) >= F.col("need"))).select(*key, "clause", "channel", F.sort_array(F.array_union("strict", concepts)).alias("matched"), (F.size("concepts") - F.size(concepts)).alias("_lacks"))
+    found = met.where(said & ~kept_out & (F.size(concepts) >= F.col("need"))).select(*key, "clause", "channel", F.sort_array(F.array_union("strict", concepts)).alias("matched"), (F.size("concepts") - F.size(concepts)).alias("_lacks"))
     rivals = F.collect_set(F.struct("matched", "_lacks")).over(Window.partitionBy(*key, "clause"))
     more = lambda r: (F.size(r["matched"]) > F.size("matched")) | ((F.size(r["matched"]) == F.size("matched")) & (r["_lacks"] < F.col("_lacks")))
     beaten = F.exists("_rivals", lambda r: more(r) & (F.size(F.array_except("matched", r["matched"])) == 0))
@@ -113,15 +113,21 @@ def attributed(df: DataFrame, key: list[str], text: str, channels: DataFrame, id
     who = named(rows, key, channels, id_, title, vocabulary, coverage)
     each = who.join(rows.select(*key, "clause", "places", "numbers"), [*key, "clause"])
     at = F.filter(F.sequence(F.lit(0), F.size("places") - 1), lambda i: F.array_contains("matched", F.col("places")[i]))
-    each = each.select(*key, "clause", "channel", at.alias("names"), "numbers", F.explode("numbers").alias("x")).select(*key, "clause", "channel", "names", "numbers", F.col("x.at").alias("at"), F.col("x.value").alias("value"), F.col("x.kind").alias("kind"))
+    each = each.select(*key, "clause", "channel", at.alias("names"), "numbers")
+
+    def placed(x: Column) -> Column:
+        """A number with the channel's last name before it: how many numbers stand before that name, and how far the nearest name is. Neither list goes on to rows of numbers."""
+        mine = F.array_max(F.filter("names", lambda p: p < x["at"]))
+        before = F.when(mine.isNotNull(), F.size(F.filter("numbers", lambda y: y["at"] < mine)))
+        return F.struct(x["at"].alias("at"), x["value"].alias("value"), x["kind"].alias("kind"), before.alias("before"), F.array_min(F.transform("names", lambda p: F.abs(p - x["at"]))).alias("gap"))
+
+    each = each.select(*key, "clause", "channel", F.inline(F.transform("numbers", placed)))
     w = Window.partitionBy(*key, "clause", "at")
-    each = each.withColumn("_mine", F.array_max(F.filter("names", lambda p: p < F.col("at")))).withColumn("_last", F.max("_mine").over(w))
-    # Where the number before the nearest name stands: what is named after it competes.
-    since = F.coalesce(F.array_max(F.filter(F.transform("numbers", lambda x: x["at"]), lambda p: p < F.col("_last"))), F.lit(-1))
-    owns = F.col("_last").isNull() | (F.col("_mine") > since)
-    owners = each.where(owns).withColumn("_n", F.count("*").over(w)).where(F.col("_n") <= most)
+    # Named after the same number as the nearest name is: those compete.
+    owns = F.col("_last").isNull() | (F.col("before") == F.col("_last"))
+    owners = each.withColumn("_last", F.max("before").over(w)).where(owns).withColumn("_n", F.count("*").over(w)).where(F.col("_n") <= most)
     if within is not None:
-        owners = owners.where(F.array_min(F.transform("names", lambda p: F.abs(p - F.col("at")))) <= within)
+        owners = owners.where(F.col("gap") <= within)
     return owners.select(*key, "clause", "at", "value", "kind", "channel")
 
 

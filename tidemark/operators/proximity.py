@@ -69,17 +69,26 @@ def near_keywords(df: DataFrame, key: list[str], text: str, keywords: DataFrame,
 
     phrases = keywords.select(F.col(channel).alias("channel"), F.transform(lexed(F.col(keyword)), lambda t: t["w"]).alias("phrase")).where(F.size("phrase") > 0).distinct()
     own = phrases.groupBy("channel").agg(F.array_distinct(F.flatten(F.collect_list("phrase"))).alias("own"))
-    posted = materialize(phrases.join(own, "channel").select("channel", "phrase", "own", F.col("phrase")[0].alias("word")), "keywords")
-    at_words = rows.select(*key, "clause", "words", "numbers", F.posexplode("words").alias("place", "word"))
-    met = at_words.join(posted, "word").where(F.slice("words", F.col("place") + 1, F.size("phrase")) == F.col("phrase"))
-    by = met.groupBy(*key, "clause", "channel").agg(F.sort_array(F.collect_set("place")).alias("places"), F.first("own").alias("own"), F.first("words").alias("words"), F.first("numbers").alias("numbers"))
-    found = _merged(by.withColumn("ats", F.transform("numbers", lambda x: x["at"])))
-    each = found.select(*key, "clause", "channel", "own", "words", F.explode(F.arrays_zip("numbers", "nears")).alias("x")).select(*key, "clause", "channel", "own", "words", "x.numbers.at", "x.numbers.value", "x.numbers.kind", F.abs(F.col("x.nears") - F.col("x.numbers.at")).alias("gap"))
-    lead = F.slice("words", F.greatest(F.col("at") - within, F.lit(0)) + 1, F.least(F.col("at"), F.lit(within)))
-    other = F.array_except(F.array_intersect(lead, F.array(*map(F.lit, modifiers)).cast("array<string>")), "own")
-    said = lambda side: F.size(F.filter(lead, lambda w: w.isin(*side)))
-    direction = F.signum((said(UP) - said(DOWN)).cast("double")).cast("int")
-    return each.where((F.col("gap") <= within) & (F.size(other) == 0)).select(*key, "clause", "at", "value", "kind", "channel", "gap", direction.alias("direction"))
+    posted = materialize(phrases.select("channel", "phrase", F.col("phrase")[0].alias("word")), "keywords")
+    # Rows of single words carry none of a clause's lists; those come back for each channel that the clause meets, and leave it again before numbers are rows.
+    at_words = rows.select(*key, "clause", F.posexplode("words").alias("place", "word"))
+    met = at_words.join(posted.select("word", "channel", "phrase"), "word").groupBy(*key, "clause", "channel", "phrase").agg(F.collect_list("place").alias("places"))
+    met = met.join(rows.select(*key, "clause", "words"), [*key, "clause"])
+    whole = F.filter("places", lambda p: F.slice(F.col("words"), p + 1, F.size("phrase")) == F.col("phrase"))
+    by = met.select(*key, "clause", "channel", whole.alias("places")).where(F.size("places") > 0).groupBy(*key, "clause", "channel").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"))
+    by = by.join(rows, [*key, "clause"]).join(own, "channel")
+
+    def led(x: Column) -> Column:
+        """A number with what its lead says."""
+        lead = F.slice(F.col("words"), F.greatest(x["at"] - within, F.lit(0)) + 1, F.least(x["at"], F.lit(within)))
+        other = F.array_except(F.array_intersect(lead, F.array(*map(F.lit, modifiers)).cast("array<string>")), "own")
+        said = lambda side: F.size(F.filter(lead, lambda w: w.isin(*side)))
+        return F.struct(x["at"].alias("at"), x["value"].alias("value"), x["kind"].alias("kind"), (F.size(other) == 0).alias("own"), F.signum((said(UP) - said(DOWN)).cast("double")).cast("int").alias("direction"))
+
+    narrow = by.select(*key, "clause", "channel", "places", F.transform("numbers", led).alias("numbers"), F.transform("numbers", lambda x: x["at"]).alias("ats"))
+    each = _merged(narrow).select(*key, "clause", "channel", F.explode(F.arrays_zip("numbers", "nears")).alias("x"))
+    gap = F.abs(F.col("x.nears") - F.col("x.numbers.at"))
+    return each.where((gap <= within) & F.col("x.numbers.own")).select(*key, "clause", "x.numbers.at", "x.numbers.value", "x.numbers.kind", "channel", gap.alias("gap"), "x.numbers.direction")
 
 
 def credited(figures: DataFrame, shown: DataFrame, key: list[str], tolerance: float, latest: int, signed: Column | None = None) -> DataFrame:
