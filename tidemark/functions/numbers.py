@@ -88,12 +88,17 @@ def lexed(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(text, F.lit(LEX), F.lit(0)), one)
 
 
+def _quoted(x: str | float) -> str:
+    return f"{x}D" if isinstance(x, float) else "'" + x.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def _one_of(c: Column, values: tuple[str, ...]) -> Column:
-    return F.coalesce(c.isin(*values), F.lit(False))
+    """Whether c is one of the values; false for null. The list is one literal, as a list of Columns takes a call to the JVM for each."""
+    return F.coalesce(F.array_contains(F.expr(f"array({', '.join(map(_quoted, values))})"), c), F.lit(False))
 
 
 def _looked_up(c: Column, table: dict) -> Column:
-    return F.try_element_at(F.create_map(*[F.lit(x) for kv in table.items() for x in kv]), F.coalesce(c, F.lit("")))
+    return F.try_element_at(F.expr(f"map({', '.join(_quoted(x) for kv in table.items() for x in kv)})"), F.coalesce(c, F.lit("")))
 
 
 def _read(t: Column, i: Column) -> Column:
@@ -103,53 +108,73 @@ def _read(t: Column, i: Column) -> Column:
     touches = lambda k: F.coalesce(at(k)["touches"], F.lit(False))
     solid = lambda k: F.coalesce(word(k).rlike(r"^[\p{L}0-9]"), F.lit(False))
 
-    money = _one_of(word(-1), CURRENCIES) | (_one_of(word(-1), DASHES) & touches(0) & _one_of(word(-2), CURRENCIES))
     # A dash is a sign if it touches what follows and nothing solid before it.
     sign = lambda k: _one_of(word(k), DASHES) & touches(k + 1) & ~(touches(k) & (solid(k - 1) | _one_of(word(k - 1), (")", "%"))))
-    negative = F.when(_one_of(word(-1), CURRENCIES), sign(-2)).otherwise(sign(-1))
-    scale = F.coalesce(_looked_up(word(1), SCALES), F.when(money & touches(1) & (word(1) == "m"), 1e6))
-    unit = F.coalesce(_looked_up(F.concat_ws(" ", word(1), word(2)), UNITS), _looked_up(word(1), UNITS))
-    kind = F.coalesce(unit, F.when(money, "money").when(scale.isNotNull(), "count").otherwise("plain"))
-    number = F.replace(at(0)["said"], F.lit(","), F.lit("")).try_cast("double")
     year = lambda k: F.coalesce(word(k).rlike(r"^(1[89]|20)[0-9]{2}$") & word(k).between("1850", "2100"), F.lit(False))
-    behind = F.when(scale.isNotNull() | (_one_of(word(1), DASHES) & touches(1)), word(2)).otherwise(word(1))
-    after_unit = F.when(_looked_up(word(1), UNITS).isNotNull(), word(2)).otherwise(word(3))
-
     bound = lambda k: _one_of(word(k), BINDERS) & touches(k) & touches(k + 1) & solid(k - 1) & solid(k + 1)
-    suffix = touches(1) & F.coalesce(word(1).rlike(r"^\p{L}"), F.lit(False)) & scale.isNull() & ~_one_of(word(1), EXTENTS)
-    ordinal = touches(1) & _one_of(word(1), ORDINALS)
-    prefix = touches(0) & F.coalesce(word(-1).rlike(r"[\p{L}0-9]$"), F.lit(False))
-    role = (
-        F.when(ordinal, "ordinal")
-        .when(bound(-1) | bound(1) | prefix | suffix, "name")
-        .when(((word(1) == "°") & _one_of(word(2), ("n", "s", "e", "w"))) | (_one_of(word(1), ("degree", "degrees")) & _one_of(word(2), ("north", "south", "east", "west"))), "coordinate")
-        .when((kind == "plain") & year(0), "year")
-        .when((kind == "plain") & _one_of(word(-1), DASHES) & touches(-1) & touches(0) & year(-2) & (F.length(word(0)) == 2), "year")
-        .when(_one_of(behind, DURATIONS), "duration")
-        .when(_one_of(behind, EXTENTS), "extent")
-        .when((kind == "pct") & _one_of(after_unit, ("of",)), "share")
-        .when(_one_of(word(-1), THRESHOLDS) | _one_of(word(-2), THRESHOLDS) | _one_of(word(-3), THRESHOLDS) | _one_of(word(-4), THRESHOLDS), "threshold")
-        .otherwise("value")
-    )
-    dash = _one_of(word(1), DASHES) & touches(1) & touches(2)
-    between = _one_of(F.when(money, word(-2)).otherwise(word(-1)), ("between",))
-    to = _one_of(word(1), ("to",)) | (_one_of(word(1), ("and",)) & between)
-    link = F.when(unit.isNull() & scale.isNull() & ~_one_of(role, ("year", "name", "ordinal")), F.when(dash, "dash").when(to, "to"))
-    return F.struct(i.alias("at"), at(0)["said"].alias("said"), number.alias("number"), negative.alias("negative"), money.alias("money"), _one_of(word(-1), CURRENCIES).alias("marked"), F.coalesce(scale, F.lit(1.0)).alias("scale"), kind.alias("kind"), role.alias("role"), link.alias("link"))
+
+    def unit_of(m: Column) -> Column:
+        marked = _one_of(word(-1), CURRENCIES)
+        scale = F.coalesce(_looked_up(word(1), SCALES), F.when(m & touches(1) & (word(1) == "m"), 1e6))
+        unit = F.coalesce(_looked_up(F.concat_ws(" ", word(1), word(2)), UNITS), _looked_up(word(1), UNITS))
+        return F.struct(m.alias("money"), marked.alias("marked"), scale.alias("scale"), unit.alias("unit"), F.when(marked, sign(-2)).otherwise(sign(-1)).alias("negative"))
+
+    def kind_of(c: Column) -> Column:
+        kind = F.coalesce(c["unit"], F.when(c["money"], "money").when(c["scale"].isNotNull(), "count").otherwise("plain"))
+        behind = F.when(c["scale"].isNotNull() | (_one_of(word(1), DASHES) & touches(1)), word(2)).otherwise(word(1))
+        after_unit = F.when(_looked_up(word(1), UNITS).isNotNull(), word(2)).otherwise(word(3))
+        return F.struct(c.alias("c"), kind.alias("kind"), behind.alias("behind"), after_unit.alias("after_unit"))
+
+    def role_of(k: Column) -> Column:
+        suffix = touches(1) & F.coalesce(word(1).rlike(r"^\p{L}"), F.lit(False)) & k["c"]["scale"].isNull() & ~_one_of(word(1), EXTENTS)
+        prefix = touches(0) & F.coalesce(word(-1).rlike(r"[\p{L}0-9]$"), F.lit(False))
+        plain = k["kind"] == "plain"
+        role = (
+            F.when(touches(1) & _one_of(word(1), ORDINALS), "ordinal")
+            .when(bound(-1) | bound(1) | prefix | suffix, "name")
+            .when(((word(1) == "°") & _one_of(word(2), ("n", "s", "e", "w"))) | (_one_of(word(1), ("degree", "degrees")) & _one_of(word(2), ("north", "south", "east", "west"))), "coordinate")
+            .when(plain & year(0), "year")
+            .when(plain & _one_of(word(-1), DASHES) & touches(-1) & touches(0) & year(-2) & (F.length(word(0)) == 2), "year")
+            .when(_one_of(k["behind"], DURATIONS), "duration")
+            .when(_one_of(k["behind"], EXTENTS), "extent")
+            .when((k["kind"] == "pct") & _one_of(k["after_unit"], ("of",)), "share")
+            .when(_one_of(word(-1), THRESHOLDS) | _one_of(word(-2), THRESHOLDS) | _one_of(word(-3), THRESHOLDS) | _one_of(word(-4), THRESHOLDS), "threshold")
+            .otherwise("value")
+        )
+        return F.struct(k["c"].alias("c"), k["kind"].alias("kind"), role.alias("role"))
+
+    def read(r: Column) -> Column:
+        c = r["c"]
+        dash = _one_of(word(1), DASHES) & touches(1) & touches(2)
+        between = _one_of(F.when(c["money"], word(-2)).otherwise(word(-1)), ("between",))
+        to = _one_of(word(1), ("to",)) | (_one_of(word(1), ("and",)) & between)
+        link = F.when(c["unit"].isNull() & c["scale"].isNull() & ~_one_of(r["role"], ("year", "name", "ordinal")), F.when(dash, "dash").when(to, "to"))
+        number = F.replace(at(0)["said"], F.lit(","), F.lit("")).try_cast("double")
+        return F.struct(i.alias("at"), at(0)["said"].alias("said"), number.alias("number"), c["negative"].alias("negative"), c["money"].alias("money"), c["marked"].alias("marked"), F.coalesce(c["scale"], F.lit(1.0)).alias("scale"), r["kind"].alias("kind"), r["role"].alias("role"), link.alias("link"))
+
+    # Step by step, each worked out once and named: written out in one another they would make an expression of thousands of nodes.
+    money = _one_of(word(-1), CURRENCIES) | (_one_of(word(-1), DASHES) & touches(0) & _one_of(word(-2), CURRENCIES))
+    return let(let(let(let(money, unit_of), kind_of), role_of), read)
 
 
 def _ranged(r: Column, n: Column) -> Column:
     """The n-th number with what it shares with the other end of a range."""
-    x, before, after = r[n], F.get(r, n - 1), F.get(r, n + 1)
     joins = lambda a, b: F.coalesce(a["link"].isNotNull() & (b["at"] - a["at"] == F.when(b["marked"], 3).otherwise(2)) & ~_one_of(b["role"], ("year", "name", "ordinal")), F.lit(False))
-    low, high = joins(x, after), joins(before, x)
-    money = x["money"] | (high & before["money"])
-    scale = F.when(low, after["scale"]).otherwise(x["scale"])
-    shared = F.when(low & (x["kind"] == "plain"), after["kind"]).otherwise(x["kind"])
-    kind = F.when(money & shared.isin("plain", "count"), "money").otherwise(shared)
-    negative = x["negative"] | (high & (before["link"] == "dash") & before["negative"])
-    role = F.when(low & (x["role"] == "value"), after["role"]).otherwise(x["role"])
-    return F.struct(F.when(negative, -x["number"] * scale).otherwise(x["number"] * scale).alias("value"), kind.alias("kind"), x["said"].alias("said"), role.alias("role"), x["at"].alias("at"))
+
+    def shared(z: Column) -> Column:
+        x, before, after, low, high = (z[c] for c in ("x", "before", "after", "low", "high"))
+        money = x["money"] | (high & before["money"])
+        scale = F.when(low, after["scale"]).otherwise(x["scale"])
+        kind = F.when(low & (x["kind"] == "plain"), after["kind"]).otherwise(x["kind"])
+        negative = x["negative"] | (high & (before["link"] == "dash") & before["negative"])
+        role = F.when(low & (x["role"] == "value"), after["role"]).otherwise(x["role"])
+        size = x["number"] * scale
+        return F.struct(F.when(negative, -size).otherwise(size).alias("value"), F.when(money & kind.isin("plain", "count"), "money").otherwise(kind).alias("kind"), x["said"].alias("said"), role.alias("role"), x["at"].alias("at"))
+
+    def joined(z: Column) -> Column:
+        return F.struct(z["x"].alias("x"), z["before"].alias("before"), z["after"].alias("after"), joins(z["x"], z["after"]).alias("low"), joins(z["before"], z["x"]).alias("high"))
+
+    return let(let(F.struct(r[n].alias("x"), F.get(r, n - 1).alias("before"), F.get(r, n + 1).alias("after")), joined), shared)
 
 
 def typed(text: Column) -> Column:
