@@ -374,3 +374,11 @@ def test_last_rows_before(spark):
             want |= {(g, k, t, n + 1, i) for n, (_, i) in enumerate(mine[:3])}
         out = joins.last_n_before(a, b, ["g"], "k", "t", "rt", 3, [F.desc("rt"), F.desc("i")], strict).collect()
         assert {(r.g, r.k, r.t, r.back, r.i) for r in out} == want and len(out) == len(want)
+
+
+def test_resolved_names(spark):
+    known = spark.createDataFrame([("New York", "ny", 1), ("new  york", "nyc", 5), ("New York", "old", 5), ("New", "new", 1), ("", "none", 9), (None, "null", 9)], "alias string, who string, at int")
+    asked = spark.createDataFrame([("NEW YORK",), ("New York City",), ("Newton",), ("new town",), ("York",), (None,), (" ",), ("New York",), ("New York",)], "name string")
+    got = {r.name: (r.entity, r.how) for r in joins.resolved(asked, known, "name", "alias", "who", "at").collect()}
+    assert got == {"NEW YORK": ("old", "exact"), "New York": ("old", "exact"), "New York City": ("old", "prefix"), "new town": ("new", "prefix"), "Newton": (None, None), "York": (None, None), None: (None, None), " ": (None, None)}
+    assert joins.resolved(asked, known.limit(0), "name", "alias", "who", "at").where("how is not null").count() == 0

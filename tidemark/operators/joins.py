@@ -97,6 +97,24 @@ def longest_prefix(labels: DataFrame, prefixes: DataFrame, label: str, prefix: s
     return labels.select(label).join(found, label, "left")
 
 
+def resolved(asked: DataFrame, known: DataFrame, name: str, alias: str, entity: str, fresh: str) -> DataFrame:
+    """name, entity, how: each different name asked for with the entity known by it ("exact"), else by the longest alias that its first whole words are ("prefix"), else null.
+
+    Names and aliases are compared in lower case with single blanks. An alias of several entities is the one's that is freshest, of equally fresh
+    ones the largest. Null and blank names are nobody's.
+    """
+    form = lambda c: F.trim(F.regexp_replace(F.lower(c), r"[ \t\n\r\f]+", " "))
+    owners = known.select(form(F.col(alias)).alias("_form"), F.col(entity).alias("entity"), F.col(fresh).alias("_fresh")).where("_form <> ''")
+    owners = owners.groupBy("_form").agg(F.max_by("entity", F.struct("_fresh", "entity")).alias("entity"))
+    names = asked.select(name).distinct().withColumn("_form", form(F.col(name)))
+    exact = names.join(owners, "_form", "left")
+    # A blank behind both keeps a prefix from ending inside a word.
+    words = longest_prefix(exact.where("entity is null and _form <> ''").select(F.concat("_form", F.lit(" ")).alias("_label")).distinct(), owners.select(F.concat("_form", F.lit(" ")).alias("_prefix")), "_label", "_prefix")
+    near = words.where("_prefix is not null").join(owners.select(F.concat("_form", F.lit(" ")).alias("_prefix"), F.col("entity").alias("_near")), "_prefix").select(F.rtrim("_label").alias("_form"), "_near")
+    out = exact.join(near, "_form", "left")
+    return out.select(name, F.coalesce("entity", "_near").alias("entity"), F.when(F.col("entity").isNotNull(), "exact").when(F.col("_near").isNotNull(), "prefix").alias("how"))
+
+
 def freshest(candidates: DataFrame, key: list[str], order: list[Column]) -> DataFrame:
     """One candidate of each key: the first in the order given."""
     return candidates.withColumn("_n", F.row_number().over(Window.partitionBy(*key).orderBy(*order))).where("_n = 1").drop("_n")

@@ -341,3 +341,17 @@ def day_maximum_if_complete(t: Tables) -> DataFrame:
     d = h.groupBy("user_id", "day").agg(F.map_from_entries(F.collect_list(F.struct("slot", "v"))).alias("at"))
     slots = F.array(*[F.try_element_at("at", F.lit(k).cast("bigint")) for k in range(4)])
     return d.select("user_id", "day", scalars.max_if_all_known(slots, [-999.0]).alias("top"))
+
+
+@query("""WITH k AS (SELECT p_name AS alias, arg_max(p_brand, p_partkey) AS brand FROM part WHERE p_name NOT LIKE 'old%' GROUP BY 1 UNION ALL SELECT split_part(p_name, ' ', 1), arg_max(p_brand, p_partkey) FROM part WHERE p_name LIKE 'red%' OR p_name LIKE 'new%' GROUP BY 1),
+a AS (SELECT DISTINCT CASE p_partkey % 3 WHEN 0 THEN upper(p_name) WHEN 1 THEN p_name || ' ' || p_type ELSE p_name || 's' END AS name FROM part),
+j AS (SELECT name, arg_max(brand, length(alias)) AS entity, max(CASE WHEN lower(name) = alias THEN 1 ELSE 0 END) AS same FROM a JOIN k ON starts_with(lower(name) || ' ', alias || ' ') GROUP BY name)
+SELECT name, entity, CASE WHEN same = 1 THEN 'exact' WHEN same = 0 THEN 'prefix' END AS how FROM a LEFT JOIN j USING (name)""")
+def names_resolved(t: Tables) -> DataFrame:
+    """Names of parts as they are, with their type behind, and misspelt, among known names and two first words; old parts are unknown."""
+    known = t.part.where(~F.col("p_name").startswith("old")).select(F.col("p_name").alias("alias"), "p_brand", "p_partkey")
+    first = t.part.where(F.col("p_name").startswith("red") | F.col("p_name").startswith("new")).select(F.substring_index("p_name", " ", 1).alias("alias"), "p_brand", "p_partkey")
+    k = F.col("p_partkey") % 3
+    asked = t.part.select(F.when(k == 0, F.upper("p_name")).when(k == 1, F.concat_ws("  ", "p_name", "p_type")).otherwise(F.concat("p_name", F.lit("s"))).alias("name"))
+    out = joins.resolved(asked, known.union(first), "name", "alias", "p_brand", "p_partkey")
+    return out.select(F.regexp_replace("name", "  ", " ").alias("name"), "entity", "how")
