@@ -56,6 +56,17 @@ def test_lexical_search(spark, monkeypatch, small):
         assert got == plain_search(rows, items, k)
 
 
+def test_ranges_share_a_slice(spark):
+    """A slice of texts goes on into the next range: terms that only one of the two has are in that one alone."""
+    n = lexical.RANGE_DOCS + 20
+    docs = spark.range(n).selectExpr("id AS doc_id", "concat('common w', id) AS text").coalesce(1)
+    items = [("first", "w7"), ("last", f"w{n - 1} common"), ("both", f"w{lexical.RANGE_DOCS - 1} w{lexical.RANGE_DOCS}")]
+    index = lexical.build(docs)
+    assert index.rows.select("range").distinct().count() == 2
+    got = Counter((r.item, r["rank"], r.id, r.score) for r in lexical.search(index, spark.createDataFrame(items, "item_id string, text string")).collect())
+    assert got == plain_search([(i, f"common w{i}") for i in range(n)], items, 10)
+
+
 def test_lexical_search_of_nothing(spark):
     docs, items = docs_of(spark, ["some text", "more text"]), spark.createDataFrame([("a", "text")], "item_id string, text string")
     for d, i in ((docs.limit(0), items), (docs, items.limit(0)), (docs_of(spark, ["NULL", ""]), items)):

@@ -85,6 +85,9 @@ class _Range:
         coded = pa.chunked_array([p[3] for p in self.parts]).combine_chunks().dictionary_encode()
         codes, start = coded.indices.to_numpy(zero_copy_only=False), np.cumsum([0, *[len(p[3]) for p in self.parts]])
         term = np.concatenate([codes[s + p[1]] for s, p in zip(start[:-1], self.parts, strict=True)])
+        # A slice that two ranges share brings all its terms to both: those of the other's documents alone go.
+        held = np.bincount(term, minlength=len(coded.dictionary)) > 0
+        term = (np.cumsum(held) - 1)[term]
         doc, tf = np.concatenate([p[0] for p in self.parts]), np.concatenate([p[2] for p in self.parts])
         value, doc = gain(tf, m[doc]), place[doc]
         by = np.argsort(term * RANGE_DOCS + doc, kind="stable")
@@ -94,7 +97,7 @@ class _Range:
         none = pa.nulls(1, pa.list_(pa.int32()))
         kinds = [ids.type]
         yield self._batch(number, pa.nulls(1, pa.string()), none, none, none, none, pa.nulls(1, pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(ids)], type=pa.int32()), ids.take(pa.array(order))))
-        names = coded.dictionary.cast(pa.string())
+        names = coded.dictionary.filter(pa.array(held)).cast(pa.string())
         firsts = [np.searchsorted(level[0], np.arange(len(names) + 1)) for level in levels]
         for lo in range(0, len(names), BATCH_TERMS):
             hi = min(lo + BATCH_TERMS, len(names))
