@@ -47,7 +47,7 @@ m AS (SELECT page, (x0 + 2) AS x, (top + 2) AS y FROM s), k AS (SELECT a.page, a
 SELECT page, x0::DOUBLE AS x0, top::DOUBLE AS top, x1::DOUBLE AS x1, bottom::DOUBLE AS bottom FROM k WHERE held / ((x1 - x0) * (bottom - top) / 10000) <= 2.5""")
 def page_masks(t: Tables) -> DataFrame:
     """Areas that the marks of a page make together; a word of four by four stands at each mark's upper left corner."""
-    whole = F.round("o_totalprice").cast("long")
+    whole = F.rint("o_totalprice").cast("long")  # halves to even, as the SQL casts
     at = t.orders.select(F.col("o_custkey").alias("page"), (F.datediff("o_orderdate", F.lit("1992-01-01")) % 560).alias("x0"), (whole % 760).alias("top"), F.when(whole % 10 < 3, 150).otherwise(15).alias("w"), (4 + F.col("o_orderkey") % 90).alias("h"))
     shapes = at.select("page", "x0", "top", (F.col("x0") + F.col("w")).alias("x1"), (F.col("top") + F.col("h")).alias("bottom"))
     words = at.select("page", "x0", "top", (F.col("x0") + 4).alias("x1"), (F.col("top") + 4).alias("bottom"))
