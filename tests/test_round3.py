@@ -2,13 +2,19 @@
 
 from __future__ import annotations
 
+import random
+from collections import deque
 from datetime import datetime, timedelta
 
 import duckdb
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tests.compare import differences
+from tidemark.operators import attribution, dedup, proximity
 from tidemark.queries.registry import ORACLE_SQL, QUERIES
+from tidemark.streaming import closing
 
 
 @pytest.fixture
@@ -26,6 +32,45 @@ def against_sql(spark, tmp_path):
     return run
 
 
+def test_direction_agreement_adds_in_order(spark, tmp_path):
+    """Two days of the same values have no direction, however files cut them."""
+    say = lambda i, day, kind, v: (i, datetime(2024, 1, day), 7, kind, v)
+    schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double"
+    for rows in ([say(0, 1, "click", 0.1), say(1, 1, "click", 0.2), say(2, 1, "click", 0.3), say(3, 2, "error", 0.1)], [say(4, 2, "error", 0.2), say(5, 2, "error", 0.3)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{tmp_path}/events.parquet")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        assert [tuple(r) for r in QUERIES["direction_agreement"](spark, str(tmp_path)).collect()] == [(7, 1, 0)]
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_unlike_last_over_segments(spark):
+    """Segments of a few rows, with runs of copies longer than one, give what one pass gives, also for a null group."""
+    g = random.Random(5)
+    pool = ["".join(g.choice("abcdefgh ") for _ in range(g.randrange(0, 40))) for _ in range(14)]
+    rows = [(None if i % 5 == 0 else "x", i, pool[(i // 40) % 14] if i % 80 < 30 else g.choice(pool) + g.choice(["", "q"])) for i in range(400)]
+    want = {}
+    for role in (None, "x"):
+        held = deque(maxlen=3)
+        for _, i, t in (r for r in rows if r[0] == role):
+            want[i] = not any(dedup.alike(t, other, 0.6) for other in held)
+            held.extend([t] if want[i] else [])
+    out = dedup.unlike_last(spark.createDataFrame(rows, "role string, i bigint, t string").withColumn("text", F.col("t")), ["role"], [F.col("i")], "i", "text", 0.6, last=3, segment=20)
+    assert {r.i: r.kept for r in out.collect()} == want
+    assert 20 < sum(want.values()) < 380
+
+
+def test_clauses_are_not_broadcast(spark):
+    """Clauses of repeated texts are small on disk and large in memory: no join may send them through the driver."""
+    texts = spark.range(200).selectExpr("id AS k", "'Goods inflation rose by 3%. Services fell by 2%.' AS text")
+    channels = spark.createDataFrame([("goods", "Goods: inflation"), ("services", "Services")], "channel string, title string")
+    frames = [attribution.attributed(texts, ["k"], "text", channels, "channel", "title"), proximity.near_keywords(texts, ["k"], "text", channels, "channel", "channel", 9)]
+    for out in frames:
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") >= 2 and out.count() == 400
+
+
 ORDERS = "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
 
 
@@ -36,3 +81,32 @@ def orders_of(prices):
 def test_page_masks_of_half_prices(against_sql):
     """A price of so many and a half is rounded to even."""
     assert not against_sql("page_masks", orders=orders_of([1002.5 + 10 * i for i in range(300)]))
+
+
+def test_closing_windows_read_and_write_a_key_once():
+    """However many windows a batch has for a key, its state is read and written once, with one timer."""
+    calls = []
+
+    class Value:
+        held = None
+        exists = lambda self: self.held is not None
+        get = lambda self: calls.append("get") or self.held
+        clear = lambda self: setattr(self, "held", None)
+        update = lambda self, v: calls.append("update") or setattr(self, "held", v)
+
+    class Handle:
+        getValueState = lambda self, *a: Value()  # noqa: E731, N815
+        registerTimer = lambda self, at: calls.append(("timer", at))  # noqa: E731, N815
+
+    class Times:
+        getCurrentWatermarkInMs = lambda self: self.at  # noqa: E731, N815
+
+    p, times = closing.ClosingWindows(10, 5, 0), Times()
+    p.init(Handle())
+    times.at = 0
+    assert not list(p.handleInputRows((1,), iter([pd.DataFrame({"at_ms": range(0, 500, 5), "value": 1.0})]), times))
+    assert calls == [("timer", 15), "update"]
+    times.at = 36
+    out = list(p.handleExpiredTimer((1,), times, None))
+    assert [(f["start"].astype("int64").tolist().__len__(), f["n"].tolist(), f["total"].tolist()) for f in out] == [(3, [2, 2, 2], [2.0, 2.0, 2.0])]
+    assert calls[2:] == ["get", ("timer", 45), "update"]

@@ -89,7 +89,8 @@ def named(clause_rows: DataFrame, key: list[str], channels: DataFrame, id_: str,
     # A clause's words come back only for the channels that it meets: rows of single words don't carry all of them.
     posted = titles.select("channel", F.explode("posts").alias("word"))
     met = rows.select(*key, "clause", F.explode("words").alias("word")).join(posted, "word").select(*key, "clause", "channel").distinct()
-    met = met.join(titles.drop("posts"), "channel").join(rows, [*key, "clause"])
+    # Clauses are never broadcast: on disk they take little, as texts repeat, and in the driver all of their lists.
+    met = met.join(titles.drop("posts"), "channel").join(rows.hint("merge"), [*key, "clause"])
     guards = F.array(*map(F.lit, vocabulary.guards)).cast("array<string>")
     said = F.size(F.array_except("strict", "words")) == 0
     kept_out = F.size(F.array_except(F.array_intersect("words", guards), "strict")) > 0
@@ -111,7 +112,7 @@ def attributed(df: DataFrame, key: list[str], text: str, channels: DataFrame, id
     rows = clauses_of(df, key, text, vocabulary).withColumn("numbers", claimed(F.col("text"))).where(F.size("numbers") > 0)
     rows = materialize(rows, "claiming-clauses")
     who = named(rows, key, channels, id_, title, vocabulary, coverage)
-    each = who.join(rows.select(*key, "clause", "places", "numbers"), [*key, "clause"])
+    each = who.join(rows.select(*key, "clause", "places", "numbers").hint("merge"), [*key, "clause"])
     at = F.filter(F.sequence(F.lit(0), F.size("places") - 1), lambda i: F.array_contains("matched", F.col("places")[i]))
     each = each.select(*key, "clause", "channel", at.alias("names"), "numbers")
 
@@ -137,5 +138,5 @@ def directions(df: DataFrame, key: list[str], text: str, channels: DataFrame, id
     who = named(rows, key, channels, id_, title, vocabulary, coverage).withColumn("_n", F.count("*").over(Window.partitionBy(*key, "clause"))).where("_n = 1")
     said = F.transform(lexed(F.col("text")), lambda t: t["w"])
     count = lambda side: F.size(F.filter(said, lambda w: w.isin(*side)))
-    each = who.join(rows.select(*key, "clause", count(up).alias("_up"), count(down).alias("_down")), [*key, "clause"])
+    each = who.join(rows.select(*key, "clause", count(up).alias("_up"), count(down).alias("_down")).hint("merge"), [*key, "clause"])
     return each.groupBy(*key, "channel").agg(F.sum("_up").alias("ups"), F.sum("_down").alias("downs"))

@@ -73,10 +73,11 @@ def near_keywords(df: DataFrame, key: list[str], text: str, keywords: DataFrame,
     # Rows of single words carry none of a clause's lists; those come back for each channel that the clause meets, and leave it again before numbers are rows.
     at_words = rows.select(*key, "clause", F.posexplode("words").alias("place", "word"))
     met = at_words.join(posted.select("word", "channel", "phrase"), "word").groupBy(*key, "clause", "channel", "phrase").agg(F.collect_list("place").alias("places"))
-    met = met.join(rows.select(*key, "clause", "words"), [*key, "clause"])
+    # Clauses are never broadcast: on disk they take little, as texts repeat, and in the driver all of their lists.
+    met = met.join(rows.select(*key, "clause", "words").hint("merge"), [*key, "clause"])
     whole = F.filter("places", lambda p: F.slice(F.col("words"), p + 1, F.size("phrase")) == F.col("phrase"))
     by = met.select(*key, "clause", "channel", whole.alias("places")).where(F.size("places") > 0).groupBy(*key, "clause", "channel").agg(F.sort_array(F.array_distinct(F.flatten(F.collect_list("places")))).alias("places"))
-    by = by.join(rows, [*key, "clause"]).join(own, "channel")
+    by = by.join(rows.hint("merge"), [*key, "clause"]).join(own, "channel")
 
     def led(x: Column) -> Column:
         """A number with what its lead says."""
