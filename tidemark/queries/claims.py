@@ -123,7 +123,10 @@ def identity_check(t: Tables) -> DataFrame:
 @query("""WITH d AS (SELECT user_id, ts::DATE AS day, count(*) FILTER (WHERE event_type = 'click') - count(*) FILTER (WHERE event_type = 'error') AS margin, sum(value) AS v FROM events GROUP BY ALL), l AS (SELECT *, v - lag(v) OVER (PARTITION BY user_id ORDER BY day) AS dv FROM d)
 SELECT user_id, count(*) AS n, count(*) FILTER (WHERE sign(margin) = sign(dv)) AS agree FROM l WHERE margin <> 0 AND dv IS NOT NULL GROUP BY 1""")
 def direction_agreement(t: Tables) -> DataFrame:
-    d = t.events.groupBy("user_id", F.to_date("ts").alias("day")).agg((F.count_if(F.col("event_type") == "click") - F.count_if(F.col("event_type") == "error")).alias("margin"), F.sum("value").alias("v"))
+    """Days' values are added up in the order of events: else two days with the same values could differ by how files were read, and have a direction."""
+    so_far = F.sum("value").over(Window.partitionBy("user_id", "day").orderBy("event_id").rowsBetween(Window.unboundedPreceding, 0))
+    e = t.events.select("user_id", F.to_date("ts").alias("day"), "event_id", "event_type", "value").withColumn("so_far", so_far)
+    d = e.groupBy("user_id", "day").agg((F.count_if(F.col("event_type") == "click") - F.count_if(F.col("event_type") == "error")).alias("margin"), F.max_by("so_far", "event_id").alias("v"))
     dv = F.col("v") - F.lag("v").over(Window.partitionBy("user_id").orderBy("day"))
     agree = F.signum(F.col("margin").cast("double")) == F.signum("dv")
     return d.withColumn("dv", dv).where("margin <> 0 and dv is not null").groupBy("user_id").agg(F.count("*").alias("n"), F.count_if(agree).alias("agree"))
