@@ -86,18 +86,79 @@ def alike(a: str, b: str, over: float) -> bool:
     return m.real_quick_ratio() > over and m.quick_ratio() > over and m.ratio() > over
 
 
-def unlike_last(df: DataFrame, by: list[str], order: list[Column], id_: str, text: str, over: float, last: int = 10) -> DataFrame:
-    """by, id_, kept: in the order of each group a row is kept unless its text is alike to one of the `last` rows kept before it. A group passes through one task that holds those rows. Null texts are empty; two empty texts are alike."""
+#: Rows of a group that one task folds by itself.
+SEGMENT_ROWS = 1024
+
+
+def _segments(rows: DataFrame, by: list[str], seeds: DataFrame, before: DataFrame | None, sorted_by: list[str], over: float, last: int) -> DataFrame:
+    """rows with kept, each segment folded from its seeds, the texts held where it begins. before: the seeds that its rows' kept was found from; once the texts held are those held then, kept stays as it was."""
+    seed = lambda s, now: s.select(*by, "r_", F.lit(False).alias("own_"), F.posexplode("seed_").alias("i_", "t_"), F.lit(now).alias("kept"))
+    told = rows.withColumn("own_", F.lit(True)).withColumn("i_", F.lit(0)).unionByName(seed(seeds, True), allowMissingColumns=True)
+    told = told if before is None else told.unionByName(seed(before, False), allowMissingColumns=True)
+    kinds = ", ".join(f"{c} {rows.schema[c].dataType.simpleString()}" for c in [*sorted_by, "t_"])
+    again = before is not None
+
+    def start() -> list:
+        return [deque(maxlen=last), deque(maxlen=last), False]  # texts held as matchers, those held before, whether they are the same
+
+    def step(state: list, r: tuple) -> tuple:
+        held, old, same = state
+        mine, was = r.t_, r.kept in (True,)
+        if not r.own_:
+            if was:
+                held.append(SequenceMatcher(None, "", mine))
+            else:
+                old.append(mine)
+            return state, []
+        same = same or (again and [m.b for m in held] == list(old))
+        good = was if same else not any(_alike(m, mine, over) for m in held)
+        if not same:
+            if good:
+                held.append(SequenceMatcher(None, "", mine))
+            if was:
+                old.append(mine)
+        state[2] = same
+        return state, [(*[getattr(r, c) for c in sorted_by], mine, good)]
+
+    return folded(told, [*by, "r_"], [F.col("own_"), F.col("i_"), *map(F.col, sorted_by)], f"{kinds}, kept boolean", start, step)
+
+
+def _seeds(rows: DataFrame, by: list[str], sorted_by: list[str], last: int) -> DataFrame:
+    """by, r_, seed_: the last texts kept before each segment."""
+    tail = Window.partitionBy(*by, "r_").orderBy(*[F.desc_nulls_last(c) for c in sorted_by])
+    tails = rows.where("kept").withColumn("n_", F.row_number().over(tail)).where(F.col("n_") <= last)
+    ends = tails.withColumn("end_", F.collect_list("t_").over(Window.partitionBy(*by).orderBy("r_", F.desc("n_")).rowsBetween(1 - last, 0))).where("n_ = 1")
+    each = rows.select(*by, "r_").distinct().withColumn("end_", F.lit(None).cast("array<string>")).unionByName(ends.select(*by, "r_", "end_"))
+    each = each.groupBy(*by, "r_").agg(F.first("end_", ignorenulls=True).alias("end_"))
+    seed = F.last("end_", ignorenulls=True).over(Window.partitionBy(*by).orderBy("r_").rowsBetween(Window.unboundedPreceding, -1))
+    return each.select(*by, "r_", F.coalesce(seed, F.array().cast("array<string>")).alias("seed_"))
+
+
+def _alike(m: SequenceMatcher, a: str, over: float) -> bool:
+    """alike(a, m's second text), which m has read."""
+    m.set_seq1(a)
+    return m.real_quick_ratio() > over and m.quick_ratio() > over and m.ratio() > over
+
 
-    def step(held: deque, r: tuple) -> tuple:
-        mine = r.t_
-        good = not any(alike(mine, other, over) for other in held)
-        if good:
-            held.append(mine)
-        return held, [(getattr(r, id_), good)]
+def unlike_last(df: DataFrame, by: list[str], order: list[Column], id_: str, text: str, over: float, last: int = 10, segment: int = SEGMENT_ROWS) -> DataFrame:
+    """by, id_, kept: in the order of each group a row is kept unless its text is alike to one of the `last` rows kept before it. Null texts are empty; two empty texts are alike.
 
+    A group is cut into segments of about `segment` rows, folded at once as if nothing stood before each. Then each starts
+    again from the texts that the ones before it hold at their end, until those held now are those held the first time: from
+    there on all stays. That is done until no segment's start changes, and so gives what one pass would give.
+    """
+    sorted_by = [*[f"o{i}_" for i in range(len(order))], id_]
     rows = df.select(*by, id_, *[c.alias(f"o{i}_") for i, c in enumerate(order)], F.coalesce(text, F.lit("")).alias("t_"))
-    return folded(rows, by, [F.col(f"o{i}_") for i in range(len(order))], f"{id_} {df.schema[id_].dataType.simpleString()}, kept boolean", lambda: deque(maxlen=last), step)
+    parts = max(1, -(-rows.count() // segment))
+    cut = rows.repartitionByRange(parts, *by, *sorted_by).withColumn("r_", F.spark_partition_id())
+    rows = materialize(cut.withColumn("kept", F.lit(None).cast("boolean")), "segments")
+    seeds = before = None
+    while True:
+        now = materialize(rows.select(*by, "r_").distinct().withColumn("seed_", F.array().cast("array<string>")) if seeds is None else _seeds(rows, by, sorted_by, last), "seeds")
+        if seeds is not None and now.unionByName(seeds).distinct().groupBy(*by, "r_").count().where("count > 1").isEmpty():
+            return rows.select(*by, id_, "kept")
+        before, seeds = seeds, now
+        rows = materialize(_segments(rows, by, seeds, before, sorted_by, over, last), "segments")
 
 
 def stratified(df: DataFrame, strata: list[str], id_: str, k: int, seed: str) -> DataFrame:
