@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import random
-from collections import deque
+from collections import Counter, deque
 from datetime import datetime, timedelta
 
 import duckdb
@@ -12,7 +12,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.compare import differences
-from tidemark.operators import attribution, dedup, proximity
+from tidemark.operators import attribution, dedup, joins, proximity
 from tidemark.queries.registry import ORACLE_SQL, QUERIES
 from tidemark.streaming import closing
 
@@ -83,6 +83,26 @@ def test_page_masks_of_half_prices(against_sql):
     assert not against_sql("page_masks", orders=orders_of([1002.5 + 10 * i for i in range(300)]))
 
 
+@pytest.mark.parametrize("on", [None, ["g"]])
+def test_value_ranges_count_before_they_pair(spark, monkeypatch, on):
+    """Claims with too many matches are left out before any pair of theirs is made; ends count, ids may repeat or be null."""
+    g = random.Random(3)
+    claims = [(i if i % 9 else None, i % 2, x, x + g.choice([-0.5, 0.0, 0.5, 2.5])) for i in range(60) for x in [g.randrange(0, 24) / 2]]
+    series = [(k, k % 2, g.randrange(0, 10) / 2 if k < 40 else g.randrange(20, 40) / 4) for k in range(60)] + [(99, 0, None)]
+    match = lambda c, s: s[2] is not None and c[2] <= s[2] <= c[3] and (on is None or c[1] == s[1])
+    pairs = [(c[0], s[0]) for c in claims for s in series if match(c, s)]
+    n = Counter(i for i, _ in pairs)
+    want = Counter((i, k, n[i]) for i, k in pairs if n[i] <= 3)
+    a, b = spark.createDataFrame(claims, "id int, g int, lo double, hi double"), spark.createDataFrame(series, "k int, g int, v double")
+    b = b if on else b.drop("g")
+    assert want and Counter((r.id, r.k, r.n_matches) for r in joins.value_range_matches(a, b, "id", "lo", "hi", "v", 1.0, cap=3, on=on).collect()) == want
+    paired = []
+    few = joins._with_few
+    monkeypatch.setattr(joins, "_with_few", lambda *x: paired.append(few(*x)) or paired[0])
+    joins.value_range_matches(a, b, "id", "lo", "hi", "v", 1.0, cap=3, on=on)
+    assert {r.id for r in paired[0].collect()} == {i for i, _, _ in want}
+
+
 def test_closing_windows_read_and_write_a_key_once():
     """However many windows a batch has for a key, its state is read and written once, with one timer."""
     calls = []

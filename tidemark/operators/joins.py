@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -64,8 +66,10 @@ def in_interval(left: DataFrame, right: DataFrame, on: list[str], left_lo: str,
 
 
 def value_range_matches(claims: DataFrame, series: DataFrame, claim_id: str, lo: str, hi: str, value: str, width: float, cap: int | None = None, on: list[str] | None = None) -> DataFrame:
-    """Claims with the series values in [lo, hi]; cap: only claims with at most so many matches, those that can be told apart."""
+    """Claims with the series values in [lo, hi]; cap: only claims with at most so many matches, those that can be told apart. Matches are counted first, by a sweep over values and ends of claims, so that no more than cap pairs of a claim are made."""
     bucket = lambda c: F.floor(c / width)
+    if cap is not None:
+        claims = _with_few(claims, series, claim_id, lo, hi, value, bucket, cap, on or [])
     a = claims.withColumn("_b", F.explode(F.sequence(bucket(F.col(lo)), bucket(F.col(hi)))))
     out = a.join(series.withColumn("_b", bucket(F.col(value))), [*(on or []), "_b"]).where(F.col(value).between(F.col(lo), F.col(hi))).drop("_b")
     if cap is not None:
@@ -73,6 +77,18 @@ def value_range_matches(claims: DataFrame, series: DataFrame, claim_id: str, lo:
     return out
 
 
+def _with_few(claims: DataFrame, series: DataFrame, claim_id: str, lo: str, hi: str, value: str, bucket: Callable[[Column], Column], cap: int, on: list[str]) -> DataFrame:
+    """The claims whose id has between one and cap matches. In each bucket the values up to hi less those below lo are a claim's matches there."""
+    values = series.groupBy(*on, F.col(value).alias("_at")).agg(F.count("*").alias("_n")).select(*on, bucket(F.col("_at")).alias("_b"), "_at", F.lit(1).alias("_k"), "_n")
+    rows = claims.where(F.col(lo) <= F.col(hi)).select(*on, F.col(claim_id).alias("_id"), F.col(lo).alias("_lo"), F.col(hi).alias("_hi"), F.explode(F.sequence(bucket(F.col(lo)), bucket(F.col(hi)))).alias("_b"))
+    ends = F.inline(F.array(F.struct(F.col("_lo").alias("_at"), F.lit(0).alias("_k")), F.struct(F.col("_hi").alias("_at"), F.lit(2).alias("_k"))))
+    marks = rows.select(*on, "_id", "_b", ends)
+    so_far = F.sum(F.coalesce("_n", F.lit(0))).over(Window.partitionBy(*on, "_b").orderBy("_at", "_k").rowsBetween(Window.unboundedPreceding, 0))
+    swept = marks.unionByName(values, allowMissingColumns=True).withColumn("_c", so_far).where("_k <> 1")
+    few = swept.groupBy("_id").agg(F.sum(F.when(F.col("_k") == 2, F.col("_c")).otherwise(-F.col("_c"))).alias("_n")).where(F.col("_n").between(1, cap))
+    return claims.join(few, F.col(claim_id).eqNullSafe(F.col("_id")), "left_semi")
+
+
 def verified_splice(old: DataFrame, new: DataFrame, key: list[str], at: str, value: str, tolerance: float) -> DataFrame:
     """Series of both, new values over old ones, if they agree within tolerance wherever they overlap (and overlap at all); series that don't are left out."""
     both = old.select(*key, at, F.col(value).alias("_old")).join(new.select(*key, at, F.col(value).alias("_new")), [*key, at], "full")
