@@ -32,6 +32,12 @@ def against_sql(spark, tmp_path):
     return run
 
 
+def test_2100_is_a_year(against_sql):
+    """The last year that counts as one begins with 21."""
+    docs = [(1, "from 1849 to 2100, in 2100-05 and 2101"), (2, "2100"), (3, "1850 and 2099 but 2100 km"), (4, "$2100, 2100% and 2,100")]
+    assert against_sql("numbers_in_context", documents=(docs, "doc_id bigint, text string"), conversations=([(1, 1, "by 2100")], "conv_id bigint, turn bigint, text string")) == []
+
+
 def test_direction_agreement_adds_in_order(spark, tmp_path):
     """Two days of the same values have no direction, however files cut them."""
     say = lambda i, day, kind, v: (i, datetime(2024, 1, day), 7, kind, v)

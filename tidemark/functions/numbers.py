@@ -110,7 +110,7 @@ def _read(t: Column, i: Column) -> Column:
 
     # A dash is a sign if it touches what follows and nothing solid before it.
     sign = lambda k: _one_of(word(k), DASHES) & touches(k + 1) & ~(touches(k) & (solid(k - 1) | _one_of(word(k - 1), (")", "%"))))
-    year = lambda k: F.coalesce(word(k).rlike(r"^(1[89]|20)[0-9]{2}$") & word(k).between("1850", "2100"), F.lit(False))
+    year = lambda k: F.coalesce(word(k).rlike(r"^[0-9]{4}$") & word(k).between("1850", "2100"), F.lit(False))
     bound = lambda k: _one_of(word(k), BINDERS) & touches(k) & touches(k + 1) & solid(k - 1) & solid(k + 1)
 
     def unit_of(m: Column) -> Column:
