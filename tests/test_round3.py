@@ -38,6 +38,32 @@ def test_2100_is_a_year(against_sql):
     assert against_sql("numbers_in_context", documents=(docs, "doc_id bigint, text string"), conversations=([(1, 1, "by 2100")], "conv_id bigint, turn bigint, text string")) == []
 
 
+def test_first_of_similar_in_rounds(spark, monkeypatch):
+    """However few shingles a task may fold, rounds give what one pass gives, and what is folded is no more than that."""
+    rng = random.Random(3)
+    base = [[f"w{rng.randrange(60)}" for _ in range(30)] for _ in range(8)]
+    rows = []
+    for i in range(300):
+        v = list(rng.choice(base))
+        for _ in range(rng.randrange(0, 7)):
+            v[rng.randrange(30)] = f"w{rng.randrange(60)}"
+        rows.append((i, rng.choice(["a", "b", None]), " ".join(v if i % 9 else v[: rng.randrange(4)])))
+    want, kept = {}, {}
+    for i, g, t in rows:
+        v = t.split()
+        mine = {tuple(v[j : j + 3]) for j in range(max(len(v) - 3, 0) + 1)} if v else set()
+        want[i] = not any(len(mine & o) > 0.5 * len(mine | o) for o in kept.setdefault(g, []))
+        if want[i]:
+            kept[g].append(mine)
+    df = spark.createDataFrame(rows, "i int, g string, t string")
+    sizes, fold = [], dedup.folded
+    monkeypatch.setattr(dedup, "folded", lambda x, by, *a: sizes.append(x.groupBy(*by).agg(F.sum(F.size("s_")).alias("n")).agg(F.max("n")).first()[0] or 0) or fold(x, by, *a))
+    for most, counted in ((1_000_000, 1_000_000), (400, 500), (0, 100)):
+        assert {r.i: r.kept for r in dedup.first_of_similar(df, ["g"], [F.col("i")], "i", "t", 0.5, 3, counted, most).collect()} == want
+        assert sizes[-1] <= most
+    assert sizes[0] > 400 and 0 < sum(want.values()) < 250
+
+
 def test_direction_agreement_adds_in_order(spark, tmp_path):
     """Two days of the same values have no direction, however files cut them."""
     say = lambda i, day, kind, v: (i, datetime(2024, 1, day), 7, kind, v)

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from collections import Counter, deque
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -57,27 +60,90 @@ def shingles(text: Column, k: int) -> Column:
     return let(F.filter(F.transform(lexed(F.coalesce(text, F.lit(""))), lambda x: x["w"]), lambda w: w.rlike(r"^[\p{L}0-9]")), runs)
 
 
-def first_of_similar(df: DataFrame, by: list[str], order: list[Column], id_: str, text: str, over: float = 0.5, k: int = 8) -> DataFrame:
+#: Shingles that one task counts at once, and those of a group's open rows that one task folds.
+COUNTED, FOLDED = 4_000_000, 1_000_000
+
+
+def _shared(rows: DataFrame, parts: int) -> DataFrame:
+    """rows: r_, s_. r_, t_, often_: the shingles that more than one row has, and how many have each. They are dealt by value to parts, each counted by one task."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            t = b.column("s_").flatten().to_numpy(zero_copy_only=False)
+            r = np.repeat(b.column("r_").to_numpy(zero_copy_only=False), b.column("s_").value_lengths().to_numpy(zero_copy_only=False))
+            part = t.view(np.uint64) % np.uint64(parts)
+            at = np.argsort(part, kind="stable")
+            ends = pa.array(np.searchsorted(part[at], np.arange(parts + 1, dtype=np.uint64)), pa.int32())
+            yield pa.RecordBatch.from_arrays([pa.array(range(parts), pa.int32()), pa.ListArray.from_arrays(ends, pa.array(r[at])), pa.ListArray.from_arrays(ends, pa.array(t[at]))], names=["part_", "r_", "t_"])
+
+    def count(part: pa.Table) -> pa.Table:
+        r, t = (np.concatenate([c.flatten().to_numpy(zero_copy_only=False) for c in part.column(n).chunks]) for n in ("r_", "t_"))
+        _, at, n = np.unique(t, return_inverse=True, return_counts=True)
+        n = n[at]
+        return pa.table({"r_": r[n > 1], "t_": t[n > 1], "often_": n[n > 1]})
+
+    dealt = rows.select("r_", "s_").mapInArrow(deal, "part_ int, r_ array<bigint>, t_ array<bigint>").where(F.size("t_") > 0)
+    return dealt.groupBy("part_").applyInArrow(count, "r_ bigint, t_ bigint, often_ bigint")
+
+
+def _leading(rows: DataFrame, over: float) -> DataFrame:
+    """r_, kept: of the open rows, those that are the first in order under each shingle that they are posted under, which nothing open can be like before them, and those that are like one of these. Each shingle has one first row, so pairs are no more than posts."""
+    posts = rows.select("r_", "o_", F.explode("posts_").alias("t_"))
+    first = posts.groupBy("t_").agg(F.min("o_").alias("first_"))
+    pairs = materialize(posts.join(first, "t_").where(F.col("first_.r_") != F.col("r_")).select("r_", F.col("first_.r_").alias("f_")).distinct(), "pairs")
+    kept = rows.select("r_").join(pairs.select("r_").distinct(), "r_", "left_anti")
+    of = kept.join(rows, "r_").select(F.col("r_").alias("f_"), F.col("s_").alias("fs_"), F.col("n_").alias("fn_"))
+    both = F.size(F.array_intersect("s_", "fs_"))
+    gone = pairs.join(of, "f_").join(rows.select("r_", "s_", "n_"), "r_").where(both > over * (F.col("n_") + F.col("fn_") - both)).select("r_").distinct()
+    return materialize(kept.withColumn("kept", F.lit(True)).union(gone.withColumn("kept", F.lit(False))), "decided")
+
+
+def first_of_similar(df: DataFrame, by: list[str], order: list[Column], id_: str, text: str, over: float = 0.5, k: int = 8, counted: int = COUNTED, most: int = FOLDED) -> DataFrame:
     """by, id_, kept: in the order of each group a row is kept unless its k-word shingles have a Jaccard similarity over `over` with those of a row kept before.
 
     Unlike classes of near-duplicates this isn't transitive: of a chain a ~ b ~ c, where a and c are apart, b goes and c stays.
-    The state of a group is an index from shingles to kept rows, so a row is compared with those that share one. A group passes
-    through one task. Texts without words are alike only to none. Null texts are empty; rows that repeat go, but for the first.
+    Texts without words are alike only to none. Null texts are empty; rows that repeat go, but for the first; equal orders go by id_.
+
+    Rows with the shingles of an earlier one go at once. Two others can be alike only if they share one of the rarest of each,
+    so many that without them less than `over` is left: a row whose rarest are its own alone is kept. The rest are open; rounds
+    decide those that nothing open stands before, and what is like them, until a group's open rows have at most `most` shingles
+    that others share, which one task folds. No task holds a group, nor all shingles.
     """
+    group = F.xxhash64(F.to_json(F.struct(*by)))
+    rows = df.select(*by, id_, *[c.alias(f"o{i}_") for i, c in enumerate(order)], group.alias("g_"), shingles(F.col(text), k).alias("s_"))
+    rows = rows.withColumn("r_", F.monotonically_increasing_id()).withColumn("s_", F.sort_array(F.transform("s_", lambda h: h.bitwiseXOR(F.col("g_")))))
+    same = F.struct(F.size("s_"), F.xxhash64("s_"), F.xxhash64(F.lit(k), "s_"))
+    rows = materialize(rows.select(*by, id_, F.struct(*[f"o{i}_" for i in range(len(order))], id_, "r_").alias("o_"), "r_", "s_", F.size("s_").alias("n_"), same.alias("c_")), "shingled")
+
+    firsts = materialize(rows.where("n_ > 0").groupBy("c_").agg(F.min("o_").alias("o_")).select("o_.r_"), "firsts")
+    own = materialize(rows.join(firsts, "r_").drop("c_", id_), "own")
+    total = own.agg(F.sum("n_")).first()[0] or 0
+    shared = _shared(own, max(1, -(-total // counted)))
+    found = shared.groupBy("r_").agg(F.sort_array(F.collect_list(F.struct("often_", "t_"))).alias("x_")).withColumn("x_", F.transform("x_", lambda x: x["t_"]))
+    # The shingles that a row has alone are its rarest; what is left of its share of rare ones are the posts.
+    posts = F.col("n_") - F.floor(F.lit(over) * F.col("n_")) - (F.col("n_") - F.size("x_"))
+    rest = found.join(own.drop("s_"), "r_").where(posts > 0).select(*by, "o_", "r_", "n_", F.col("x_").alias("s_"), F.slice("x_", F.lit(1), posts.cast("int")).alias("posts_"))
+    rest, decided = materialize(rest, "open"), None
+    while (rest.groupBy(*by).agg(F.sum(F.size("s_")).alias("n")).agg(F.max("n")).first()[0] or 0) > most:
+        now = _leading(rest, over)
+        decided = now if decided is None else decided.union(now)
+        rest = materialize(rest.join(now, "r_", "left_anti"), "open")
 
     def step(state: tuple[dict, list], r: tuple) -> tuple:
         index, sizes = state
         mine = r.s_.tolist()
         shared = Counter(j for h in mine for j in index.get(h, ()))
-        if any(n > over * (len(mine) + sizes[j] - n) for j, n in shared.items()):
-            return state, [(getattr(r, id_), False)]
+        if any(n > over * (r.n_ + sizes[j] - n) for j, n in shared.items()):
+            return state, [(r.r_, False)]
         for h in mine:
             index.setdefault(h, []).append(len(sizes))
-        sizes.append(len(mine))
-        return state, [(getattr(r, id_), True)]
+        sizes.append(r.n_)
+        return state, [(r.r_, True)]
 
-    rows = df.select(*by, id_, *[c.alias(f"o{i}_") for i, c in enumerate(order)], shingles(F.col(text), k).alias("s_"))
-    return folded(rows, by, [F.col(f"o{i}_") for i in range(len(order))], f"{id_} {df.schema[id_].dataType.simpleString()}, kept boolean", lambda: ({}, []), step)
+    last = folded(rest.select(*by, "r_", "n_", "s_", "o_"), by, [F.col("o_")], "r_ bigint, kept boolean", lambda: ({}, []), step).select("r_", "kept")
+    gone = (last if decided is None else last.union(decided)).where("not kept").select("r_", F.lit(True).alias("gone_"))
+    told = rows.select(*by, id_, "r_", "n_").join(firsts.withColumn("first_", F.lit(True)), "r_", "left").join(gone, "r_", "left")
+    return told.select(*by, id_, ((F.col("n_") == 0) | F.lit(over >= 1) | (F.col("first_").isNotNull() & F.col("gone_").isNull())).alias("kept"))
 
 
 def alike(a: str, b: str, over: float) -> bool:
