@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import zipfile
 from collections import Counter, deque
 from datetime import datetime, timedelta
 
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 from tests.compare import differences
 from tidemark.operators import attribution, dedup, joins, proximity
 from tidemark.queries.registry import ORACLE_SQL, QUERIES
+from tidemark.sources import archives
 from tidemark.streaming import closing
 
 
@@ -64,6 +66,30 @@ def test_first_of_similar_in_rounds(spark, monkeypatch):
     assert sizes[0] > 400 and 0 < sum(want.values()) < 250
 
 
+def test_a_member_is_packed_by_many_tasks(spark, tmp_path):
+    """One member of most lines is packed in pieces, and each archive is one that others read."""
+    rows = [(("big" if i % 10 else f"m{i % 30}") + ".txt" if i != 7 else None, i, None if i == 11 else f"line é {i} " + "x" * (i % 50)) for i in range(3000)]
+    want = {}
+    for m, _, t in rows:
+        if m:
+            want.setdefault(m, []).append(t or "")
+    packed, pieces = [], archives._pieces
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(archives, "_pieces", lambda *a: packed.append(pieces(*a)) or packed[0])
+        df = spark.createDataFrame(rows, "member string, i int, line string").repartition(5)
+        told = archives.write(df, f"{tmp_path}/z", "member", ["i"], "line", 3, piece=4000).collect()
+    assert sorted((r.member, r.lines) for r in packed[0].where("member = 'big.txt'").collect())[0][1] < 200
+    assert len(told) == 3 and sum(r.lines for r in told) == 2999 and sum(r.members for r in told) == len(want)
+    read = {}
+    for r in told:
+        with zipfile.ZipFile(r.path.removeprefix("file://")) as z:
+            assert z.testzip() is None
+            read |= {n: z.read(n).decode() for n in z.namelist()}
+    assert read == {m: "".join(x + "\n" for x in v) for m, v in want.items()}
+    back = archives.lines(archives.members(archives.listed(spark, f"{tmp_path}/z", "*.zip"))).collect()
+    assert Counter((r.member, r.n, r.line) for r in back) == Counter((m, n, x) for m, v in want.items() for n, x in enumerate(v))
+
+
 def test_direction_agreement_adds_in_order(spark, tmp_path):
     """Two days of the same values have no direction, however files cut them."""
     say = lambda i, day, kind, v: (i, datetime(2024, 1, day), 7, kind, v)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import codecs
 import re
+import uuid
 import zipfile
 import zlib
 from collections.abc import Iterator
@@ -18,6 +19,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.storage import materialize, run_dir
+
 BUFFER = 1 << 20
 STORED, DEFLATED = 0, 8
 MEMBERS = "archive string, member string, offset bigint, packed bigint, size bigint, method bigint, crc bigint"
@@ -112,31 +115,100 @@ def _lines(m: dict) -> Iterator[str]:
         yield rest.removesuffix("\r")
 
 
-def write(rows: DataFrame, folder: str, member: str, order: list[str], line: str, archives: int) -> DataFrame:
+def _crc_joined(a: int, b: int, n: int) -> int:
+    """The CRC-32 of bytes with the CRC a followed by n bytes with the CRC b: a times x to the power of 8 n, modulo the polynomial, and b."""
+
+    def times(u: int, v: int) -> int:
+        out = 0
+        for k in range(31, -1, -1):
+            if u >> k & 1:
+                out ^= v
+            v = v >> 1 ^ (0xEDB88320 if v & 1 else 0)
+        return out
+
+    power = 1 << 23
+    while n:
+        if n & 1:
+            a = times(power, a)
+        power, n = times(power, power), n >> 1
+    return a ^ b
+
+
+def _pieces(dealt: DataFrame, folder: str) -> DataFrame:
+    """dealt: member, line, in the order in which they are to be written. A row for each member of each partition: which file has its lines packed, from where on, and what they come to. Packed pieces end at a byte and without a last block, so that they can be put one after the other."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = TaskContext.get().partitionId()
+        path = f"{folder}/{part:06}-{TaskContext.get().taskAttemptId()}"
+        where, name = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
+        done, now, deflate = [], None, None
+        with where.open_output_stream(name) as sink:
+
+            def add(packed: bytes) -> None:
+                sink.write(packed)
+                now["packed"] += len(packed)
+
+            for b in batches:
+                for m, text in zip(b.column("member").to_pylist(), b.column("line").to_pylist(), strict=True):
+                    if now is None or m != now["member"]:
+                        if now:
+                            add(deflate.flush(zlib.Z_FULL_FLUSH))
+                        now, deflate = {"member": m, "part": part, "path": path, "offset": sink.tell(), "packed": 0, "size": 0, "crc": 0, "lines": 0}, zlib.compressobj(wbits=-15)
+                        done.append(now)
+                    data = text.encode() + b"\n"
+                    add(deflate.compress(data))
+                    now["size"], now["crc"], now["lines"] = now["size"] + len(data), zlib.crc32(data, now["crc"]), now["lines"] + 1
+            if now:
+                add(deflate.flush(zlib.Z_FULL_FLUSH))
+        for lo in range(0, len(done), HELD):
+            yield pa.RecordBatch.from_pylist(done[lo : lo + HELD])
+
+    return dealt.select("member", "line").mapInArrow(run, "member string, part bigint, path string, offset bigint, packed bigint, size bigint, crc bigint, lines bigint")
+
+
+#: Bytes of lines that one task packs.
+PIECE = 64 << 20
+LAST_BLOCK = b"\x03\x00"
+
+
+def write(rows: DataFrame, folder: str, member: str, order: list[str], line: str, archives: int, piece: int = PIECE) -> DataFrame:
     """Writes lines to members of so many zip files in a folder that the tasks share, each member whole in one of them; path, members and lines of each.
 
-    Rows stream to the file in order of member and `order`; a task that is lost writes its file anew.
+    Lines are dealt by ranges of member and `order`, about `piece` bytes to a task, and packed there, a large member by many
+    tasks; a task for each archive then copies what is packed, a buffer at a time. A task that is lost writes its file anew.
     """
-    local = folder.removeprefix("file://")
+    local, held = folder.removeprefix("file://"), f"{run_dir(rows.sparkSession)}/pieces-{uuid.uuid4().hex}"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         path = f"{folder}/part-{TaskContext.get().partitionId():05}.zip"
         where, name = fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
-        now, out, n_members, n_lines = None, None, 0, 0
-        with where.open_output_stream(name) as sink, zipfile.ZipFile(sink, "w", zipfile.ZIP_DEFLATED) as z:
+        n_members, n_lines = 0, 0
+        with where.open_output_stream(name) as sink, zipfile.ZipFile(sink, "w") as z:
             for b in batches:
-                for m, text in zip(b.column("member").to_pylist(), b.column("line").to_pylist(), strict=True):
-                    if m != now:
-                        if out:
-                            out.close()
-                        now, out, n_members = m, z.open(m, "w", force_zip64=True), n_members + 1
-                    out.write(text.encode() + b"\n")
-                    n_lines += 1
-            if out:
-                out.close()
+                for m in b.to_pylist():
+                    info = zipfile.ZipInfo(m["member"])
+                    info.compress_type, info.header_offset = zipfile.ZIP_DEFLATED, z.fp.tell()
+                    for p in m["pieces"]:
+                        info.CRC, info.file_size, info.compress_size = _crc_joined(info.CRC, p["crc"], p["size"]) if info.file_size else p["crc"], info.file_size + p["size"], info.compress_size + p["packed"]
+                    info.compress_size += len(LAST_BLOCK)
+                    z.fp.write(info.FileHeader(zip64=True))
+                    for p in m["pieces"]:
+                        with _opened(p["path"]) as f:
+                            f.seek(p["offset"])
+                            for lo in range(0, p["packed"], BUFFER):
+                                z.fp.write(f.read(min(BUFFER, p["packed"] - lo)))
+                    z.fp.write(LAST_BLOCK)
+                    z.filelist.append(info)
+                    z.start_dir = z.fp.tell()
+                    n_members, n_lines = n_members + 1, n_lines + sum(p["lines"] for p in m["pieces"])
         yield pa.RecordBatch.from_pylist([{"path": path, "members": n_members, "lines": n_lines}])
 
-    fs.FileSystem.from_uri(folder if "://" in folder else f"file://{local}")[0].create_dir(local, recursive=True)
+    for d in (folder, held):
+        fs.FileSystem.from_uri(d if "://" in d else f"file://{d}")[0].create_dir(d.removeprefix("file://"), recursive=True)
     dealt = rows.select(F.col(member).cast("string").alias("member"), F.coalesce(F.col(line), F.lit("")).alias("line"), *[F.col(c).alias(f"_{i}") for i, c in enumerate(order)]).where("member is not null")
-    dealt = dealt.repartition(archives, "member").sortWithinPartitions("member", *[f"_{i}" for i in range(len(order))])
-    return dealt.mapInArrow(run, "path string, members bigint, lines bigint")
+    size = dealt.agg(F.sum(F.octet_length("line").cast("bigint") + 1)).first()[0] or 0
+    by = ["member", *[f"_{i}" for i in range(len(order))]]
+    dealt = dealt.repartitionByRange(max(archives, -(-size // piece)), *by).sortWithinPartitions(*by)
+    packed = materialize(_pieces(dealt, held), "pieces")
+    whole = packed.groupBy("member").agg(F.sort_array(F.collect_list(F.struct("part", *[c for c in packed.columns if c not in ("member", "part")]))).alias("pieces"))
+    return whole.repartition(archives, "member").sortWithinPartitions("member").mapInArrow(run, "path string, members bigint, lines bigint")
