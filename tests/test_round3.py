@@ -10,10 +10,11 @@ from datetime import datetime, timedelta
 import duckdb
 import pandas as pd
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tests.compare import differences
-from tidemark.operators import attribution, dedup, joins, proximity
+from tidemark.operators import attribution, dedup, joins, proximity, windows
 from tidemark.queries.registry import ORACLE_SQL, QUERIES
 from tidemark.sources import archives
 from tidemark.streaming import closing
@@ -90,6 +91,19 @@ def test_a_member_is_packed_by_many_tasks(spark, tmp_path):
     assert Counter((r.member, r.n, r.line) for r in back) == Counter((m, n, x) for m, v in want.items() for n, x in enumerate(v))
 
 
+def test_keys_reappearing_in_tasks_of_bounded_rows(against_sql, spark, monkeypatch):
+    """However many lines there are, a task has about so many, and the window and the sums by order shuffle nothing more."""
+    rng = random.Random(8)
+    rows = [(i // 4, rng.randrange(50), rng.randrange(9), i % 4 + 1, rng.choice(["A", "N", "R", None])) for i in range(4000)]
+    schema, seen, deal = "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_returnflag string", [], windows.dealt
+    monkeypatch.setattr(windows, "dealt", lambda df, by: seen.append(deal(df, by, 100)) or seen[-1])
+    assert against_sql("keys_reappearing", lineitem=(rows, schema)) == []
+    sizes = [r["count"] for r in seen[0].groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) >= 35 and max(sizes) < 200
+    said = windows.dealt(spark.createDataFrame(rows, schema), ["l_orderkey"]).withColumn("n", F.count("*").over(Window.partitionBy("l_orderkey"))).groupBy("l_orderkey", "l_returnflag").agg(F.sum("n"))
+    assert said._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
 def test_direction_agreement_adds_in_order(spark, tmp_path):
     """Two days of the same values have no direction, however files cut them."""
     say = lambda i, day, kind, v: (i, datetime(2024, 1, day), 7, kind, v)

@@ -10,6 +10,15 @@ from tidemark.operators.joins import asof
 from tidemark.functions.calendar import spine
 
 
+#: Rows of a partition that windows sort, about.
+TASK_ROWS = 1_000_000
+
+
+def dealt(df: DataFrame, by: list[str], rows: int = TASK_ROWS) -> DataFrame:
+    """df dealt by key to so many partitions that each has about `rows` rows, so that windows and sums by the key take no more memory a task however many rows there are. They need no other shuffle."""
+    return df.repartition(max(1, -(-df.count() // rows)), *by)
+
+
 def daily_dense(events: DataFrame, by: list[str], ts: str, sums: dict[str, Column]) -> DataFrame:
     """Per group and day the sums, with a row of zeros for every day without events between the first and the last."""
     day = events.withColumn("day", F.to_date(ts)).groupBy(*by, "day").agg(*[F.sum(c).alias(n) for n, c in sums.items()])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.operators import joins
+from tidemark.operators import joins, windows
 from tidemark.queries.registry import Tables, query
 from tidemark.sources import archives, markup, readers, sinks
 from tidemark.storage import materialize, run_dir
@@ -86,7 +86,7 @@ def keys_reappearing(t: Tables) -> DataFrame:
     """How often a return flag comes back in the lines of an order after others were between: a sum flushed at each change would be split there."""
     w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
     before = F.lag("l_returnflag").over(w)
-    x = t.lineitem.select("l_orderkey", "l_returnflag", (before.isNull() | (before != F.col("l_returnflag"))).alias("starts"))
+    x = windows.dealt(t.lineitem, ["l_orderkey"]).select("l_orderkey", "l_returnflag", (before.isNull() | (before != F.col("l_returnflag"))).alias("starts"))
     return x.groupBy("l_orderkey", "l_returnflag").agg(F.count("*").alias("n"), (F.count_if("starts") - 1).alias("reappeared"))
 
 
