@@ -104,6 +104,21 @@ def test_keys_reappearing_in_tasks_of_bounded_rows(against_sql, spark, monkeypat
     assert said._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
 
 
+def test_clauses_are_cut_to_title_words(spark, monkeypatch):
+    """Only words of titles and guards are written, unless titles have too many; either way the same channels are named."""
+    texts = [(1, "Core clothing prices rose; dogs' food and shoes fell. Nothing else."), (2, "Clothes excluding shoes; clothing and shoes"), (3, None), (4, "The CPI of l'été rose; it's l'été again")]
+    titles = [("a", "Clothing"), ("b", "Clothing: shoes"), ("c", "CPI l'été"), ("d", "Core clothing"), ("e", "it's l'été")]
+    df, channels = spark.createDataFrame(texts, "k int, text string"), spark.createDataFrame(titles, "channel string, title string")
+    written, write, got = {}, attribution.materialize, []
+    monkeypatch.setattr(attribution, "materialize", lambda x, name: written.setdefault(name, []).append(write(x, name)) or written[name][-1])
+    for most in (20_000, 0):
+        monkeypatch.setattr(attribution, "TITLE_WORDS", most)
+        got.append(sorted(map(str, attribution.named(attribution.clauses_of(df, ["k"], "text"), ["k"], channels, "channel", "title").collect())))
+    words = [{w for r in x.collect() for w in r.words} for x in written["clauses"]]
+    assert got[0] == got[1] and len(got[0]) == 4
+    assert "nothing" in words[1] and words[0] < words[1] and words[0] <= {"clothing", "shoe", "cpi", "l'été", "core", "it'", "excluding"}
+
+
 def test_direction_agreement_adds_in_order(spark, tmp_path):
     """Two days of the same values have no direction, however files cut them."""
     say = lambda i, day, kind, v: (i, datetime(2024, 1, day), 7, kind, v)

@@ -17,6 +17,8 @@ from tidemark.functions.text import clauses, sentences
 from tidemark.storage import materialize
 
 LEAST_LETTERS = 3
+#: Distinct words of titles up to which clauses are cut to them before they are written; of more, whole clauses are.
+TITLE_WORDS = 20_000
 
 
 @dataclass(frozen=True)
@@ -77,6 +79,16 @@ def calibrated(titles: DataFrame, told: DataFrame, coverage: float) -> DataFrame
     return rows.where("size(strict) + size(concepts) > 0").select("channel", "strict", "concepts", "need", posts.alias("posts"))
 
 
+def _title_words(rows: DataFrame, titles: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """rows with, of words, those that a title has and the guards: no others say which channels a clause names."""
+    mine = [r.word for r in titles.select(F.explode(F.array_union("strict", "concepts")).alias("word")).distinct().limit(TITLE_WORDS + 1).collect()]
+    if len(mine) > TITLE_WORDS:
+        return rows
+    # One literal list, which Spark looks up by hash; a list of Columns takes a call to the JVM for each.
+    known = ", ".join("'" + w.replace("\\", "\\\\").replace("'", "\\'") + "'" for w in ["", *mine, *vocabulary.guards])
+    return rows.withColumn("words", F.expr(f"filter(words, w -> w in ({known}))"))
+
+
 def named(clause_rows: DataFrame, key: list[str], channels: DataFrame, id_: str, title: str, vocabulary: Vocabulary = ENGLISH, coverage: float = 0.8) -> DataFrame:
     """key, clause, channel, matched (the title's words that the clause has): the channels that each clause of clauses_of names.
 
@@ -84,13 +96,14 @@ def named(clause_rows: DataFrame, key: list[str], channels: DataFrame, id_: str,
     has), and no guard that isn't one of the channel's restrictions. A channel whose matched words are a proper part of another's
     is not named, nor is one with equal matched words that lacks more of its own. Titles of equal words are all named. Empty tables name nothing.
     """
-    rows = materialize(clause_rows.select(*key, "clause", "words"), "clauses")
-    titles = materialize(calibrated(titles_of(channels, id_, title, vocabulary), rows.select(F.explode("words").alias("word")), coverage), "titles")
+    titles = titles_of(channels, id_, title, vocabulary)
+    rows = materialize(_title_words(clause_rows.select(*key, "clause", "words"), titles, vocabulary), "clauses")
+    titles = materialize(calibrated(titles, rows.select(F.explode("words").alias("word")), coverage), "titles")
     # A clause's words come back only for the channels that it meets: rows of single words don't carry all of them.
     posted = titles.select("channel", F.explode("posts").alias("word"))
     met = rows.select(*key, "clause", F.explode("words").alias("word")).join(posted, "word").select(*key, "clause", "channel").distinct()
     # Clauses are never broadcast: on disk they take little, as texts repeat, and in the driver all of their lists.
-    met = met.join(titles.drop("posts"), "channel").join(rows.hint("merge"), [*key, "clause"])
+    met = met.join(titles.drop("posts"), "channel").join(rows.where(F.size("words") > 0).hint("merge"), [*key, "clause"])
     guards = F.array(*map(F.lit, vocabulary.guards)).cast("array<string>")
     said = F.size(F.array_except("strict", "words")) == 0
     kept_out = F.size(F.array_except(F.array_intersect("words", guards), "strict")) > 0
