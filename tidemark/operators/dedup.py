@@ -83,7 +83,7 @@ def _shared(rows: DataFrame, parts: int) -> DataFrame:
         return pa.table({"r_": r[n > 1], "t_": t[n > 1], "often_": n[n > 1]})
 
     dealt = rows.select("r_", "s_").mapInArrow(deal, "part_ int, r_ array<bigint>, t_ array<bigint>").where(F.size("t_") > 0)
-    return dealt.groupBy("part_").applyInArrow(count, "r_ bigint, t_ bigint, often_ bigint")
+    return dealt.repartition(parts, "part_").groupBy("part_").applyInArrow(count, "r_ bigint, t_ bigint, often_ bigint")
 
 
 def _leading(rows: DataFrame, over: float) -> DataFrame:
