@@ -14,11 +14,16 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.numbers import claimed, let, lexed
 from tidemark.functions.text import clauses, sentences
+from tidemark.operators.windows import dealt
 from tidemark.storage import materialize
 
 LEAST_LETTERS = 3
 #: Distinct words of titles up to which clauses are cut to them before they are written; of more, whole clauses are.
 TITLE_WORDS = 20_000
+#: Distinct clauses of which a task reads the numbers and words, about.
+TASK_CLAUSES = 20_000
+#: Characters up to which what is found in distinct clauses is broadcast to the rows that say them, each with its clause's text; of more, both sides are shuffled.
+BROADCAST_CHARS = 16_000_000
 
 
 @dataclass(frozen=True)
@@ -51,6 +56,11 @@ def word_forms(text: Column, vocabulary: Vocabulary = ENGLISH) -> Column:
 def clauses_of(df: DataFrame, key: list[str], text: str, vocabulary: Vocabulary = ENGLISH) -> DataFrame:
     """key, clause (from 0), text, places (word_forms), words (distinct ones): what lies between ends of sentences or semicolons. A null text has no clauses."""
     parts = df.select(*key, F.posexplode(F.flatten(F.transform(sentences(F.col(text)), clauses))).alias("clause", "text"))
+    return _with_words(parts, vocabulary)
+
+
+def _with_words(parts: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """parts, of one clause each, with places and words."""
     return parts.withColumn("places", word_forms(F.col("text"), vocabulary)).withColumn("words", F.array_remove(F.array_distinct("places"), ""))
 
 
@@ -121,13 +131,26 @@ def attributed(df: DataFrame, key: list[str], text: str, channels: DataFrame, id
     A number belongs to the channels named between it and the number before it; where none is, to those that the number before
     it belongs to; where none stands before it, to all that the clause names. Numbers that more than `most` channels could own
     are ambiguous and belong to none. within: a channel's nearest word must stand at most so many tokens from the number.
+
+    What a clause says hangs on its text alone, so each distinct clause is cut into tokens and attributed once, however many
+    rows say it; they meet by the text. Keys may repeat or be null.
     """
-    rows = clauses_of(df, key, text, vocabulary).withColumn("numbers", claimed(F.col("text"))).where(F.size("numbers") > 0)
-    rows = materialize(rows, "claiming-clauses")
+    said = materialize(clauses_of(df, key, text, vocabulary).select(*key, "clause", "text").where(F.col("text").rlike("[0-9]")), "figure-clauses")
+    once = dealt(materialize(said.select("text").distinct(), "distinct-clauses"), ["text"], TASK_CLAUSES).select(F.monotonically_increasing_id().alias("of"), F.lit(0).alias("clause"), "text")
+    # Filtered as it is read back: a filter before it is written would work the numbers out twice.
+    rows = materialize(_with_words(once, vocabulary).withColumn("numbers", claimed(F.col("text"))), "claiming-clauses").where(F.size("numbers") > 0)
+    found = _attributed(rows, channels, id_, title, most, within, vocabulary, coverage)
+    chars = rows.agg(F.sum(most * F.size("numbers") * F.length("text"))).first()[0] or 0  # of what is found, at most
+    return said.join(F.broadcast(found) if chars <= BROADCAST_CHARS else found, "text").select(*key, "clause", "at", "value", "kind", "channel")
+
+
+def _attributed(rows: DataFrame, channels: DataFrame, id_: str, title: str, most: int, within: int | None, vocabulary: Vocabulary, coverage: float) -> DataFrame:
+    """text, at, value, kind, channel of rows: of, clause, text, places, words, numbers, a row for each distinct clause."""
+    key = ["of"]
     who = named(rows, key, channels, id_, title, vocabulary, coverage)
-    each = who.join(rows.select(*key, "clause", "places", "numbers").hint("merge"), [*key, "clause"])
+    each = who.join(rows.select(*key, "clause", "text", "places", "numbers").hint("merge"), [*key, "clause"])
     at = F.filter(F.sequence(F.lit(0), F.size("places") - 1), lambda i: F.array_contains("matched", F.col("places")[i]))
-    each = each.select(*key, "clause", "channel", at.alias("names"), "numbers")
+    each = each.select(*key, "clause", "text", "channel", at.alias("names"), "numbers")
 
     def placed(x: Column) -> Column:
         """A number with the channel's last name before it: how many numbers stand before that name, and how far the nearest name is. Neither list goes on to rows of numbers."""
@@ -135,14 +158,14 @@ def attributed(df: DataFrame, key: list[str], text: str, channels: DataFrame, id
         before = F.when(mine.isNotNull(), F.size(F.filter("numbers", lambda y: y["at"] < mine)))
         return F.struct(x["at"].alias("at"), x["value"].alias("value"), x["kind"].alias("kind"), before.alias("before"), F.array_min(F.transform("names", lambda p: F.abs(p - x["at"]))).alias("gap"))
 
-    each = each.select(*key, "clause", "channel", F.inline(F.transform("numbers", placed)))
+    each = each.select(*key, "clause", "text", "channel", F.inline(F.transform("numbers", placed)))
     w = Window.partitionBy(*key, "clause", "at")
     # Named after the same number as the nearest name is: those compete.
     owns = F.col("_last").isNull() | (F.col("before") == F.col("_last"))
     owners = each.withColumn("_last", F.max("before").over(w)).where(owns).withColumn("_n", F.count("*").over(w)).where(F.col("_n") <= most)
     if within is not None:
         owners = owners.where(F.col("gap") <= within)
-    return owners.select(*key, "clause", "at", "value", "kind", "channel")
+    return owners.select("text", "at", "value", "kind", "channel")
 
 
 def directions(df: DataFrame, key: list[str], text: str, channels: DataFrame, id_: str, title: str, up: tuple[str, ...], down: tuple[str, ...], vocabulary: Vocabulary = ENGLISH, coverage: float = 0.8) -> DataFrame:

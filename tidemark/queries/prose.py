@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import calendar as cal
 from tidemark.functions import numbers as num
-from tidemark.operators import attribution, proximity
+from tidemark.operators import attribution, proximity, windows
 from tidemark.queries.registry import Tables, query
 
 
@@ -111,10 +111,15 @@ def number_words(t: Tables) -> DataFrame:
 CLAIMS = "b AS (SELECT o_orderkey AS k, (o_orderkey % 50 + 1)::DOUBLE AS a, (o_orderkey % 70 + 2)::DOUBLE AS b FROM orders)"
 
 
+#: Orders of which a task makes and cuts the texts, about: a key takes a few bytes of its file and some hundred characters of text.
+TOLD_ROWS = 50_000
+
+
 def _told(t: Tables) -> DataFrame:
+    orders = windows.dealt(t.orders.select("o_orderkey"), ["o_orderkey"], TOLD_ROWS)
     a, b = (F.col("o_orderkey") % 50 + 1).cast("string"), (F.col("o_orderkey") % 70 + 2).cast("string")
     text = F.concat(F.lit("Goods inflation rose by "), a, F.lit("% in 2024; services fell, after a long and quiet season of little change in all regions, by "), b, F.lit("%. Goods inflation and services together moved by 9%. Nothing else moved 3%."))
-    return t.orders.select(F.col("o_orderkey").alias("k"), text.alias("text"))
+    return orders.select(F.col("o_orderkey").alias("k"), text.alias("text"))
 
 
 def _channels(t: Tables) -> DataFrame:
